@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html, lengths, quality, sharding, warc
+from . import chat, decontamination, html, lengths, minhash, quality, sharding, warc
 from .common import scratch_path
 
 
@@ -13,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, appended as 16 arrivals of small shards, compacted, and read back through the manifest."""
     store = sharding.ShardStore(spark, scratch_path(spark, "shards"), target_bytes=32 << 20)
@@ -62,13 +66,23 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.suffix_sums(lengths.length_histogram(table(spark, sf_dir, "documents").select("text")))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = decontamination.occurrences(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return seen.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_sharding": op2_sharding,
     "op3_quality_rules": op3_quality_rules,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_warc": op6_warc,
     "op7_html_extraction": op7_html_extraction,
     "op8_token_counts": op8_token_counts,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -124,4 +138,17 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS
  f AS (SELECT *, min(page_id) OVER (PARTITION BY x) AS first FROM d)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
    CASE WHEN page_id <> first THEN first END AS refers_to FROM f""",
+    "op10_benchmark_decontamination": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+ b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+ win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS g
+   FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS u(i) WHERE len(w) > 0),
+ sizes AS (SELECT DISTINCT n FROM win),
+ dw AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS u(i)),
+ hit AS (SELECT DISTINCT doc_id, n, i, item_id FROM dw JOIN win USING (n, g)),
+ words AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(0, n)) AS v(k) GROUP BY doc_id),
+ items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }
