@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html, lengths, minhash, quality, sharding, warc
+from . import chat, decontamination, html, lengths, minhash, packing, quality, sharding, warc
 from .common import scratch_path
 
 
@@ -35,6 +35,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[q[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything is read back from the formatted examples; the longest example of a conversation holds all its turns."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -78,6 +82,7 @@ QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_sharding": op2_sharding,
     "op3_quality_rules": op3_quality_rules,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_warc": op6_warc,
     "op7_html_extraction": op7_html_extraction,
