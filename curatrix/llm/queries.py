@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html, lengths, minhash, packing, quality, sharding, warc
+from . import chat, decontamination, html, lengths, minhash, packing, quality, sharding, suffix_dedup, warc
 from .common import scratch_path
 
 
@@ -70,6 +70,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.suffix_sums(lengths.length_histogram(table(spark, sf_dir, "documents").select("text")))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = decontamination.occurrences(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return seen.select(
@@ -87,6 +91,7 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_html_extraction": op7_html_extraction,
     "op8_token_counts": op8_token_counts,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
