@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -11,6 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver did, if they can see that folder; a cluster has it installed."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(x for x in (*paths, root) if x)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, named by ``spark.checkpoint.dir``.
 

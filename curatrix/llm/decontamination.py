@@ -183,8 +183,8 @@ def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "tex
 SCHEMA = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 10, keep_text: bool = False) -> DataFrame:
-    """For every row of ``docs``: doc_id (and text), n_words, n_hit, items (sorted), spans.
+def occurrences(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 10, keep_text: bool = False, carry: list[str] | None = None) -> DataFrame:
+    """For every row of ``docs``: doc_id (and text, and the columns named in ``carry`` as one struct, ``carried``), n_words, n_hit, items (sorted), spans.
 
     Spans are maximal runs of hit words, as byte offsets into the text's UTF-8, from the
     first word's start to the last one's end. Null and empty texts have no words. Rows
@@ -194,8 +194,9 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", t
     """
     context = docs.sparkSession.sparkContext
     blocks = [(uuid.uuid4().hex, context.broadcast(b)) for b in item_blocks(benchmark)]
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    kind = dict(rows.dtypes)["doc_id"]
+    more = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), *more)
+    head = ", ".join(f"{c} {t}" for c, t in rows.dtypes if c != "text" or keep_text)
 
     def scan(batches):
         for batch in batches:
@@ -203,8 +204,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", t
             for a, b in slices(offsets, STEP):
                 yield _scan(batch.slice(a, b - a), blocks, window, keep_text)
 
-    head = f"doc_id {kind}, " + ("text string, " if keep_text else "")
-    return rows.mapInArrow(scan, head + SCHEMA)
+    return rows.mapInArrow(scan, f"{head}, {SCHEMA}")
 
 
 def _scan(batch: pa.RecordBatch, blocks: list, window: int, keep_text: bool) -> pa.RecordBatch:
@@ -238,8 +238,8 @@ def _scan(batch: pa.RecordBatch, blocks: list, window: int, keep_text: bool) ->
         m = np.concatenate([[False], hit[a:b], [False]])
         turn = np.flatnonzero(m[1:] != m[:-1])
         spans[doc] = [{"start": int(starts[a + s] - offsets[doc]), "end": int(ends[a + e - 1] - offsets[doc])} for s, e in zip(turn[::2], turn[1::2], strict=True)]
-    columns = [batch.column(0)] + ([batch.column(1)] if keep_text else [])
-    names = ["doc_id"] + (["text"] if keep_text else [])
+    kept = [i for i in range(batch.num_columns) if i != 1 or keep_text]
+    columns, names = [batch.column(i) for i in kept], [batch.schema.names[i] for i in kept]
     return pa.RecordBatch.from_arrays(
         [*columns, pa.array(counts, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(found.get(i, ())) for i in range(len(counts))], pa.list_(pa.string())),
          pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
@@ -256,12 +256,12 @@ def cut(text: str | None, spans: list[dict] | None) -> str:
     return b"".join([*out, whole[at:]]).decode()
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 10, max_coverage: float = 0.5) -> DataFrame:
-    """doc_id, text, n_removed (words): spans are cut out of texts; of documents whose words are hit beyond ``max_coverage`` none is left.
+def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 10, max_coverage: float = 0.5, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, text, n_removed (words) and the columns named in ``carry``: spans are cut out of texts; of documents whose words are hit beyond ``max_coverage`` none is left.
 
     Clean documents come back unchanged, null texts included.
     """
-    seen = occurrences(docs, benchmark, doc_id, text, window, keep_text=True)
+    seen = occurrences(docs, benchmark, doc_id, text, window, keep_text=True, carry=carry)
     seen = seen.filter(F.col("n_hit") <= max_coverage * F.col("n_words"))
 
     def clean(batches):
@@ -271,6 +271,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
             if hit.any():
                 spans = b.column("spans")
                 texts = pa.array([cut(texts[i].as_py(), spans[i].as_py()) if hit[i] else texts[i].as_py() for i in range(len(hit))], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), texts, b.column("n_hit")], names=["doc_id", "text", "n_removed"])
+            more = [b.column("carried")] if carry else []
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), texts, b.column("n_hit"), *more], names=["doc_id", "text", "n_removed", *["carried"] * len(more)])
 
-    return seen.mapInArrow(clean, f"doc_id {dict(seen.dtypes)['doc_id']}, text string, n_removed long")
+    kinds = dict(seen.dtypes)
+    out = seen.mapInArrow(clean, f"doc_id {kinds['doc_id']}, text string, n_removed long" + (f", carried {kinds['carried']}" if carry else ""))
+    return out.select("doc_id", "text", "n_removed", *[F.col("carried")[c].alias(c) for c in carry or ()])

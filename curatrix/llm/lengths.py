@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tokens import ChunkTokenizer, blocks
+from .tokens import blocks, tokenizer_of
 
 #: Lengths a block of the two-level sums.
 BLOCK = 1024
@@ -27,7 +27,7 @@ def length_histogram(docs: DataFrame, text: str = "text", tokenizer: str | None
     """
 
     def count(batches):
-        tok, found = ChunkTokenizer(tokenizer), Counter()
+        tok, found = tokenizer_of(tokenizer), Counter()
         for batch in batches:
             for _, run in blocks(batch.column(0).to_pylist()):
                 found.update(len(ids) // 4 for ids in tok.encode(run))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
-from .tokens import ChunkTokenizer, blocks, crc32
+from .tokens import blocks, crc32, tokenizer_of
 
 CAPACITY, END = 4096, 1
 SHARD, ISLANDS, EPOCHS = 3000, 2, 2
@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
     last = np.asarray([end], "<u4").tobytes()
 
     def cut(batches):
-        tok = ChunkTokenizer(tokenizer)
+        tok = tokenizer_of(tokenizer)
         for batch in batches:
             names = batch.column(0)
             for first, run in blocks(batch.column(1).to_pylist()):

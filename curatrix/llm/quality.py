@@ -110,8 +110,15 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
     name = f"{prefix}quality"
     while name.lower() in {c.lower() for c in docs.columns}:
         name += "_"
+    judged = _judge(docs, rules, text)
+    counts = [c for c in judged.columns if c != "row"]
+    return judged.select(*[F.col("row")[c].alias(c) for c in docs.columns], F.struct(*counts).alias(name))
+
+
+def _judge(docs: DataFrame, rules: tuple[Rule, ...], text: str) -> DataFrame:
+    """row (the input's columns), the counts, base_failed, failed_rules, kept."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row") if docs.columns else F.lit(None).alias("row"), t.alias("t"))
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), t.alias("t"))
     inner = inner.withColumn("w", F.filter(F.split("t", SPACE), lambda x: x != ""))
     inner = inner.withColumn("l", F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     counted = inner.select(
@@ -131,12 +138,14 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     broken = F.array_compact(F.array(*[F.when(failed(r), F.lit(r.name)) for r in rules])) if rules else F.array().cast("array<string>")
     judged = counted.withColumn("base_failed", base).withColumn("failed_rules", broken)
-    judged = judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
-    counts = [c for c in judged.columns if c != "row"]
-    return judged.select(*[F.col("row")[c].alias(c) for c in docs.columns], F.struct(*counts).alias(name))
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
 
 
 def kept_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The documents that pass, with the input's columns."""
-    judged = quality(docs, rules, text)
-    return judged.filter(F.col(f"`{judged.columns[-1]}`")["kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that pass, with the input's columns.
+
+    Explode keeps what the filter needs in one place: as a predicate, the optimizer would
+    carry all of the projection into it again for each use.
+    """
+    kept = _judge(docs, rules, text).select(F.explode(F.when(F.col("kept"), F.array("row"))).alias("row"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

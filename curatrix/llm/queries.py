@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontamination, html, lengths, minhash, packing, quality, sharding, suffix_dedup, warc
-from .common import scratch_path
+from .common import reachable, scratch_path, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return reachable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +67,7 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lengths.suffix_sums(lengths.length_histogram(table(spark, sf_dir, "documents").select("text")))
+    return lengths.suffix_sums(written(lengths.length_histogram(table(spark, sf_dir, "documents").select("text")), "lengths"))
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,22 +1,29 @@
 """Token ids and counts by a public tokenizer, fast enough for a whole corpus.
 
-The tokenizer's pre-tokenizer never lets a token span a blank or a newline, so a text's
-ids are those of its blank-separated chunks in a row. Chunks repeat, so each worker
-keeps the ids of those it has met; the tokenizer itself does all others. The store is
-emptied when it is full, which bounds its memory and changes no result.
+The tokenizer's pre-tokenizer never lets a token span a blank or a newline, and parts
+letters from punctuation, so a text's ids are those of its blank-separated chunks in a
+row, and a chunk of letters and then punctuation has the ids of both in a row. Each
+worker keeps the ids of chunks and of lower-cased words it has met; the tokenizer itself
+does all others, many words a call: each word's last token is marked as its end. The
+stores are emptied when full, which bounds their memory and changes no result.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
 
-#: Chunks kept by a worker, besides those of the texts at hand.
-STORE = 200_000
+#: Chunks kept by a worker, and words, besides those of the texts at hand.
+STORE = 250_000
 #: Longer chunks are not kept.
 LONGEST = 64
+#: Words a call of the tokenizer.
+TOGETHER = 500
+#: Letters that are single, composed code points, then marks that are one pre-token: the tokenizer does either alone.
+_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!\"#$%&()*+,\-./:;=?@\[\]^_{|}~]*)")
 
 
 def default_tokenizer() -> str:
@@ -26,14 +33,52 @@ def default_tokenizer() -> str:
 
 
 class ChunkTokenizer:
-    """Ids of whole texts by a ``tokenizers`` file whose tokens never span white space."""
+    """Ids of whole texts by a ``tokenizers`` file whose tokens never span white space, and whose words' last tokens end in ``</w>``."""
 
     def __init__(self, path: str | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or default_tokenizer())
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words are runs of letters, or of marks: one pre-token each."""
+        lines = [" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        for k, found in enumerate(self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
+            ids = np.asarray(found.ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            part = words[k * TOGETHER : (k + 1) * TOGETHER]
+            whole, ends = ids.tobytes(), (4 * stops).tolist()
+            if len(ends) != len(part):
+                raise ValueError("this tokenizer does not mark the end of each word")
+            self.words.update(zip(part, map(whole.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+
+    def _learn(self, chunks: set[str]) -> None:
+        plain, odd, parts = {}, [], set()
+        for c in chunks:
+            m = _PLAIN.fullmatch(c)
+            if m:
+                plain[c] = word, marks = m[1].lower(), m[2]
+                parts.add(word)
+                parts.add(marks)
+            else:
+                odd.append(c)
+        if len(self.words) + len(parts) > STORE:
+            self.words = {}
+        parts.discard("")
+        self._learn_words(list(parts.difference(self.words)))
+        words, known = self.words, self.known
+        for c, (word, marks) in plain.items():
+            known[c] = words[word] + words[marks] if marks else words[word]
+        for at in range(0, len(odd), 4096):
+            part = odd[at : at + 4096]
+            for c, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                known[c] = np.asarray(found.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit numbers."""
@@ -41,11 +86,8 @@ class ChunkTokenizer:
         met: set[str] = set().union(*split)
         if len(self.known) + len(met) > STORE:
             self.known = {}
-        new = list(met.difference(self.known))
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for chunk, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[chunk] = np.asarray(found.ids, dtype="<u4").tobytes()
+        new = met.difference(self.known)
+        self._learn(new)
         out = [b"".join(map(self.known.__getitem__, s)) for s in split]
         for chunk in new:
             if len(chunk) > LONGEST:
@@ -53,6 +95,16 @@ class ChunkTokenizer:
         return out
 
 
+_tokenizers: dict[str | None, ChunkTokenizer] = {}
+
+
+def tokenizer_of(path: str | None) -> ChunkTokenizer:
+    """The worker's tokenizer for a path: what it has met serves later tasks, too."""
+    if path not in _tokenizers:
+        _tokenizers[path] = ChunkTokenizer(path)
+    return _tokenizers[path]
+
+
 def blocks(texts: list[str | None], limit: int = 2_000_000):
     """Runs of texts of about so many characters: (first, run)."""
     run, n, first = [], 0, 0
