@@ -1,4 +1,7 @@
 """Queries of the library's own operators and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from .queries import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

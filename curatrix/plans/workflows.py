@@ -1,0 +1,265 @@
+"""Workflows over a benchmark root: drivers that compose operators and commit snapshots.
+
+Only bounded things come to the driver: counts, chunk verdicts, and report rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .. import schemas
+from ..functions import rules
+from ..operators import browse, dedupe, importer, ingest, merge, metrics, models, reports, scoring, selection, splits, validation
+from ..sources import files
+from ..sources.files import SnapshotRoot
+from ..sources.shared import checkpointed
+
+REC, AI, HUMAN, MERGED, CONFLICTS = "records", "annotations_ai", "annotations_human", "merged", "conflicts"
+TABLES = {REC: schemas.RECORDS, AI: schemas.ANNOTATIONS, HUMAN: schemas.ANNOTATIONS, MERGED: schemas.ANNOTATIONS, CONFLICTS: schemas.CONFLICTS}
+_OUTPUT = "primary_research_object string, preference_labels array<string>, negative_tier string, evidence_spans map<string,array<string>>, notes string"
+
+
+def load(root: SnapshotRoot) -> dict[str, DataFrame]:
+    return {name: root.read(name, schema) for name, schema in TABLES.items()}
+
+
+def stats(t: dict[str, DataFrame]) -> dict:
+    """The stats document; annotation layers are always in it."""
+    rec = t[REC].select(F.lit(None).cast("string").alias("f"), "*")
+    by = {"by_primary_research_object": F.col("primary_research_object"), "by_negative_tier": F.col("candidate_negative_tier")}
+    out: dict = {"total_records": 0, **{k: {} for k in by}}
+    for r in reports.distribution(rec, by).collect():
+        if r.section == "total":
+            out["total_records"] = r.n
+        else:
+            out[r.section][r.key] = r.n
+    out["by_preference_label"] = {
+        r.label: {"positive": r.positives, "negative": r.negatives}
+        for r in reports.label_counts(t[MERGED], F.col("preference_labels"), F.col("negative_tier"), rules.PREFERENCE_LABELS).collect()
+    }
+    out["by_layer"] = {}
+    for name, tier in ((REC, "candidate_negative_tier"), (AI, "negative_tier"), (HUMAN, "negative_tier"), (MERGED, "negative_tier")):
+        n, pos = t[name].agg(F.count("*"), F.count_if(F.col(tier) == "positive")).first()
+        out["by_layer"][name] = {"total": n, "positive": pos, "negative": n - pos, "positive_ratio": reports.python_round(pos / n) if n else 0.0}
+    return out
+
+
+def select_candidates(spark, source: str, venues: dict[tuple[str, int], int], minimum: int = rules.MINIMUM_SCORE) -> DataFrame:
+    """Accepted, scored and classified papers of the venues, within their quotas."""
+    papers = ingest.accepted_papers(files.scan_conference(spark, source, list(venues)))
+    scored = scoring.classify(papers).filter(F.col("score") >= minimum).withColumn("tier", F.col("candidate_negative_tier"))
+    quota = F.coalesce(*[F.when((F.lower(F.substring_index("venue", " ", 1)) == v) & (F.col("year") == y), q) for (v, y), q in venues.items()], F.lit(0))
+    kept = selection.quota_topk(scored, ["venue", "year"], quota, selection.score_order())
+    return scoring.candidates(kept, scoring.general_note(F.col("score"), F.col("matched_terms")))
+
+
+def scheduling_candidates(spark, source: str, venues, minimum: int = rules.SCHEDULING_MINIMUM_SCORE) -> DataFrame:
+    """Candidates by scheduling score in order of the venues, adding rank."""
+    papers = ingest.accepted_papers(files.scan_conference(spark, source, list(venues)))
+    scored = scoring.classify(papers).filter(F.col("scheduling_score") >= minimum).drop("score").withColumnRenamed("scheduling_score", "score")
+    out = scoring.candidates(scored, scoring.scheduling_note(F.col("score"), F.col("matched_groups")))
+    return out.withColumn("venue_rank", selection.priority_rank(selection.venue_key(F.col("venue")), [f"{v}:{y}" for v, y in venues]))
+
+
+def rebuild(root: SnapshotRoot, source: str, venues=None, translator: Callable | None = None) -> str:
+    """A new benchmark from the conference files; ``translator`` is a model factory that returns abstract_zh."""
+    cands = select_candidates(root.spark, source, venues or rules.VENUE_QUOTAS)
+    if translator:
+        cands = checkpointed(models.run_model(cands.drop("abstract_zh"), translator, "abstract_zh string")).withColumn("abstract_zh", F.coalesce("abstract_zh", F.lit(""))).drop("success", "error", "attempts", "duration_ms")
+    records = checkpointed(scoring.build_records(cands).select(*schemas.RECORDS.fieldNames(), "final_evidence_spans"))
+    seed = records.select(
+        "paper_id", F.lit("candidate_seed").alias("labeler_id"), "primary_research_object",
+        F.when(F.col("candidate_negative_tier") == "negative", F.array().cast("array<string>")).otherwise(F.slice("candidate_preference_labels", 1, 1)).alias("preference_labels"),
+        F.col("candidate_negative_tier").alias("negative_tier"), F.col("final_evidence_spans").alias("evidence_spans"), "notes", F.lit("final").alias("review_status"),
+    )
+    none = root.spark.createDataFrame([], schemas.CONFLICTS)
+    t = {REC: records.select(*schemas.RECORDS.fieldNames()), AI: seed, HUMAN: seed.withColumn("labeler_id", F.lit("human_reviewer")), MERGED: seed.withColumn("labeler_id", F.lit("merged")), CONFLICTS: none}
+    return root.commit(t, {"stats.json": stats(t), "schema.json": schemas.schema_payload()})
+
+
+def annotate(root: SnapshotRoot, factory: Callable, labeler: str, rebuild_all: bool = False, concurrency: int = 5) -> DataFrame:
+    """AI annotations of records that have none (or of all); commits and returns the errors."""
+    t = load(root)
+    todo = t[REC] if rebuild_all else models.missing_only(t[REC], t[AI])
+    asked = todo.select("paper_id", "title", "abstract", F.array_join("keywords", ", ").alias("keywords"))
+    done = checkpointed(models.run_model(asked, factory, _OUTPUT, concurrency=concurrency))
+    new = validation.cleaned_annotations(done.filter("success").withColumn("labeler_id", F.lit(labeler)).withColumn("review_status", F.lit("pending")))
+    t[AI] = new if rebuild_all else files.upsert(t[AI], new, "paper_id")
+    root.commit({AI: t[AI]}, {"stats.json": stats(t)})
+    return done.filter("NOT success").select("paper_id", "error", "attempts")
+
+
+def refresh_merge(root: SnapshotRoot, arbitrations: DataFrame | None = None) -> str:
+    """Merge what both annotators have, replaying arbitrations that conflicts hold."""
+    t = load(root)
+    paired = t[AI].select("paper_id").intersect(t[HUMAN].select("paper_id"))
+    ai, human = (t[k].join(paired, "paper_id", "left_semi") for k in (AI, HUMAN))
+    held = t[CONFLICTS].filter("resolved_annotation IS NOT NULL").select("resolved_annotation.*")
+    arb = held if arbitrations is None else files.upsert(held, arbitrations, "paper_id")
+    records, merged, conflicts = merge.merge(t[REC], ai, human, arb)
+    t |= {REC: checkpointed(records), MERGED: checkpointed(merged), CONFLICTS: checkpointed(conflicts)}
+    return root.commit({k: t[k] for k in (REC, MERGED, CONFLICTS)}, {"stats.json": stats(t)})
+
+
+def backfill(root: SnapshotRoot, factory: Callable, source: str, target: str, limit: int | None = None, batch_tags: list[str] | None = None, apply: bool = True, concurrency: int = 5) -> DataFrame:
+    """Translations of records that lack them, as patches (paper_id, target); applied in one commit, whose old snapshot is the backup."""
+    from ..functions.text import key_value
+
+    t = load(root)
+    todo = t[REC].filter(browse.needs_backfill(F.col(source), F.col(target), F.concat(F.lit("中文摘要："), F.col("title"))))
+    if batch_tags is not None:
+        tag = key_value(F.col("notes"), "augment_batch")
+        todo = browse.pending(todo, t[HUMAN], t[MERGED]).filter(tag.isNotNull() if not batch_tags else tag.isin(*[x.removeprefix("augment_batch=") for x in batch_tags]))
+    todo = todo.orderBy("paper_id").limit(limit) if limit else todo
+    done = checkpointed(models.run_model(todo.select("paper_id", F.col(source).alias("source_text")), factory, "translation string", concurrency=concurrency))
+    patches = done.filter("success").select("paper_id", F.col("translation").alias(target))
+    if apply:
+        new = t[REC].drop(target).join(patches, "paper_id", "left").join(t[REC].select("paper_id", F.col(target).alias("_old")), "paper_id")
+        new = new.withColumn(target, F.coalesce(target, "_old")).select(*schemas.RECORDS.fieldNames())
+        root.commit({REC: new}, {"stats.json": stats(t | {REC: new})})
+    return patches
+
+
+def assign_splits(root: SnapshotRoot, seed: int = rules.SPLIT_SEED) -> dict:
+    t = load(root)
+    held = splits.manifest_rows(files.scan_manifest(root.spark, root.path("split-manifest.json")))
+    rows = checkpointed(splits.assign(t[REC], t[MERGED], held))
+    ids = {s: [r.paper_id for r in rows.filter(F.col("split") == s).select("paper_id").orderBy("paper_id").toLocalIterator()] for s in rules.SPLITS}
+    root.commit({}, {"split-manifest.json": {"version": 1, "seed": seed, "ratios": {"dev": 0.7, "dev_validation": 0.15, "test": 0.15}, "splits": ids}})
+    n_new = rows.filter("is_new").count()
+    merged_with = t[MERGED].join(t[REC].select("paper_id"), "paper_id", "left_semi").count()
+    return {"assigned": n_new, "eligible": merged_with, "already": merged_with - n_new, "skipped": t[MERGED].count() - merged_with, "counts": {s: len(v) for s, v in ids.items()}}
+
+
+def evaluate(root: SnapshotRoot, factory: Callable, limit: int = 0, seed: int = 42, batch: int = 50) -> dict:
+    """The report of a model's predictions of the merged annotations."""
+    t = load(root)
+    truths = t[MERGED].join(t[REC].select("paper_id", "title", "abstract"), "paper_id")
+    asked = checkpointed(selection.batched(selection.sample(truths, seed, limit, "paper_id"), "paper_id", batch))
+    got = checkpointed(models.run_model(asked.select("request_id", "title", "abstract"), factory, _OUTPUT))
+    fields = ["request_id", "primary_research_object", "preference_labels", "negative_tier"]
+    report = metrics.evaluation_report(models.align(asked.select(*fields), got.filter("success").select(*fields)))
+    return report | {"errors": got.filter("NOT success").count()}
+
+
+def rebalance(root: SnapshotRoot, source: str, venues, factory: Callable, labeler: str = "ai", target: float = 0.30, batch: int = 50, seed: int = 20260328, max_new: int | None = None) -> dict:
+    """Add heuristic negatives by batches until the AI layer's positive ratio is the target or less."""
+    t = load(root)
+    prints = t[REC].select("paper_id", dedupe.fingerprint(F.col("title"), F.col("abstract")).alias("fingerprint"))
+    ids = dedupe.blocked_ids(*t.values())
+    papers = scoring.classify(ingest.accepted_papers(files.scan_conference(root.spark, source, venues)))
+    cands = scoring.candidates(papers, F.lit("")).filter("candidate_negative_tier = 'negative'").drop("score")
+    cands = cands.withColumn("fingerprint", dedupe.fingerprint(F.col("title"), F.col("abstract")))
+    cands = cands.join(ids, "paper_id", "left_anti").join(prints.select("fingerprint"), "fingerprint", "left_anti")
+    cands = selection.numbered(cands, ["venue", "paper_id", "source_path"], "ordinal")
+    pool = checkpointed(dedupe.greedy(checkpointed(cands), "ordinal").filter("reason IS NULL"))
+    queue = checkpointed(selection.numbered(pool.withColumn("_h", selection.hash_order(seed, F.col("paper_id"))), ["_h", "paper_id"], "position").drop("_h"))
+    size, added, at = queue.count(), 0, 0
+    while True:
+        n, pos = t[AI].agg(F.count("*"), F.count_if(F.col("negative_tier") == "positive")).first()
+        if n == 0 or pos / n <= target:
+            reason = "target_ratio_reached"
+            break
+        if max_new is not None and added >= max_new:
+            reason = "max_new_records_reached"
+            break
+        if at >= size:
+            reason = "candidate_pool_exhausted" if size else "candidate_pool_exhausted_after_dedupe"
+            break
+        step = min(batch, max_new - added) if max_new is not None else batch
+        rows = queue.filter((F.col("position") > at) & (F.col("position") <= at + step)).select(*schemas.RECORDS.fieldNames())
+        done = checkpointed(models.run_model(rows.select("paper_id", "title", "abstract"), factory, _OUTPUT)).filter("success")
+        new = validation.cleaned_annotations(done.withColumn("labeler_id", F.lit(labeler)).withColumn("review_status", F.lit("pending")))
+        kept = rows.join(done.select("paper_id"), "paper_id", "left_semi").select(*schemas.RECORDS.fieldNames())
+        t[REC], t[AI] = checkpointed(t[REC].unionByName(kept)), checkpointed(t[AI].unionByName(new))
+        at, added = at + step, added + kept.count()
+        root.commit({REC: t[REC], AI: t[AI]}, {"stats.json": stats(t)})  # records and annotations in one commit
+    return {"added": added, "stop_reason": reason, "ratio": reports.python_round(pos / n) if n else 0.0}
+
+
+def augment(root: SnapshotRoot, source: str, factory: Callable, batch_tag: str, venues=rules.AUGMENT_VENUES, target: int = 100, minimum: int = rules.SCHEDULING_MINIMUM_SCORE, chunk: int = 50, max_reviewed: int | None = None, labeler: str = "ai") -> dict:
+    """Verified scheduling positives until the label has its target; one commit at the end."""
+    t = load(root)
+    label = rules.SCHEDULING_LABEL
+    current = t[MERGED].filter((F.col("negative_tier") == "positive") & F.array_contains("preference_labels", label)).count()
+    gap, reviewed, accepted = max(0, target - current), 0, None
+    if not gap:
+        return {"added": 0, "stop_reason": "target_already_satisfied"}
+    prints = t[REC].select(dedupe.fingerprint(F.col("title"), F.col("abstract")).alias("fingerprint"))
+    cands = scheduling_candidates(root.spark, source, venues, minimum).withColumn("fingerprint", dedupe.fingerprint(F.col("title"), F.col("abstract")))
+    cands = cands.join(dedupe.blocked_ids(*t.values()), "paper_id", "left_anti").join(prints, "fingerprint", "left_anti")
+    cands = checkpointed(selection.numbered(cands, ["venue_rank", F.col("score").desc(), "paper_id"], "ordinal"))
+    queue = checkpointed(selection.numbered(dedupe.greedy(cands, "ordinal").filter("reason IS NULL"), ["ordinal"], "position"))
+    size, n = queue.count(), 0
+    while n < gap and reviewed < size and (max_reviewed is None or reviewed < max_reviewed):
+        step = min(chunk, (max_reviewed or size) - reviewed)
+        rows = queue.filter((F.col("position") > reviewed) & (F.col("position") <= reviewed + step))
+        done = models.run_model(rows.select("paper_id", "title", "abstract", "position"), factory, _OUTPUT)
+        ok = checkpointed(done.filter(F.col("success") & (F.col("negative_tier") == "positive") & (F.col("preference_labels") == F.array(F.lit(label)))))
+        take = checkpointed(selection.take_until(ok, F.lit(True), gap - n, ["position"]))
+        accepted = take if accepted is None else accepted.unionByName(take)
+        n, reviewed = n + take.count(), reviewed + step
+    limited = max_reviewed is not None and reviewed >= max_reviewed
+    if n:
+        new = validation.cleaned_annotations(accepted.withColumn("labeler_id", F.lit(labeler)).withColumn("review_status", F.lit("pending")))
+        rows = queue.join(accepted.select("paper_id"), "paper_id", "left_semi").withColumn("notes", scoring.batch_note(F.col("notes"), batch_tag, F.col("score")))
+        t[REC], t[AI] = t[REC].unionByName(rows.select(*schemas.RECORDS.fieldNames())), t[AI].unionByName(new)
+        root.commit({REC: t[REC], AI: t[AI]}, {"stats.json": stats(t)})
+    if n >= gap:
+        reason = "target_positive_count_reached"
+    elif not size:
+        reason = "candidate_pool_exhausted"
+    elif limited:
+        reason = "review_limit_reached" if n else "review_limit_reached_without_verified_candidates"
+    else:
+        reason = "candidate_pool_exhausted_before_target" if n else "no_ai_verified_scheduling_candidates"
+    return {"added": n, "reviewed": reviewed, "fulfilled": current + n, "stop_reason": reason}
+
+
+def import_payload(root: SnapshotRoot, path: str, dry_run: bool = False) -> dict:
+    """Validate all of a payload, compare it with what exists, write only if something changed."""
+    batch, records, annotations = files.scan_import(root.spark, path)
+    t = load(root)
+    bad = validation.record_issues(records).select("paper_id", "path", "message").union(validation.annotation_issues(annotations).select("paper_id", "path", "message"))
+    if rows := bad.head(5):
+        raise importer.ImportRejected("; ".join(f"{r.paper_id}.{r.path}: {r.message}" for r in rows))
+    importer.guard(records, annotations, t[REC])
+    rec = importer.diff(records, t[REC], "paper_id", schemas.RECORDS.fieldNames())
+    ann = importer.diff(annotations, t[AI], "paper_id", schemas.ANNOTATIONS.fieldNames())
+    count = lambda df: {r.status: r["count"] for r in df.groupBy("status").count().collect()}
+    out = {"source_batch": batch, "records": count(rec), "annotations_ai": count(ann), "dry_run": dry_run}
+    changed = any(k != "unchanged" for part in (out["records"], out["annotations_ai"]) for k in part)
+    if changed and not dry_run:
+        t[REC] = files.upsert(t[REC], rec.filter("status != 'unchanged'").drop("status"), "paper_id")
+        t[AI] = files.upsert(t[AI], ann.filter("status != 'unchanged'").drop("status"), "paper_id")
+        root.commit({REC: t[REC], AI: t[AI]}, {"stats.json": stats(t)})
+    return out
+
+
+def validate(root: SnapshotRoot) -> dict:
+    """All data-quality issues: {ok, file_counts, issues}."""
+    t, found = load(root), []
+    checks = {
+        REC: [validation.record_issues(t[REC]), validation.translation_issues(t[REC], "paper_id", [("title", "title_zh"), ("abstract", "abstract_zh")], ("abstract", "abstract_zh"))],
+        **{k: [validation.annotation_issues(t[k])] for k in (AI, HUMAN, MERGED)},
+    }
+    for name, tables in checks.items():
+        for df in tables:
+            found += [{"path": f"{name}:{r.paper_id}.{r.path}", "message": r.message} for r in df.toLocalIterator()]
+        found += [{"path": f"{name}:{r.value}", "message": "repeated id"} for r in dedupe.duplicates(t[name], F.col("paper_id"), "paper_id").toLocalIterator()]
+    if root.read_document("schema.json") != schemas.schema_payload():
+        found.append({"path": "schema.json", "message": "differs from the built-in schema"})
+    return {"ok": not found, "file_counts": {k: df.count() for k, df in t.items()}, "issues": found}
+
+
+def cleanup_legacy(root: SnapshotRoot) -> str:
+    """Rewrite legacy tiers and labels everywhere, then merge again."""
+    t = load(root)
+    clean = {REC: importer.legacy_clean(t[REC], "candidate_negative_tier", "candidate_preference_labels")}
+    for k in (AI, HUMAN):
+        clean[k] = importer.legacy_clean(t[k], "negative_tier", "preference_labels")
+    root.commit(clean, {"schema.json": schemas.schema_payload()})
+    return refresh_merge(root)
