@@ -46,21 +46,21 @@ def greedy(rows: DataFrame, ordinal: str, key: str = "paper_id", fp: str = "fing
     kept that come first in both their groups, and what shares a key with them is dropped.
     Ordinals must be unique. One round is enough if no id is repeated.
     """
-    undecided, decided = checkpointed(rows.select(ordinal, key, fp)), None
+    undecided, kept = checkpointed(rows.select(ordinal, key, fp)), None
     for _ in range(max_rounds):
         first = undecided.transform(_with_least, key, ordinal, "_id_first").transform(_with_least, fp, ordinal, "_fp_first")
-        kept = checkpointed(first.filter(f"{ordinal} = _id_first AND {ordinal} = _fp_first").select(ordinal, key, fp))
-        by_id = kept.filter(F.col(key).isNotNull()).select(key, F.col(ordinal).alias("_id_at"))
-        by_fp = kept.filter(F.col(fp).isNotNull()).select(fp, F.col(ordinal).alias("_fp_at"))
-        rest = undecided.join(kept.select(ordinal), ordinal, "left_anti").join(by_id, key, "left").join(by_fp, fp, "left")
-        reason = F.when(F.col("_id_at").isNotNull(), "duplicate_id").when(F.col("_fp_at").isNotNull(), "duplicate_fingerprint")
-        rest = checkpointed(rest.withColumn("reason", reason).select(ordinal, key, fp, "reason"))
-        now = kept.withColumn("reason", F.lit(None).cast("string")).unionByName(rest.filter("reason IS NOT NULL"))
-        decided = now if decided is None else decided.unionByName(now)
-        undecided = rest.filter("reason IS NULL").drop("reason")
+        now = checkpointed(first.filter(f"{ordinal} = _id_first AND {ordinal} = _fp_first").select(ordinal, key, fp))
+        kept = now if kept is None else kept.unionByName(now)
+        undecided = undecided.join(now.select(ordinal), ordinal, "left_anti").join(now.select(key), key, "left_anti").join(now.select(fp), fp, "left_anti")
+        undecided = checkpointed(undecided.select(ordinal, key, fp))
         if not undecided.head(1):
             break
-    return rows.join(decided.select(ordinal, "reason"), ordinal, "left")
+    # a kept row of any round bars later ones; ids are looked at first
+    by_id = kept.filter(F.col(key).isNotNull()).select(key, F.col(ordinal).alias("_id_at"))
+    by_fp = kept.filter(F.col(fp).isNotNull()).select(fp, F.col(ordinal).alias("_fp_at"))
+    out = rows.join(by_id, key, "left").join(by_fp, fp, "left")
+    reason = F.when(F.col("_id_at") < F.col(ordinal), "duplicate_id").when(F.col("_fp_at") < F.col(ordinal), "duplicate_fingerprint")
+    return out.withColumn("reason", reason).drop("_id_at", "_fp_at").select(*rows.columns, "reason")
 
 
 def first_of_fingerprint(rows: DataFrame, ordinal: str, fp: str = "fingerprint") -> DataFrame:

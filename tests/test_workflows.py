@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from curatrix import schemas
 from curatrix.functions import rules
@@ -38,12 +37,20 @@ def root(spark, tmp_path):
     return SnapshotRoot(spark, str(tmp_path / "root"))
 
 
-def factory():
+def _factory():
+    """Made in a function, so that it goes to workers by value."""
+
+    def factory():
+        return model
+
     def model(row):
-        positive = "serving" in row["abstract"].lower()
-        return {"primary_research_object": "LLM", "preference_labels": [rules.SCHEDULING_LABEL] if positive else [], "negative_tier": "positive" if positive else "negative", "evidence_spans": {}, "notes": "", "translation": "译文", "abstract_zh": "译文"}
+        positive = "serving" in row.get("abstract", "").lower()
+        return {"primary_research_object": "LLM", "preference_labels": ["系统与调度优化"] if positive else [], "negative_tier": "positive" if positive else "negative", "evidence_spans": {}, "notes": "", "translation": "译文", "abstract_zh": "译文"}
+
+    return factory
+
 
-    return model
+factory = _factory()
 
 
 def test_scan_and_normalize(spark, source):
@@ -144,4 +151,3 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(out).count() == 2
     assert incremental.assign_stream(spark.read.parquet(src)).count() == 2
     assert incremental.audit_windows(spark.createDataFrame([], "ts timestamp, event_type string, value double")).count() == 0
-    assert F is not None
