@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from .. import schemas
 from ..functions import text as t
@@ -109,7 +109,7 @@ def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_import(spark: SparkSession, path: str) -> tuple[str, DataFrame, DataFrame]:
     """(source_batch, records, AI annotations) of an import payload."""
-    shape = StructType().add("source_batch", "string").add("records", f"array<{schemas.RECORDS.simpleString()}>").add("annotations_ai", f"array<{schemas.ANNOTATIONS.simpleString()}>")
+    shape = StructType().add("source_batch", "string").add("records", ArrayType(schemas.RECORDS)).add("annotations_ai", ArrayType(schemas.ANNOTATIONS))
     p = spark.read.schema(shape).option("multiLine", True).json(path)
     head = p.select("source_batch", F.col("records").isNull().alias("no_records"), F.col("annotations_ai").isNull().alias("no_annotations")).first()
     if head is None or head.no_records or head.no_annotations:
