@@ -163,10 +163,11 @@ def q_roundtrip(x):
     return hashed(rows).join(again, "doc_id", "left").agg(F.count("*").alias("n"), F.count_if(F.col("row") == F.col("again")).alias("equal_rows"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id BETWEEN 400 AND 600 THEN upper(lang) ELSE lang END AS lang FROM documents WHERE doc_id < 500 OR doc_id BETWEEN 400 AND 600")
+@query("SELECT doc_id, CASE WHEN source = 'src1' THEN upper(lang) ELSE lang END AS lang FROM documents UNION ALL SELECT -1 - doc_id, lang FROM documents WHERE lang = 'fr'")
 def q_upsert(x):
-    d = x.documents.select("doc_id", "lang")
-    return files.upsert(d.filter("doc_id < 500"), d.filter("doc_id BETWEEN 400 AND 600").withColumn("lang", F.upper("lang")), "doc_id")
+    d = x.documents
+    new = d.filter("source = 'src1'").select("doc_id", F.upper("lang").alias("lang")).union(d.filter("lang = 'fr'").select(-1 - F.col("doc_id"), "lang"))
+    return files.upsert(d.select("doc_id", "lang"), new, "doc_id")
 
 
 @query("SELECT event_type, count(*)::BIGINT AS n FROM events WHERE NOT (event_type LIKE '%error%') AND (event_type LIKE '%click%' OR event_type LIKE '%view%') GROUP BY event_type")

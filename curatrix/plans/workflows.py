@@ -145,6 +145,20 @@ def evaluate(root: SnapshotRoot, factory: Callable, limit: int = 0, seed: int =
     return report | {"errors": got.filter("NOT success").count()}
 
 
+def write_evaluation(root: SnapshotRoot, report: dict, out: str) -> None:
+    """report.json, summary.md and stdout.txt of a report: aggregates only, no ids and no titles."""
+    files.write_json(root.spark, f"{out}/report.json", report)
+    lines = [f"# Evaluation\n\nRows: {report['counts']['total']}, errors: {report.get('errors', 0)}\n"]
+    for name in ("positive_negative", "labels", "objects"):
+        part = report.get(name) or {}
+        if part:
+            lines.append(f"## {name}\n\naccuracy {part['accuracy']}, macro f1 {part['macro']['f1']}, micro f1 {part['micro']['f1']}\n\n| label | support | precision | recall | f1 |\n| --- | --- | --- | --- | --- |")
+            lines += [f"| {k} | {v['support']} | {v['precision']} | {v['recall']} | {v['f1']} |" for k, v in part["labels"].items()]
+            lines.append("")
+    files.write_text(root.spark, f"{out}/summary.md", "\n".join(lines) + "\n")
+    files.write_text(root.spark, f"{out}/stdout.txt", "\n".join(f"{k}: {report[k]['accuracy']}" for k in ("positive_negative", "labels", "objects") if report.get(k)) + "\n")
+
+
 def rebalance(root: SnapshotRoot, source: str, venues, factory: Callable, labeler: str = "ai", target: float = 0.30, batch: int = 50, seed: int = 20260328, max_new: int | None = None) -> dict:
     """Add heuristic negatives by batches until the AI layer's positive ratio is the target or less."""
     t = load(root)
@@ -250,7 +264,8 @@ def validate(root: SnapshotRoot) -> dict:
         for df in tables:
             found += [{"path": f"{name}:{r.paper_id}.{r.path}", "message": r.message} for r in df.toLocalIterator()]
         found += [{"path": f"{name}:{r.value}", "message": "repeated id"} for r in dedupe.duplicates(t[name], F.col("paper_id"), "paper_id").toLocalIterator()]
-    if root.read_document("schema.json") != schemas.schema_payload():
+    held = root.read_document("schema.json")
+    if held != schemas.schema_payload(held.get("name", ""), description=held.get("description", "")):
         found.append({"path": "schema.json", "message": "differs from the built-in schema"})
     return {"ok": not found, "file_counts": {k: df.count() for k, df in t.items()}, "issues": found}
 

@@ -45,12 +45,12 @@ def wire_type(field: StructField) -> str:
     return {"StringType": "string", "IntegerType": "integer", "MapType": "object"}[type(field.dataType).__name__]
 
 
-def schema_payload(version: str = "2026-04-01") -> dict:
-    """The content of ``schema.json``."""
+def schema_payload(name: str = "labelled-papers", version: str = "2026-04-01", description: str = "") -> dict:
+    """The content of ``schema.json``; a root that has its own name and description passes them."""
     return {
-        "name": "paper-filter",
+        "name": name,
         "version": version,
-        "description": "单版本 paper-filter benchmark 协议。",
+        "description": description,
         "files": dict(FILES),
         "record_fields": {f.name: wire_type(f) for f in RECORDS},
         "annotation_fields": {f.name: wire_type(f) for f in ANNOTATIONS},

@@ -77,6 +77,8 @@ def test_rebuild_annotate_merge_split_evaluate(root, source):
     assert first["assigned"] == first["eligible"] and w.assign_splits(root_)["assigned"] == 0
     report = w.evaluate(root_, factory)
     assert report["counts"]["total"] == w.load(root_)["merged"].count() and report["errors"] == 0
+    w.write_evaluation(root_, report, f"{root_.root}/report")
+    assert files.read_json(root_.spark, f"{root_.root}/report/report.json")["counts"] == report["counts"]
     patches = w.backfill(root_, factory, "abstract", "abstract_zh")
     assert patches.count() == len(ids) and {r.abstract_zh for r in w.load(root_)["records"].collect()} == {"译文"}
     got = w.validate(root_)
