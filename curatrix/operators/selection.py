@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import checkpointed
+
 
 def score_order(score: str = "score", tier: str = "tier", key: str = "paper_id") -> list[Column]:
     return [F.col(score).desc(), F.col(tier) != "positive", F.col(key)]
@@ -55,12 +57,13 @@ def sample(df: DataFrame, seed: int, n: int, key: str) -> DataFrame:
     return df.orderBy(hash_order(seed, F.col(key)), key).limit(n)
 
 
-def numbered(df: DataFrame, order: Sequence[str | Column], name: str, bucket: int = 4096) -> DataFrame:
+def numbered(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
     """Row numbers from 1 over the whole table without one task that sorts it all.
 
     Rows are range partitioned and numbered within partitions; partition counts are summed.
     """
     parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
+    parts = checkpointed(parts)  # both uses below must see the same partitions
     counts = parts.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_i").alias("_first"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))

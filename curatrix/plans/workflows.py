@@ -28,10 +28,9 @@ def load(root: SnapshotRoot) -> dict[str, DataFrame]:
 
 def stats(t: dict[str, DataFrame]) -> dict:
     """The stats document; annotation layers are always in it."""
-    rec = t[REC].select(F.lit(None).cast("string").alias("f"), "*")
     by = {"by_primary_research_object": F.col("primary_research_object"), "by_negative_tier": F.col("candidate_negative_tier")}
     out: dict = {"total_records": 0, **{k: {} for k in by}}
-    for r in reports.distribution(rec, by).collect():
+    for r in reports.distribution(t[REC], by).collect():
         if r.section == "total":
             out["total_records"] = r.n
         else:
@@ -166,7 +165,7 @@ def rebalance(root: SnapshotRoot, source: str, venues, factory: Callable, labele
     ids = dedupe.blocked_ids(*t.values())
     papers = scoring.classify(ingest.accepted_papers(files.scan_conference(root.spark, source, venues)))
     cands = scoring.candidates(papers, F.lit("")).filter("candidate_negative_tier = 'negative'").drop("score")
-    cands = cands.withColumn("fingerprint", dedupe.fingerprint(F.col("title"), F.col("abstract")))
+    cands = checkpointed(cands.withColumn("fingerprint", dedupe.fingerprint(F.col("title"), F.col("abstract"))))
     cands = cands.join(ids, "paper_id", "left_anti").join(prints.select("fingerprint"), "fingerprint", "left_anti")
     cands = selection.numbered(cands, ["venue", "paper_id", "source_path"], "ordinal")
     pool = checkpointed(dedupe.greedy(checkpointed(cands), "ordinal").filter("reason IS NULL"))
@@ -203,7 +202,7 @@ def augment(root: SnapshotRoot, source: str, factory: Callable, batch_tag: str,
     if not gap:
         return {"added": 0, "stop_reason": "target_already_satisfied"}
     prints = t[REC].select(dedupe.fingerprint(F.col("title"), F.col("abstract")).alias("fingerprint"))
-    cands = scheduling_candidates(root.spark, source, venues, minimum).withColumn("fingerprint", dedupe.fingerprint(F.col("title"), F.col("abstract")))
+    cands = checkpointed(scheduling_candidates(root.spark, source, venues, minimum).withColumn("fingerprint", dedupe.fingerprint(F.col("title"), F.col("abstract"))))
     cands = cands.join(dedupe.blocked_ids(*t.values()), "paper_id", "left_anti").join(prints, "fingerprint", "left_anti")
     cands = checkpointed(selection.numbered(cands, ["venue_rank", F.col("score").desc(), "paper_id"], "ordinal"))
     queue = checkpointed(selection.numbered(dedupe.greedy(cands, "ordinal").filter("reason IS NULL"), ["ordinal"], "position"))
