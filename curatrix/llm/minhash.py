@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import tidy, tidy_stream, written
 from .graph import components
 from .hashing import ODD, U, mix, raw, shingles, slices
 
@@ -155,7 +155,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     doc_ids are one document for linking. Other columns are not read.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    sketched = written(rows.mapInArrow(_sketch_batches, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"), "sketches")
+    sketched = written(rows.mapInArrow(tidy_stream(_sketch_batches), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"), "sketches")
     full = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
     reps = sets.join(full.select(F.col("doc_id").alias("rep"), "set_a", "set_b", "bands"), ["rep", "set_a", "set_b"]).select("rep", "n_shingles", "bands")
@@ -173,7 +173,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         reps_ = table.column("rep").to_numpy()
         return pa.table({"rep": reps_, "label": reps_[label], "component": table.column("component"), "n_blocks": table.column("n_blocks"), "block": table.column("block")})
 
-    found = written(texts.groupBy("component", "block").applyInArrow(search, "rep long, label long, component long, n_blocks int, block int"), "links")
+    found = written(texts.groupBy("component", "block").applyInArrow(tidy(search), "rep long, label long, component long, n_blocks int, block int"), "links")
     labels = found.select("rep", "label")
     split = found.filter("n_blocks > 1")
     if split.head(1):
@@ -225,4 +225,4 @@ def _meet(probes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
             edges.update((int(label[u]), int(x)) for x in np.unique(label[block.links(int(u), among, percent)]))
         return pa.table({"u": pa.array([e[0] for e in edges], pa.int64()), "v": pa.array([e[1] for e in edges], pa.int64())})
 
-    return p.union(m).groupBy("component", "block", "part").applyInArrow(meet, "u long, v long")
+    return p.union(m).groupBy("component", "block", "part").applyInArrow(tidy(meet), "u long, v long")

@@ -30,12 +30,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import tidy, tidy_pair, tidy_stream, written
 from .hashing import BASE, BYTES, U, mix, raw, slices
 
 LENGTH = 50
 #: Bytes of text for which a block of anchors, and one of documents, is made.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: Bytes hashed at once, and runs that a batch sends at once.
 STEP, FLUSH = 2_000_000, 600_000
 SHALLOW = 16
@@ -112,7 +112,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray
     whole = np.flatnonzero(sizes >= length)
     np.add.at(step, offsets[whole], 1)
     np.add.at(step, np.minimum(offsets[whole + 1] - length + 1, n), -1)
-    valid = np.cumsum(step[:n]) > 0
+    valid = np.cumsum(step[:n], dtype=np.int32) > 0
     turn = np.ones(n, bool)
     turn[1:] = (least[1:] != least[:-1]) | (valid[1:] != valid[:-1])
     turn[offsets[whole]] = True
@@ -440,7 +440,7 @@ def _apply(length: int, keep_text: bool):
         at = offsets[row] + entries[2][entry].astype(np.int64)
         np.add.at(step, at, 1)
         np.add.at(step, at + entries[3][entry].astype(np.int64) + length - 1, -1)
-        mask = np.cumsum(step[:-1]) > 0
+        mask = np.cumsum(step[:-1], dtype=np.int32) > 0
         out, view = [], data.tobytes()
         touched = np.zeros(docs.num_rows, bool)
         touched[row] = True
@@ -500,14 +500,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = _prime(-(-total // bucket_bytes))
     dealt = named.select(F.pmod("doc_id", F.lit(n)).cast("long").alias("bucket"), "doc_id", "text")
-    found = named.mapInArrow(_find_runs(length, n, n), ROWS).groupBy("bucket").applyInArrow(_settle_runs(n), ROWS)
+    found = named.mapInArrow(tidy_stream(_find_runs(length, n, n)), ROWS).groupBy("bucket").applyInArrow(tidy(_settle_runs(n)), ROWS)
     found = written(found, "runs")
     wanted = found.filter(F.col("kind") == WANTED)
-    pieces = dealt.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(_fetch(length, n), ROWS)
-    parted = pieces.groupBy("bucket").applyInArrow(_sort(length, n), ROWS)
+    pieces = dealt.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(tidy_pair(_fetch(length, n)), ROWS)
+    parted = pieces.groupBy("bucket").applyInArrow(tidy(_sort(length, n)), ROWS)
     removed = found.filter(F.col("kind") == REMOVED).union(parted)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>" + (", kept_text string" if keep_text else "")
-    out = dealt.groupBy("bucket").cogroup(removed.groupBy("bucket")).applyInArrow(_apply(length, keep_text), schema)
+    out = dealt.groupBy("bucket").cogroup(removed.groupBy("bucket")).applyInArrow(tidy_pair(_apply(length, keep_text)), schema)
     nameless = rows.filter("doc_id IS NULL").select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
         F.sha2("text", 256).alias("kept_sha256"), F.array().cast("array<struct<start:long,end:long>>").alias("spans"), *([F.col("text").alias("kept_text")] if keep_text else []),
