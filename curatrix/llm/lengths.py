@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import tidy_stream
 from .tokens import blocks, tokenizer_of
 
 #: Lengths a block of the two-level sums.
@@ -29,11 +31,11 @@ def length_histogram(docs: DataFrame, text: str = "text", tokenizer: str | None
     def count(batches):
         tok, found = tokenizer_of(tokenizer), Counter()
         for batch in batches:
-            for _, run in blocks(batch.column(0).to_pylist()):
-                found.update(len(ids) // 4 for ids in tok.encode(run))
+            for _, run in blocks(batch.column(0)):
+                found.update(np.diff(tok.encode_column(run)[1]).tolist())
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["length", "n"])
 
-    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(count, "length long, n long").groupBy("length").agg(F.sum("n").alias("n_docs"))
+    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(tidy_stream(count), "length long, n long").groupBy("length").agg(F.sum("n").alias("n_docs"))
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:

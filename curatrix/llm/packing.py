@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import tidy_stream, written
 from .tokens import blocks, crc32, tokenizer_of
 
 CAPACITY, END = 4096, 1
@@ -48,13 +48,14 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
         tok = tokenizer_of(tokenizer)
         for batch in batches:
             names = batch.column(0)
-            for first, run in blocks(batch.column(1).to_pylist()):
+            for first, run in blocks(batch.column(1)):
                 out: list[tuple] = []
-                for i, ids in enumerate(tok.encode(run)):
-                    ids += last
-                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at : at + 4 * capacity]
-                        out.append((first + i, k, at // 4, len(part) // 4, crc32(part), part if with_ids else None))
+                ids, at = tok.encode_column(run)
+                for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
+                    whole = ids[a:b].tobytes() + last
+                    for k, s in enumerate(range(0, len(whole), 4 * capacity)):
+                        part = whole[s : s + 4 * capacity]
+                        out.append((first + i, k, s // 4, len(part) // 4, crc32(part), part if with_ids else None))
                 columns = list(zip(*out, strict=True))
                 arrays = [names.take(pa.array(columns[0])), *(pa.array(c, t) for c, t in zip(columns[1:5], (pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True))]
                 fields = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -62,7 +63,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
                     arrays, fields = [*arrays, pa.array(columns[5], pa.binary())], [*fields, "ids"]
                 yield pa.RecordBatch.from_arrays(arrays, names=fields)
 
-    return rows.mapInArrow(cut, PIECE.format(kind=dict(rows.dtypes)["doc_id"]) + (", ids binary" if with_ids else ""))
+    return rows.mapInArrow(tidy_stream(cut), PIECE.format(kind=dict(rows.dtypes)["doc_id"]) + (", ids binary" if with_ids else ""))
 
 
 class Packing:
@@ -145,7 +146,7 @@ def evolve(lengths: list[int], capacity: int, seed: int, immigrants: list[list[i
             groups[g].append(x)
         population.append(Packing(lengths, capacity, [g for g in groups if g]))
     while len(population) < POPULATION:
-        noise = 0.0 if not population and seed % ISLANDS == 0 else 0.1
+        noise = 0.0 if not population else 0.1  # plain best fit first: if it has the least number of sequences, nothing is left to gain
         order = sorted(items, key=lambda x: lengths[x] * (1 + noise * r.random()), reverse=True)
         population.append(Packing(lengths, capacity).best_fit(order))
         if len(population[-1].groups) == least:

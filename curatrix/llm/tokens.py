@@ -5,7 +5,7 @@ letters from punctuation, so a text's ids are those of its blank-separated chunk
 row, and a chunk of letters and then punctuation has the ids of both in a row. Each
 worker keeps the ids of chunks and of lower-cased words it has met; the tokenizer itself
 does all others, many words a call: each word's last token is marked as its end. The
-stores are emptied when full, which bounds their memory and changes no result.
+older half of a full store goes, which bounds its memory and changes no result.
 """
 
 from __future__ import annotations
@@ -13,11 +13,16 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import filterfalse, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Chunks kept by a worker, and words, besides those of the texts at hand.
-STORE = 250_000
+from .hashing import raw, slices
+
+#: Chunks and words kept by a worker, besides those of the texts at hand.
+STORE, WORDS = 150_000, 350_000
 #: Longer chunks are not kept.
 LONGEST = 64
 #: Words a call of the tokenizer.
@@ -59,40 +64,63 @@ class ChunkTokenizer:
             self.words.update(zip(part, map(whole.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
 
     def _learn(self, chunks: set[str]) -> None:
-        plain, odd, parts = {}, [], set()
+        words, known, match = self.words, self.known, _PLAIN.fullmatch
+        if len(words) > WORDS:
+            words = self.words = _newer(words)
+        plain, odd, new = [], [], set()
         for c in chunks:
-            m = _PLAIN.fullmatch(c)
-            if m:
-                plain[c] = word, marks = m[1].lower(), m[2]
-                parts.add(word)
-                parts.add(marks)
-            else:
+            m = match(c)
+            if m is None:
                 odd.append(c)
-        if len(self.words) + len(parts) > STORE:
-            self.words = {}
-        parts.discard("")
-        self._learn_words(list(parts.difference(self.words)))
-        words, known = self.words, self.known
-        for c, (word, marks) in plain.items():
+                continue
+            word, marks = m.groups()
+            word = word.lower()
+            if word not in words:
+                new.add(word)
+            if marks and marks not in words:
+                new.add(marks)
+            plain.append((c, word, marks))
+        self._learn_words(list(new))
+        for c, word, marks in plain:
             known[c] = words[word] + words[marks] if marks else words[word]
         for at in range(0, len(odd), 4096):
             part = odd[at : at + 4096]
             for c, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 known[c] = np.asarray(found.ids, dtype="<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit numbers."""
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        met: set[str] = set().union(*split)
-        if len(self.known) + len(met) > STORE:
-            self.known = {}
-        new = met.difference(self.known)
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and where each text's begin; null is empty.
+
+        Only the distinct chunks of the texts at hand are looked up one by one.
+        """
+        if len(self.known) > STORE:
+            self.known = _newer(self.known)
+        lists = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        distinct, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        known = self.known
+        new = set(filterfalse(known.__contains__, distinct))
         self._learn(new)
-        out = [b"".join(map(self.known.__getitem__, s)) for s in split]
+        parts = list(map(known.__getitem__, distinct))
         for chunk in new:
             if len(chunk) > LONGEST:
-                del self.known[chunk]
-        return out
+                del known[chunk]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        flat, starts = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes
+        n = sizes[index]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.arange(ends[-1]) + np.repeat(starts[index] - ends[:-1], n)]
+        return ids, ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit numbers."""
+        ids, at = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def _newer(store: dict[str, bytes]) -> dict[str, bytes]:
+    """The half of a store that was met last."""
+    return dict(islice(store.items(), len(store) // 2, None))
 
 
 _tokenizers: dict[str | None, ChunkTokenizer] = {}
@@ -105,18 +133,12 @@ def tokenizer_of(path: str | None) -> ChunkTokenizer:
     return _tokenizers[path]
 
 
-def blocks(texts: list[str | None], limit: int = 2_000_000):
-    """Runs of texts of about so many characters: (first, run)."""
-    run, n, first = [], 0, 0
-    for i, t in enumerate(texts):
-        run.append(t or "")
-        n += len(t or "")
-        if n >= limit:
-            yield first, run
-            run, n, first = [], 0, i + 1
-    if run:
-        yield first, run
+def blocks(column: pa.Array, limit: int = 2_000_000):
+    """Runs of a string column of about so many bytes: (first, run)."""
+    _, offsets = raw(column)
+    for a, b in slices(offsets, limit):
+        yield a, column.slice(a, b - a)
 
 
-def crc32(ids: bytes) -> int:
+def crc32(ids) -> int:
     return zlib.crc32(ids) & 0xFFFFFFFF
