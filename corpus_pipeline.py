@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from curatrix.llm import decontamination, minhash, packing, quality, suffix_dedup
 from curatrix.llm.common import reachable, scratch_path
 
+#: Similarity in percent from which texts are near copies; op1's 85 is its own.
+NEAR = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a rule go."""
@@ -25,9 +28,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the smallest id."""
+    """One document of each group of near copies (similarity of 0.8 or more) stays, that of the smallest id."""
     reachable(spark)
-    judged = minhash.near_duplicates(docs)
+    judged = minhash.near_duplicates(docs, percent=NEAR)
     gone = judged.filter(~F.col("kept")).select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     repeated = judged.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")

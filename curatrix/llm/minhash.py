@@ -6,8 +6,10 @@ smallest (round, hash); a set is done once all its bins are filled, which round
 guarantees. Two sets agree in a bin with the probability of their similarity, with
 concentration as of independent hashes, while a set of many elements needs one round.
 
-Banding. Sets that agree in all bins of a band are candidates. With 25 bands of 5 bins,
-two sets of similarity 0.85 share no band with odds of 4e-7, and fewer above.
+Banding. Sets that agree in all bins of a band are candidates. The threshold gives the
+widest bands, of 5 bins at most, by which two sets of just that similarity share none with
+odds below 1e-6: 25 of 5 at 0.85 (4e-7), 32 of 4 at 0.80 (5e-8). Below 0.11 bands of one
+bin miss more.
 
 Verification. Copies (equal sets) are first reduced to their smallest id. Components of
 the candidates are then worked on in blocks: a block holds full sets, and a breadth-first
@@ -30,6 +32,8 @@ from .graph import components
 from .hashing import ODD, U, mix, raw, shingles, slices
 
 BINS, BANDS, ROWS = 128, 25, 5
+#: Odds below which a pair at the threshold may share no band.
+MISSED = 1e-6
 #: Shingles in a block; of longer documents a block has one.
 BLOCK = 1_500_000
 #: Characters of probes that meet a block at once.
@@ -60,31 +64,44 @@ def sketches(values: np.ndarray, offsets: np.ndarray, bins: int = BINS) -> np.nd
     return out
 
 
-def bands(sketch: np.ndarray) -> np.ndarray:
-    out = np.empty((len(sketch), BANDS), np.uint64)
-    for b in range(BANDS):
-        part = sketch[:, b * ROWS : (b + 1) * ROWS]
-        out[:, b] = mix((part * ODD[:ROWS]).sum(axis=1, dtype=np.uint64) + U(b * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+def banding(percent: int) -> tuple[int, int]:
+    """Number and width of the bands for pairs of a similarity of ``percent`` or more."""
+    for rows in range(ROWS, 1, -1):
+        if (1 - (percent / 100) ** rows) ** (BINS // rows) < MISSED:
+            return BINS // rows, rows
+    return BINS, 1
+
+
+def bands(sketch: np.ndarray, n: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    out = np.empty((len(sketch), n), np.uint64)
+    for b in range(n):
+        part = sketch[:, b * rows : (b + 1) * rows]
+        out[:, b] = mix((part * ODD[:rows]).sum(axis=1, dtype=np.uint64) + U(b * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
     return out
 
 
-def _sketch_batches(batches):
-    for batch in batches:
-        _, offsets = raw(batch.column(1))
-        for a, b in slices(offsets, STEP):
-            values, at = shingles(batch.column(1).slice(a, b - a))
-            n = np.diff(at)
-            keys = np.concatenate([[0], np.cumsum(mix(values * ODD[50]), dtype=np.uint64)])
-            other = np.concatenate([[0], np.cumsum(mix(values ^ ODD[51]), dtype=np.uint64)])
-            found = bands(sketches(values, at)).view(np.int64)
-            full = np.flatnonzero(n)
-            sizes = np.zeros(b - a + 1, np.int32)
-            sizes[1:] = np.where(n > 0, BANDS, 0)
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(found[full].reshape(-1)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(n), pa.array((keys[at[1:]] - keys[at[:-1]]).view(np.int64)), pa.array((other[at[1:]] - other[at[:-1]]).view(np.int64)), lists],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
-            )
+def _sketch_batches(percent: int):
+    n_bands, rows = banding(percent)
+
+    def each(batches):
+        for batch in batches:
+            _, offsets = raw(batch.column(1))
+            for a, b in slices(offsets, STEP):
+                values, at = shingles(batch.column(1).slice(a, b - a))
+                n = np.diff(at)
+                keys = np.concatenate([[0], np.cumsum(mix(values * ODD[50]), dtype=np.uint64)])
+                other = np.concatenate([[0], np.cumsum(mix(values ^ ODD[51]), dtype=np.uint64)])
+                found = bands(sketches(values, at), n_bands, rows).view(np.int64)
+                full = np.flatnonzero(n)
+                sizes = np.zeros(b - a + 1, np.int32)
+                sizes[1:] = np.where(n > 0, n_bands, 0)
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(found[full].reshape(-1)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(n), pa.array((keys[at[1:]] - keys[at[:-1]]).view(np.int64)), pa.array((other[at[1:]] - other[at[:-1]]).view(np.int64)), lists],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                )
+
+    return each
 
 
 def linked(inter: np.ndarray, a: int, b: np.ndarray, percent: int) -> np.ndarray:
@@ -155,7 +172,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     doc_ids are one document for linking. Other columns are not read.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    sketched = written(rows.mapInArrow(tidy_stream(_sketch_batches), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"), "sketches")
+    sketched = written(rows.mapInArrow(tidy_stream(_sketch_batches(percent)), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"), "sketches")
     full = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
     reps = sets.join(full.select(F.col("doc_id").alias("rep"), "set_a", "set_b", "bands"), ["rep", "set_a", "set_b"]).select("rep", "n_shingles", "bands")

@@ -103,3 +103,14 @@ def test_candidates_are_found_at_the_threshold():
             s = minhash.bands(minhash.sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])))
             missed += not (s[0] == s[1]).any()
     assert missed == 0
+
+
+@pytest.mark.parametrize("percent, want", [(85, (25, 5)), (80, (32, 4)), (50, (64, 2)), (30, (128, 1))])
+def test_bands_follow_the_threshold(percent, want):
+    assert minhash.banding(percent) == want
+
+
+def test_against_all_pairs_at_80_percent(spark):
+    rows = corpus(80)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), percent=80)
+    assert collected(got) == brute(rows, 80) != brute(rows)

@@ -47,3 +47,14 @@ def test_repeated_rows(spark, tmp_path):
     df = spark.createDataFrame([(1, text, "x"), (1, text, "x"), (None, text, "y")], "doc_id long, text string, extra string")
     got = cp.near_dedup(spark, df, "")
     assert sorted((x.doc_id, x.extra) for x in got.collect() if x.doc_id) == [(1, "x")] and got.count() == 2
+
+
+def test_pairs_from_80_percent_are_near_copies(spark):
+    r = random.Random(6)
+    base = [f"w{r.randrange(10**6)}" for _ in range(204)]  # 200 shingles
+    rows = []
+    for i, changes in enumerate((4, 5)):  # apart by 5 shingles a change: 180 of 220 are shared (0.818), 175 of 225 (0.778)
+        other = [f"{i}{w}" for w in base]
+        rows += [(10 * i, " ".join(other)), (10 * i + 1, " ".join("changed" + w if k % 40 == 20 and k // 40 < changes else w for k, w in enumerate(other)))]
+    got = cp.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {x.doc_id for x in got.collect()} == {0, 10, 11}
