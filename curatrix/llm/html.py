@@ -2,11 +2,13 @@
 
 Each text node belongs to a root-to-leaf tag path. Over the nodes of a path, text length
 and punctuation are summed; a path's ratio is its length a node, and its punctuation a
-node. Both are smoothed over the path's container (paths of one article share its
-container's ratio, so a short heading or paragraph is not judged alone), fused as their
-geometric mean, weighed by what the path's tags, classes and ids say of their role, and
-held against a share of the page's best path. Text of paths above the threshold is kept
-block by block, in page order.
+node. Both are smoothed over the path's container (paths of one article have its
+container's ratio at least, so a short heading or paragraph is not judged alone), fused as
+their geometric mean, weighed by what the path's tags, classes and ids say of their role,
+and held against a share of the page's best path. Where a page has an article element, one
+more weight is the share of the page's text on the path's side of it, inside or outside,
+so that an element which holds a teaser only does not outweigh the story beside it. Text
+of paths above the threshold is kept block by block, in page order.
 
 A page is one row and is worked on alone; nothing is shuffled.
 """
@@ -42,6 +44,8 @@ WORDS = frozenset(
 HOLDERS = ("article", "main")
 #: Share of the best path's score that a path needs.
 THRESHOLD = 0.12
+#: What text outside holders weighs on pages that have them.
+OUTSIDE = 0.25
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -131,26 +135,28 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
         return ""
     by_path: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
     by_container: dict[tuple, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
-    held = any(c[1] and not p.endswith("!") for p, c, _ in blocks)
+    sides = [0.0, 0.0]  # characters outside and inside holders
     keys = []
     for path, container, text in blocks:
         around = ("", container[1]) if container[1] else container  # all paths of one article smooth each other
         keys.append((path, around))
+        if not path.endswith("!"):
+            sides[bool(container[1])] += len(text)
         n = len(_PUNCTUATION.findall(text)) + 1
         for ratio in (by_path[path], by_container[around]):
             ratio[0] += len(text)
             ratio[1] += n
             ratio[2] += 1
 
+    share = sides[1] / (sum(sides) or 1)
+    weights = (OUTSIDE * (1 - share) ** 2, share**2) if share else (1.0, 1.0)
+
     def score(path: str, around: tuple) -> float:
         if path.endswith("!"):
             return 0.0
         smooth = [max(by_path[path][k] / by_path[path][2], by_container[around][k] / by_container[around][2]) for k in (0, 1)]
         fused = (smooth[0] * smooth[1]) ** 0.5
-        if held:  # the page names its article: what lies outside weighs nothing, what lies inside is scored by its container
-            inside = by_container[around]
-            return (inside[0] * inside[1]) ** 0.5 / inside[2] if around[1] else 0.0
-        return fused
+        return fused * weights[bool(around[1])]
 
     scores = {k: score(*k) for k in set(keys)}
     best = max(scores.values())

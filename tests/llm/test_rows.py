@@ -94,6 +94,16 @@ def test_main_text(page, want):
     assert html.main_text(page) == want
 
 
+def test_main_text_judges_paths_inside_and_outside_an_article():
+    story = "It was a long story, told in many words; it went on and on, as stories do. Then it went on some more, and more, until at last it came to its end. " * 3
+    teaser = "<section><article><h3>Other</h3><p>teaser</p></article></section>"
+    assert html.main_text(f"<div><p>{story}</p></div>{teaser}") == story.strip()
+    assert html.main_text(f"<article><p>{story}</p></article><div><p>Short link</p></div>") == story.strip()
+    links = "".join(f"<li>tag{i % 9}" for i in range(300))
+    assert html.main_text(f"<article><h1>Title</h1><p>{story}</p><p>{story}</p></article>") == "\n".join(["Title", story.strip(), story.strip()])
+    assert html.main_text(f"<article><p>{story}</p><ul>{links}</ul></article>") == story.strip()
+
+
 def test_extract(spark):
     df = spark.createDataFrame([(1, "u", "<article><p>é</p></article>"), (None, None, None)], "page_id long, url string, html string").withColumn("text", F.lit(1))
     assert sorted(map(tuple, html.extract(df).collect()), key=str) == [(1, "u", "é", 1), (None, None, "", 0)]
