@@ -6,7 +6,7 @@ follows. The last returns packed pieces: doc_id, piece, start, length, ids_crc32
 sequence_id, offset.
 
 Rows with a null doc_id pass stages that need an id unchanged. Repeated rows stay repeated
-but for near-dedup, which keeps one row of each repeated doc_id. Extra columns of
+but for near-dedup, which keeps one row of each doc_id and text. Extra columns of
 ``documents`` are carried along up to packing.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatrix.llm import decontamination, minhash, packing, quality, suffix_dedup
-from curatrix.llm.common import reachable, scratch_path
+from curatrix.llm.common import reachable, scratch_path, written
 
 #: Similarity in percent from which texts are near copies; op1's 85 is its own.
 NEAR = 80
@@ -27,31 +27,62 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept_documents(docs)
 
 
+def _ids_repeat(docs: DataFrame) -> bool:
+    return bool(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").head(1))
+
+
+def _with_text_ids(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that have an id, with ``_text_id``: one for each doc_id and text, in the order of doc_id, then the text's digest."""
+    keyed = docs.filter("doc_id IS NOT NULL").withColumn("_digest", F.coalesce(F.sha2("text", 256), F.lit("")))
+    ids = keyed.select("doc_id", "_digest").distinct().repartitionByRange("doc_id", "_digest").sortWithinPartitions("doc_id", "_digest")
+    ids = written(ids.withColumn("_text_id", F.monotonically_increasing_id()), "text_ids")
+    return written(keyed.join(ids, ["doc_id", "_digest"]).drop("_digest"), "texts")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (similarity of 0.8 or more) stays, that of the smallest id."""
+    """One document of each group of near copies (similarity of 0.8 or more) stays, that of the smallest id.
+
+    Different texts that share an id are judged as documents of their own; of rows that share
+    id and text the least by the other columns stays.
+    """
     reachable(spark)
-    judged = minhash.near_duplicates(docs, percent=NEAR)
-    gone = judged.filter(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = judged.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    if not repeated.head(1):
-        return kept
-    return kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(kept.filter("doc_id IS NULL"))
-
-
-def _with_texts(docs: DataFrame, changed: DataFrame) -> DataFrame:
-    """``docs`` with the texts of ``changed`` (doc_id, new_text) where it has any; its n_chars follows."""
-    new = docs.join(changed, "doc_id", "left")
+    if not _ids_repeat(docs):
+        return _first_of_near_copies(docs, "doc_id")
+    row = F.struct(*docs.columns)
+    one = _with_text_ids(docs).groupBy("_text_id").agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_text_id", "_row.*")
+    kept = _first_of_near_copies(written(one, "texts"), "_text_id").select(*docs.columns)
+    return kept.union(docs.filter("doc_id IS NULL"))
+
+
+def _first_of_near_copies(docs: DataFrame, key: str) -> DataFrame:
+    judged = minhash.near_duplicates(docs, doc_id=key, percent=NEAR)
+    gone = judged.filter(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(gone, key, "left_anti").select(*docs.columns)
+
+
+def _with_texts(docs: DataFrame, changed: DataFrame, key: str) -> DataFrame:
+    """``docs`` with the texts of ``changed`` (key, new_text) where it has any; its n_chars follows."""
+    new = docs.join(changed, key, "left")
     text = F.coalesce("new_text", "text")
     put = {"text": text, "n_chars": F.when(F.col("new_text").isNotNull(), F.length("new_text").cast("long")).otherwise(F.col("n_chars"))}
     return new.select(*[put.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings of 50 that start in an earlier document are cut; documents of which nothing is left go."""
+    """Byte strings of 50 that start in an earlier document are cut; documents of which nothing is left go.
+
+    Different texts that share an id are documents of their own.
+    """
     reachable(spark)
-    cut = suffix_dedup.remove_repeats(docs, keep_text=True).filter("n_removed > 0").select("doc_id", F.col("kept_text").alias("new_text"))
-    return _with_texts(docs, cut).filter(F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    repeat = _ids_repeat(docs)
+    rows, key = (_with_text_ids(docs), "_text_id") if repeat else (docs, "doc_id")
+    cut = suffix_dedup.remove_repeats(rows, doc_id=key, keep_text=True).filter("n_removed > 0").select(F.col("doc_id").alias(key), F.col("kept_text").alias("new_text"))
+    if repeat:  # rows that share id and text lose the same
+        cut = cut.dropDuplicates([key])
+    out = _with_texts(rows, cut, key).select(*docs.columns)
+    if repeat:
+        out = out.union(docs.filter("doc_id IS NULL"))
+    return out.filter(F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,3 +58,26 @@ def test_pairs_from_80_percent_are_near_copies(spark):
         rows += [(10 * i, " ".join(other)), (10 * i + 1, " ".join("changed" + w if k % 40 == 20 and k // 40 < changes else w for k, w in enumerate(other)))]
     got = cp.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert {x.doc_id for x in got.collect()} == {0, 10, 11}
+
+
+def test_different_texts_of_one_id_stay(spark):
+    r = random.Random(3)
+    a, b, c = (words(r, 60) for _ in "abc")
+    near = a.split(" ")
+    near[5] = "changed"
+    rows = [(1, a, "x"), (4, a, "x"), (4, b, "z"), (4, b, "y"), (4, " ".join(near), "x"), (9, b, "x"), (9, c, "x"), (9, None, "x"), (9, None, "x"), (None, a, "x")]
+    for n in (1, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string, extra string").repartition(n)
+        got = sorted(map(tuple, cp.near_dedup(spark, df, "").collect()), key=str)
+        assert got == sorted([(1, a, "x"), (4, b, "y"), (9, c, "x"), (9, None, "x"), (None, a, "x")], key=str)
+
+
+def test_repeats_are_cut_row_by_row_where_ids_repeat(spark):
+    r = random.Random(8)
+    passage, a, b, c = (words(r, 40) for _ in "abcd")
+    rows = [(1, passage), (4, a + " " + passage), (4, b), (4, c + passage), (4, c + passage), (None, passage)]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    got = [tuple(x) for x in cp.suffix_array_dedup(spark, df, "").collect()]
+    assert len(got) == len(rows) and all(n == len(t) for _, t, n in got)
+    texts = sorted(t.strip() for i, t, _ in got if i == 4)
+    assert texts == sorted([a, b, c, c]) and {t for i, t, _ in got if i != 4} == {passage}
