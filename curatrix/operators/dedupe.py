@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,22 +41,26 @@ def label_blocked(cands: DataFrame, existing: DataFrame, key: str = "paper_id",
     return out.withColumn("reason", reason).drop("_by_id", "_by_fp")
 
 
-def greedy(rows: DataFrame, ordinal: str, key: str = "paper_id", fp: str = "fingerprint", max_rounds: int = 100) -> DataFrame:
+def greedy(rows: DataFrame, ordinal: str, key: str = "paper_id", fp: str = "fingerprint") -> DataFrame:
     """``rows`` with ``reason``: null for what a walk in order would keep, else duplicate_id or duplicate_fingerprint.
 
     Only kept rows bar later ones, so this is a fixpoint: of the undecided rows those are
     kept that come first in both their groups, and what shares a key with them is dropped.
-    Ordinals must be unique. One round is enough if no id is repeated.
+    Ordinals must be unique. One round is enough if no id is repeated; each round settles
+    the first undecided row at least. Every few rounds what was kept is written as one table.
     """
     undecided, kept = checkpointed(rows.select(ordinal, key, fp)), None
-    for _ in range(max_rounds):
+    for done in itertools.count(1):
         first = undecided.transform(_with_least, key, ordinal, "_id_first").transform(_with_least, fp, ordinal, "_fp_first")
         now = checkpointed(first.filter(f"{ordinal} = _id_first AND {ordinal} = _fp_first").select(ordinal, key, fp))
         kept = now if kept is None else kept.unionByName(now)
+        kept = kept if done % 20 else checkpointed(kept)
         undecided = undecided.join(now.select(ordinal), ordinal, "left_anti").join(now.select(key), key, "left_anti").join(now.select(fp), fp, "left_anti")
         undecided = checkpointed(undecided.select(ordinal, key, fp))
         if not undecided.head(1):
             break
+        if not now.head(1):
+            raise ValueError(f"{ordinal} must not be null")
     # a kept row of any round bars later ones; ids are looked at first
     by_id = kept.filter(F.col(key).isNotNull()).select(key, F.col(ordinal).alias("_id_at"))
     by_fp = kept.filter(F.col(fp).isNotNull()).select(fp, F.col(ordinal).alias("_fp_at"))

@@ -214,3 +214,15 @@ def test_schema_payload_and_venue_argument():
     assert cli.venue("ICLR:2026") == ("iclr", 2026)
     with pytest.raises(Exception):
         cli.venue("iclr")
+
+
+def test_greedy_settles_a_long_chain(spark):
+    rows = [(i, f"id{(i + 1) // 2}", f"f{i // 2}") for i in range(210)]  # two rows are settled a round
+    df = spark.createDataFrame(rows, "ordinal long, paper_id string, fingerprint string").coalesce(1)
+    got = {r.ordinal: r.reason for r in dedupe.greedy(df, "ordinal").collect()}
+    assert got == {i: "duplicate_fingerprint" if i % 2 else None for i in range(210)}
+
+
+def test_greedy_says_what_it_cannot_order(spark):
+    with pytest.raises(ValueError):
+        dedupe.greedy(spark.createDataFrame([(None, "a", "x")], "ordinal long, paper_id string, fingerprint string"), "ordinal")
