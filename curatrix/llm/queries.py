@@ -18,9 +18,13 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents, appended as 16 arrivals of small shards, compacted, and read back through the manifest."""
+    """All documents, appended as 16 arrivals of small shards one after another, compacted, and read back through the manifest."""
     store = sharding.ShardStore(spark, scratch_path(spark, "shards"), target_bytes=32 << 20)
-    store.append_each(sharding.arrivals(table(spark, sf_dir, "documents"), 16, "doc_id", "_arrival"), "_arrival")
+    dealt, path = sharding.arrivals(table(spark, sf_dir, "documents"), 16, "doc_id", "_arrival"), scratch_path(spark, "arrivals")
+    dealt.write.option("compression", "zstd").partitionBy("_arrival").parquet(path)
+    landed = spark.read.schema(dealt.schema).parquet(path)
+    for i in range(16):
+        store.append(landed.filter(F.col("_arrival") == i).drop("_arrival"))
     store.compact()
     store.vacuum()
     return store.read().select(

@@ -119,25 +119,28 @@ class ShardStore:
         return [x for _, x in sorted(tiers.items()) if len(x) >= self.fanout]
 
     def compact(self) -> int:
-        """Merge runs until no tier has enough shards to merge; one commit a round. Returns the last version.
+        """Merge runs, each by itself, until no tier has enough shards to merge; one commit a round. Returns the last version.
 
-        A round that makes no fewer files than it took ends the work.
+        A tier whose run makes more than half as many files as it took is left alone from then on.
         """
         packer = self.spark.newSession()  # its own settings: the caller's stay
         packer.conf.set("spark.sql.files.maxPartitionBytes", str(self.target_bytes))
         packer.conf.set("spark.sql.files.openCostInBytes", "0")
         packer.conf.set("spark.sql.files.minPartitionNum", "1")
-        while runs := self.runs():
-            held = self.manifest()
-            merged = [s for run in runs for s in run]
-            folder = uuid.uuid4().hex
-            rows = packer.read.schema(self._schema(held)).parquet(*[f"{self.root}/data/{s.path}" for s in merged])
-            rows.write.option("compression", "zstd").parquet(f"{self.root}/data/{folder}")
-            new, gone = self._written(folder), {s.path for s in merged}
+        settled: set[int] = set()
+        while runs := [run for run in self.runs() if self.tier(run[0].n_bytes) not in settled]:
+            held, new = self.manifest(), []
+            for run in runs:
+                folder = uuid.uuid4().hex
+                rows = packer.read.schema(self._schema(held)).parquet(*[f"{self.root}/data/{s.path}" for s in run])
+                rows.write.option("compression", "zstd").parquet(f"{self.root}/data/{folder}")
+                made = self._written(folder)
+                new += made
+                if len(made) * 2 > len(run):
+                    settled.add(self.tier(run[0].n_bytes))
+            gone = {s.path for run in runs for s in run}
             stay = [Shard(*s) for s in held["shards"] if s[0] not in gone]
             self._commit(held["version"] + 1, held["schema"], [*stay, *new])
-            if len(new) * 2 > len(merged):
-                break
         return self.manifest()["version"]
 
     def vacuum(self) -> int:

@@ -193,6 +193,35 @@ def test_sharding(spark, tmp_path):
         store._commit(1, json.loads(df.schema.json()), [])
 
 
+def test_tiers_are_rewritten_apart(spark, tmp_path):
+    store = sharding.ShardStore(spark, str(tmp_path / "s"), target_bytes=8 << 20, fanout=4)
+    r = random.Random(2)
+    for i in range(4):
+        for kind, n in (("small", 10), ("big", 200_000)):
+            store.append(spark.createDataFrame([(i, kind, r.randbytes(n).hex())], "doc_id long, kind string, text string").coalesce(1))
+    before = store.versions()[-1]
+    assert store.compact() == before + 1 and len(store.manifest()["shards"]) == 2
+    kinds = [spark.read.parquet(f"{store.root}/data/{s[0]}").groupBy("kind").count().collect() for s in store.manifest()["shards"]]
+    assert sorted(tuple(x[0]) for x in kinds if len(x) == 1) == [("big", 4), ("small", 4)]
+
+
+def test_op2_appends_one_arrival_after_another(spark, monkeypatch, tmp_path):
+    from curatrix.llm import queries
+
+    stores, opened = [], sharding.ShardStore
+
+    def spy(*args, **kwargs):
+        stores.append(opened(*args, **kwargs))
+        return stores[-1]
+
+    monkeypatch.setattr(sharding, "ShardStore", spy)
+    rows = [(i, "en", "s", len(str(i)), str(i)) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, lang string, source string, n_chars long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op2_sharding(spark, str(tmp_path)).collect()
+    assert sorted((x.doc_id, x.text_md5) for x in got) == [(i, hashlib.md5(str(i).encode()).hexdigest()) for i in range(40)]
+    assert len(stores[0].versions()) >= 17
+
+
 def test_packing(spark, monkeypatch):
     monkeypatch.setattr(packing, "SHARD", 40)
     r = random.Random(3)
