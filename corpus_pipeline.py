@@ -108,7 +108,7 @@ STAGES = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: Tokenization and packing are none of SQL's; the tests hold ``run`` against a brute-force version.
+#: Tokenization and packing are none of SQL's; ``test_pipeline_brute.py`` holds ``run`` and each stage against brute-force versions.
 ORACLE_SQL = None
 
 

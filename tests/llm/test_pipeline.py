@@ -1,4 +1,4 @@
-"""The pipeline against a brute-force version of its stages, on planted cases."""
+"""The pipeline on planted cases; ``test_pipeline_brute.py`` holds whole stages against brute-force versions."""
 
 import random
 
