@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from .common import SPACE
 
+#: What parts words.
+BLANKS = " \t\n\x0b\x0c\r"
+
 #: Frequent function words of English, German, French and Spanish (fixed values).
 STOP_WORDS = (
     "a an and are as at be but by for from has have he in is it its not of on or she that the their they this to was were which will with you "
@@ -52,13 +55,18 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _window_hash(words: Column, i: Column, window: int) -> Column:
+    return F.xxhash64(*[F.get(words, i + k) for k in range(window)])
+
+
 def repeated_words(words: Column, window: int = 5) -> Column:
-    """Words that lie in windows of so many words found twice or more in the row's text."""
+    """Words that lie in windows of so many words found twice or more in the row's text.
+
+    A text of nothing but different windows, the usual one, costs one array of hashes;
+    only others have their windows sorted with their places.
+    """
     n = F.size(words)
-    marks = F.transform(
-        F.sequence(F.lit(0), n - window),
-        lambda i: F.struct(F.xxhash64(*[F.get(words, i + k) for k in range(window)]).alias("h"), i.alias("i")),
-    )
+    places = F.sequence(F.lit(0), n - window)
 
     def starts(s: Column) -> Column:
         twice = F.filter(
@@ -71,11 +79,10 @@ def repeated_words(words: Column, window: int = 5) -> Column:
         steps = F.transform(p, lambda x, k: F.least(F.coalesce(F.get(p, k + 1) - x, F.lit(window)), F.lit(window)))
         return F.aggregate(steps, F.lit(0).cast("long"), lambda a, b: a + b)
 
-    def count(s: Column) -> Column:
-        return _let(starts(s), covered)
-
-    found = _let(marks, lambda m: F.when(F.size(F.array_distinct(F.transform(m, lambda x: x["h"]))) == F.size(m), F.lit(0).cast("long")).otherwise(_let(F.sort_array(m), count)))
-    return F.when(n > window, found).otherwise(F.lit(0).cast("long"))
+    marks = F.transform(places, lambda i: F.struct(_window_hash(words, i, window).alias("h"), i.alias("i")))
+    count = _let(F.sort_array(marks), lambda s: _let(starts(s), covered))
+    different = F.size(F.array_distinct(F.transform(places, lambda i: _window_hash(words, i, window)))) == F.size(places)
+    return F.when((n <= window) | different, F.lit(0).cast("long")).otherwise(count)
 
 
 def metrics() -> dict[str, Column]:
@@ -119,7 +126,8 @@ def _judge(docs: DataFrame, rules: tuple[Rule, ...], text: str) -> DataFrame:
     """row (the input's columns), the counts, base_failed, failed_rules, kept."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), t.alias("t"))
-    inner = inner.withColumn("w", F.filter(F.split("t", SPACE), lambda x: x != ""))
+    bare = F.btrim("t", F.lit(BLANKS))
+    inner = inner.withColumn("w", F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE)))
     inner = inner.withColumn("l", F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     counted = inner.select(
         "row",
@@ -130,9 +138,9 @@ def _judge(docs: DataFrame, rules: tuple[Rule, ...], text: str) -> DataFrame:
         repeated_words(F.col("w")).alias("n_repeat_words"),
         F.size("l").cast("long").alias("n_lines"),
         F.regexp_count("t", F.lit("!")).cast("long").alias("n_exclamations"),
-        F.regexp_count("t", F.lit(r"\p{L}")).cast("long").alias("n_letters"),
+        F.length(F.regexp_replace("t", r"\P{L}+", "")).cast("long").alias("n_letters"),
         F.regexp_count("t", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
-        F.size(F.filter("w", lambda x: x.rlike(r"\p{L}"))).cast("long").alias("n_letter_words"),
+        F.regexp_count("t", F.lit(r"\p{L}[^\x20\x09-\x0D]*")).cast("long").alias("n_letter_words"),  # from a word's first letter to its end
         F.size(F.filter("w", lambda x: F.lower(x).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
     )
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
