@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import tidy_stream
-from .tokens import blocks, tokenizer_of
+from .tokens import tokenizer_of
 
 #: Lengths a block of the two-level sums.
 BLOCK = 1024
@@ -31,8 +31,9 @@ def length_histogram(docs: DataFrame, text: str = "text", tokenizer: str | None
     def count(batches):
         tok, found = tokenizer_of(tokenizer), Counter()
         for batch in batches:
-            for _, run in blocks(batch.column(0)):
-                found.update(np.diff(tok.encode_column(run)[1]).tolist())
+            for n in tok.counts(batch.column(0)):
+                lengths, docs = np.unique(n, return_counts=True)
+                found.update(dict(zip(lengths.tolist(), docs.tolist(), strict=True)))
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["length", "n"])
 
     return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(tidy_stream(count), "length long, n long").groupBy("length").agg(F.sum("n").alias("n_docs"))

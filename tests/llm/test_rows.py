@@ -115,7 +115,6 @@ def plain_ids(tok, t):
 
 def test_tokens_are_the_tokenizers(monkeypatch):
     monkeypatch.setattr(tokens, "STORE", 50)
-    monkeypatch.setattr(tokens, "WORDS", 40)
     tok = tokens.ChunkTokenizer()
     r = random.Random(4)
     texts = [*TEXTS[:8], "<|endoftext|> a<|startoftext|>", "A\tB\x1cC　D", "don't I'll ''s", "É́ ﬁ İ Σς", "x.y,z 3a4...", "</w> a</w>"] + ["".join(r.choice("aAeéÉ.,!#' \n\t9中") for _ in range(60)) for _ in range(60)]
@@ -251,7 +250,47 @@ def test_genetic_steps_keep_all_items():
     r = random.Random(1)
     sizes = [r.randrange(1, 60) for _ in range(300)]
     a, b = (packing.Packing(sizes, 100).best_fit(r.sample(range(300), 300)) for _ in "ab")
+    before = [[list(g) for g in x.groups] for x in (a, b)]
     for p in (packing.cross(a, b, r), packing.mutate(a, r)):
         assert sorted(x for g in p.groups for x in g) == list(range(300)) and all(sum(sizes[x] for x in g) == f <= 100 for g, f in zip(p.groups, p.fills, strict=True))
+    assert before == [[list(g) for g in x.groups] for x in (a, b)]  # parents are left as they were
     best = packing.evolve(sizes, 100, 1)[0]
-    assert max(best) + 1 <= len(a.groups)
+    assert len(best.groups) <= len(a.groups) and max(best.numbers()) + 1 == len(best.groups)
+
+
+def least_sequences(sizes, capacity):
+    """By trying every way to put each piece."""
+
+    def rest(i, free):
+        if i == len(sizes):
+            return len(free)
+        found = [rest(i + 1, tuple(sorted((*free[:k], f - sizes[i], *free[k + 1 :])))) for k, f in enumerate(free) if f >= sizes[i] and f not in free[:k]]
+        return min([*found, rest(i + 1, tuple(sorted((*free, capacity - sizes[i]))))])
+
+    return rest(0, ())
+
+
+def test_evolved_packings_are_the_least():
+    r = random.Random(5)
+    for trial in range(25):
+        sizes = [r.randrange(10, 70) for _ in range(8)]
+        assert len(packing.evolve(sizes, 100, trial)[0].groups) == least_sequences(sizes, 100), sizes
+    assert packing.evolve([], 100, 1)[0].numbers() == []
+
+
+def test_the_genetic_algorithm_makes_the_packing(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 400)
+    r = random.Random(4)
+    rows = [(i, 0, 0, r.randrange(15, 62), i) for i in range(1500)]
+    parts = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    shards = packing.report(parts, 100).collect()
+    assert len(shards) == 4 and all(x.least <= x.sequences <= x.plain for x in shards)
+    assert {x.made for x in shards} <= {"cross", "mutate"} and any(x.made == "cross" for x in shards)
+
+
+def test_equal_pieces_are_dealt_apart(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 50)
+    parts = spark.createDataFrame([(1, 0, 0, 30, 7)] * 600, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    assert max(x["count"] for x in packing._shards(packing.written(parts, "pieces"))[0].select("shard", F.explode("items")).groupBy("shard").count().collect()) < 100
+    got = packing.pack(parts, 100)
+    assert got.count() == 600 and 200 <= got.select("sequence_id").distinct().count() <= 212  # three to a sequence, but for each shard's last
