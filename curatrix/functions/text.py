@@ -62,25 +62,24 @@ def key_value(c: Column, key: str) -> Column:
     return F.when(found != "", found)
 
 
+def _terms(terms: Sequence[str]) -> Column:
+    """The terms as one constant array: a plan holds a node a list, not a node a term."""
+    return F.split(F.lit("\x1f".join(terms)), "\x1f")
+
+
 def hits(haystack: Column, terms: Sequence[str]) -> Column:
     """How many of the terms the text contains; repeated terms count each time."""
-    return sum((F.contains(haystack, F.lit(t)).cast("int") for t in terms), F.lit(0))
+    return F.size(F.filter(_terms(terms), lambda t: F.contains(haystack, t))) if terms else F.lit(0)
 
 
 def any_of(haystack: Column, terms: Sequence[str]) -> Column:
-    out = F.lit(False)
-    for t in terms:
-        out = out | F.contains(haystack, F.lit(t))
-    return out
+    return F.exists(_terms(terms), lambda t: F.contains(haystack, t)) if terms else F.lit(False)
 
 
 def all_of(haystack: Column, terms: Sequence[str]) -> Column:
-    out = F.lit(True)
-    for t in terms:
-        out = out & F.contains(haystack, F.lit(t))
-    return out
+    return F.forall(_terms(terms), lambda t: F.contains(haystack, t)) if terms else F.lit(True)
 
 
 def matched(haystack: Column, terms: Sequence[str]) -> Column:
     """The terms that the text contains, in their order, each once."""
-    return F.array_compact(F.array(*[F.when(F.contains(haystack, F.lit(t)), F.lit(t)) for t in dict.fromkeys(terms)])) if terms else F.array().cast("array<string>")
+    return F.filter(_terms(list(dict.fromkeys(terms))), lambda t: F.contains(haystack, t)) if terms else F.array().cast("array<string>")

@@ -28,23 +28,22 @@ def matched_terms(h: Column, rule: rules.TermScore = rules.ACCELERATION) -> Colu
     return t.matched(h, (*rule.strong, *rule.context))
 
 
-def _group_points(h: Column, g: rules.Group) -> tuple[Column, Column]:
-    hits = t.hits(h, g.terms)
-    counts = (hits > 0) & (t.hits(h, g.gate) >= g.at_least) if g.at_least else hits > 0
-    return counts, F.when(counts, hits + g.weight).otherwise(0)
+def _counts(h: Column, g: rules.Group) -> Column:
+    found = t.any_of(h, g.terms)
+    return found & (t.hits(h, g.gate) >= g.at_least) if g.at_least else found
 
 
 def group_score(h: Column, rule: rules.GroupScore = rules.SCHEDULING) -> Column:
     score = t.hits(h, rule.exclude) * rule.exclude_weight + t.hits(h, rule.phrases) * rule.phrase_weight
     for g in rule.groups:
-        score = score + _group_points(h, g)[1]
+        score = score + F.when(_counts(h, g), t.hits(h, g.terms) + g.weight).otherwise(0)
     for every, some, points in rule.together:
         score = score + (t.all_of(h, every) & t.any_of(h, some)).cast("int") * points
     return score
 
 
 def matched_groups(h: Column, rule: rules.GroupScore = rules.SCHEDULING) -> Column:
-    names = F.array_compact(F.array(*[F.when(_group_points(h, g)[0], F.lit(g.name)) for g in rule.groups])) if rule.groups else F.array().cast("array<string>")
+    names = F.array_compact(F.array(*[F.when(_counts(h, g), F.lit(g.name)) for g in rule.groups])) if rule.groups else F.array().cast("array<string>")
     return F.array_distinct(F.concat(t.matched(h, rule.phrases), names))
 
 
@@ -87,6 +86,7 @@ def classify(papers: DataFrame) -> DataFrame:
     )
 
 
+#: The note texts below are fixed values: stored notes are searched by them.
 def general_note(score: Column, terms: Column) -> Column:
     return F.concat(F.lit("自动关键词筛选得分="), score.cast("string"), F.lit("；命中="), F.array_join(F.slice(terms, 1, 8), ", "))
 
