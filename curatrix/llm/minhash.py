@@ -34,8 +34,8 @@ from .hashing import ODD, U, mix, raw, shingles, slices
 BINS, BANDS, ROWS = 128, 25, 5
 #: Odds below which a pair at the threshold may share no band.
 MISSED = 1e-6
-#: Shingles in a block; of longer documents a block has one.
-BLOCK = 1_500_000
+#: Shingles in a block, where 8 bytes of text count as one at least; of longer documents a block has one.
+BLOCK = 1_000_000
 #: Characters of probes that meet a block at once.
 PROBES = 8_000_000
 #: Bytes of text worked on at once.
@@ -97,8 +97,8 @@ def _sketch_batches(percent: int):
                 sizes[1:] = np.where(n > 0, n_bands, 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(found[full].reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(n), pa.array((keys[at[1:]] - keys[at[:-1]]).view(np.int64)), pa.array((other[at[1:]] - other[at[:-1]]).view(np.int64)), lists],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                    [batch.column(0).slice(a, b - a), pa.array(n), pa.array(np.diff(offsets[a : b + 1])), pa.array((keys[at[1:]] - keys[at[:-1]]).view(np.int64)), pa.array((other[at[1:]] - other[at[:-1]]).view(np.int64)), lists],
+                    names=["doc_id", "n_shingles", "n_bytes", "set_a", "set_b", "bands"],
                 )
 
     return each
@@ -112,11 +112,15 @@ class Block:
     """Full sets side by side; finds what is linked with one of them."""
 
     def __init__(self, values: np.ndarray, offsets: np.ndarray):
-        _, self.ids = np.unique(values, return_inverse=True)
         self.offsets, self.sizes = offsets, np.diff(offsets)
-        order = np.argsort(self.ids, kind="stable")
-        self.owners = np.repeat(np.arange(len(self.sizes)), self.sizes)[order]
-        self.places = np.concatenate([[0], np.cumsum(np.bincount(self.ids))]) if len(values) else np.zeros(1, np.int64)
+        order = np.argsort(values)
+        ordered = values[order]
+        fresh = np.ones(len(values), bool)
+        fresh[1:] = ordered[1:] != ordered[:-1]
+        self.ids = np.empty(len(values), np.int32)
+        self.ids[order] = np.cumsum(fresh, dtype=np.int32) - 1
+        self.owners = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)[order]
+        self.places = np.append(np.flatnonzero(fresh), len(values))
         self.mark = np.zeros(len(self.places), np.int32)
 
     def links(self, u: int, among: np.ndarray, percent: int) -> np.ndarray:
@@ -160,7 +164,14 @@ class Block:
 
 
 def _sets(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
-    return shingles(pa.concat_arrays(table.column(column).chunks) if table.num_rows else pa.array([], pa.string()))
+    """The sets of a column's texts; ``STEP`` bytes are hashed at a time, as that takes many times their size."""
+    values, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for chunk in table.column(column).chunks:
+        for a, b in slices(raw(chunk)[1], STEP):
+            found, at = shingles(chunk.slice(a, b - a))
+            values.append(found)
+            sizes.append(np.diff(at))
+    return np.concatenate(values), np.cumsum(np.concatenate(sizes))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, block: int = BLOCK) -> DataFrame:
@@ -172,15 +183,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     doc_ids are one document for linking. Other columns are not read.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    sketched = written(rows.mapInArrow(tidy_stream(_sketch_batches(percent)), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"), "sketches")
+    sketched = written(rows.mapInArrow(tidy_stream(_sketch_batches(percent)), "doc_id long, n_shingles long, n_bytes long, set_a long, set_b long, bands array<long>"), "sketches")
     full = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    reps = sets.join(full.select(F.col("doc_id").alias("rep"), "set_a", "set_b", "bands"), ["rep", "set_a", "set_b"]).select("rep", "n_shingles", "bands")
+    reps = sets.join(full.select(F.col("doc_id").alias("rep"), "set_a", "set_b", "n_bytes", "bands"), ["rep", "set_a", "set_b"]).select("rep", F.greatest("n_shingles", F.col("n_bytes") / 8).cast("long").alias("weight"), "bands")
     dealt = reps.select("rep", F.posexplode("bands").alias("band", "hash"))
     least = dealt.groupBy("band", "hash").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least != most").drop("most")
     candidates = components(dealt.join(least, ["band", "hash"]).filter("rep != least").select(F.col("rep").alias("u"), F.col("least").alias("v")))
-    groups = candidates.withColumnRenamed("node", "rep").join(reps.select("rep", "n_shingles"), "rep")
-    sizes = groups.groupBy("component").agg(F.sum("n_shingles").alias("total")).select("component", F.ceil(F.col("total") / block).cast("int").alias("n_blocks"))
+    groups = candidates.withColumnRenamed("node", "rep").join(reps.select("rep", "weight"), "rep")
+    sizes = groups.groupBy("component").agg(F.sum("weight").alias("total")).select("component", F.ceil(F.col("total") / block).cast("int").alias("n_blocks"))
     groups = groups.dropDuplicates(["rep"]).join(sizes, "component").select("rep", "component", "n_blocks", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int").alias("block"))
     texts = groups.join(rows.withColumnRenamed("doc_id", "rep"), "rep")
 
