@@ -201,7 +201,7 @@ def test_pages_that_close_nothing_are_scanned_in_linear_time():
 
 def test_a_word_in_a_class_is_a_hint_only():
     story = "It was a long story, told in many words; it went on and on, as stories do. "
-    page = '<article><p>{0}</p><div class="login-guide"><p>{0}</p></div><div class="comments"><p>{0}</p></div><div class="related-links"><p>x</p></div></article>'
+    page = '<article><p>{0}</p><div class="login-guide"><p>{0}</p></div><div class="comments"><p>{0}</p></div><section class="related-links"><p>x</p></section></article>'
     assert html.main_text(page.format(story * 3)) == "\n".join([(story * 3).strip()] * 2)
 
 
