@@ -2,21 +2,26 @@
 
 Only suffixes that can matter are sorted, in four steps over packed blocks of numbers:
 
-1. Each window of ``length`` bytes belongs to its least hashed k-gram, its anchor. Runs
-   of neighbouring windows of one anchor are kept together (a super-k-mer: 18 windows in
-   the mean), as two hashes, a document and a position. A batch sends equal runs once,
-   with the batch's smallest document, and settles the others itself, so what a common
-   passage sends grows with batches, not with the documents that hold it.
-2. Runs meet by anchor. Equal runs are settled by the smallest document. Where an anchor
-   has different runs, their windows may be equal in part: those runs are asked for.
+1. Each window of ``length`` bytes belongs to its least hashed k-gram, its anchor (64
+   bits). Runs of neighbouring windows of one anchor are kept together (a super-k-mer: 18
+   windows in the mean), as anchor, document and position. A batch sends runs of equal
+   bytes once, with the batch's smallest document, and settles the others itself, so what
+   a common passage sends grows with batches, not with the documents that hold it.
+2. Anchors meet. Equal windows have equal anchors, so runs whose anchor no other document
+   has hold nothing that repeats, and go. All others are asked for. Of an anchor with very
+   many runs (a common line in different surroundings) each block of documents settles
+   its own copies, and deals the rest by anchors of longer grams, which tell the
+   surroundings apart.
 3. The documents give the bytes of those runs, and the suffixes that start in them are
-   sorted by the deep-shallow method: multikey quicksort, eight bytes a step, to a depth of
-   16; groups that still hang together, with documents of their own, go to blind tries.
-   Equal leaves are equal strings, and the smallest document keeps them.
+   sorted by the deep-shallow method: multikey steps of eight bytes, each sorting what the
+   last one left equal, down to a depth of 40; groups that still hang together, with
+   documents of their own, are compared whole or go to blind tries. Equal strings end up
+   side by side, and the smallest document keeps them.
 4. Each document's removed windows meet its text.
 
-Hashes decide only where runs and anchors are the same: 80 bits and the anchor's place in
-its bucket. Blocks are of a size set by bytes; nothing is gathered on the driver.
+Hashes only tell what need not be compared: every byte removed was found equal to another
+document's byte by byte. Blocks are of a size set by bytes; nothing is gathered on the
+driver.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +44,9 @@ LENGTH = 50
 BUCKET_BYTES = 8 << 20
 #: Bytes hashed at once, and runs that a batch sends at once.
 STEP, FLUSH = 2_000_000, 600_000
-SHALLOW = 16
-M32 = U(0xFFFFFFFF)
+SHALLOW = 40
+#: Runs from which an anchor is dealt anew, by grams of this share of a window.
+HOT, LONG_GRAM = 4000, 0.72
 
 
 def dump(*arrays: np.ndarray) -> bytes:
@@ -99,12 +106,12 @@ def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(cur[: len(a) - width + 1], cur[width - n :]) if n < width else cur
 
 
-def runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows of one anchor in the values: anchor (32 bits), run hash (48 bits), value number, first window, number of windows."""
-    gram = max(4, int(0.4 * length))
+def runs(data: np.ndarray, offsets: np.ndarray, length: int, share: float = 0.4) -> tuple[np.ndarray, ...]:
+    """Runs of windows of one anchor in the values: anchor, hash of the run, value number, first window, number of windows."""
+    gram = max(4, int(share * length))
     sizes = np.diff(offsets)
     if len(data) < length:
-        return (np.zeros(0, np.uint32), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
     hashes = _Hashes(data, min(gram, 16))
     least = sliding_min(hashes.at(len(data) - gram + 1, gram), length - gram + 1)
     n = len(least)
@@ -127,34 +134,34 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray
         start = first[again] + nth * length
         first, end = start, np.minimum(start + length, end[again])
     run = mix(hashes.at(first, length) * U(0x9E3779B97F4A7C15) ^ mix(hashes.at(end - 1, length) + (end - first).astype(np.uint64)))
-    anchor = (mix(least[first]) >> U(32)).astype(np.uint32)
+    anchor = mix(least[first])
     value = np.searchsorted(offsets, first, side="right") - 1
-    return anchor, run >> U(16), value, first - offsets[value], end - first
+    return anchor, run, value, first - offsets[value], end - first
 
 
-def _groups(anchor: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order by anchor and run, and where equal runs begin in it."""
-    order = np.argsort(anchor.astype(np.uint64) << U(32) | run & M32, kind="stable")
-    a, r = anchor[order], run[order]
-    if len(order) > 1 and ((a[1:] == a[:-1]) & (r[1:] & M32 == r[:-1] & M32) & (r[1:] != r[:-1])).any():
-        order = np.lexsort((run, run & M32, anchor))
-        a, r = anchor[order], run[order]
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = (a[1:] != a[:-1]) | (r[1:] != r[:-1])
-    return order, np.flatnonzero(fresh)
+def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether ``n`` bytes from places a and from places b are the same."""
+    if not len(a):
+        return np.zeros(0, bool)
+    ends = np.cumsum(n)
+    step = np.arange(int(ends[-1])) - np.repeat(ends - n, n)
+    return np.logical_and.reduceat(data[np.repeat(a, n) + step] == data[np.repeat(b, n) + step], ends - n)
 
 
-def _blocks(doc: np.ndarray, check: np.ndarray, start: np.ndarray, count: np.ndarray, n_docs: int, kind: int, more: tuple = ()):
+def _bucket(anchor: np.ndarray, n: int) -> np.ndarray:
+    """Ascending, as anchors are."""
+    return ((anchor >> U(32)) * U(n) >> U(32)).astype(np.int64)
+
+
+def _blocks(doc: np.ndarray, check: np.ndarray, start: np.ndarray, count: np.ndarray, n_docs: int, kind: int, head: bytes = b""):
     """Rows (bucket, kind, blob) of entries dealt by document."""
     to = doc % n_docs
     order = np.argsort(to, kind="stable")
     places = np.flatnonzero(np.diff(to[order], prepend=-1))
     for a, b in zip(places, [*places[1:], len(order)] if len(order) else [], strict=True):
-        if b > a:
-            part = order[a:b]
-            part = part[np.lexsort((start[part], doc[part]))]
-            docs = np.diff(doc[part], prepend=0)
-            yield int(to[part[0]]), kind, dump(docs, check[part], start[part].astype(np.uint32), count[part].astype(np.uint8), *(m[part] for m in more))
+        part = order[a:b]
+        part = part[np.lexsort((start[part], doc[part]))]
+        yield int(to[part[0]]), kind, head + dump(np.diff(doc[part], prepend=0), check[part], start[part].astype(np.uint32), count[part].astype(np.uint8))
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -163,7 +170,7 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 ROWS = "bucket long, kind int, blob binary"
-REMOVED, WANTED, RUNS, BYTES_OF_RUNS = 0, 1, 2, 3
+REMOVED, WANTED, RUNS, BYTES_OF_RUNS, WANTED_HOT = 0, 1, 2, 3, 4
 
 
 def _check(texts: pa.Array) -> np.ndarray:
@@ -173,31 +180,33 @@ def _check(texts: pa.Array) -> np.ndarray:
     return np.array([zlib.crc32(view[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], np.uint32)
 
 
-def _send(held: list, n_anchors: int, n_docs: int):
-    """Step 1's rows of some runs: runs to settle, dealt by anchor, and those settled here, to be passed on to their documents."""
-    firsts = np.cumsum([0, *(len(h[0]) for h in held[:-1])])
-    doc_ids, all_checks = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-    row = np.concatenate([h[4] + f for h, f in zip(held, firsts, strict=True)])
+def _send(held: list, length: int, n_anchors: int, n_docs: int):
+    """Step 1's rows of some runs: those of one anchor meet, those settled here are passed on to their documents."""
+    texts, bytes_ = np.cumsum([0, *(len(h[0]) for h in held[:-1])]), np.cumsum([0, *(len(h[7]) for h in held[:-1])])
+    doc_ids, all_checks, data = (np.concatenate([h[k] for h in held]) for k in (0, 1, 7))
+    base = np.concatenate([h[8] + f for h, f in zip(held, bytes_, strict=True)])
+    row = np.concatenate([h[4] + f for h, f in zip(held, texts, strict=True)])
     anchor, run, start, count = (np.concatenate([h[k] for h in held]) for k in (2, 3, 5, 6))
-    order, first = _groups(anchor, run)
+    order = np.lexsort((run, anchor))
     anchor, run, row, start, count = (x[order] for x in (anchor, run, row, start, count))
-    doc, check = doc_ids[row], all_checks[row]
-    least = np.repeat(np.minimum.reduceat(doc, first), np.diff(np.append(first, len(doc))))
-    gone = doc > least
-    rows = []
-    if gone.any():
-        for b, kind, blob in _blocks(doc[gone], check[gone], start[gone], count[gone], n_docs, REMOVED):
-            rows.append((b % n_anchors, kind, b.to_bytes(8, "little") + blob))
-    keep = ~gone
-    anchor, run, row, start, count = (x[keep] for x in (anchor, run, row, start, count))
-    to = (anchor.astype(np.uint64) * U(n_anchors) >> U(32)).astype(np.int64)  # ascending, as anchors are
+    doc, check, place = doc_ids[row], all_checks[row], base[row] + start
+    first = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (run[1:] != run[:-1]) | (count[1:] != count[:-1])))
+    sizes = np.diff(np.append(first, len(doc)))
+    least = np.minimum.reduceat(doc, first)
+    holder = np.minimum.reduceat(np.where(doc == np.repeat(least, sizes), np.arange(len(doc)), len(doc)), first)
+    later = np.flatnonzero(doc > np.repeat(least, sizes))
+    holder = np.repeat(holder, sizes)[later]
+    later = later[_same_bytes(data, place[later], place[holder], count[later] + length - 1)]
+    rows = _passed_on(list(_blocks(doc[later], check[later], start[later], count[later], n_docs, REMOVED)), n_anchors)
+    keep = np.ones(len(doc), bool)
+    keep[later] = False
+    anchor, row, start, count = (x[keep] for x in (anchor, row, start, count))
+    to = _bucket(anchor, n_anchors)
     cuts = np.flatnonzero(np.diff(to, prepend=-1))
     for a, b in zip(cuts, np.append(cuts[1:], len(to)), strict=True):
         names, index = np.unique(row[a:b], return_inverse=True)
-        docs, checks = doc_ids[names], all_checks[names]
         index = index.astype(np.uint16 if len(names) < 65536 else np.uint32)
-        high, low = (run[a:b] >> U(32)).astype(np.uint16), (run[a:b] & M32).astype(np.uint32)
-        rows.append((int(to[a]), RUNS, dump(np.diff(anchor[a:b].astype(np.int64), prepend=0).astype(np.uint32), high, low, docs, checks, index, start[a:b].astype(np.uint32), count[a:b].astype(np.uint8))))
+        rows.append((int(to[a]), RUNS, dump(np.diff(anchor[a:b], prepend=U(0)), doc_ids[names], all_checks[names], index, start[a:b].astype(np.uint32), count[a:b].astype(np.uint8))))
     return rows
 
 
@@ -208,50 +217,46 @@ def _find_runs(length: int, n_anchors: int, n_docs: int):
             doc_ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
             data, offsets = raw(texts)
             for a, b in slices(offsets, STEP):
-                anchor, run, value, start, count = runs(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length)
+                part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                anchor, run, value, start, count = runs(part, at, length)
                 if len(anchor):
-                    held.append((doc_ids[a:b], _check(texts.slice(a, b - a)), anchor, run, value, start, count))
+                    held.append((doc_ids[a:b], _check(texts.slice(a, b - a)), anchor, run, value, start, count, part, at[:-1]))
                     n += len(anchor)
                 if n >= FLUSH:
-                    yield _rows(_send(held, n_anchors, n_docs))
+                    yield _rows(_send(held, length, n_anchors, n_docs))
                     held, n = [], 0
         if held:
-            yield _rows(_send(held, n_anchors, n_docs))
+            yield _rows(_send(held, length, n_anchors, n_docs))
 
     return find
 
 
-def _settle_runs(n_docs: int):
-    def settle(table: pa.Table) -> pa.Table:
+def _ask(n_docs: int):
+    """Step 2: runs whose anchor several documents have are asked for."""
+
+    def ask(table: pa.Table) -> pa.Table:
         rows, parts = [], []
         for kind, blob in zip(table.column("kind").to_pylist(), table.column("blob"), strict=True):
             blob = blob.as_py()
             if kind == REMOVED:
                 rows.append((int.from_bytes(blob[:8], "little"), REMOVED, blob[8:]))
                 continue
-            deltas, high, low, docs, checks, index, start, count = load(blob)
-            parts.append((np.cumsum(deltas.astype(np.int64)).astype(np.uint32), high.astype(np.uint64) << U(32) | low.astype(np.uint64), docs[index], checks[index], start, count))
+            deltas, docs, checks, index, start, count = load(blob)
+            parts.append((np.cumsum(deltas, dtype=np.uint64), docs[index], checks[index], start, count))
         if parts:
-            anchor, run, doc, check, start, count = (np.concatenate(c) for c in zip(*parts, strict=True))
+            anchor, doc, check, start, count = (np.concatenate(c) for c in zip(*parts, strict=True))
             del parts
-            order, first = _groups(anchor, run)
-            anchor, doc, check, start, count = (x[order] for x in (anchor, doc, check, start, count))
-            sizes = np.diff(np.append(first, len(doc)))
-            least = np.repeat(np.minimum.reduceat(doc, first), sizes)
-            gone = doc > least
-            rows += _blocks(doc[gone], check[gone], start[gone], count[gone], n_docs, REMOVED)
-            # anchors of several runs whose documents differ
-            heads = anchor[first]
-            fresh = np.ones(len(heads), bool)
-            fresh[1:] = heads[1:] != heads[:-1]
-            places = np.flatnonzero(fresh)
-            low, high = np.minimum.reduceat(least[first], places), np.maximum.reduceat(least[first], places)
-            mixed = np.repeat(np.repeat(low != high, np.diff(np.append(places, len(heads)))), sizes)
-            asked = mixed & ~gone
-            rows += _blocks(doc[asked], check[asked], start[asked], count[asked], n_docs, WANTED, (anchor[asked],))
+            order = np.argsort(anchor)
+            anchor, held = anchor[order], doc[order]
+            first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+            shared = np.minimum.reduceat(held, first) != np.maximum.reduceat(held, first)
+            home, sizes = table.column("bucket")[0].as_py().to_bytes(8, "little"), np.diff(np.append(first, len(anchor)))
+            for kind, groups in ((WANTED, shared & (sizes <= HOT)), (WANTED_HOT, shared & (sizes > HOT))):
+                these = order[np.repeat(groups, sizes)]
+                rows += _blocks(doc[these], check[these], start[these], count[these], n_docs, kind, home)
         return pa.Table.from_batches([_rows(rows)])
 
-    return settle
+    return ask
 
 
 def _places(docs: pa.Table, doc: np.ndarray, check: np.ndarray):
@@ -269,37 +274,86 @@ def _places(docs: pa.Table, doc: np.ndarray, check: np.ndarray):
     return texts, entry, row
 
 
-def _entries(table: pa.Table) -> list[np.ndarray] | None:
+def _entries(table: pa.Table, head: int = 0) -> list[np.ndarray] | None:
+    """doc, check, start, count of all blobs, and the number in the blob's head if it has one."""
     parts = []
     for blob in table.column("blob"):
-        docs, *rest = load(blob.as_py())
-        parts.append((np.cumsum(docs), *rest))
+        blob = blob.as_py()
+        docs, *rest = load(blob[head:])
+        parts.append((np.cumsum(docs), *rest, *([np.full(len(docs), int.from_bytes(blob[:head], "little"))] if head else [])))
     return [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else None
 
 
-def _fetch(length: int, n_anchors: int):
-    """The bytes of the runs asked for, dealt by anchor."""
+def _bytes_of(docs: pa.Table, wanted: pa.Table, kind: int, length: int):
+    """doc, check, start, count, home of the runs asked for in one way, their bytes end to end, and where each one's begin."""
+    entries = _entries(wanted.filter(pc.equal(wanted.column("kind"), kind)), 8)
+    if entries is None or not docs.num_rows:
+        return None
+    texts, entry, row = _places(docs, entries[0], entries[1])
+    _, once = np.unique(entry, return_index=True)  # rows of one id and text have one copy of the run
+    entry, row = entry[once], row[once]
+    data, offsets = raw(texts)
+    doc, check, start, count, home = (x[entry] for x in entries)
+    start, count = start.astype(np.int64), count.astype(np.int64)
+    n = count + length - 1
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    return doc, check, start, count, home, data[np.arange(total) + np.repeat(offsets[row] + start - (ends - n), n)], np.concatenate([[0], ends])
+
+
+def _packed(to: np.ndarray, doc, check, start, count, data: np.ndarray, at: np.ndarray, length: int) -> list[tuple]:
+    """Rows of runs and their bytes (``data`` from ``at``), dealt by ``to``."""
+    order, rows = np.argsort(to, kind="stable"), []
+    cuts = np.flatnonzero(np.diff(to[order], prepend=-1))
+    for a, b in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
+        part = order[a:b]
+        n = count[part] + length - 1
+        index = np.arange(int(n.sum())) + np.repeat(at[part] - (np.cumsum(n) - n), n)
+        rows.append((int(to[part[0]]), BYTES_OF_RUNS, dump(np.diff(doc[part], prepend=0), check[part], start[part].astype(np.uint32), count[part].astype(np.uint8), data[index])))
+    return rows
+
+
+def _windows(count: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows of runs: the run, the number within it, and the place."""
+    owner = np.repeat(np.arange(len(count)), count)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    return owner, nth, at[owner] + nth
+
+
+def _gone(gone: np.ndarray, owner: np.ndarray, nth: np.ndarray, doc, check, start, n_docs: int):
+    """Rows of the windows that go; neighbours of a run go together."""
+    x = np.flatnonzero(gone)
+    if not len(x):
+        return []
+    first = np.flatnonzero(np.append(True, (np.diff(x) != 1) | (np.diff(owner[x]) != 0)))
+    head, of = x[first], owner[x[first]]
+    return list(_blocks(doc[of], check[of], start[of] + nth[head], np.diff(np.append(first, len(x))), n_docs, REMOVED))
+
+
+def _passed_on(rows: list[tuple], n: int) -> list[tuple]:
+    """Rows for documents, on their way through another bucket."""
+    return [(b % n, kind, b.to_bytes(8, "little") + blob) for b, kind, blob in rows]
+
+
+def _fetch(length: int, n_anchors: int, n_docs: int):
+    """Step 3's bytes: those of the runs asked for, sent to who asked; those of hot anchors dealt anew."""
 
     def fetch(docs: pa.Table, wanted: pa.Table) -> pa.Table:
-        entries = _entries(wanted)
-        if entries is None or not docs.num_rows:
-            return pa.Table.from_batches([_rows([])])
-        doc, check, start, count, anchor = entries
-        texts, entry, row = _places(docs, doc, check)
-        _, once = np.unique(entry, return_index=True)  # rows of one id and text have one copy of the run
-        entry, row = entry[once], row[once]
-        data, offsets = raw(texts)
-        doc, check, start, count, anchor = doc[entry], check[entry], start[entry].astype(np.int64), count[entry].astype(np.int64), anchor[entry]
-        to = (anchor.astype(np.uint64) * U(n_anchors) >> U(32)).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        cuts = np.flatnonzero(np.diff(to[order], prepend=-1))
         rows = []
-        for a, b in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
-            part = order[a:b]
-            n = count[part] + length - 1
-            at = offsets[row[part]] + start[part]
-            index = np.arange(int(n.sum())) + np.repeat(at - (np.cumsum(n) - n), n)
-            rows.append((int(to[part[0]]), BYTES_OF_RUNS, dump(np.diff(doc[part], prepend=0), check[part], start[part].astype(np.uint32), count[part].astype(np.uint8), data[index])))
+        if (found := _bytes_of(docs, wanted, WANTED, length)) is not None:
+            doc, check, start, count, home, data, at = found
+            rows += _packed(home, doc, check, start, count, data, at[:-1], length)
+        if (found := _bytes_of(docs, wanted, WANTED_HOT, length)) is not None:
+            doc, check, start, count, _, data, at = found
+            owner, nth, places = _windows(count, at[:-1], length)
+            gone = later_copies(data, places, length, doc[owner])
+            rows += _passed_on(_gone(gone, owner, nth, doc, check, start, n_docs), n_anchors)
+            anchor, _, value, first, n = runs(data, at, length, LONG_GRAM)
+            window = (np.cumsum(count) - count)[value] + first
+            up_to = np.concatenate([[0], np.cumsum(gone)])
+            left = up_to[window + n] - up_to[window] < n
+            value, first, n = value[left], first[left], n[left]
+            rows += _packed(_bucket(anchor[left], n_anchors), doc[value], check[value], start[value] + first, n, data, at[value] + first, length)
         return pa.Table.from_batches([_rows(rows)])
 
     return fetch
@@ -351,75 +405,74 @@ class BlindTrie:
                 yield node
 
 
-def sorted_suffixes(data: np.ndarray, starts: np.ndarray, length: int, owner: np.ndarray):
-    """Classes of equal strings of ``length`` bytes from the starts, as index arrays; only classes of several owners.
+def later_copies(data: np.ndarray, starts: np.ndarray, length: int, owner: np.ndarray) -> np.ndarray:
+    """Which of the strings of ``length`` bytes from the starts also start at a place of a smaller owner.
 
-    Shallow: three-way radix steps of eight bytes, each within what the last left equal.
-    Deep: classes that the shallow depth leaves whole, and that aren't all one string, by
-    blind tries.
+    Shallow: multikey steps of eight bytes; each sorts every group that the last one left
+    equal, and groups of one owner go. Deep: groups that the shallow depth leaves are
+    compared whole, and those that aren't all one string go to blind tries.
     """
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    gone = np.zeros(len(starts), bool)
+    if not len(starts):
+        return gone
+    words = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
 
     def word(at: np.ndarray) -> np.ndarray:
         return np.ascontiguousarray(words[at]).view(">u8").reshape(-1).astype(np.uint64)
 
     order, bounds = np.arange(len(starts)), np.array([0, len(starts)])
-    depth = 0
-    while depth < min(SHALLOW, length) and len(order):
-        keys = word(starts[order] + min(depth, length - 8))
+    for depth in range(0, min(SHALLOW, length - 7), 8):
+        keys = word(starts[order] + depth)
         group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        by = np.lexsort((keys, group)) if len(bounds) > 2 else np.argsort(keys)
+        by = np.argsort(keys)
+        if depth:  # and back to its group
+            by = by[np.argsort(group[by].astype(np.uint64) << U(32) | np.arange(len(by), dtype=np.uint64))]
         order, keys, group = order[by], keys[by], group[by]
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (keys[1:] != keys[:-1]) | (group[1:] != group[:-1])
-        first = np.flatnonzero(fresh)
+        first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (group[1:] != group[:-1])))
         sizes = np.diff(np.append(first, len(order)))
-        low, high = np.minimum.reduceat(owner[order], first), np.maximum.reduceat(owner[order], first)
-        live = np.repeat(low != high, sizes)
-        order = order[live]
-        bounds = np.concatenate([[0], np.cumsum(sizes[low != high])])
-        depth += 8
-    if not len(order):
-        return
+        owners = owner[order]
+        live = np.minimum.reduceat(owners, first) != np.maximum.reduceat(owners, first)
+        order = order[np.repeat(live, sizes)]
+        bounds = np.concatenate([[0], np.cumsum(sizes[live])])
+        if not len(order):
+            return gone
     sizes = np.diff(bounds)
     same = np.ones(len(order), bool)
-    for at in [*range(SHALLOW, length - 7, 8), length - 8]:
+    for at in [*range(min(SHALLOW, length - 7) // 8 * 8, length - 7, 8), length - 8]:
         keys = word(starts[order] + at)
         same &= keys == np.repeat(keys[bounds[:-1]], sizes)
     whole = np.logical_and.reduceat(same, bounds[:-1])
-    for i in np.flatnonzero(whole):
-        yield order[bounds[i] : bounds[i + 1]]
+    owners = owner[order]
+    gone[order] = (owners > np.repeat(np.minimum.reduceat(owners, bounds[:-1]), sizes)) & np.repeat(whole, sizes)
     text = data.tobytes()
-    for i in np.flatnonzero(~whole):
-        trie = BlindTrie()
-        for x in order[bounds[i] : bounds[i + 1]].tolist():
-            s = int(starts[x])
+    for i in np.flatnonzero(~whole & (sizes > 2)):  # two strings that differ have no copy
+        trie, members = BlindTrie(), order[bounds[i] : bounds[i + 1]]
+        for x, s in zip(members.tolist(), starts[members].tolist(), strict=True):
             trie.insert(text[s : s + length], x)
-        for _, members in trie.leaves():
-            if len(members) > 1:
-                yield np.array(members)
+        for _, equal in trie.leaves():
+            if len(equal) > 1:
+                these = owner[equal]
+                gone[equal] = these > these.min()
+    return gone
 
 
 def _sort(length: int, n_docs: int):
+    """Step 3: the suffixes of a bucket's runs, sorted; the runs of windows that go."""
+
     def sort(table: pa.Table) -> pa.Table:
-        parts = []
-        for blob in table.column("blob"):
-            docs, *rest = load(blob.as_py())
+        rows, parts = [], []
+        for kind, blob in zip(table.column("kind").to_pylist(), table.column("blob"), strict=True):
+            blob = blob.as_py()
+            if kind == REMOVED:
+                rows.append((int.from_bytes(blob[:8], "little"), REMOVED, blob[8:]))
+                continue
+            docs, *rest = load(blob)
             parts.append((np.cumsum(docs), *rest))
-        doc, check, start, count, data = (np.concatenate(c) for c in zip(*parts, strict=True))
-        start, count = start.astype(np.int64), count.astype(np.int64)
-        sizes = count + length - 1
-        base = np.cumsum(sizes) - sizes
-        owner = np.repeat(np.arange(len(doc)), count)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        places, ids = base[owner] + nth, doc[owner]
-        gone = np.zeros(len(owner), bool)
-        for members in sorted_suffixes(data, places, length, ids):
-            these = ids[members]
-            gone[members] = these > these.min()
-        x = np.flatnonzero(gone)
-        rows = list(_blocks(ids[x], check[owner[x]], start[owner[x]] + nth[x], np.ones(len(x), np.int64), n_docs, REMOVED)) if len(x) else []
+        if parts:
+            doc, check, start, count, data = (np.concatenate(c) for c in zip(*parts, strict=True))
+            start, count = start.astype(np.int64), count.astype(np.int64)
+            owner, nth, places = _windows(count, np.cumsum(count + length - 1) - (count + length - 1), length)
+            rows += _gone(later_copies(data, places, length, doc[owner]), owner, nth, doc, check, start, n_docs)
         return pa.Table.from_batches([_rows(rows)])
 
     return sort
@@ -500,10 +553,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = _prime(-(-total // bucket_bytes))
     dealt = named.select(F.pmod("doc_id", F.lit(n)).cast("long").alias("bucket"), "doc_id", "text")
-    found = named.mapInArrow(tidy_stream(_find_runs(length, n, n)), ROWS).groupBy("bucket").applyInArrow(tidy(_settle_runs(n)), ROWS)
+    found = named.mapInArrow(tidy_stream(_find_runs(length, n, n)), ROWS).groupBy("bucket").applyInArrow(tidy(_ask(n)), ROWS)
     found = written(found, "runs")
-    wanted = found.filter(F.col("kind") == WANTED)
-    pieces = dealt.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(tidy_pair(_fetch(length, n)), ROWS)
+    wanted = found.filter(F.col("kind").isin(WANTED, WANTED_HOT))
+    pieces = dealt.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(tidy_pair(_fetch(length, n, n)), ROWS)
     parted = pieces.groupBy("bucket").applyInArrow(tidy(_sort(length, n)), ROWS)
     removed = found.filter(F.col("kind") == REMOVED).union(parted)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>" + (", kept_text string" if keep_text else "")

@@ -62,6 +62,13 @@ def test_against_all_strings(spark, bucket):
     assert got(spark, rows, bucket_bytes=bucket) == brute(rows)
 
 
+@pytest.mark.parametrize("bucket", [sd.BUCKET_BYTES, 4000])
+def test_anchors_that_are_dealt_anew(spark, bucket, monkeypatch):
+    monkeypatch.setattr(sd, "HOT", 3)
+    rows = corpus(bucket + 1) + [(200 + i, f"{i * 77777} before a line that is in every document, whatever is around it, and {i * 55555} after") for i in range(40)]
+    assert got(spark, rows, bucket_bytes=bucket) == brute(rows)
+
+
 def test_many_copies(spark):
     rows = [(i, "some common passage that every one of these documents holds, word by word. " * (1 + i % 2) + str(i)) for i in range(80)]
     assert got(spark, rows) == brute(rows)
@@ -85,6 +92,39 @@ def test_blind_trie_orders_and_groups():
     assert all(keys[i] == k for k, m in leaves for i in m)
 
 
+def test_sorting_finds_later_copies_at_any_depth():
+    r = random.Random(6)
+    stems = ["".join(r.choice("ab") for _ in range(n)) for n in (8, 16, 31, 33, 47)]
+    texts = [r.choice(stems) + "".join(r.choice("ab") for _ in range(r.randrange(50, 60))) for _ in range(150)] + [r.choice(stems) * 7 for _ in range(50)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    ends = np.cumsum([len(x) for x in texts])
+    starts = np.concatenate([np.arange(e - len(x), e - 49) for x, e in zip(texts, ends, strict=True)])
+    owner = np.searchsorted(ends, starts, side="right") // 2
+    order = np.array(r.sample(range(len(starts)), len(starts)))
+    first = {}
+    for s, o in zip(starts, owner, strict=True):
+        first[data[s : s + 50].tobytes()] = min(o, first.get(data[s : s + 50].tobytes(), o))
+    want = [first[data[s : s + 50].tobytes()] < o for s, o in zip(starts[order], owner[order], strict=True)]
+    assert sd.later_copies(data, starts[order], 50, owner[order]).tolist() == want and 0 < sum(want) < len(want)
+
+
+def test_equal_hashes_are_no_proof(spark, monkeypatch):
+    """Runs that only hash alike stay apart: the bytes decide."""
+    found = sd.runs
+    monkeypatch.setattr(sd, "runs", lambda *a: (lambda x: (x[0] * 0, x[1] * 0, *x[2:]))(found(*a)))
+    r = random.Random(8)
+    rows = [(i, "".join(r.choice("abcd") for _ in range(120)) + "the same passage in all of these documents, over and over. " * (i % 3)) for i in range(12)]
+    texts = [t.encode() for _, t in rows]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    anchor, run, value, start, count = sd.runs(data, offsets, 50)
+    held = [(np.arange(12), np.zeros(12, np.uint32), anchor, run, value, start, count, data, offsets[:-1])]
+    for bucket, kind, blob in sd._send(held, 50, 2, 2):
+        if kind == sd.REMOVED:
+            docs, _, starts, counts = sd.load(blob[8:])
+            for d, s, c in zip(np.cumsum(docs), starts, counts, strict=True):
+                assert any(texts[d][s : s + c + 49] in t for t in texts[:d])
+
+
 def test_dump_and_load():
     arrays = [np.arange(1000, dtype=np.int64), np.random.default_rng(1).integers(0, 255, 99).astype(np.uint8), np.zeros(0, np.uint32)]
     assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, sd.load(sd.dump(*arrays)), strict=True))
