@@ -7,15 +7,18 @@ is an occurrence, and its words are hit. A word that no item has sends the autom
 to its start, so only runs of item words need streaming; which words may be item words is
 found for whole batches at once, and confirmed on the words themselves.
 
-Items are read through the driver in blocks of at most ``BLOCK_WORDS`` words, and each
-block has an automaton of its own: that bounds what is broadcast and what a worker holds
-at a time, whatever the number of items. The documents are read once and not shuffled.
+Items are dealt into blocks of about ``BLOCK_WORDS`` words at most, on the cluster; each has
+an automaton of its own and makes a pass over the documents, which adds to what the last
+pass found. So what the driver holds, what is broadcast and what a worker keeps is bounded
+by a block, whatever the number of items, and every worker builds each automaton once. A
+benchmark of one block, the usual one, makes one pass: documents are read once and not
+shuffled.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,12 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import scratch_path, written
 from .hashing import raw, separators, slices, word_hashes
 
-#: Words of test items in a block; an item of more makes a block by itself.
+#: Words of test items in a block; a longer item is one block's.
 BLOCK_WORDS = 400_000
-#: Automata that a worker keeps.
-KEPT = 2
 #: All ASCII but digits and letters parts words.
 SEPARATORS = separators([b for b in range(128) if not chr(b).isalnum()])
 _FOLD = bytes(32 if b < 128 and not chr(b).isalnum() else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -153,31 +155,29 @@ class SuffixAutomaton:
         return hit, found
 
 
-_automata: OrderedDict[tuple, SuffixAutomaton] = OrderedDict()
+_automata: dict[tuple, SuffixAutomaton] = {}
 
 
 def _automaton(key: tuple, items, window: int) -> SuffixAutomaton:
+    """The automaton of a pass: built once a worker, in place of the last pass's."""
     if key not in _automata:
-        while len(_automata) >= KEPT:
-            _automata.popitem(last=False)
+        _automata.clear()
         _automata[key] = SuffixAutomaton(items.value, window)
-    _automata.move_to_end(key)
     return _automata[key]
 
 
-def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items that have words, a block at a time. A null id is the empty string; null texts have no words."""
-    block, n = [], 0
-    rows = benchmark.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")), F.col(f"`{text}`"))
-    for name, value in rows.toLocalIterator():
-        if words := words_of(value):
-            if block and n + len(words) > BLOCK_WORDS:
-                yield block
-                block, n = [], 0
-            block.append((name, words))
-            n += len(words)
-    if block:
-        yield block
+def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[tuple[bool, list[tuple[str, list[bytes]]]]]:
+    """Blocks of the items that have words, and whether it is the last. A null id is the empty string; null texts have no words; repeated items are one."""
+    rows = benchmark.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("name"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL").distinct()
+    total = rows.agg(F.sum(F.regexp_count(F.lower("text"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")))).first()[0] or 0
+    n = 1 if total <= BLOCK_WORDS else math.ceil(total / (0.75 * BLOCK_WORDS))  # dealt by hash: a block comes out at three quarters in the mean
+    if n > 1:
+        dealt, path = rows.withColumn("block", F.pmod(F.xxhash64("name", "text"), F.lit(n)).cast("int")), scratch_path(rows.sparkSession, "items")
+        dealt.write.partitionBy("block").parquet(path)
+        rows = rows.sparkSession.read.schema(dealt.schema).parquet(path)
+    for k in range(n):
+        part = rows.filter(F.col("block") == k).select("name", "text") if n > 1 else rows
+        yield k == n - 1, [(name, words) for name, value in part.toLocalIterator() if (words := words_of(value))]
 
 
 SCHEMA = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
@@ -193,43 +193,54 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", t
     named once. Without items nothing is hit; an empty ``docs`` gives no rows.
     """
     context = docs.sparkSession.sparkContext
-    blocks = [(uuid.uuid4().hex, context.broadcast(b)) for b in item_blocks(benchmark)]
     more = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), *more)
-    head = ", ".join(f"{c} {t}" for c, t in rows.dtypes if c != "text" or keep_text)
+    given = rows.dtypes
+    for last, items in item_blocks(benchmark):
+        held = (uuid.uuid4().hex, context.broadcast(items))
+        rows = _pass(rows, given, held, window, keep_text or not last)
+        if not last:
+            rows = written(rows, "hits")
+            held[1].destroy()
+    return rows
 
+
+def _pass(rows: DataFrame, given: list[tuple[str, str]], items: tuple, window: int, keep_text: bool) -> DataFrame:
     def scan(batches):
         for batch in batches:
             _, offsets = raw(batch.column(1))
             for a, b in slices(offsets, STEP):
-                yield _scan(batch.slice(a, b - a), blocks, window, keep_text)
+                yield _scan(batch.slice(a, b - a), len(given), items, window, keep_text)
 
-    return rows.mapInArrow(scan, f"{head}, {SCHEMA}")
+    return rows.mapInArrow(scan, f"{', '.join(f'{c} {t}' for c, t in given if c != 'text' or keep_text)}, {SCHEMA}")
 
 
-def _scan(batch: pa.RecordBatch, blocks: list, window: int, keep_text: bool) -> pa.RecordBatch:
+def _scan(batch: pa.RecordBatch, n_given: int, items: tuple, window: int, keep_text: bool) -> pa.RecordBatch:
     data, offsets = raw(batch.column(1))
     hashes, counts, starts, ends = word_hashes(data, offsets, SEPARATORS)
-    slots = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
     firsts = np.concatenate([[0], np.cumsum(counts)])
     hit = np.zeros(len(hashes), bool)
     found: dict[int, set[str]] = {}
-    folded = bytes(data).translate(_FOLD)
-    for key, items in blocks:
-        automaton = _automaton((key, window), items, window)
-        known = automaton.filter[slots]
-        # runs of words that may be item words, within one text
-        edge = np.zeros(len(known) + 1, bool)
-        edge[firsts] = True
-        begin = np.flatnonzero(known & np.concatenate([[True], ~known[:-1]]) | known & edge[:-1]) if len(known) else np.zeros(0, np.int64)
-        stop = np.flatnonzero(known & np.concatenate([~known[1:], [True]]) | known & edge[1:]) + 1 if len(known) else begin
-        long = stop - begin >= automaton.least
-        for x, y in zip(begin[long].tolist(), stop[long].tolist(), strict=True):
-            mask, names = automaton.stream([folded[s:e] for s, e in zip(starts[x:y].tolist(), ends[x:y].tolist(), strict=True)])
+    if batch.num_columns > n_given:  # what former passes found
+        for doc, (names, held) in enumerate(zip(batch.column("items").to_pylist(), batch.column("spans").to_pylist(), strict=True)):
             if names:
-                hit[x:y] |= mask
-                doc = int(np.searchsorted(firsts, x, side="right")) - 1
-                found.setdefault(doc, set()).update(automaton.names[i] for i in names)
+                found[doc] = set(names)
+            for s in held or ():
+                hit[np.searchsorted(starts, offsets[doc] + s["start"]) : np.searchsorted(ends, offsets[doc] + s["end"], side="right")] = True
+    automaton, folded = _automaton((items[0], window), items[1], window), bytes(data).translate(_FOLD)
+    known = automaton.filter[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
+    # runs of words that may be item words, within one text
+    edge = np.zeros(len(known) + 1, bool)
+    edge[firsts] = True
+    begin = np.flatnonzero(known & np.concatenate([[True], ~known[:-1]]) | known & edge[:-1]) if len(known) else np.zeros(0, np.int64)
+    stop = np.flatnonzero(known & np.concatenate([~known[1:], [True]]) | known & edge[1:]) + 1 if len(known) else begin
+    long = stop - begin >= automaton.least
+    for x, y in zip(begin[long].tolist(), stop[long].tolist(), strict=True):
+        mask, names = automaton.stream([folded[s:e] for s, e in zip(starts[x:y].tolist(), ends[x:y].tolist(), strict=True)])
+        if names:
+            hit[x:y] |= mask
+            doc = int(np.searchsorted(firsts, x, side="right")) - 1
+            found.setdefault(doc, set()).update(automaton.names[i] for i in names)
     n_hit = np.add.reduceat(np.concatenate([hit, [False]]).astype(np.int64), firsts[:-1]) if len(counts) else np.zeros(0, np.int64)
     n_hit[counts == 0] = 0
     spans: list[list] = [[]] * len(counts)
@@ -238,7 +249,7 @@ def _scan(batch: pa.RecordBatch, blocks: list, window: int, keep_text: bool) ->
         m = np.concatenate([[False], hit[a:b], [False]])
         turn = np.flatnonzero(m[1:] != m[:-1])
         spans[doc] = [{"start": int(starts[a + s] - offsets[doc]), "end": int(ends[a + e - 1] - offsets[doc])} for s, e in zip(turn[::2], turn[1::2], strict=True)]
-    kept = [i for i in range(batch.num_columns) if i != 1 or keep_text]
+    kept = [i for i in range(n_given) if i != 1 or keep_text]
     columns, names = [batch.column(i) for i in kept], [batch.schema.names[i] for i in kept]
     return pa.RecordBatch.from_arrays(
         [*columns, pa.array(counts, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(found.get(i, ())) for i in range(len(counts))], pa.list_(pa.string())),
@@ -277,3 +288,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     kinds = dict(seen.dtypes)
     out = seen.mapInArrow(clean, f"doc_id {kinds['doc_id']}, text string, n_removed long" + (f", carried {kinds['carried']}" if carry else ""))
     return out.select("doc_id", "text", "n_removed", *[F.col("carried")[c].alias(c) for c in carry or ()])
+
+
+def cut_documents(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 10, max_coverage: float = 0.5) -> DataFrame:
+    """``docs`` with all its columns, by position and whatever their names, but the spans cut out of texts; see ``decontaminate``.
+
+    A column ``n_chars`` follows a text that was cut.
+    """
+    others = [c for c in docs.columns if c not in (doc_id, text)]
+    inner = docs.select(doc_id, text, F.struct(*[F.col(f"`{c}`") for c in others]).alias("row")) if others else docs.select(doc_id, text)
+    out = decontaminate(inner, benchmark, doc_id, text, window, max_coverage, ["row"] if others else None)
+    put = {doc_id: F.col("doc_id"), text: F.col("text")} | {c: F.col("row")[c] for c in others}
+    if "n_chars" in others:
+        put["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("row")["n_chars"])
+    return out.select(*[put[c].alias(c) for c in docs.columns])
