@@ -26,7 +26,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i in range(16):
         store.append(landed.filter(F.col("_arrival") == i).drop("_arrival"))
     store.compact()
-    store.vacuum()
+    store.vacuum(grace_seconds=0)  # nobody else writes to it
     return store.read().select(
         "doc_id", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"),
         F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("text_md5"),

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -71,7 +72,11 @@ class ShardStore:
         return f"{self.root}/manifests/v{version:012d}.json"
 
     def _commit(self, version: int, schema: dict | None, shards: list[Shard]) -> None:
-        """Write beside, then rename onto the version's name: the one atomic step."""
+        """Write beside, then rename onto the version's name, which must be free: the one atomic step.
+
+        That is atomic where renaming refuses to overwrite, as in HDFS and local folders. An
+        object store needs a committer with a conditional put in its place.
+        """
         beside = self._path(f"{self.root}/manifests/_{uuid.uuid4().hex}")
         stream = self._files.create(beside, False)
         stream.write(bytearray(json.dumps({"version": version, "schema": schema, "shards": [[s.path, s.n_bytes] for s in shards]}).encode()))
@@ -98,11 +103,13 @@ class ShardStore:
     def append_each(self, arrivals: DataFrame, by: str | None) -> int:
         """Add many arrivals in one pass; ``by`` is a column that tells them apart and is not stored."""
         held, folder = self.manifest(), uuid.uuid4().hex
+        schema = json.loads((arrivals.drop(by) if by is not None else arrivals).schema.json())
+        if held["schema"] and _fields(held["schema"]) != _fields(schema):
+            raise ValueError(f"the arrival's columns are {_fields(schema)}, the table's {_fields(held['schema'])}")
         writer = arrivals.write.option("compression", "zstd")
         if by is not None:
             writer = writer.partitionBy(by)
         writer.parquet(f"{self.root}/data/{folder}")
-        schema = json.loads(arrivals.drop(by).schema.json() if by is not None else arrivals.schema.json())
         new = self._written(folder)
         self._commit(held["version"] + 1, held["schema"] or schema, [*(Shard(*s) for s in held["shards"]), *new])
         return held["version"] + 1
@@ -143,16 +150,22 @@ class ShardStore:
             self._commit(held["version"] + 1, held["schema"], [*stay, *new])
         return self.manifest()["version"]
 
-    def vacuum(self) -> int:
-        """Delete data files that the last manifest does not name; returns how many. Older versions can then no longer be read."""
-        at, n = self._path(f"{self.root}/data"), 0
+    def vacuum(self, grace_seconds: float = 24 * 3600) -> int:
+        """Delete data files that the last manifest does not name; returns how many. Older versions can then no longer be read.
+
+        Files younger than the grace stay: they may be another writer's that has not
+        committed yet. It must be longer than any write takes; 0 is for a store with no
+        other writer.
+        """
+        at, n, until = self._path(f"{self.root}/data"), 0, time.time() * 1000 - grace_seconds * 1000
         live = {s[0] for s in self.manifest()["shards"]}
         if not self._files.exists(at):
             return 0
         it, dead = self._files.listFiles(at, True), []
         while it.hasNext():
-            p = it.next().getPath()
-            if p.getName().endswith(".parquet") and p.toString().split("/data/")[-1] not in live:
+            x = it.next()
+            p = x.getPath()
+            if p.getName().endswith(".parquet") and x.getModificationTime() <= until and p.toString().split("/data/")[-1] not in live:
                 dead.append(p)
         for p in dead:
             n += bool(self._files.delete(p, False))
@@ -174,6 +187,10 @@ class ShardStore:
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/data/{s[0]}" for s in held["shards"]])
 
 
+def _fields(schema: dict) -> list[tuple[str, str]]:
+    return [(f["name"], json.dumps(f["type"], sort_keys=True)) for f in schema["fields"]]
+
+
 def arrivals(df: DataFrame, n: int, key: str, name: str) -> DataFrame:
     """``df`` dealt into so many arrivals by the key's hash, as column ``name``."""
     return df.withColumn(name, F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(n)).cast("int"))

@@ -13,9 +13,7 @@ that holds it all.
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
-import io
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +24,10 @@ VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEX32, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 ID = "urn:curatrix:page:"
+#: What ends a record; what stands between two (with all of the version but its end), and what before the first.
+SEPARATOR, JOINT, MAGIC = "\r\n\r\n", b"\r\n\r\nWARC/1.", b"WARC/1."
+#: Bytes of html in an archive, in the mean.
+ARCHIVE_BYTES = 128 << 20
 
 READ_SCHEMA = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload string"
 
@@ -84,36 +86,62 @@ def records(resolved: DataFrame, date: str = "1970-01-01T00:00:00Z") -> DataFram
     )
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> None:
-    """Write deduplicated ``.gz`` archives into the folder ``path``."""
-    records(resolve(pages, min_bytes), date).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write deduplicated ``.gz`` archives into the folder ``path``; so many records go to one as have ``archive_bytes`` of html in the mean.
+
+    An archive is one gzip stream. Record ids are made of page ids, so rows that repeat a
+    page_id repeat its record id.
+    """
+    n, size = pages.agg(F.count("*"), F.sum(F.octet_length("html"))).first()
+    most = max(1, int(archive_bytes * n / size)) if size else 0
+    records(resolve(pages, min_bytes), date).write.option("lineSep", SEPARATOR).option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
 
 
-def parse_archive(stream) -> "list[dict]":
-    """Yield the records of one decompressed archive: named headers, HTTP length and payload bytes."""
-    while True:
-        line = stream.readline()
-        if not line:
-            return
-        if not line.strip():
-            continue
-        if not line.startswith(b"WARC/"):
-            raise ValueError(f"not a WARC record: {line[:40]!r}")
-        headers = {}
-        while (line := stream.readline().rstrip(b"\r\n")):
-            name, _, value = line.partition(b":")
-            headers[name.strip().lower().decode()] = value.strip().decode()
-        block = stream.read(int(headers["content-length"]))
-        head, _, payload = block.partition(b"\r\n\r\n")
-        http = dict(x.lower().split(b": ", 1) for x in head.split(b"\r\n")[1:] if b": " in x)
-        yield headers | {"length": int(http.get(b"content-length", b"0")), "payload": payload}
+def parse_record(whole: bytes) -> "tuple[dict, int] | None":
+    """The headers of a record without its version, and how many bytes the record has; None if its headers aren't complete."""
+    head, sep, _ = whole.partition(b"\r\n\r\n")
+    if not sep:
+        return None
+    headers = {}
+    for line in head.split(b"\r\n")[1:]:
+        name, _, value = line.partition(b":")
+        headers[name.strip().lower().decode()] = value.strip().decode()
+    return headers, len(head) + 4 + int(headers["content-length"])
+
+
+def rejoined(chunks):
+    """Records (headers, block) from what lies between separators in each file: a block that holds the separator itself is put together again.
+
+    ``chunks`` are (file, bytes) pairs in the files' order.
+    """
+    file, held, need = None, [], None
+    for name, chunk in chunks:
+        if name != file:
+            if held:
+                raise ValueError("an archive ends within a record")
+            file, first = name, True
+        if first:
+            if not chunk.startswith(MAGIC):
+                raise ValueError(f"not a WARC record: {chunk[:40]!r}")
+            chunk, first = chunk[len(MAGIC) :], False
+        held.append(chunk)
+        if need is None or sum(map(len, held)) + len(JOINT) * (len(held) - 1) >= need:
+            whole = JOINT.join(held)
+            found = parse_record(whole)
+            need = found and found[1]
+            if found and len(whole) >= need:
+                yield found[0], whole[whole.index(b"\r\n\r\n") + 4 : need]
+                held, need = [], None
+    if held:
+        raise ValueError("an archive ends within a record")
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """The records of all archives under ``path``: ``READ_SCHEMA``.
 
-    A response's bytes and digest are computed from its payload, a revisit's are those
-    its headers name. ``payloads=False`` leaves payloads out of the rows.
+    Archives are streamed by Spark's text source, a record at a time, so their size does
+    not matter. A response's bytes and digest are computed from its payload, a revisit's
+    are those its headers name. ``payloads=False`` leaves payloads out of the rows.
     """
 
     def number(urn: str | None) -> int | None:
@@ -127,20 +155,24 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
         def batch(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=names)
 
-        for b in batches:
-            for content in b.column(0):
+        chunks = ((name, chunk.as_py()) for b in batches for name, chunk in zip(b.column(0).to_pylist(), b.column(1), strict=True))
+        held, size = [], 0
+        for r, block in rejoined(chunks):
+            head, _, whole = block.partition(b"\r\n\r\n")
+            kind = r["warc-type"]
+            if kind == "response":
+                digest, n = base64.b32encode(hashlib.sha1(whole).digest()).decode(), len(whole)
+            else:
+                http = dict(x.lower().split(b": ", 1) for x in head.split(b"\r\n")[1:] if b": " in x)
+                digest, n = r["warc-payload-digest"].removeprefix("sha1:"), int(http.get(b"content-length", b"0"))
+            text = whole.decode() if payloads and kind == "response" else None
+            held.append((number(r["warc-record-id"]), r.get("warc-target-uri"), kind, n, digest, number(r.get("warc-refers-to")), text))
+            size += len(text or "")
+            if len(held) >= 1000 or size > 4_000_000:
+                yield batch(held)
                 held, size = [], 0
-                for r in parse_archive(gzip.GzipFile(fileobj=io.BytesIO(content.as_py()))):
-                    whole, kind = r["payload"], r["warc-type"]
-                    digest = base64.b32encode(hashlib.sha1(whole).digest()).decode() if kind == "response" else r["warc-payload-digest"].removeprefix("sha1:")
-                    text = whole.decode() if payloads and kind == "response" else None
-                    held.append((number(r["warc-record-id"]), r.get("warc-target-uri"), kind, len(whole) if kind == "response" else r["length"], digest, number(r.get("warc-refers-to")), text))
-                    size += len(text or "")
-                    if len(held) >= 1000 or size > 4_000_000:
-                        yield batch(held)
-                        held, size = [], 0
-                if held:
-                    yield batch(held)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(read, READ_SCHEMA)
+        if held:
+            yield batch(held)
+
+    files = spark.read.option("lineSep", JOINT.decode()).option("pathGlobFilter", "*.gz").text(path)
+    return files.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("chunk")).mapInArrow(read, READ_SCHEMA)

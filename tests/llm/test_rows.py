@@ -68,7 +68,7 @@ def test_chat_round_trip(spark):
 
 
 def test_warc(spark, tmp_path):
-    pages = [(1, "http://a/", "<p>x</p>"), (2, "http://b/ c\n", "<p>x</p>"), (3, None, "é" * 5000), (4, "u", None), (5, "u", ""), (6, "u", "WARC/1.1\r\n\r\nz\r\n\r\n"), (None, "n", "<p>x</p>"), (7, "r", "same"), (7, "r", "same")]
+    pages = [(1, "http://a/", "<p>x</p>"), (2, "http://b/ c\n", "<p>x</p>"), (3, None, "é" * 5000), (4, "u", None), (5, "u", ""), (6, "u", "WARC/1.1\r\n\r\nz\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 0\r\n\r\n\r\n\r\nWARC/1.0\r\n"), (None, "n", "<p>x</p>"), (7, "r", "same"), (7, "r", "same")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("payload", F.lit(1))
     warc.write_archives(df, str(tmp_path / "w"))
     got = sorted(map(tuple, warc.read_archives(spark, str(tmp_path / "w")).collect()), key=str)
@@ -79,6 +79,11 @@ def test_warc(spark, tmp_path):
         kind = "response" if i == first else "revisit"
         want.append((i, None if u is None else re.sub(r"[\x00-\x20\x7f]", "%20", u), kind, len((h or "").encode()), digest(h), None if kind == "response" else first, (h or "") if kind == "response" else None))
     assert got == sorted(want, key=str)
+    warc.write_archives(df, str(tmp_path / "small"), archive_bytes=3000)
+    assert len(list((tmp_path / "small").glob("*.gz"))) > len(list((tmp_path / "w").glob("*.gz")))
+    assert sorted(map(tuple, warc.read_archives(spark, str(tmp_path / "small")).collect()), key=str) == got
+    warc.write_archives(df.limit(0), str(tmp_path / "none"))
+    assert warc.read_archives(spark, str(tmp_path / "none")).collect() == []
     small = warc.resolve(df, min_bytes=100).filter("record_type = 'revisit'").count()
     assert small == 0
 
@@ -263,10 +268,30 @@ def test_decontamination(spark, monkeypatch, block):
     rows = [(i, None if i % 9 == 8 else text(r.randrange(0, 60)) + " zz " + (r.choice(items)[1] or "").upper()) for i in range(40)]
     b = spark.createDataFrame(items, "item_id long, text string")
     got = dc.occurrences(spark.createDataFrame(rows, "doc_id long, text string").withColumn("items", F.lit(1)), b, window=9)
+    assert len(list(dc.item_blocks(b))) == 1 if block > 12 else len(list(dc.item_blocks(b))) >= 5
     for x in got.collect():
         assert (x.n_words, x.n_hit, x["items"]) == brute_hits(dict(rows)[x.doc_id], items, 9)
 
 
+def test_an_automaton_is_built_once_a_pass(monkeypatch):
+    built = []
+
+    class Held:
+        value = [("1", [b"a", b"b", b"c"])]
+
+    make = dc.SuffixAutomaton
+    monkeypatch.setattr(dc, "SuffixAutomaton", lambda *a: built.append(1) or make(*a))
+    for key in ("x", "x", "x", "y", "y"):
+        dc._automaton((key, 3), Held, 3)
+    assert len(built) == 2 and len(dc._automata) == 1
+
+
+def test_decontamination_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "one two three more text", 5, "x")], "doc_id long, text string, n_chars long, n_removed string").withColumn("spans", F.lit(2)).withColumn("carried", F.lit(3))
+    out = dc.cut_documents(df, spark.createDataFrame([(1, "one two three")], "item_id long, text string"), max_coverage=0.9)
+    assert out.columns == df.columns and out.collect() == [(1, " more text", 10, "x", 2, 3)]
+
+
 def test_cutting_leaves_clean_documents_alone(spark):
     item = "one two three four five six seven eight nine ten eleven"
     clean, dirty = "Some clean text, é " * 9, "Before it. One-two three FOUR five six seven eight nine ten eleven! And after it there is so much more text that it stays, é, for sure, yes."
@@ -286,8 +311,20 @@ def test_sharding(spark, tmp_path):
     assert store.compact() > 4 and len(store.manifest()["shards"]) < before
     rows = lambda x: sorted(map(tuple, x.collect()), key=str)
     assert rows(store.read()) == rows(df) == rows(store.read(4))
-    store.vacuum()
-    assert rows(store.read()) == rows(df)
+    assert store.vacuum() == 0  # all too young
+    late = sharding.ShardStore(spark, store.root)
+    late._commit = lambda *a: store.vacuum() and None  # another writer cleans up before this one commits
+    late.append(df.limit(1))
+    sharding.ShardStore._commit(late, store.versions()[-1] + 1, store.manifest()["schema"], [*(sharding.Shard(*x) for x in store.manifest()["shards"]), *late._written(max((tmp_path / "s" / "data").iterdir(), key=lambda p: p.stat().st_mtime).name)])
+    assert store.read().count() == df.count() + 1
+    store.append(df.limit(0))
+    assert store.read().count() == df.count() + 1
+    with pytest.raises(ValueError, match="columns"):
+        store.append(df.withColumnRenamed("arrival", "other"))
+    with pytest.raises(ValueError, match="columns"):
+        store.append(df.withColumn("doc_id", F.col("doc_id").cast("string")))
+    assert store.vacuum(grace_seconds=0) > 0
+    assert store.read().count() == df.count() + 1
     with pytest.raises(sharding.CommitConflict):
         store._commit(store.versions()[-1], None, [])
     with pytest.raises(sharding.CommitConflict):
