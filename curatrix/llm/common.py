@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 import tempfile
 import uuid
 
@@ -71,11 +72,14 @@ def reachable(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (as in local tests), a temporary folder is set.
+    Where a session in one local process names none (as in tests), a temporary folder is
+    set; a cluster has to name one.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="curatrix-"))
         named = context.getCheckpointDir()
     return named
