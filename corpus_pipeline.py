@@ -5,9 +5,12 @@ the last return the columns of ``documents``; where a stage changes texts, ``n_c
 follows. The last returns packed pieces: doc_id, piece, start, length, ids_crc32,
 sequence_id, offset.
 
-Rows with a null doc_id pass stages that need an id unchanged. Repeated rows stay repeated
-but for near-dedup, which keeps one row of each doc_id and text. Extra columns of
-``documents`` are carried along up to packing.
+Null and empty texts fail the quality rules' least length; later stages, by themselves,
+treat a null text as an empty one. Rows with a null doc_id pass stages that need an id
+unchanged. Repeated rows stay repeated but for near-dedup, which keeps one row of each
+doc_id and text; of copies that tie, the smallest id stays. Extra columns of ``documents``
+are carried along up to packing, whatever their names but for ``_text_id`` and ``_digest``.
+Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -62,10 +65,10 @@ def _first_of_near_copies(docs: DataFrame, key: str) -> DataFrame:
 
 def _with_texts(docs: DataFrame, changed: DataFrame, key: str) -> DataFrame:
     """``docs`` with the texts of ``changed`` (key, new_text) where it has any; its n_chars follows."""
-    new = docs.join(changed, key, "left")
-    text = F.coalesce("new_text", "text")
-    put = {"text": text, "n_chars": F.when(F.col("new_text").isNotNull(), F.length("new_text").cast("long")).otherwise(F.col("n_chars"))}
-    return new.select(*[put.get(c, F.col(c)).alias(c) for c in docs.columns])
+    row = docs.select(F.col(key), F.struct(*docs.columns).alias("row")).join(changed, key, "left")
+    new = F.col("new_text")
+    put = {"text": F.coalesce(new, "row.text")} | ({"n_chars": F.when(new.isNotNull(), F.length(new).cast("long")).otherwise(F.col("row.n_chars"))} if "n_chars" in docs.columns else {})
+    return row.select(*[put.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -87,11 +90,7 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut; documents that are more than half benchmark go."""
-    items = reachable(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
-    columns = [c for c in docs.columns if c not in ("doc_id", "text")]
-    return decontamination.decontaminate(docs, items, carry=columns).select(
-        *[F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    )
+    return decontamination.cut_documents(docs, reachable(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """What ``spark.checkpoint.dir`` names; a temporary folder is set only where the session names none."""
+    """What ``spark.checkpoint.dir`` names; a temporary folder is set only where a session in one local process names none."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="curatrix-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
