@@ -10,6 +10,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a scanned table for which a file of results is written.
+FILE_BYTES = 32 << 20
 #: White space that separates words: blank, and tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -94,10 +96,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def files_for(df: DataFrame, n_bytes: int = FILE_BYTES) -> int:
+    """In how many files to write what comes of the table that ``df`` scans: one for ``n_bytes`` of it, but two a core at least.
+
+    Thousands of small files, one for each small partition, cost more than their rows.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(2 * cores, min(int(str(size)) // n_bytes, 1_000_000))
+
+
+def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again: cuts the lineage,
-    and survives the loss of any executor."""
+    and survives the loss of any executor. ``files`` is how many it has at most."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

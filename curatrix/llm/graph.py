@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from .common import written
 
 
-def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
+def components(edges: DataFrame, u: str = "u", v: str = "v", files: int | None = None) -> DataFrame:
     """node, component (the smallest node it is connected with, itself included), for the nodes of edges between different nodes.
 
-    Edges with a null end, loops and repeated edges add nothing.
+    Each round is written as ``files`` files at most. Edges with a null end, loops and repeated edges add nothing.
     """
     a, b = F.col(u), F.col(v)
-    held = written(edges.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
+    held = written(edges.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges", files)
     state = _state(held)
     while state[0]:
         both = held.select(F.col("u").alias("x"), F.col("v").alias("y")).union(held.select("v", "u"))
@@ -26,7 +26,7 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         large = both.join(least, "x").filter("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         down = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        held = written(down.union(least).distinct(), "edges")
+        held = written(down.union(least).distinct(), "edges", files)
         now = _state(held)
         if now == state:
             break

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy, tidy_stream, written
+from .common import files_for, tidy, tidy_stream, written
 from .graph import components
 from .hashing import ODD, U, mix, raw, shingles, slices
 
@@ -183,13 +183,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     doc_ids are one document for linking. Other columns are not read.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    sketched = written(rows.mapInArrow(tidy_stream(_sketch_batches(percent)), "doc_id long, n_shingles long, n_bytes long, set_a long, set_b long, bands array<long>"), "sketches")
+    files = files_for(docs)
+    sketched = written(rows.mapInArrow(tidy_stream(_sketch_batches(percent)), "doc_id long, n_shingles long, n_bytes long, set_a long, set_b long, bands array<long>"), "sketches", files)
     full = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
     reps = sets.join(full.select(F.col("doc_id").alias("rep"), "set_a", "set_b", "n_bytes", "bands"), ["rep", "set_a", "set_b"]).select("rep", F.greatest("n_shingles", F.col("n_bytes") / 8).cast("long").alias("weight"), "bands")
     dealt = reps.select("rep", F.posexplode("bands").alias("band", "hash"))
     least = dealt.groupBy("band", "hash").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least != most").drop("most")
-    candidates = components(dealt.join(least, ["band", "hash"]).filter("rep != least").select(F.col("rep").alias("u"), F.col("least").alias("v")))
+    candidates = components(dealt.join(least, ["band", "hash"]).filter("rep != least").select(F.col("rep").alias("u"), F.col("least").alias("v")), files=files)
     groups = candidates.withColumnRenamed("node", "rep").join(reps.select("rep", "weight"), "rep")
     sizes = groups.groupBy("component").agg(F.sum("weight").alias("total")).select("component", F.ceil(F.col("total") / block).cast("int").alias("n_blocks"))
     groups = groups.dropDuplicates(["rep"]).join(sizes, "component").select("rep", "component", "n_blocks", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int").alias("block"))
@@ -201,32 +202,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         reps_ = table.column("rep").to_numpy()
         return pa.table({"rep": reps_, "label": reps_[label], "component": table.column("component"), "n_blocks": table.column("n_blocks"), "block": table.column("block")})
 
-    found = written(texts.groupBy("component", "block").applyInArrow(tidy(search), "rep long, label long, component long, n_blocks int, block int"), "links")
+    found = written(texts.groupBy("component", "block").applyInArrow(tidy(search), "rep long, label long, component long, n_blocks int, block int"), "links", files)
     labels = found.select("rep", "label")
     split = found.filter("n_blocks > 1")
     if split.head(1):
-        labels = _join_blocks(labels, split, rows, percent)
+        labels = _join_blocks(labels, split, rows, percent, files)
     moved = labels.filter("rep != label").distinct()
     if moved.groupBy("rep").count().filter("count > 1").head(1):  # ids that stand for several texts
-        moved = components(moved.withColumnsRenamed({"rep": "u", "label": "v"})).withColumnsRenamed({"node": "rep", "component": "label"})
+        moved = components(moved.withColumnsRenamed({"rep": "u", "label": "v"}), files=files).withColumnsRenamed({"node": "rep", "component": "label"})
     named = sets.join(moved, "rep", "left").select("set_a", "set_b", "n_shingles", F.coalesce("label", "rep").alias("found"))
     out = sketched.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("found")), F.col("doc_id")))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _join_blocks(labels: DataFrame, split: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+def _join_blocks(labels: DataFrame, split: DataFrame, rows: DataFrame, percent: int, files: int) -> DataFrame:
     """Labels over the blocks of candidate components that were split."""
-    members = written(split.join(rows.withColumnRenamed("doc_id", "rep"), "rep"), "members")
+    members = written(split.join(rows.withColumnRenamed("doc_id", "rep"), "rep"), "members", files)
     roots = members.filter("rep = label")
-    first = components(_meet(roots, members, percent))
+    first = components(_meet(roots, members, percent), files=files)
     roots_now = first.select(F.col("node").alias("label"), F.col("component").alias("root"))
     now = members.join(roots_now, "label", "left").withColumn("now", F.coalesce("root", "label"))
     counts = now.groupBy("component", "now").agg(F.count("*").alias("n"))
     largest = counts.groupBy("component").agg(F.max_by("now", F.struct("n", "now")).alias("largest"))
     apart = now.join(largest, "component").filter("now != largest")
     edges = first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(_meet(apart, members, percent))
-    final = components(edges)
+    final = components(edges, files=files)
     return labels.join(final.select(F.col("node").alias("label"), F.col("component").alias("root")), "label", "left").select("rep", F.coalesce("root", "label").alias("label"))
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import tidy_stream, written
+from .common import files_for, tidy_stream, written
 from .tokens import crc32, tokenizer_of
 
 CAPACITY, END = 4096, 1
@@ -188,7 +188,7 @@ def _islands(batches):
             yield pa.RecordBatch.from_pylist([out], schema=schema)
 
 
-def _evolved(shards: DataFrame, n: int, capacity: int) -> DataFrame:
+def _evolved(shards: DataFrame, n: int, capacity: int, files: int | None = None) -> DataFrame:
     """Each island's best packings after all epochs; between epochs the best one of each moves to the next island of its shard."""
     problems = shards.select("shard", F.transform("items", lambda x: x["length"]).alias("lengths"), F.lit(capacity).alias("capacity"))
     islands = problems.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])))
@@ -201,22 +201,22 @@ def _evolved(shards: DataFrame, n: int, capacity: int) -> DataFrame:
             made = F.greatest(F.struct((-F.col("n")).alias("n"), "fill", "made"), F.col("from"))["made"]
             now = both.select(*islands.columns, F.concat("own", "moved").alias("immigrants"), made.alias("made"))
         dealt = now.withColumn("epoch", F.lit(epoch)).repartition(max(1, min(n * ISLANDS, 10_000)), "shard", "island")
-        found = written(dealt.mapInArrow(_islands, ISLAND), "islands")
+        found = written(dealt.mapInArrow(_islands, ISLAND), "islands", files)
     return found
 
 
-def _shards(table: DataFrame) -> tuple[DataFrame, int]:
+def _shards(table: DataFrame, files: int | None = None) -> tuple[DataFrame, int]:
     """The rows of ``table`` (written) in shards of about ``SHARD``, equal rows apart from each other: shard, items (sorted)."""
     n = max(1, -(-table.count() // SHARD))
     shard = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(n))
     item = F.struct("doc_id", "piece", "start", "length", "ids_crc32")
-    return written(table.withColumn("shard", shard).groupBy("shard").agg(F.sort_array(F.collect_list(item)).alias("items")), "shards"), n
+    return written(table.withColumn("shard", shard).groupBy("shard").agg(F.sort_array(F.collect_list(item)).alias("items")), "shards", files), n
 
 
-def _pack(table: DataFrame, capacity: int) -> DataFrame:
+def _pack(table: DataFrame, capacity: int, files: int | None = None) -> DataFrame:
     """The rows of ``table`` (written) with shard, group, offset and the group's fill."""
-    shards, n = _shards(table)
-    best = _evolved(shards, n, capacity).groupBy("shard").agg(F.min_by(F.get("best", 0), F.struct("n", -F.col("fill"), "island")).alias("groups"))
+    shards, n = _shards(table, files)
+    best = _evolved(shards, n, capacity, files).groupBy("shard").agg(F.min_by(F.get("best", 0), F.struct("n", -F.col("fill"), "island")).alias("groups"))
     pairs = shards.join(best, "shard").select("shard", F.explode(F.arrays_zip("items", "groups")).alias("x"))
     rows = pairs.select("shard", "x.items.*", F.col("x.groups").alias("group"))
     order = Window.partitionBy("shard", "group").orderBy("doc_id", "piece", "start", "length", "ids_crc32")
@@ -239,25 +239,25 @@ def report(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return bounds.join(best, "shard").select("shard", F.col("best.n").alias("sequences"), "best.made", "least", "plain")
 
 
-def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def pack(parts: DataFrame, capacity: int = CAPACITY, files: int | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every row of ``parts``.
 
     Rows need a length from 1 to ``capacity``. Rows of equal values are packed each by
     itself, and dealt into different shards; no rows give no sequences. Shards take their
     pieces in sorted order, so ties have one order and a task that runs again gives the
-    same packing; another cut of the table into files may give another, as good one.
+    same packing (steps are written as ``files`` files at most); another cut of the table into files may give another, as good one.
     """
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    first = written(_pack(written(parts.select(*columns), "pieces"), capacity), "packed")
+    first = written(_pack(written(parts.select(*columns), "pieces", files), capacity, files), "packed", files)
     full = first.filter(F.col("fill") >= NEARLY_FULL * capacity)
-    second = _pack(written(first.filter(F.col("fill") < NEARLY_FULL * capacity).select(*columns), "pieces"), capacity)
+    second = _pack(written(first.filter(F.col("fill") < NEARLY_FULL * capacity).select(*columns), "pieces", files), capacity, files)
     name = lambda level: F.shiftleft((F.col("shard") * 2 + level).cast("long"), 20) + F.col("group")
     return full.select(*columns, name(0).alias("sequence_id"), "offset").union(second.select(*columns, name(1).alias("sequence_id"), "offset"))
 
 
 def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, tokenizer: str | None = None, end: int = END) -> DataFrame:
     """Pieces of all documents with their sequence and their place in it."""
-    return pack(pieces(docs, doc_id, text, capacity, tokenizer, end), capacity)
+    return pack(pieces(docs, doc_id, text, capacity, tokenizer, end), capacity, files_for(docs))
 
 
 def sequences(docs: DataFrame, packed: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, tokenizer: str | None = None, end: int = END) -> DataFrame:

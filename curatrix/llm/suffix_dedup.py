@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy, tidy_pair, tidy_stream, written
+from .common import files_for, tidy, tidy_pair, tidy_stream, written
 from .hashing import BASE, BYTES, U, mix, raw, slices
 
 LENGTH = 50
@@ -554,7 +554,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     n = _prime(-(-total // bucket_bytes))
     dealt = named.select(F.pmod("doc_id", F.lit(n)).cast("long").alias("bucket"), "doc_id", "text")
     found = named.mapInArrow(tidy_stream(_find_runs(length, n, n)), ROWS).groupBy("bucket").applyInArrow(tidy(_ask(n)), ROWS)
-    found = written(found, "runs")
+    found = written(found, "runs", files_for(docs))
     wanted = found.filter(F.col("kind").isin(WANTED, WANTED_HOT))
     pieces = dealt.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(tidy_pair(_fetch(length, n, n)), ROWS)
     parted = pieces.groupBy("bucket").applyInArrow(tidy(_sort(length, n)), ROWS)
