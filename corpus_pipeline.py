@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatrix.llm import decontamination, minhash, packing, quality, suffix_dedup
-from curatrix.llm.common import reachable, scratch_path, written
+from curatrix.llm.common import files_for, reachable, scratch_path, written
 
 #: Similarity in percent from which texts are near copies; op1's 85 is its own.
 NEAR = 80
@@ -27,7 +27,7 @@ NEAR = 80
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a rule go."""
-    return quality.kept_documents(docs)
+    return quality.kept_documents(docs).coalesce(files_for(docs))
 
 
 def _ids_repeat(docs: DataFrame) -> bool:
@@ -50,7 +50,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     reachable(spark)
     if not _ids_repeat(docs):
-        return _first_of_near_copies(docs, "doc_id")
+        return _first_of_near_copies(docs, "doc_id").coalesce(files_for(docs))
     row = F.struct(*docs.columns)
     one = _with_text_ids(docs).groupBy("_text_id").agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_text_id", "_row.*")
     kept = _first_of_near_copies(written(one, "texts"), "_text_id").select(*docs.columns)
@@ -85,18 +85,18 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     out = _with_texts(rows, cut, key).select(*docs.columns)
     if repeat:
         out = out.union(docs.filter("doc_id IS NULL"))
-    return out.filter(F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    return out.filter(F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).coalesce(files_for(docs))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut; documents that are more than half benchmark go."""
-    return decontamination.cut_documents(docs, reachable(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontamination.cut_documents(docs, reachable(spark).read.parquet(f"{sf_dir}/benchmark.parquet")).coalesce(files_for(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens."""
     reachable(spark)
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs).coalesce(files_for(docs))
 
 
 STAGES = [
