@@ -183,7 +183,7 @@ def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "tex
 SCHEMA = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 10, keep_text: bool = False, carry: list[str] | None = None) -> DataFrame:
+def occurrences(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 10, keep_text: bool = False, carry: list[str] | None = None, max_coverage: float | None = None) -> DataFrame:
     """For every row of ``docs``: doc_id (and text, and the columns named in ``carry`` as one struct, ``carried``), n_words, n_hit, items (sorted), spans.
 
     Spans are maximal runs of hit words, as byte offsets into the text's UTF-8, from the
@@ -191,6 +191,9 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", t
     are independent of each other, so repeated rows, null ids and other columns do not
     matter. Items of equal texts all occur; an id that stands for several items is
     named once. Without items nothing is hit; an empty ``docs`` gives no rows.
+
+    With ``max_coverage`` the last pass also cuts the spans out of the texts (null ones
+    stay null) and leaves out the rows whose words are hit beyond it.
     """
     context = docs.sparkSession.sparkContext
     more = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []
@@ -198,19 +201,20 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", t
     given = rows.dtypes
     for last, items in item_blocks(benchmark):
         held = (uuid.uuid4().hex, context.broadcast(items))
-        rows = _pass(rows, given, held, window, keep_text or not last)
+        rows = _pass(rows, given, held, window, keep_text or not last, max_coverage if last else None)
         if not last:
             rows = written(rows, "hits")
             held[1].destroy()
     return rows
 
 
-def _pass(rows: DataFrame, given: list[tuple[str, str]], items: tuple, window: int, keep_text: bool) -> DataFrame:
+def _pass(rows: DataFrame, given: list[tuple[str, str]], items: tuple, window: int, keep_text: bool, max_coverage: float | None) -> DataFrame:
     def scan(batches):
         for batch in batches:
             _, offsets = raw(batch.column(1))
             for a, b in slices(offsets, STEP):
-                yield _scan(batch.slice(a, b - a), len(given), items, window, keep_text)
+                found = _scan(batch.slice(a, b - a), len(given), items, window, keep_text)
+                yield found if max_coverage is None else _cut_batch(found, max_coverage)
 
     return rows.mapInArrow(scan, f"{', '.join(f'{c} {t}' for c, t in given if c != 'text' or keep_text)}, {SCHEMA}")
 
@@ -267,27 +271,24 @@ def cut(text: str | None, spans: list[dict] | None) -> str:
     return b"".join([*out, whole[at:]]).decode()
 
 
+def _cut_batch(batch: pa.RecordBatch, max_coverage: float) -> pa.RecordBatch:
+    n, hit = batch.column("n_words").to_numpy(), batch.column("n_hit").to_numpy()
+    batch = batch.filter(pa.array(hit <= max_coverage * n))
+    hit = batch.column("n_hit").to_numpy()
+    if not hit.any():
+        return batch
+    texts, spans = batch.column("text"), batch.column("spans")
+    cuts = pa.array([cut(texts[i].as_py(), spans[i].as_py()) if hit[i] else texts[i].as_py() for i in range(len(hit))], pa.string())
+    return batch.set_column(batch.schema.get_field_index("text"), "text", cuts)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 10, max_coverage: float = 0.5, carry: list[str] | None = None) -> DataFrame:
     """doc_id, text, n_removed (words) and the columns named in ``carry``: spans are cut out of texts; of documents whose words are hit beyond ``max_coverage`` none is left.
 
     Clean documents come back unchanged, null texts included.
     """
-    seen = occurrences(docs, benchmark, doc_id, text, window, keep_text=True, carry=carry)
-    seen = seen.filter(F.col("n_hit") <= max_coverage * F.col("n_words"))
-
-    def clean(batches):
-        for b in batches:
-            hit = b.column("n_hit").to_numpy()
-            texts = b.column("text")
-            if hit.any():
-                spans = b.column("spans")
-                texts = pa.array([cut(texts[i].as_py(), spans[i].as_py()) if hit[i] else texts[i].as_py() for i in range(len(hit))], pa.string())
-            more = [b.column("carried")] if carry else []
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), texts, b.column("n_hit"), *more], names=["doc_id", "text", "n_removed", *["carried"] * len(more)])
-
-    kinds = dict(seen.dtypes)
-    out = seen.mapInArrow(clean, f"doc_id {kinds['doc_id']}, text string, n_removed long" + (f", carried {kinds['carried']}" if carry else ""))
-    return out.select("doc_id", "text", "n_removed", *[F.col("carried")[c].alias(c) for c in carry or ()])
+    out = occurrences(docs, benchmark, doc_id, text, window, keep_text=True, carry=carry, max_coverage=max_coverage)
+    return out.select("doc_id", "text", F.col("n_hit").alias("n_removed"), *[F.col("carried")[c].alias(c) for c in carry or ()])
 
 
 def cut_documents(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 10, max_coverage: float = 0.5) -> DataFrame:

@@ -39,7 +39,7 @@ BLOCK = 1_000_000
 #: Characters of probes that meet a block at once.
 PROBES = 8_000_000
 #: Bytes of text worked on at once.
-STEP = 2_000_000
+STEP = 1_000_000
 _SEEDS = mix(np.arange(1, 2 * BINS + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
 _EMPTY = U(0xFFFFFFFFFFFFFFFF)
 

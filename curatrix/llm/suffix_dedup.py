@@ -43,7 +43,7 @@ LENGTH = 50
 #: Bytes of text for which a block of anchors, and one of documents, is made.
 BUCKET_BYTES = 8 << 20
 #: Bytes hashed at once, and runs that a batch sends at once.
-STEP, FLUSH = 2_000_000, 600_000
+STEP, FLUSH = 1_000_000, 500_000
 SHALLOW = 40
 #: Runs from which an anchor is dealt anew, by grams of this share of a window.
 HOT, LONG_GRAM = 4000, 0.72

@@ -28,7 +28,7 @@ LONGEST = 64
 #: Chunks a line, and lines a call of the tokenizer.
 TOGETHER, LINES = 500, 64
 #: Bytes of text whose distinct chunks are looked up together, and chunks whose ids are put together at once.
-BLOCK, STEP = 12_000_000, 400_000
+BLOCK, STEP = 6_000_000, 200_000
 #: Letters that are single, composed code points are one pre-token, marks behind them another; all else the tokenizer gets alone.
 _LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
 _MARKS = r'[!"#$%&()*+,\-./:;=?@\[\]^_{|}~]+'
