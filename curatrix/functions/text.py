@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -18,6 +19,26 @@ def collapse(c: Column) -> Column:
     return F.regexp_replace(c, WS, " ")
 
 
+@functools.cache
+def _fold_exceptions() -> tuple[str, str]:
+    """Letters that lower case of upper case folds otherwise than Unicode's case folding does, found by that rule."""
+    held = {"ς": "σ"}
+    for code in range(0x110000):
+        if not 0xD800 <= code < 0xE000:
+            c = chr(code)
+            low, folded = c.upper().lower(), c.casefold()
+            if len(low) == len(folded) == 1 and low != folded and c != "ı":
+                held[low] = folded
+    return "".join(held), "".join(held.values())
+
+
+def casefold(c: Column) -> Column:
+    """Unicode case folding: like lower case, but ß is ss, ligatures fall apart, and final sigma is sigma."""
+    (low, folds), dotless, kept, moved = _fold_exceptions(), "ı", "\ue000", "\ue001"
+    upper = F.translate(F.upper(F.translate(c, dotless, kept)), kept, moved)  # between the two, or the optimizer takes upper away
+    return F.replace(F.translate(F.lower(upper), low + moved, folds + dotless), F.lit("ß"), F.lit("ss"))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.when(strip(c) != "", strip(c))
 

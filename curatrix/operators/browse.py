@@ -22,6 +22,35 @@ def browse(records: DataFrame, ai: DataFrame, human: DataFrame, conflicts: DataF
     return out.withColumn("status", status).withColumn("split", F.coalesce("split", F.lit("unassigned"))).withColumn("has_ai", F.col("_ai").isNotNull()).drop("_ai", "_human", "_conflict")
 
 
+#: What is shown for stored values (fixed values).
+CAPTIONS = {
+    "status": {"all": "全部", "negative": "待抽检", "pending": "待复标", "completed": "已完成", "conflict": "有冲突"},
+    "split": {"dev": "开发集", "dev_validation": "开发验证集", "test": "测试集", "": "未分配", "unassigned": "未分配"},
+    "tier": {"positive": "正样本", "negative": "负样本"},
+}
+
+
+def caption(kind: str, value: Column) -> Column:
+    """The caption of a value; a split without one is shown as it is, other unknown values are null."""
+    held = F.create_map(*[F.lit(x) for pair in CAPTIONS[kind].items() for x in pair])
+    found = F.try_element_at(held, F.coalesce(value, F.lit("")))
+    return F.coalesce(found, value) if kind == "split" else found
+
+
+def display(source: Column, translated: Column) -> Column:
+    """The translation, or the source where there is none."""
+    return F.when(F.coalesce(translated, F.lit("")) != "", translated).otherwise(source)
+
+
+def shown(rows: DataFrame) -> DataFrame:
+    """Browsed rows with what a page shows: title, abstract, labels and object (a seed annotation's before the candidate's) and captions."""
+    return rows.select(
+        "*", display(F.col("title"), F.col("title_zh")).alias("display_title"), display(F.col("abstract"), F.col("abstract_zh")).alias("display_abstract"),
+        F.coalesce("seed_labels", "candidate_preference_labels").alias("display_labels"), F.coalesce("seed_object", "primary_research_object").alias("display_object"),
+        *[caption(k, F.col(c)).alias(f"{k}_caption") for k, c in (("status", "status"), ("split", "split"), ("tier", "candidate_negative_tier"))],
+    )
+
+
 def kept_by(filters: dict[str, str | None], ignore: str | None = None) -> Column:
     """The filters' predicate, but for the one that a facet ignores; ``all`` and None filter nothing."""
     out = F.lit(True)

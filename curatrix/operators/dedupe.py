@@ -22,7 +22,8 @@ def fingerprint(title: Column, abstract: Column) -> Column:
 
 
 def normalized_title(c: Column) -> Column:
-    return t.collapse(t.strip(F.lower(c)))
+    """The title key: case-folded, stripped, white space collapsed."""
+    return t.collapse(t.strip(t.casefold(c)))
 
 
 def blocked_ids(*tables: DataFrame, key: str = "paper_id") -> DataFrame:

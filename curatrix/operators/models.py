@@ -21,21 +21,47 @@ from ..functions import rules
 MIN_CONCURRENCY, MAX_CONCURRENCY = 1, 10
 Model = Callable[[dict], dict]
 _AUDIT = "success boolean, error string, attempts int, duration_ms long"
+#: Factories of model factories by name; settings go to them as keywords.
 BACKENDS: dict[str, Callable[..., Callable[[], Model]]] = {}
 
 
+def register(name: str):
+    """Decorator: a function of settings that returns a model factory becomes the back end ``name``."""
+
+    def add(make):
+        BACKENDS[name] = make
+        return make
+
+    return add
+
+
+def backend(name: str, **settings) -> Callable[[], Model]:
+    if name not in BACKENDS:
+        raise ValueError(f"unknown back end {name!r}; known: {', '.join(sorted(BACKENDS))}")
+    return BACKENDS[name](**settings)
+
+
+class RequestError(RuntimeError):
+    """A call failed."""
+
+
+class ProtocolError(ValueError):
+    """An answer has the wrong shape."""
+
+
 def check_concurrency(n: int) -> int:
     if not MIN_CONCURRENCY <= n <= MAX_CONCURRENCY:
         raise ValueError(f"concurrency must be {MIN_CONCURRENCY} to {MAX_CONCURRENCY}")
     return n
 
 
-def run_model(rows: DataFrame, factory: Callable[[], Model], output: str, attempts: int = 2, concurrency: int = 5) -> DataFrame:
+def run_model(rows: DataFrame, factory: Callable[[], Model], output: str, attempts: int = 2, concurrency: int = 5, partitions: int | None = None) -> DataFrame:
     """``rows`` with the columns of ``output`` (a DDL of fields that the model returns) and success, error, attempts, duration_ms.
 
     The model gets the row as a dict, with ``attempt`` from 0; ValueError and
     RuntimeError are retried, and after the last attempt the row has its error and null
-    outputs. ``concurrency`` is how many partitions call at a time.
+    outputs. ``concurrency`` bounds how many calls run at a time, as the models' owners ask;
+    ``partitions`` deals the rows into more tasks where there is no such bound.
     """
     check_concurrency(concurrency)
     fields = rows.sparkSession.createDataFrame([], output).schema
@@ -54,13 +80,16 @@ def run_model(rows: DataFrame, factory: Callable[[], Model], output: str, attemp
                         break
                     except (ValueError, RuntimeError) as e:
                         error = str(e) or type(e).__name__
+                    except Unretried as e:
+                        error = str(e)
+                        break
                 found.append([out.get(k) if error is None else None for k in names] + [error is None, error, n, int(1000 * (time.monotonic() - began))])
             extra = pd.DataFrame(found, columns=[*names, "success", "error", "attempts", "duration_ms"], index=batch.index)
             yield pd.concat([batch, extra], axis=1)
 
     fields_ddl = fields.simpleString()[len("struct<") : -1]
     schema = ", ".join(_ddl(head)) + ", " + ", ".join(_ddl(fields_ddl)) + ", " + _AUDIT
-    return rows.repartition(concurrency).mapInPandas(call, schema)
+    return rows.repartition(partitions or concurrency).mapInPandas(call, schema)
 
 
 def _ddl(simple: str) -> list[str]:
@@ -77,6 +106,123 @@ def _ddl(simple: str) -> list[str]:
     return out
 
 
+def run_batches(rows: DataFrame, factory: Callable[[], Callable[[list[dict]], list[dict]]], output: str, batch: str = "batch", key: str = "request_id", fail_fast: bool = False) -> DataFrame:
+    """key, the columns of ``output``, success, error_kind (request or protocol), error, one row a row; each group of ``batch`` is one call.
+
+    A call gets its rows as dicts in the order of ``key`` and returns an answer for each,
+    by key. If it fails, or misses one, its whole batch has the error; with ``fail_fast``
+    the job fails.
+    """
+    fields = rows.sparkSession.createDataFrame([], output).schema
+    names = fields.fieldNames()
+
+    def call(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(key)
+        keys, kind, error, found = part[key].tolist(), None, None, {}
+        try:
+            answers = factory()(part.drop(columns=[batch]).to_dict("records"))
+            found = {x.get(key): x for x in answers}
+            if len(answers) != len(keys) or set(found) != set(keys):
+                raise ProtocolError("answers do not match the requests")
+        except ValueError as e:
+            kind, error = "protocol", str(e) or type(e).__name__
+        except (RuntimeError, OSError) as e:
+            kind, error = "request", str(e) or type(e).__name__
+        if error and fail_fast:
+            raise RuntimeError(f"batch {part[batch].iloc[0]}: {error}")
+        return pd.DataFrame([[k, *(None if error else found[k].get(n) for n in names), error is None, kind, error] for k in keys], columns=[key, *names, "success", "error_kind", "error"])
+
+    kinds = dict(rows.dtypes)
+    ddl = ", ".join(_ddl(fields.simpleString()[len("struct<") : -1]))
+    return rows.groupBy(batch).applyInPandas(call, f"`{key}` {kinds[key]}, {ddl}, success boolean, error_kind string, error string")
+
+
+def http_predictor(base_url: str, timeout: float = 10.0, path: str = "/v1/evaluation/annotate") -> Callable[[], Callable[[list[dict]], list[dict]]]:
+    """A factory for ``run_batches``: posts {"requests": [{request_id, paper}]} and reads {"responses": [{request_id, prediction, model_info}]}."""
+
+    def factory():
+        from urllib import error, request
+
+        def predict(rows: list[dict]) -> list[dict]:
+            body = {"requests": [{"request_id": r["request_id"], "paper": {k: v for k, v in r.items() if k != "request_id"}} for r in rows]}
+            post = request.Request(base_url.rstrip("/") + path, json.dumps(body, ensure_ascii=False, default=list).encode(), {"Content-Type": "application/json; charset=utf-8"}, method="POST")
+            try:
+                with request.urlopen(post, timeout=timeout) as answer:
+                    text = answer.read().decode()
+            except error.URLError as e:
+                raise RequestError(f"{getattr(e, 'code', '')} {e.reason}".strip()) from e
+            return [checked_prediction(x) for x in checked_responses(text)]
+
+        return predict
+
+    return factory
+
+
+def checked_responses(text: str) -> list[dict]:
+    try:
+        found = json.loads(text)
+    except ValueError as e:
+        raise ProtocolError("the answer is not JSON") from e
+    if not isinstance(found, dict) or not isinstance(found.get("responses"), list):
+        raise ProtocolError("the answer has no list of responses")
+    return found["responses"]
+
+
+def checked_prediction(x) -> dict:
+    """One response as a flat row; ProtocolError where fields are missing, or it names the truth."""
+    held = x.get("prediction") if isinstance(x, dict) else None
+    if not isinstance(held, dict) or not x.get("request_id"):
+        raise ProtocolError("a response lacks request_id or prediction")
+    if not (x.get("model_info") or {}).get("algorithm_version"):
+        raise ProtocolError("a response has no algorithm version")
+    if set(FORBIDDEN_KEYS) & {*x, *held}:
+        raise ProtocolError("a response names truth")
+    return {"request_id": x["request_id"], "algorithm_version": x["model_info"]["algorithm_version"]} | held
+
+
+#: What is asked on each attempt, the later ones more firmly.
+ANNOTATE_ASKS = ("Label this paper. Answer with one JSON object only.", "Label this paper. You must decide: choose the nearest value for each field. Answer with one JSON object only.")
+TRANSLATE_ASKS = (
+    "Translate the abstract into Chinese. Answer with the translation only.",
+    "Translate the whole abstract into Chinese, sentence by sentence. Leave nothing out. Answer with the translation only.",
+    "Translate every sentence of the abstract into Chinese, in full, whatever its length. Do not sum up or decline. Answer with the translation only.",
+)
+
+
+def _line(*parts) -> str:
+    return " ".join(x for x in (" ".join(str(p or "").split()) for p in parts) if x)
+
+
+def annotator(ask: Callable[[str], str], asks: Sequence[str] = ANNOTATE_ASKS) -> Callable[[], Model]:
+    """A factory for ``run_model`` around ``ask``: the prompt of the attempt, then the row; the answer is parsed."""
+    domain = f"primary_research_object: {', '.join(rules.RESEARCH_OBJECTS)}. preference_labels: {', '.join(rules.PREFERENCE_LABELS)}. negative_tier: {', '.join(rules.TIERS)}."
+
+    def model(row: dict) -> dict:
+        return parse_annotation(ask(_line(asks[min(row["attempt"], len(asks) - 1)], domain, "Title:", row.get("title"), "Abstract:", row.get("abstract"), "Keywords:", row.get("keywords"))))
+
+    return lambda: model
+
+
+def translator(ask: Callable[[str], str], asks: Sequence[str] = TRANSLATE_ASKS, field: str = "translation") -> Callable[[], Model]:
+    """A factory for ``run_model``: blank sources need no call; only unusable answers are asked for again, so failed calls end the row's attempts."""
+
+    def model(row: dict) -> dict:
+        source = row.get("source_text") or ""
+        if not source.strip():
+            return {field: ""}
+        try:
+            answer = ask(_line(asks[min(row["attempt"], len(asks) - 1)], source))
+        except RuntimeError as e:
+            raise Unretried(str(e) or type(e).__name__) from e
+        return {field: check_translation(source, answer)}
+
+    return lambda: model
+
+
+class Unretried(Exception):
+    """An error that is the row's result at once."""
+
+
 def missing_only(rows: DataFrame, done: DataFrame, key: str = "paper_id") -> DataFrame:
     return rows.join(done.select(key), key, "left_anti")
 

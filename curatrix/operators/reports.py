@@ -31,6 +31,16 @@ def label_counts(df: DataFrame, labels: Column, tier: Column, domain: Sequence[s
     return totals.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
 
 
+def release(records: DataFrame, key: str, venue: Column, kind: Column, labels: Column, tier: Column, status: Column, domain: Sequence[str]) -> DataFrame:
+    """section, key, n of a release: total, venues, objects, unresolved (status isn't final), duplicate_ids, and each label's rows (positive) and its rows of a negative tier (negative)."""
+    counted = distribution(records, {"venue": venue, "object": kind, "unresolved": F.when(F.coalesce(status, F.lit("")) != "final", "")})
+    twice = records.groupBy(F.col(key).cast("string").alias("key")).agg(F.count("*").alias("n")).filter("n > 1").select(F.lit("duplicate_ids").alias("section"), "key", "n")
+    sums = records.agg(*[x for i, d in enumerate(domain) for x in (F.count_if(F.array_contains(labels, d)).alias(f"p{i}"), F.count_if(F.array_contains(labels, d) & (tier == "negative")).alias(f"n{i}"))])
+    entry = lambda section, d, c: F.struct(F.lit(section).alias("section"), F.lit(d).alias("key"), F.col(c).alias("n"))
+    rows = [x for i, d in enumerate(domain) for x in (entry("positive", d, f"p{i}"), entry("negative", d, f"n{i}"))]
+    return counted.union(twice).union(sums.select(F.explode(F.array(*rows)).alias("x")).select("x.*"))
+
+
 def positive_ratio(df: DataFrame, layer: Column, tier: Column) -> DataFrame:
     """layer, positives, total, ratio (unrounded; 0 if there are no rows)."""
     out = df.groupBy(layer.alias("layer")).agg(F.count_if(tier == "positive").alias("positives"), F.count("*").alias("total"))

@@ -67,6 +67,48 @@ def type_issues(df: DataFrame, key: str, raw: Column, fields: Mapping[str, str],
     return issues(rows, key, checks)
 
 
+def line_issues(lines: DataFrame, fields: Mapping[str, str], enums: Mapping[str, Sequence[str]] | None = None, spans: str | None = None) -> DataFrame:
+    """file, line, path, message of raw JSON lines: no JSON, no object, missing or extra fields, wrong types, bad evidence keys; blank lines are no rows. One pass."""
+    raw, v = F.col("value"), F.col("_v")
+    rows = lines.filter(t.strip(raw) != "").withColumn("_v", F.try_parse_json(raw)).withColumn("_o", F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)))
+    keys, want = F.when(F.col("_o"), F.json_object_keys(raw)), F.array(*[F.lit(f) for f in sorted(fields)])
+    rows = rows.withColumn("_m", F.array_sort(F.array_except(want, keys))).withColumn("_x", F.array_sort(F.array_except(keys, want)))
+    checks = [
+        issue(v.isNull(), "$", "not JSON"), issue(v.isNotNull() & ~F.col("_o"), "$", "not an object"),
+        issue(F.size("_m") > 0, "$", F.concat(F.lit("missing: "), F.array_join("_m", ", "))), issue(F.size("_x") > 0, "$", F.concat(F.lit("extra: "), F.array_join("_x", ", "))),
+    ]
+    for name, kind in fields.items():
+        value = F.when(F.col("_o"), F.try_variant_get(v, f"$.{name}", "variant"))
+        checks.append(issue(value.isNotNull() & ~has_type(value, kind, (enums or {}).get(name)), name, f"not {kind}"))
+    if spans:
+        held = F.from_json(F.get_json_object(raw, f"$.{spans}"), "map<string,array<string>>")
+        known = (*rules.PREFERENCE_LABELS, *rules.EVIDENCE_EXTRA_KEYS)
+        checks.append(issue(~F.forall(F.map_keys(held), _within(known)), spans, "unknown key"))
+        checks.append(issue(F.exists(F.map_values(held), lambda q: q.isNull() | F.exists(q, lambda x: x.isNull() | (t.strip(x) == ""))), spans, "blank quote"))
+    found = rows.select("file", "line", F.explode(F.array_compact(F.array(*checks))).alias("i"))
+    return found.select("file", "line", "i.path", "i.message")
+
+
+def parsed_lines(lines: DataFrame, schema) -> DataFrame:
+    """The rows of lines that parse; others are ``line_issues``'."""
+    return lines.filter(t.strip(F.col("value")) != "").select(F.from_json("value", schema).alias("x")).filter("x IS NOT NULL").select("x.*")
+
+
+def conflict_issues(conflicts: DataFrame) -> DataFrame:
+    """The invariants of conflicts: an id, fields, both annotations, each of this id and valid in itself."""
+    sides = {k: conflicts.filter(F.col(k).isNotNull()).select(F.col("paper_id").alias("_id"), f"{k}.*") for k in ("codex_annotation", "human_annotation", "resolved_annotation")}
+    c = F.col
+    own = issues(conflicts, "paper_id", [
+        issue(F.coalesce(t.strip(c("paper_id")), F.lit("")) == "", "paper_id", "blank"), issue(F.coalesce(F.size("conflicting_fields"), F.lit(0)) <= 0, "conflicting_fields", "empty"),
+        *[issue(c(k).isNull(), k, "missing") for k in ("codex_annotation", "human_annotation")],
+        *[issue(c(f"{k}.paper_id") != c("paper_id"), k, "of another id") for k in sides],
+    ])
+    for name, rows in sides.items():
+        found = annotation_issues(rows.drop("paper_id").withColumnRenamed("_id", "paper_id"))
+        own = own.union(found.select("paper_id", F.concat(F.lit(f"{name}."), "path"), "message"))
+    return own
+
+
 def _within(domain: Sequence[str]):
     return lambda x: x.isin(*domain)
 

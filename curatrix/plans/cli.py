@@ -18,7 +18,7 @@ def venue(text: str) -> tuple[str, int]:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="curatrix")
-    p.add_argument("command", choices=["rebuild", "annotate", "merge", "backfill", "split", "evaluate", "rebalance", "augment", "import", "validate", "cleanup"])
+    p.add_argument("command", choices=["rebuild", "annotate", "merge", "backfill", "split", "evaluate", "rebalance", "augment", "import", "validate", "cleanup", "translate", "release", "ci"])
     p.add_argument("--root", required=True)
     p.add_argument("--source")
     p.add_argument("--model")
@@ -58,6 +58,9 @@ def main(argv: list[str] | None = None) -> int:
         "import": lambda: w.import_payload(root, a.input, a.dry_run),
         "validate": lambda: w.validate(root),
         "cleanup": lambda: w.cleanup_legacy(root),
+        "translate": lambda: w.translate(root, model, a.from_column, a.to_column, a.input, a.labeler, not a.dry_run, a.limit or None).count(),
+        "release": lambda: w.release_report(root),
+        "ci": lambda: w.local_ci(root),
     }
     out = run[a.command]()
     print(json.dumps(out, ensure_ascii=False, indent=2))

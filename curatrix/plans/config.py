@@ -21,6 +21,23 @@ def resolve(name: str, argument=None, env: Mapping[str, str] | None = None, held
     return kind(found) if found is not None and kind is not type(None) else found
 
 
+def read_settings(spark: SparkSession, path: str) -> dict:
+    """A private settings file of ``key: value`` lines (the flat part of YAML: comments, quotes and blank lines); empty if there is none."""
+    if not files.exists(spark, path):
+        return {}
+    found = {}
+    for number, line in enumerate(files.read_text(spark, path).splitlines(), 1):
+        bare = line.strip()
+        if not bare or bare.startswith("#") or bare == "---":
+            continue
+        key, sep, value = bare.partition(":")
+        if not sep or line[:1].isspace():
+            raise files.SourceError(f"{path}:{number} is not key: value")
+        value = value.strip()
+        found[key.strip()] = value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] and len(value) > 1 else value.partition(" #")[0].strip()
+    return found
+
+
 def read_selection(spark: SparkSession, path: str) -> dict:
     """The stored back end selection; empty if there is none."""
     return files.read_json(spark, path) if files.exists(spark, path) else {}

@@ -132,7 +132,8 @@ _OBJECT = _argmax({k: _n(v.split()) for k, v in OBJECTS}, "other")
 _BEST = _argmax(_LABEL, "")
 _TRIM = rules.TRIM_CHARS.replace("'", "''")
 _norm = lambda x: f"trim(regexp_replace(trim(lower({x}), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '\\s+', ' ', 'g'), '{_TRIM}')"
-_title = lambda x: f"regexp_replace(trim(lower({x}), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '\\s+', ' ', 'g')"
+# case folding, as far as these tables need it: lower case, and ß is ss
+_title = lambda x: f"regexp_replace(trim(replace(lower({x}), 'ß', 'ss'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '\\s+', ' ', 'g')"
 _FP = f"sha256({_norm('split_part(text, chr(10), 1)')} || '::' || {_norm('text')})"
 _RATIO = "(('0x' || sha256('42:' || doc_id)[1:12])::UBIGINT::DOUBLE / 281474976710655.0)"
 _SPLIT = f"CASE WHEN {_RATIO} < 0.7 THEN 'dev' WHEN {_RATIO} < 0.85 THEN 'dev_validation' ELSE 'test' END"
@@ -664,4 +665,90 @@ def q_dq_semantic(x):
     return validation.record_issues(rows)
 
 
+# views, classes, alignment, release, patches and raw lines
 
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND quality IS NOT NULL THEN quality::VARCHAR ELSE lang END AS value FROM documents LEFT JOIN labels USING (doc_id)")
+def q_resolved(x):
+    d = x.documents.join(x.labels, "doc_id", "left")
+    rows = d.select("doc_id", "lang", F.when(F.col("doc_id") % 3 == 0, F.col("quality").cast("string")).when(F.col("doc_id") % 3 == 1, F.lit(" ")).alias("final_value"))
+    return rows.select("doc_id", merge.resolved("final_value", "lang").alias("value"))
+
+
+_CASE = lambda c, held: "CASE " + c + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in held.items()) + " END"
+
+
+@query(f"""WITH {_BROWSE} SELECT b.doc_id, CASE WHEN b.doc_id % 4 = 0 THEN 'zh ' || b.doc_id ELSE split_part(d.text, chr(10), 1) END AS display_title, d.text AS display_abstract,
+ CASE WHEN b.doc_id % 2 = 0 THEN ['seed'] ELSE [d.lang] END AS display_labels, CASE WHEN b.doc_id % 2 = 0 THEN 'seed' ELSE 'LLM' END AS display_object,
+ {_CASE('status', browse.CAPTIONS['status'])} AS status_caption, {_CASE('split', browse.CAPTIONS['split'])} AS split_caption, {_CASE('tier', browse.CAPTIONS['tier'])} AS tier_caption FROM b JOIN documents d USING (doc_id)""")
+def q_display(x):
+    d, even = x.documents.select("doc_id", "text", F.col("lang").alias("l")), F.col("doc_id") % 2 == 0
+    rows = _browsed(x).select("doc_id", "status", "split", "tier").join(d, "doc_id").select(
+        "doc_id", "status", "split", F.col("tier").alias("candidate_negative_tier"), F.substring_index("text", "\n", 1).alias("title"), F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("zh "), F.col("doc_id").cast("string"))).otherwise("").alias("title_zh"),
+        F.col("text").alias("abstract"), F.lit(None).cast("string").alias("abstract_zh"), F.array("l").alias("candidate_preference_labels"), F.lit("LLM").alias("primary_research_object"),
+        F.when(even, F.array(F.lit("seed"))).alias("seed_labels"), F.when(even, F.lit("seed")).alias("seed_object"),
+    )
+    return browse.shown(rows).select("doc_id", *[f"display_{c}" for c in ("title", "abstract", "labels", "object")], "status_caption", "split_caption", "tier_caption")
+
+
+_KINDS = [*rules.RESEARCH_OBJECTS, "unknown"]
+_KIND_SQL = "[" + ", ".join(f"'{k}'" for k in _KINDS) + "][1 + doc_id % " + str(len(_KINDS)) + "]"
+
+
+@query(f"""SELECT bucket, count(*)::BIGINT AS n FROM (SELECT CASE WHEN k IN ({", ".join(f"'{k}'" for k in rules.RESEARCH_OBJECTS)}) THEN coalesce({_CASE('k', rules.OBJECT_BUCKETS)}, '{rules.OTHER_BUCKET}') END AS bucket
+ FROM (SELECT {_KIND_SQL} AS k FROM documents)) GROUP BY bucket""")
+def q_object_bucket(x):
+    kind = F.element_at(F.array(*[F.lit(k) for k in _KINDS]), (1 + F.col("doc_id") % len(_KINDS)).cast("int"))
+    return x.documents.groupBy(metrics.object_bucket(kind).alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT CASE WHEN doc_id % 3 = 0 THEN '{rules.NEGATIVE_CLASS}' ELSE lang END AS class, count(*)::BIGINT AS n FROM documents GROUP BY 1")
+def q_label_class(x):
+    labels = F.when(F.col("doc_id") % 3 == 0, F.array().cast("array<string>")).otherwise(F.array("lang", "source"))
+    return x.documents.groupBy(metrics.label_class(labels).alias("class")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id::VARCHAR AS request_id, quality::BIGINT AS truth, toxic::BIGINT AS prediction FROM labels WHERE doc_id % 5 <> 0")
+def q_align(x):
+    truths = x.labels.select(F.col("doc_id").cast("string").alias("request_id"), F.col("quality").alias("v"))
+    answers = x.labels.filter("doc_id % 5 != 0").select(F.col("doc_id").cast("string").alias("request_id"), F.col("toxic").alias("v"))
+    return models.align(truths, answers).select("request_id", F.col("truth.v").alias("truth"), F.col("prediction.v").alias("prediction"))
+
+
+@query("""WITH r AS (SELECT doc_id // 2 AS id, source, lang, CASE WHEN doc_id % 5 = 0 THEN 'negative' ELSE 'positive' END AS tier, CASE WHEN doc_id % 7 = 0 THEN 'conflict' ELSE 'final' END AS status FROM documents)
+SELECT 'total' AS section, '' AS key, count(*)::BIGINT AS n FROM r UNION ALL SELECT 'venue', source, count(*) FROM r GROUP BY source UNION ALL SELECT 'object', lang, count(*) FROM r GROUP BY lang
+UNION ALL SELECT 'unresolved', '', count(*) FROM r WHERE status <> 'final' HAVING count(*) > 0 UNION ALL SELECT 'duplicate_ids', id::VARCHAR, count(*) FROM r GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT 'positive', v.l, count(r.id) FROM (VALUES ('en'), ('xx')) v(l) LEFT JOIN r ON r.lang = v.l GROUP BY v.l
+UNION ALL SELECT 'negative', v.l, count(r.id) FROM (VALUES ('en'), ('xx')) v(l) LEFT JOIN r ON r.lang = v.l AND r.tier = 'negative' GROUP BY v.l""")
+def q_release(x):
+    rows = x.documents.select(F.floor(F.col("doc_id") / 2).alias("id"), "source", "lang", F.when(F.col("doc_id") % 5 == 0, "negative").otherwise("positive").alias("tier"), F.when(F.col("doc_id") % 7 == 0, "conflict").otherwise("final").alias("status"))
+    return reports.release(rows, "id", F.col("source"), F.col("lang"), F.array("lang"), F.col("tier"), F.col("status"), ("en", "xx"))
+
+
+@query("SELECT doc_id::VARCHAR AS paper_id, CASE WHEN doc_id % 3 = 0 THEN 'second' ELSE 'first' END AS title_zh FROM documents WHERE doc_id % 2 = 0")
+def q_patches(x):
+    path, d = new_path(x.spark, "patches"), x.documents.filter("doc_id % 2 = 0")
+    for word, rows, when in (("first", d, "2025-01-01T00:00:00"), ("second", d.filter("doc_id % 3 = 0"), "2025-01-02T00:00:00")):
+        files.append_sorted(rows.select(F.col("doc_id").cast("string").alias("paper_id"), F.lit("t").alias("title"), F.lit(word).alias("title_zh"), F.lit("").alias("abstract_zh"), F.lit("m").alias("model"), F.lit(when).alias("translated_at")), path)
+    return files.scan_patches(x.spark, path).select("paper_id", "title_zh")
+
+
+@query("SELECT doc_id AS id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 2 = 0)")
+def q_unpatched(x):
+    done = x.documents.filter("doc_id % 2 = 0").select(F.col("doc_id").alias("id"))
+    return browse.pending(x.documents.select(F.col("doc_id").alias("id")), done, key="id")
+
+
+@query("""WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS line FROM documents)
+SELECT line::BIGINT AS line, path, message FROM d, (SELECT unnest([{'k': 0, 'path': '$', 'message': 'not JSON'}, {'k': 1, 'path': '$', 'message': 'not an object'}, {'k': 2, 'path': '$', 'message': 'missing: b'},
+ {'k': 3, 'path': 'b', 'message': 'not integer'}, {'k': 4, 'path': '$', 'message': 'extra: c'}], recursive := true)) WHERE doc_id % 7 = k""")
+def q_dq_lines(x):
+    path, k = new_path(x.spark, "lines"), F.col("doc_id") % 7
+    bad = F.when(k == 0, "{").when(k == 1, "[1]").when(k == 2, '{"a": "x"}').when(k == 3, '{"a": "x", "b": true}').when(k == 4, '{"a": "x", "b": 1, "c": 2}').when(k == 5, '{"a": "x", "b": 1}').otherwise(" ")
+    x.documents.select("doc_id", bad.alias("value")).repartition(1).sortWithinPartitions("doc_id").select("value").write.text(path)
+    return validation.line_issues(files.scan_lines(x.spark, path), {"a": "string", "b": "integer"}).select("line", "path", "message")
+
+
+@query(f"SELECT fp AS value, count(*)::BIGINT AS n, min(doc_id) AS first_id FROM (SELECT doc_id, {_FP} AS fp FROM documents) GROUP BY fp HAVING count(*) > 1")
+def q_fingerprint_duplicates(x):
+    return dedupe.duplicates(x.papers, dedupe.fingerprint(F.col("title"), F.col("abstract")), "doc_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -31,6 +31,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(at)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    files, at = _fs(spark, path)
+    files.delete(at, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     files, at = _fs(spark, path)
     if not files.exists(at):
@@ -43,15 +48,31 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write beside and rename: readers see the old file or the new one."""
+    """Write beside and rename over the old file in one step: readers see the old file or the new one."""
+    beside = _written_beside(spark, path, text)
+    options = spark._jvm.org.apache.hadoop.fs.Options
+    modes = spark.sparkContext._gateway.new_array(options.Rename, 1)
+    modes[0] = options.Rename.OVERWRITE
+    _, at = _fs(spark, path)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(beside, at, modes)
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a file that must not exist yet; SinkError if another writer was first."""
+    beside = _written_beside(spark, path, text)
     files, at = _fs(spark, path)
-    _, beside = _fs(spark, f"{path}.{uuid.uuid4().hex}")
+    if files.exists(at) or not files.rename(beside, at):
+        files.delete(beside, False)
+        raise SinkError(f"{path} exists")
+
+
+def _written_beside(spark: SparkSession, path: str, text: str):
+    files, beside = _fs(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
     stream = files.create(beside, True)
     stream.write(bytearray(text.encode()))
     stream.close()
-    files.delete(at, True)
-    if not files.rename(beside, at):
-        raise SinkError(f"cannot write {path}")
+    return beside
 
 
 def read_json(spark: SparkSession, path: str):
@@ -88,13 +109,29 @@ def scan_raw_objects(spark: SparkSession, path: str) -> DataFrame:
     return lines.withColumn("parsed", F.try_parse_json("value"))
 
 
+def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """value, file, line of every line of text files, blank ones too; a missing path is an empty table.
+
+    Files may be read in pieces: lines are counted a piece, and only the counts are summed.
+    """
+    if not exists(spark, path):
+        return spark.createDataFrame([], "value string, file string, line long")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("piece"), F.monotonically_increasing_id().alias("id"))
+    pieces = lines.groupBy("file", "piece").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pieces = pieces.select("file", "piece", "first", before.alias("before"))
+    return lines.join(pieces, ["file", "piece"]).select("value", "file", (F.col("id") - F.col("first") + F.col("before") + 1).alias("line"))
+
+
 def scan_patches(spark: SparkSession, path: str) -> DataFrame:
-    """Translation patches with an id, the last row of each id (by line order within a file)."""
-    rows = scan_jsonl(spark, path, schemas.PATCHES).withColumn("_at", F.monotonically_increasing_id())
+    """Translation patches with an id, the last row of each id: by time, then file and line. Lines that are no JSON are an error."""
+    lines = scan_lines(spark, path).filter(t.strip(F.col("value")) != "")
+    parsed = lines.select(F.from_json("value", schemas.PATCHES, {"mode": "FAILFAST"}).alias("x"), "file", "line")
+    rows = parsed.select("x.*", F.struct(F.coalesce("x.translated_at", F.lit("")), "file", "line").alias("_at"))
     bad = rows.filter(F.coalesce(t.strip(F.col("paper_id")), F.lit("")) == "")
     if bad.head(1):
         raise SourceError(f"{path}: a patch has no paper_id")
-    cols = list(schemas.PATCHES.fieldNames())
+    cols = [F.coalesce(c, F.lit("")).alias(c) for c in schemas.PATCHES.fieldNames()]
     return rows.groupBy("paper_id").agg(F.max_by(F.struct(*cols), "_at").alias("x")).select("x.*")
 
 
@@ -138,6 +175,16 @@ def write_records(records: DataFrame, path: str, keep_final: bool = False) -> No
     write_jsonl(out.orderBy("paper_id"), path)
 
 
+def append_audit(calls: DataFrame, path: str, kind: str) -> None:
+    """Add one line a model call (key, prompt or request, error, attempts, time) to the audit log; writers append files of their own, so none waits for another."""
+    calls.withColumn("event_type", F.lit(kind)).withColumn("logged_at", F.current_timestamp()).write.mode("append").option("ignoreNullFields", "false").json(path)
+
+
+def append_sorted(rows: DataFrame, path: str) -> None:
+    """Add rows, sorted by id, to a folder of JSON lines."""
+    rows.orderBy("paper_id").write.mode("append").option("ignoreNullFields", "false").json(path)
+
+
 def write_sorted(rows: DataFrame, path: str) -> None:
     write_jsonl(rows.orderBy("paper_id"), path)
 
@@ -148,42 +195,47 @@ def upsert(base: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 class SnapshotRoot:
-    """A benchmark's tables as snapshots: all tables of a commit are written to a new folder, then one pointer file is switched.
+    """A benchmark's tables as snapshots: the tables of a commit are written to a new folder, then one new version file names them.
 
-    A failed or concurrent writer leaves the last snapshot whole, and old snapshots are the backups.
+    Tables and documents that a commit does not give stay where they are and are named
+    again, not copied. A version file must not exist before, so of two writers that began
+    at one version the later one fails (SinkError), and a failed writer leaves the last
+    version whole. Old versions are the backups.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def current(self) -> str | None:
-        pointer = f"{self.root}/CURRENT"
-        return read_text(self.spark, pointer).strip() if exists(self.spark, pointer) else None
+    def versions(self) -> list[int]:
+        files, at = _fs(self.spark, f"{self.root}/versions")
+        names = [x.getPath().getName() for x in files.listStatus(at)] if files.exists(at) else []
+        return sorted(int(x.removesuffix(".json")) for x in names if x.endswith(".json") and not x.startswith("."))
+
+    def _held(self, version: int | None = None) -> tuple[int, dict[str, str]]:
+        """The last version (0: none), and each name's path below the root."""
+        found = self.versions()
+        if not found:
+            return 0, {}
+        n = found[-1] if version is None else version
+        return n, read_json(self.spark, f"{self.root}/versions/{n:012d}.json")
 
-    def path(self, table: str) -> str:
-        now = self.current()
-        return f"{self.root}/{now}/{table}" if now else f"{self.root}/none/{table}"
+    def path(self, table: str, version: int | None = None) -> str:
+        return f"{self.root}/{self._held(version)[1].get(table, f'none/{table}')}"
 
-    def read(self, table: str, schema: StructType) -> DataFrame:
-        return scan_jsonl(self.spark, self.path(table), schema)
+    def read(self, table: str, schema: StructType, version: int | None = None) -> DataFrame:
+        return scan_jsonl(self.spark, self.path(table, version), schema)
 
     def read_document(self, name: str) -> dict:
         return read_json(self.spark, self.path(name)) if exists(self.spark, self.path(name)) else {}
 
-    def commit(self, tables: dict[str, DataFrame], documents: dict[str, object] | None = None) -> str:
-        """Write the given tables and documents, carry the others over, switch the pointer."""
-        old, new = self.current(), f"snapshot-{uuid.uuid4().hex}"
-        files, _ = _fs(self.spark, self.root)
+    def commit(self, tables: dict[str, DataFrame], documents: dict[str, object] | None = None, began: int | None = None) -> str:
+        """Write the given tables and documents and name them, and all others, in a new version. ``began`` is the version that the work started from, if not this one."""
+        version, names = self._held()
+        folder = f"snapshot-{uuid.uuid4().hex}"
         for name, df in tables.items():
-            (write_records if name == "records" else write_sorted)(df, f"{self.root}/{new}/{name}")
+            (write_records if name == "records" else write_sorted)(df, f"{self.root}/{folder}/{name}")
         for name, value in (documents or {}).items():
-            write_json(self.spark, f"{self.root}/{new}/{name}", value)
-        if old:
-            _, at = _fs(self.spark, f"{self.root}/{old}")
-            for x in files.listStatus(at):
-                name = x.getPath().getName()
-                if name not in tables and name not in (documents or {}) and not name.startswith("."):
-                    _, to = _fs(self.spark, f"{self.root}/{new}/{name}")
-                    self.spark._jvm.org.apache.hadoop.fs.FileUtil.copy(files, x.getPath(), files, to, False, self.spark._jsc.hadoopConfiguration())
-        write_text(self.spark, f"{self.root}/CURRENT", new)
-        return new
+            write_json(self.spark, f"{self.root}/{folder}/{name}", value)
+        names = names | {name: f"{folder}/{name}" for name in (*tables, *(documents or {}))}
+        create_text(self.spark, f"{self.root}/versions/{(version if began is None else began) + 1:012d}.json", json.dumps(names))
+        return folder
