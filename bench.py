@@ -11,7 +11,7 @@ import time
 HERE = os.path.dirname(os.path.abspath(__file__))
 HEADLINE = (
     "q_score_terms q_group_scores q_quota_topk q_fingerprint q_decontaminate q_dedupe_greedy q_merge q_conflicts q_split_hash q_distribution q_eval_binary q_eval_report q_browse q_import_diff q_dq_types "
-    "op1_minhash_near_dedup op3_quality_rules op7_html_extraction op8_token_counts op9_suffix_array_dedup op10_benchmark_decontamination"
+    "op1_minhash_near_dedup op2_sharding op3_quality_rules op4_best_fit_packing op5_chat_formatting op6_warc op7_html_extraction op8_token_counts op9_suffix_array_dedup op10_benchmark_decontamination pipeline"
 ).split()
 
 
