@@ -14,6 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies from 85 % of shared 5-word shingles up: each document's set size, component and whether it is the component's smallest id. Null and empty texts stand alone."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
@@ -34,12 +35,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the production rules for every document; null and empty texts fail the base rule."""
     judged = quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     q = F.col(judged.columns[-1])
     return judged.select("doc_id", *[q[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens; a null or empty text is the end token alone."""
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
@@ -61,24 +64,29 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back; null and empty pages have equal, empty payloads."""
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
     return warc.read_archives(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page; empty where there is none."""
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and tokens at, above and cut at every length that occurs; null and empty texts have length 0."""
     return lengths.suffix_sums(written(lengths.length_histogram(table(spark, sf_dir, "documents").select("text")), "lengths"))
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses to strings of 50 bytes that a smaller doc_id has; null and empty texts lose nothing."""
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and items of the benchmark found in each document; null and empty texts have no words."""
     seen = decontamination.occurrences(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return seen.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
