@@ -52,7 +52,7 @@ def select_candidates(spark, source: str, venues: dict[tuple[str, int], int], mi
     papers = ingest.accepted_papers(files.scan_conference(spark, source, list(venues)))
     scored = scoring.classify(papers).filter(F.col("score") >= minimum).withColumn("tier", F.col("candidate_negative_tier"))
     quota = F.coalesce(*[F.when((F.lower(F.substring_index("venue", " ", 1)) == v) & (F.col("year") == y), q) for (v, y), q in venues.items()], F.lit(0))
-    kept = selection.quota_topk(scored, ["venue", "year"], quota, selection.score_order())
+    kept = selection.quota_topk(scored, ["venue", "year"], quota, selection.score_order(), most=max(venues.values(), default=0))
     return scoring.candidates(kept, scoring.general_note(F.col("score"), F.col("matched_terms")))
 
 
@@ -181,14 +181,24 @@ def translate(root: SnapshotRoot, factory: Callable, source: str, target: str, p
 
 
 def assign_splits(root: SnapshotRoot, seed: int = rules.SPLIT_SEED) -> dict:
+    """Splits of merged papers that have none; the table ``splits`` holds all of them, a manifest with id lists is read too if there is one."""
     t = load(root)
-    held = splits.manifest_rows(files.scan_manifest(root.spark, root.path("split-manifest.json")))
-    rows = checkpointed(splits.assign(t[REC], t[MERGED], held))
-    ids = {s: [r.paper_id for r in rows.filter(F.col("split") == s).select("paper_id").orderBy("paper_id").toLocalIterator()] for s in rules.SPLITS}
-    root.commit({}, {"split-manifest.json": {"version": 1, "seed": seed, "ratios": {"dev": 0.7, "dev_validation": 0.15, "test": 0.15}, "splits": ids}})
+    manifest = files.scan_manifest(root.spark, root.path("split-manifest.json")).unionByName(root.read("splits", schemas.SPLITS))
+    rows = checkpointed(splits.assign(t[REC], t[MERGED], splits.manifest_rows(manifest)))
+    counts = {r.split: r.n for r in splits.split_counts(rows).collect()}
+    about = {"version": 1, "seed": seed, "ratios": {"dev": 0.7, "dev_validation": 0.15, "test": 0.15}, "counts": counts}
+    root.commit({"splits": rows.select("split", "paper_id")}, {"splits.json": about})
     n_new = rows.filter("is_new").count()
     merged_with = t[MERGED].join(t[REC].select("paper_id"), "paper_id", "left_semi").count()
-    return {"assigned": n_new, "eligible": merged_with, "already": merged_with - n_new, "skipped": t[MERGED].count() - merged_with, "counts": {s: len(v) for s, v in ids.items()}}
+    return {"assigned": n_new, "eligible": merged_with, "already": merged_with - n_new, "skipped": t[MERGED].count() - merged_with, "counts": counts}
+
+
+def export_manifest(root: SnapshotRoot, path: str) -> None:
+    """The splits as one JSON document of id lists, for tools that want it so: it passes the driver, so it is for small benchmarks."""
+    rows = root.read("splits", schemas.SPLITS)
+    ids = {s: [r.paper_id for r in rows.filter(F.col("split") == s).select("paper_id").orderBy("paper_id").toLocalIterator()] for s in rules.SPLITS}
+    about = {k: v for k, v in root.read_document("splits.json").items() if k != "counts"}
+    files.write_json(root.spark, path, about | {"splits": ids})
 
 
 def evaluate(root: SnapshotRoot, factory: Callable, limit: int = 0, seed: int = 42, batch: int = 50) -> dict:

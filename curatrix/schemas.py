@@ -23,6 +23,7 @@ ANNOTATIONS = _struct(
 )
 CONFLICTS = _struct(paper_id=_TEXT, conflicting_fields=_LIST, codex_annotation=ANNOTATIONS, human_annotation=ANNOTATIONS, resolved_annotation=ANNOTATIONS)
 PATCHES = _struct(paper_id=_TEXT, title=_TEXT, title_zh=_TEXT, abstract_zh=_TEXT, model=_TEXT, translated_at=_TEXT)
+SPLITS = _struct(split=_TEXT, paper_id=_TEXT)
 RAW = _struct(**{k: _TEXT for k in (
     "id title abstract tldr status keywords primary_area topic author author_site aff pdf proceeding project site oa github code openreview".split()
 )})

@@ -75,6 +75,9 @@ def test_rebuild_annotate_merge_split_evaluate(root, source):
     w.refresh_merge(root_)
     first = w.assign_splits(root_)
     assert first["assigned"] == first["eligible"] and w.assign_splits(root_)["assigned"] == 0
+    w.export_manifest(root_, f"{root_.root}/manifest.json")
+    listed = {tuple(r) for r in files.scan_manifest(root_.spark, f"{root_.root}/manifest.json").collect()}
+    assert listed == {tuple(r) for r in root_.read("splits", schemas.SPLITS).collect()} and len(listed) == first["eligible"]
     report = w.evaluate(root_, factory)
     assert report["counts"]["total"] == w.load(root_)["merged"].count() and report["errors"] == 0
     w.write_evaluation(root_, report, f"{root_.root}/report")
