@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html, lengths, minhash, packing, quality, sharding, suffix_dedup, warc
+from . import chat, decontamination, html, lengths, metric_join, minhash, packing, quality, repair, resampling, sharding, suffix_dedup, warc
 from .common import reachable, scratch_path, written
 
 
@@ -94,6 +94,29 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged and repaired; one of which no row is left has zeros, an empty audit and the empty string's hash. Nulls are one space."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = repair.damaged(rows)
+    reports = written(repair.reports(turns), "repairs")
+    digests = repair.digests(repair.repaired(turns, reports)).withColumnRenamed("conv_id", "_told")
+    ids = rows.select(F.col("conv_id").alias("_all")).distinct()
+    out = ids.join(reports, F.col("_all").eqNullSafe(F.col("conv_id")), "left").join(digests, F.col("_all").eqNullSafe(F.col("_told")), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select(F.col("_all").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighted towards the benchmark's texts, and the tenth of the long enough ones that is drawn. Null and empty texts have weight 0."""
+    docs, target = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text")
+    return resampling.resample(docs, target, n_max=1, n_buckets=10_000, percent=10, min_words=20, seed=2024)
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors, whatever their labels, with their links of cosine 0.95 or more; vectors that can't be linked stand alone."""
+    return metric_join.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), cosine=0.95)
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_sharding": op2_sharding,
@@ -105,6 +128,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
