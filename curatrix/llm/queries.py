@@ -147,6 +147,16 @@ def _rule_sql(r: quality.Rule) -> str:
     return f"(n_words >= {r.min_words} AND coalesce({' OR '.join(tests)}, false))"
 
 
+_CRC_TABLE = """crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM (SELECT i,
+      list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i)))"""
+
+
+def _crc_sql(text: str) -> str:
+    """CRC-32 of a string's UTF-8 bytes; ``crc_table`` has to be in scope."""
+    octets = f"list_transform(range(strlen({text})), lambda j: ('0x' || substr(hex(encode({text})), 2 * j + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
 ORACLE_SQL = {
     "op2_sharding": "SELECT doc_id, lang, source, n_chars::BIGINT AS n_chars, strlen(text)::BIGINT AS n_bytes, md5(text) AS text_md5 FROM documents",
     "op3_quality_rules": f"""
@@ -199,4 +209,55 @@ WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCD
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_conversation_repair": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+ hit AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+     {_crc_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS fault FROM conversations, crc_table),
+ rows AS (SELECT conv_id, turn, copy, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+     CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+   FROM hit, unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS u(copy)),
+ seen AS (SELECT *, row_number() OVER o AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+     left(role, 1) AS x, lag(left(role, 1)) OVER o AS before FROM rows WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy)),
+ flagged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN again THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS flaw FROM seen),
+ facts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (flaw = 'b') AS blank,
+     count(*) FILTER (flaw = 'd') AS duplicate, count(*) FILTER (flaw = 't') AS truncated, count(*) FILTER (before || x NOT IN ('su', 'ua', 'au')) AS illegal FROM flagged GROUP BY conv_id),
+ put(q, q2, price, letters) AS (VALUES ('-', '-', 0, ''), ('-', 'u', 5, 'I'), ('-', 'a', 10, 'II'), ('s', 's', 0, ''), ('s', 'u', 5, 'I'), ('s', 'a', 10, 'II'),
+     ('u', 'u', 0, ''), ('u', 'a', 5, 'I'), ('a', 'a', 0, ''), ('a', 'u', 5, 'I')),
+ best(conv_id, i, q, way) AS (
+   SELECT conv_id, 0::BIGINT, q2, printf('%09d', price) || letters FROM facts, put WHERE q = '-'
+   UNION ALL
+   SELECT conv_id, i, q2, min(printf('%09d', cost + price) || audit || letters) FROM (
+     SELECT b.conv_id, r.i, left(b.way, 9)::BIGINT + e.cost + CASE WHEN e.op <> 'D' AND r.flaw = 't' THEN 5 ELSE 0 END AS cost, substr(b.way, 10) || e.op AS audit,
+       CASE WHEN e.op = 'D' THEN b.q WHEN e.op = 'L' THEN 's' WHEN b.q = 'u' THEN 'a' ELSE 'u' END AS q
+     FROM best b JOIN flagged r ON r.conv_id = b.conv_id AND r.i = b.i + 1, (VALUES ('K', 0), ('L', 0), ('R', 1), ('D', 2)) AS e(op, cost)
+     WHERE e.op = 'D' OR (r.flaw NOT IN ('b', 'd') AND CASE e.op WHEN 'L' THEN b.q = '-' AND r.x = 's' WHEN 'K' THEN r.x = CASE b.q WHEN 'u' THEN 'a' ELSE 'u' END
+       ELSE r.x <> CASE b.q WHEN 'u' THEN 'a' ELSE 'u' END END)) AS step JOIN put USING (q)
+   GROUP BY conv_id, i, q2),
+ last AS (SELECT conv_id, left(way, 9)::BIGINT AS cost, substr(way, 10) AS letters FROM (SELECT conv_id, min(way) AS way FROM best JOIN facts USING (conv_id) WHERE i = n AND q IN ('-', 'a') GROUP BY conv_id)),
+ edits AS (SELECT *, count(*) FILTER (op <> 'I') OVER w AS i, count(*) FILTER (op <> 'D') OVER w - CASE WHEN letters LIKE '%L%' THEN 1 ELSE 0 END AS k
+   FROM (SELECT conv_id, letters, p, substr(letters, p, 1) AS op FROM last, unnest(range(1, length(letters) + 1)) AS u(p)) WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+ texts AS (SELECT e.conv_id, string_agg(CASE WHEN op IN ('K', 'L') THEN role WHEN k % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE op WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS t
+   FROM edits e LEFT JOIN flagged r ON r.conv_id = e.conv_id AND r.i = e.i WHERE op <> 'D' GROUP BY e.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, replace(coalesce(letters, ''), 'L', 'K') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts USING (conv_id) LEFT JOIN last USING (conv_id) LEFT JOIN texts USING (conv_id)""",
+    "op12_importance_resampling": rf"""
+WITH {_CRC_TABLE},
+ words AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents),
+ wanted AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+ buckets AS (SELECT w, {_crc_sql("w")} % 10000 AS b FROM (SELECT w FROM words UNION SELECT w FROM wanted), crc_table),
+ s AS (SELECT b, count(*) AS n FROM words JOIN buckets USING (w) GROUP BY b), t AS (SELECT b, count(*) AS n FROM wanted JOIN buckets USING (w) GROUP BY b),
+ gain AS (SELECT b, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM words) + 10000) / ((s.n + 1)::DOUBLE * ((SELECT count(*) FROM wanted) + 10000))))::BIGINT AS g FROM s LEFT JOIN t USING (b)),
+ d AS (SELECT doc_id, count(*) AS n, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM words JOIN buckets USING (w) JOIN gain USING (b) GROUP BY doc_id),
+ scored AS (SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+     coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || doc_id), 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM documents LEFT JOIN d USING (doc_id)),
+ placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS able FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * able // 100 THEN r END::BIGINT AS rank FROM scored LEFT JOIN placed USING (doc_id)""",
+    "op13_embedding_near_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+ links AS (SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+ reached AS (SELECT u, u AS w FROM links UNION SELECT reached.u, links.w FROM reached JOIN links ON reached.w = links.u),
+ least AS (SELECT u, min(w) AS w FROM reached GROUP BY u), many AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(w, vec_id) AS component_id, coalesce(w, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN least ON least.u = vec_id LEFT JOIN many ON many.u = vec_id""",
 }

@@ -17,9 +17,10 @@ entered in, and segments are then chained by (cost, audit). Chaining, and handin
 repaired turns, are streams over sorted rows: a task holds a batch, and the one audit.
 
 Order and ties. Rows are ordered by (turn, nulls first; role; SHA-256 of the text); equal
-rows are adjacent. Null roles and texts are one space, so a null text is blank. Rows with
-a null conv_id are one conversation, whose id is null. Other columns of the table are not
-read, whatever their names. No rows: no conversations.
+rows are adjacent. Null roles and texts are one space, so a null text is blank; a row whose
+role is empty or begins with none of s, u, a is rewritten or deleted. Rows with a null
+conv_id are one conversation, whose id is null. Other columns of the table are not read,
+whatever their names. No rows: no conversations.
 """
 
 from __future__ import annotations
@@ -112,7 +113,7 @@ class Segment:
 
     def __init__(self, conv_id, number: int):
         self.conv_id, self.number, self.rows, self.illegal, self.n_turns = conv_id, number, [], 0, 0
-        self.counts, self.low, self.high, self.null_turn = [0, 0, 0], None, None, False
+        self.counts, self.low, self.high = [0, 0, 0], None, None
 
     def add(self, turn, initial: str, blank: bool, duplicate: bool, truncated: bool) -> None:
         if self.rows and self.rows[-1][0] + initial not in ("su", "ua", "au"):
