@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .automaton import Found
+
 WS = r"(?U)[\s\x1c-\x1f]+"
 
 
@@ -88,19 +90,31 @@ def _terms(terms: Sequence[str]) -> Column:
     return F.split(F.lit("\x1f".join(terms)), "\x1f")
 
 
-def hits(haystack: Column, terms: Sequence[str]) -> Column:
-    """How many of the terms the text contains; repeated terms count each time."""
+def hits(haystack: Column | Found, terms: Sequence[str]) -> Column:
+    """How many of the terms the text contains; repeated terms count each time.
+
+    The haystack of this and the next functions is a text, in which each term is looked
+    for, or what an automaton has found in it already.
+    """
+    if isinstance(haystack, Found):
+        return haystack.hits(terms)
     return F.size(F.filter(_terms(terms), lambda t: F.contains(haystack, t))) if terms else F.lit(0)
 
 
-def any_of(haystack: Column, terms: Sequence[str]) -> Column:
+def any_of(haystack: Column | Found, terms: Sequence[str]) -> Column:
+    if isinstance(haystack, Found):
+        return haystack.any_of(terms)
     return F.exists(_terms(terms), lambda t: F.contains(haystack, t)) if terms else F.lit(False)
 
 
-def all_of(haystack: Column, terms: Sequence[str]) -> Column:
+def all_of(haystack: Column | Found, terms: Sequence[str]) -> Column:
+    if isinstance(haystack, Found):
+        return haystack.all_of(terms)
     return F.forall(_terms(terms), lambda t: F.contains(haystack, t)) if terms else F.lit(True)
 
 
-def matched(haystack: Column, terms: Sequence[str]) -> Column:
+def matched(haystack: Column | Found, terms: Sequence[str]) -> Column:
     """The terms that the text contains, in their order, each once."""
+    if isinstance(haystack, Found):
+        return haystack.matched(terms)
     return F.filter(_terms(list(dict.fromkeys(terms))), lambda t: F.contains(haystack, t)) if terms else F.array().cast("array<string>")

@@ -8,6 +8,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules, text as t
+from ..functions.automaton import Found, Terms
+
+
+def terms_of(*given) -> Terms:
+    """All terms of score rules, label terms and object rules, looked for at once."""
+    lists: list[Sequence[str]] = []
+    for x in given:
+        if isinstance(x, rules.TermScore):
+            lists += [x.strong, x.context, x.exclude, *(terms for terms, _ in x.bonuses)]
+        elif isinstance(x, rules.GroupScore):
+            lists += [x.phrases, x.exclude, *(t for g in x.groups for t in (g.terms, g.gate)), *(t for every, some, _ in x.together for t in (every, some))]
+        elif isinstance(x, Mapping):
+            lists += list(x.values())
+        else:
+            lists += [words.split() for _, words in x]
+    return Terms(*lists)
+
+
+#: Every term of the library's own rules.
+TERMS = terms_of(rules.ACCELERATION, rules.SCHEDULING, rules.LABEL_TERMS, rules.OBJECT_RULES)
 
 
 def haystack(with_keywords: bool = True) -> Column:
@@ -16,7 +36,7 @@ def haystack(with_keywords: bool = True) -> Column:
     return F.lower(F.concat_ws(" ", "title", "abstract", "primary_area", "topic", *[F.array_join(c, " ") for c in lists]))
 
 
-def term_score(h: Column, rule: rules.TermScore = rules.ACCELERATION) -> Column:
+def term_score(h: Column | Found, rule: rules.TermScore = rules.ACCELERATION) -> Column:
     strong, context, exclude = rule.weights
     score = t.hits(h, rule.strong) * strong + t.hits(h, rule.context) * context + t.hits(h, rule.exclude) * exclude
     for terms, points in rule.bonuses:
@@ -24,16 +44,16 @@ def term_score(h: Column, rule: rules.TermScore = rules.ACCELERATION) -> Column:
     return score
 
 
-def matched_terms(h: Column, rule: rules.TermScore = rules.ACCELERATION) -> Column:
+def matched_terms(h: Column | Found, rule: rules.TermScore = rules.ACCELERATION) -> Column:
     return t.matched(h, (*rule.strong, *rule.context))
 
 
-def _counts(h: Column, g: rules.Group) -> Column:
+def _counts(h: Column | Found, g: rules.Group) -> Column:
     found = t.any_of(h, g.terms)
     return found & (t.hits(h, g.gate) >= g.at_least) if g.at_least else found
 
 
-def group_score(h: Column, rule: rules.GroupScore = rules.SCHEDULING) -> Column:
+def group_score(h: Column | Found, rule: rules.GroupScore = rules.SCHEDULING) -> Column:
     score = t.hits(h, rule.exclude) * rule.exclude_weight + t.hits(h, rule.phrases) * rule.phrase_weight
     for g in rule.groups:
         score = score + F.when(_counts(h, g), t.hits(h, g.terms) + g.weight).otherwise(0)
@@ -42,12 +62,12 @@ def group_score(h: Column, rule: rules.GroupScore = rules.SCHEDULING) -> Column:
     return score
 
 
-def matched_groups(h: Column, rule: rules.GroupScore = rules.SCHEDULING) -> Column:
+def matched_groups(h: Column | Found, rule: rules.GroupScore = rules.SCHEDULING) -> Column:
     names = F.array_compact(F.array(*[F.when(_counts(h, g), F.lit(g.name)) for g in rule.groups])) if rule.groups else F.array().cast("array<string>")
     return F.array_distinct(F.concat(t.matched(h, rule.phrases), names))
 
 
-def label_scores(h: Column, terms: Mapping[str, Sequence[str]] = rules.LABEL_TERMS, extra: Mapping[str, Column] | None = None) -> dict[str, Column]:
+def label_scores(h: Column | Found, terms: Mapping[str, Sequence[str]] = rules.LABEL_TERMS, extra: Mapping[str, Column] | None = None) -> dict[str, Column]:
     """Two points a contained term of each label, and a label's extra column."""
     return {label: t.hits(h, words) * 2 + ((extra or {}).get(label, F.lit(0))) for label, words in terms.items()}
 
@@ -61,7 +81,7 @@ def best_label(scores: Mapping[str, Column]) -> Column:
     return out
 
 
-def research_object(h: Column, object_rules=rules.OBJECT_RULES, default: str = rules.DEFAULT_OBJECT) -> Column:
+def research_object(h: Column | Found, object_rules=rules.OBJECT_RULES, default: str = rules.DEFAULT_OBJECT) -> Column:
     """The rule with most contained words, the first of equals."""
     scores = {label: t.hits(h, words.split()) for label, words in object_rules}
     found = best_label(scores)
@@ -70,12 +90,11 @@ def research_object(h: Column, object_rules=rules.OBJECT_RULES, default: str = r
 
 def classify(papers: DataFrame) -> DataFrame:
     """Candidates with their object, label, tier and scores."""
-    h, bare = haystack(), haystack(with_keywords=False)
-    with_text = papers.withColumn("_h", h).withColumn("_b", bare)
-    hay = F.col("_h")
-    scored = with_text.select(
+    with_bits = papers.withColumn("_h", TERMS.bits(haystack())).withColumn("_b", TERMS.bits(haystack(with_keywords=False)))
+    hay = TERMS.on("_h")
+    scored = with_bits.select(
         "*", term_score(hay).alias("score"), matched_terms(hay).alias("matched_terms"), group_score(hay).alias("scheduling_score"),
-        matched_groups(hay).alias("matched_groups"), research_object(F.col("_b")).alias("primary_research_object"),
+        matched_groups(hay).alias("matched_groups"), research_object(TERMS.on("_b")).alias("primary_research_object"),
     )
     label = best_label(label_scores(hay, extra={rules.SCHEDULING_LABEL: F.col("scheduling_score")}))
     scored = scored.withColumn("_label", label)

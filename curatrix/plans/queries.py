@@ -55,8 +55,8 @@ class Tables:
 
     @property
     def scored(self) -> DataFrame:
-        """Papers with their haystack ``h`` and score."""
-        return self.papers.withColumn("h", scoring.haystack()).withColumn("score", scoring.term_score(F.col("h"), TERMS))
+        """Papers with the terms that their haystacks contain, and their score."""
+        return self.papers.withColumn("found", FOUND.bits(scoring.haystack())).withColumn("score", scoring.term_score(FOUND.on("found"), TERMS))
 
     @property
     def ai(self) -> DataFrame:
@@ -95,6 +95,8 @@ GROUPS = rules.GroupScore(
     exclude=("data",),
     together=((("the",), ("and", "with"), 2), ((), ("que", "der"), 2)),
 )
+#: All of them, looked for at once.
+FOUND = scoring.terms_of(TERMS, LABELS, OBJECTS, GROUPS, {"words": (" the ", " que ", " le ")})
 
 
 def _n(terms) -> str:
@@ -186,28 +188,28 @@ def q_score_terms(x):
 
 @query(f"WITH {_P} SELECT doc_id, {', '.join(f'{v} AS {k}' for k, v in _LABEL.items())} FROM p")
 def q_label_scores(x):
-    scores = scoring.label_scores(F.col("h"), LABELS)
+    scores = scoring.label_scores(FOUND.on("found"), LABELS)
     return x.scored.select("doc_id", *[v.alias(k) for k, v in scores.items()])
 
 
 @query(f"WITH {_P} SELECT doc_id, {_BEST} AS label FROM p")
 def q_label_argmax(x):
-    return x.scored.select("doc_id", scoring.best_label(scoring.label_scores(F.col("h"), LABELS)).alias("label"))
+    return x.scored.select("doc_id", scoring.best_label(scoring.label_scores(FOUND.on("found"), LABELS)).alias("label"))
 
 
 @query(f"""WITH {_P} SELECT doc_id, {_GROUP_SCORE} AS score, concat_ws('|', {', '.join(f"CASE WHEN contains(h, '{w}') THEN '{w}' END" for w in GROUPS.phrases)}, {', '.join(f"CASE WHEN {v} THEN '{k}' END" for k, v in _GATE.items())}) AS groups FROM p""")
 def q_group_scores(x):
-    return x.scored.select("doc_id", scoring.group_score(F.col("h"), GROUPS).alias("score"), F.array_join(scoring.matched_groups(F.col("h"), GROUPS), "|").alias("groups"))
+    return x.scored.select("doc_id", scoring.group_score(FOUND.on("found"), GROUPS).alias("score"), F.array_join(scoring.matched_groups(FOUND.on("found"), GROUPS), "|").alias("groups"))
 
 
 @query(f"WITH {_P} SELECT doc_id, {_OBJECT} AS object FROM p")
 def q_research_object(x):
-    return x.scored.select("doc_id", scoring.research_object(F.col("h"), OBJECTS, "other").alias("object"))
+    return x.scored.select("doc_id", scoring.research_object(FOUND.on("found"), OBJECTS, "other").alias("object"))
 
 
 def _classified(x) -> DataFrame:
-    s = x.scored.select("*", scoring.best_label(scoring.label_scores(F.col("h"), LABELS)).alias("label"), scoring.research_object(F.col("h"), OBJECTS, "other").alias("object"))
-    note = scoring.general_note(F.col("score"), scoring.matched_terms(F.col("h"), TERMS))
+    s = x.scored.select("*", scoring.best_label(scoring.label_scores(FOUND.on("found"), LABELS)).alias("label"), scoring.research_object(FOUND.on("found"), OBJECTS, "other").alias("object"))
+    note = scoring.general_note(F.col("score"), scoring.matched_terms(FOUND.on("found"), TERMS))
     return s.withColumn("tier", F.when((F.col("label") != "") & (F.col("score") >= 8), "positive").otherwise("negative")).withColumn("notes", note)
 
 
@@ -448,7 +450,7 @@ _LABEL2 = {k: f"({_n(v[1:])} * 2)" for k, v in LABELS.items()}
 def _two_labels(x) -> DataFrame:
     short = {k: v[1:] for k, v in LABELS.items()}
     s = x.scored.filter("score >= 8")
-    return s.select("doc_id", "lang", scoring.best_label(scoring.label_scores(F.col("h"), LABELS)).alias("truth"), scoring.best_label(scoring.label_scores(F.col("h"), short)).alias("prediction"))
+    return s.select("doc_id", "lang", scoring.best_label(scoring.label_scores(FOUND.on("found"), LABELS)).alias("truth"), scoring.best_label(scoring.label_scores(FOUND.on("found"), short)).alias("prediction"))
 
 
 _TWO = f"(WITH {_P} SELECT doc_id, lang, {_BEST} AS t, {_argmax(_LABEL2, '')} AS p FROM p WHERE {_SCORE} >= 8)"
@@ -461,7 +463,7 @@ def q_eval_label(x):
 
 def _buckets(x) -> DataFrame:
     bucket = lambda c: F.when(c.isin("en", "fr"), c).otherwise("other")
-    guess = F.when(t.any_of(F.col("h"), (" the ",)), "en").when(t.any_of(F.col("h"), (" que ", " le ")), "fr").otherwise("de")
+    guess = F.when(t.any_of(FOUND.on("found"), (" the ",)), "en").when(t.any_of(FOUND.on("found"), (" que ", " le ")), "fr").otherwise("de")
     return x.scored.select(bucket(F.col("lang")).alias("truth"), bucket(guess).alias("prediction"))
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +36,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by files in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Give executors this package's modules, once a session: what runs there imports them by name."""
+    context = spark.sparkContext
+    if not getattr(context, "_curatrix_shipped", False):
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w") as archive:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        archive.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(package)))
+        path = os.path.join(tempfile.mkdtemp(prefix="curatrix-"), "curatrix.zip")  # the driver serves it to executors
+        with open(path, "wb") as out:
+            out.write(held.getvalue())
+        context.addPyFile(path)
+        context._curatrix_shipped = True
+    return spark
