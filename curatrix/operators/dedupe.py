@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import itertools
+import functools
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import graph
 from ..functions import rules, text as t
-from ..sources.shared import checkpointed
+from ..sources.shared import checkpointed, shipped
 
 
 def normalize(c: Column, chars: str = rules.TRIM_CHARS) -> Column:
@@ -42,27 +44,37 @@ def label_blocked(cands: DataFrame, existing: DataFrame, key: str = "paper_id",
     return out.withColumn("reason", reason).drop("_by_id", "_by_fp")
 
 
+#: Rounds in which rows that come first in both their groups are kept at once; what they leave open is walked.
+ROUNDS = 2
+
+
 def greedy(rows: DataFrame, ordinal: str, key: str = "paper_id", fp: str = "fingerprint") -> DataFrame:
     """``rows`` with ``reason``: null for what a walk in order would keep, else duplicate_id or duplicate_fingerprint.
 
-    Only kept rows bar later ones, so this is a fixpoint: of the undecided rows those are
-    kept that come first in both their groups, and what shares a key with them is dropped.
-    Ordinals must be unique. One round is enough if no id is repeated; each round settles
-    the first undecided row at least. Every few rounds what was kept is written as one table.
+    Only kept rows bar later ones. Of rows that share both keys only the first can be kept.
+    Rows that come first in both their groups are kept, and what shares a key with them
+    goes; that settles groups of any size about one key. What is still open are chains of
+    rows that hang on each other: components of the graph of ids and fingerprints, each
+    walked in order in its task, which holds the keys that it has kept. Ordinals must be
+    unique and not null. A null id or fingerprint is nobody else's.
     """
-    undecided, kept = checkpointed(rows.select(ordinal, key, fp)), None
-    for done in itertools.count(1):
+    if rows.filter(F.col(ordinal).isNull()).head(1):
+        raise ValueError(f"{ordinal} must not be null")
+    some = rows.filter(F.col(key).isNotNull() | F.col(fp).isNotNull())
+    undecided = checkpointed(some.groupBy(key, fp).agg(F.min(ordinal).alias(ordinal)).select(ordinal, key, fp))
+    kept = []
+    for _ in range(ROUNDS):
         first = undecided.transform(_with_least, key, ordinal, "_id_first").transform(_with_least, fp, ordinal, "_fp_first")
         now = checkpointed(first.filter(f"{ordinal} = _id_first AND {ordinal} = _fp_first").select(ordinal, key, fp))
-        kept = now if kept is None else kept.unionByName(now)
-        kept = kept if done % 20 else checkpointed(kept)
+        kept.append(now)
         undecided = undecided.join(now.select(ordinal), ordinal, "left_anti").join(now.select(key), key, "left_anti").join(now.select(fp), fp, "left_anti")
         undecided = checkpointed(undecided.select(ordinal, key, fp))
         if not undecided.head(1):
             break
-        if not now.head(1):
-            raise ValueError(f"{ordinal} must not be null")
-    # a kept row of any round bars later ones; ids are looked at first
+    else:
+        kept.append(checkpointed(_walked(undecided, ordinal, key, fp)))
+    kept = functools.reduce(DataFrame.union, kept)
+    # a kept row bars later ones; ids are looked at first
     by_id = kept.filter(F.col(key).isNotNull()).select(key, F.col(ordinal).alias("_id_at"))
     by_fp = kept.filter(F.col(fp).isNotNull()).select(fp, F.col(ordinal).alias("_fp_at"))
     out = rows.join(by_id, key, "left").join(by_fp, fp, "left")
@@ -70,10 +82,29 @@ def greedy(rows: DataFrame, ordinal: str, key: str = "paper_id", fp: str = "fing
     return out.withColumn("reason", reason).drop("_id_at", "_fp_at").select(*rows.columns, "reason")
 
 
-def first_of_fingerprint(rows: DataFrame, ordinal: str, fp: str = "fingerprint") -> DataFrame:
-    """The one-round form of ``greedy`` for rows whose ids are unique."""
-    out = rows.transform(_with_least, fp, ordinal, "_first")
-    return out.withColumn("reason", F.when(F.col(ordinal) != F.col("_first"), "duplicate_fingerprint")).drop("_first")
+def _walked(rows: DataFrame, ordinal: str, key: str, fp: str) -> DataFrame:
+    """The rows that a walk of each component in order keeps."""
+    shipped(rows.sparkSession)
+    # nodes are hashes: keys that share one only make a component larger
+    nodes = rows.withColumn("_u", F.when(F.col(key).isNotNull(), F.xxhash64(F.lit("id"), F.col(key)))).withColumn("_v", F.when(F.col(fp).isNotNull(), F.xxhash64(F.lit("fp"), F.col(fp))))
+    found = graph.components(nodes, "_u", "_v")
+    whole = nodes.withColumn("node", F.coalesce("_u", "_v")).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    ordered = whole.select("component", ordinal, key, fp).repartition("component").sortWithinPartitions("component", ordinal)
+    return ordered.mapInArrow(_walk, rows.schema)
+
+
+def _walk(batches):
+    component, ids, prints = None, set(), set()
+    for batch in batches:
+        keep = []
+        for i, (c, one, two) in enumerate(zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True)):
+            if c != component:
+                component, ids, prints = c, set(), set()
+            if (one is None or one not in ids) and (two is None or two not in prints):
+                ids.add(one)
+                prints.add(two)
+                keep.append(i)
+        yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(keep, pa.int64())) for k in (1, 2, 3)], names=batch.schema.names[1:])
 
 
 def _with_least(df: DataFrame, by: str, ordinal: str, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from curatrix import schemas
 from curatrix.functions import rules, text as t
-from curatrix.operators import dedupe, ingest, merge, metrics, models, scoring, selection, splits, validation
+from curatrix.operators import dedupe, graph, ingest, merge, metrics, models, scoring, selection, splits, validation
 from curatrix.plans import cli
 
 
@@ -216,13 +216,66 @@ def test_schema_payload_and_venue_argument():
         cli.venue("iclr")
 
 
-def test_greedy_settles_a_long_chain(spark):
-    rows = [(i, f"id{(i + 1) // 2}", f"f{i // 2}") for i in range(210)]  # two rows are settled a round
-    df = spark.createDataFrame(rows, "ordinal long, paper_id string, fingerprint string").coalesce(1)
-    got = {r.ordinal: r.reason for r in dedupe.greedy(df, "ordinal").collect()}
-    assert got == {i: "duplicate_fingerprint" if i % 2 else None for i in range(210)}
+def walk(rows):
+    """paper_id, fingerprint rows in order: the reason of each."""
+    ids, prints, out = set(), set(), {}
+    for n, (i, f) in enumerate(rows):
+        out[n] = "duplicate_id" if i is not None and i in ids else "duplicate_fingerprint" if f is not None and f in prints else None
+        if out[n] is None:
+            ids.add(i)
+            prints.add(f)
+    return out
 
 
-def test_greedy_says_what_it_cannot_order(spark):
-    with pytest.raises(ValueError):
-        dedupe.greedy(spark.createDataFrame([(None, "a", "x")], "ordinal long, paper_id string, fingerprint string"), "ordinal")
+def greedy_of(spark, rows):
+    df = spark.createDataFrame([(n, i, f) for n, (i, f) in enumerate(rows)], "n long, paper_id string, fingerprint string").repartition(3)
+    return {r.n: r.reason for r in dedupe.greedy(df, "n").collect()}
+
+
+def test_greedy_with_nulls_and_hot_keys(spark):
+    r = random.Random(3)
+    for n, k in ((60, 8), (200, 60), (200, 150)):
+        rows = [(r.choice([None, *map(str, range(k))]), r.choice([None, *map(str, range(k))])) for _ in range(n)]
+        assert greedy_of(spark, rows) == walk(rows)
+    hot = [("same", str(i)) for i in range(100)] + [(str(i), "print") for i in range(100)]
+    assert greedy_of(spark, hot) == walk(hot)
+    assert greedy_of(spark, [(None, None)] * 3) == {0: None, 1: None, 2: None}
+    with pytest.raises(ValueError, match="null"):
+        dedupe.greedy(spark.createDataFrame([(None, "a", "b")], "n long, paper_id string, fingerprint string"), "n")
+
+
+def test_greedy_chain_takes_few_jobs(spark):
+    """Each row of the chain hangs on the one before; the rounds are logarithmic in its length."""
+    chain = [(str((i + 1) // 2), str(i // 2)) for i in range(20_000)]
+    tracker, began = spark.sparkContext.statusTracker(), None
+    spark.sparkContext.setJobGroup("greedy-chain", "")
+    began = greedy_of(spark, chain)
+    jobs = len(tracker.getJobIdsForGroup("greedy-chain"))
+    spark.sparkContext.setJobGroup("other", "")
+    assert began == walk(chain) and jobs < 120
+
+
+def test_components(spark):
+    r = random.Random(1)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(500)] + [(2000, k) for k in range(2001, 2300)] + [(5, None), (None, 6), (7, 7)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    for small in (graph.SMALL, 40):  # in one task, and contracted first
+        got = {x.node: x.component for x in graph.components(df, small=small).collect()}
+        check_components(edges, got)
+    assert graph.components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def check_components(edges, got):
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if None not in (a, b) and a != b:
+            parent[root(a)] = root(b)
+    assert set(got) == set(parent)
+    groups = lambda f: sorted(sorted(x for x in parent if f(x) == k) for k in {f(x) for x in parent})
+    assert groups(got.get) == groups(root)
