@@ -42,8 +42,8 @@ from .graph import components
 
 #: Vectors that pivots are chosen from, and cores and background cells at most.
 SAMPLE, CORES, BACKGROUND = 2_000, 256, 256
-#: Classes in a block.
-BLOCK = 8_192
+#: Classes in a block at least and at most; between them a table is so many blocks that its units are many times a cluster's cores.
+BLOCKS, PARTS = (1_024, 16_384), 16
 #: Sampled vectors that make a core.
 DENSE = 3
 SLACK = 1e-6
@@ -283,10 +283,10 @@ def _joined(kind: str, cosine: float):
     return each
 
 
-def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", cosine: float = 0.95, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
+def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", cosine: float = 0.95, block: int | None = None, sample: int = SAMPLE) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors``: links are pairs of cosine ``cosine`` (over 0, at most 1) or more.
 
-    ``block`` bounds the classes a task compares, ``sample`` the vectors that pivots are chosen from.
+    ``block`` bounds the classes a task compares (None: by their number, see ``BLOCKS``), ``sample`` the vectors that pivots are chosen from.
     """
     if not 0 < cosine <= 1:
         raise ValueError("cosine has to be over 0 and at most 1")
@@ -296,7 +296,9 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
     packed = rows.mapInArrow(tidy_stream(_packed(kind)), "vec_id long, v binary").withColumn("key", F.sha2("v", 256))
     some = packed.filter("v IS NOT NULL AND vec_id IS NOT NULL")
     classes = written(some.groupBy("key", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")).withColumn("cls", F.monotonically_increasing_id()), "classes")
-    pivots = _pivots(classes, kind, block, sample, math.acos(cosine))
+    total = classes.count()
+    block = block or min(max(total // PARTS, BLOCKS[0]), BLOCKS[1])
+    pivots = _pivots(classes, total, kind, block, sample, math.acos(cosine))
     # written, as a class on a border has to have the same home in all that follows
     homes = written(classes.select("cls", "n", "v").mapInArrow(tidy_stream(_homes(pivots, kind)), "cls long, n long, v binary, length int, cell int, angle double"), "homes")
     cells: dict[int, Cells] = {}
@@ -323,9 +325,8 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("least", "vec_id").alias("component_id"), F.coalesce(F.col("vec_id") == F.coalesce("least", "vec_id"), F.lit(True)).alias("kept"))
 
 
-def _pivots(classes: DataFrame, kind: str, block: int, sample: int, reach: float) -> dict[int, Pivots]:
+def _pivots(classes: DataFrame, total: int, kind: str, block: int, sample: int, reach: float) -> dict[int, Pivots]:
     """Pivots for each length of vectors in a sample of ``sample`` classes, the least by a hash."""
-    total = classes.count()
     by: dict[int, list[bytes]] = {}
     for r in classes.select("v").orderBy(F.xxhash64("v"), "v").limit(sample).collect():
         by.setdefault(len(r.v) // np.dtype(kind).itemsize, []).append(bytes(r.v))
