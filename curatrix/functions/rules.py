@@ -12,6 +12,12 @@ RESEARCH_OBJECTS = (
     "检索 / 推荐 / 搜索", "计算机视觉", "语音 / 音频", "AI 系统 / 基础设施", "评测 / Benchmark / 数据集",
 )
 DEFAULT_OBJECT = "通用机器学习"
+# Words by which answers name objects; the first that an answer contains holds.
+OBJECT_ALIASES = {
+    "llm": "LLM", "vlm": "多模态 / VLM", "multimodal": "多模态 / VLM", "vision-language": "多模态 / VLM", "diffusion": "Diffusion / 生成模型", "reinforcement": "强化学习 / 序列决策",
+    "retrieval": "检索 / 推荐 / 搜索", "recommend": "检索 / 推荐 / 搜索", "search": "检索 / 推荐 / 搜索", "vision": "计算机视觉", "image": "计算机视觉", "speech": "语音 / 音频",
+    "audio": "语音 / 音频", "system": "AI 系统 / 基础设施", "infrastructure": "AI 系统 / 基础设施", "benchmark": "评测 / Benchmark / 数据集", "dataset": "评测 / Benchmark / 数据集",
+}
 TIERS = ("positive", "negative")
 LEGACY_NEGATIVE_TIERS = ("easy", "in_domain", "hard")
 REVIEW_STATUSES = ("pending", "conflict", "final")

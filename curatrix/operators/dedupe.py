@@ -113,6 +113,17 @@ def _with_least(df: DataFrame, by: str, ordinal: str, name: str) -> DataFrame:
     return df.join(least, by, "left").withColumn(name, F.coalesce(F.col(name), F.col(ordinal)))
 
 
+def check_new(rows: DataFrame, existing: DataFrame, key: str = "paper_id", title: str = "title", abstract: str = "abstract") -> None:
+    """ValueError where a row's id or fingerprint is another row's or an existing one's. ``rows`` is a batch of bounded size: existing rows are only filtered by it."""
+    printed = lambda df: df.select(F.col(key), fingerprint(F.col(title), F.col(abstract)).alias("_fp"))
+    new, old = checkpointed(printed(rows)), printed(existing)
+    twice = new.groupBy(key).count().filter("count > 1").select(key).union(duplicates(new, F.col("_fp"), key).select("first_id"))
+    ids, prints = F.broadcast(new.select(F.col(key).alias("_k"))), F.broadcast(new.select(F.col("_fp").alias("_f")))
+    held = old.join(ids, F.col(key) == F.col("_k"), "left_semi").select(key).union(old.join(prints, F.col("_fp") == F.col("_f"), "left_semi").select(key))
+    if bad := twice.union(held).head(5):
+        raise ValueError(f"ids or texts of rows to add exist: {', '.join(str(r[0]) for r in bad)}")
+
+
 def duplicates(df: DataFrame, by: Column, key: str) -> DataFrame:
     """by, n, first_id of values that several rows have."""
     return df.groupBy(by.alias("value")).agg(F.count("*").alias("n"), F.min(key).alias("first_id")).filter("n > 1")

@@ -90,6 +90,19 @@ def by_precedence(key: str, **tables: DataFrame) -> DataFrame:
     return out.groupBy(key).agg(F.min_by("_n", "_r").alias("seed_source"))
 
 
+#: What an arbiter can choose.
+CHOICES = ("codex", "human", "custom")
+
+
+def choice_of() -> Column:
+    """Which side a resolved conflict took: codex or human where the payload is the same, else custom; null while it is open."""
+    plain = ("primary_research_object", "preference_labels", "negative_tier", "notes")
+    payload = lambda c: F.struct(*[F.col(c)[k].alias(k) for k in plain], F.to_json(F.array_sort(F.map_entries(F.col(c)["evidence_spans"]))).alias("spans"))
+    same = lambda c: payload("resolved_annotation").eqNullSafe(payload(c))
+    side = F.when(same("codex_annotation"), "codex").when(same("human_annotation"), "human").otherwise("custom")
+    return F.when(F.col("resolved_annotation").isNotNull(), side)
+
+
 def arbitrate(conflicts: DataFrame, choices: DataFrame) -> DataFrame:
     """Annotations by an arbiter: ``choices`` has paper_id, choice (codex, human, custom) and custom (an annotation)."""
     won = conflicts.join(choices, "paper_id").select(

@@ -1,26 +1,46 @@
 """External models as table functions: injected callables, retries, error and audit columns.
 
-A model is ``Callable[[dict], dict]`` made by a factory on the worker, once a partition.
-Calls are keyed by row, results are written before anything else looks at them, and
-skip-existing is an anti-join, so a task that runs again repeats calls but not rows.
+A model is ``Callable[[dict], dict]`` made by a factory on the worker, once a task; it is
+called from several threads. Results are written before anything else looks at them, and
+skip-existing is an anti-join, so a task that runs again repeats calls but not rows. Every
+call leaves one audit entry in its row, so the log is written from what was kept: once a
+call, whatever ran again.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import threading
 import time
-from collections.abc import Callable, Iterator, Sequence
+import uuid
+from collections import deque
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
+from contextvars import ContextVar
+from dataclasses import dataclass
+from datetime import datetime, timezone
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from ..sources.shared import shipped
 
 MIN_CONCURRENCY, MAX_CONCURRENCY = 1, 10
 Model = Callable[[dict], dict]
-_AUDIT = "success boolean, error string, attempts int, duration_ms long"
+#: Calls in flight from one task, where nothing else is said.
+WINDOW = 5
+#: One entry a call.
+CALL = (
+    "request_id string, logged_at timestamp, attempt int, provider string, model string, prompt string, response string, success boolean, error string, duration_ms long, "
+    "response_chars long, prompt_tokens long, completion_tokens long, total_tokens long"
+)
+_AUDIT = f"success boolean, error string, attempts int, duration_ms long, calls array<struct<{CALL}>>"
+_NOTED = ("provider", "model", "prompt", "response", "prompt_tokens", "completion_tokens", "total_tokens")
+_call: ContextVar[dict | None] = ContextVar("call", default=None)
 #: Factories of model factories by name; settings go to them as keywords.
 BACKENDS: dict[str, Callable[..., Callable[[], Model]]] = {}
 
@@ -55,41 +75,109 @@ def check_concurrency(n: int) -> int:
     return n
 
 
+@dataclass
+class Answer:
+    """What a model's client may return in place of a text: its usage goes to the audit log."""
+
+    text: str
+    provider: str | None = None
+    model: str | None = None
+    prompt_tokens: int | None = None
+    completion_tokens: int | None = None
+    total_tokens: int | None = None
+
+
+def note(**facts) -> None:
+    """Called by a model while it runs: adds provider, model, prompt, response or token counts to its call's audit entry."""
+    entry = _call.get()
+    if entry is not None:
+        entry |= {k: facts[k] for k in _NOTED if k in facts}
+
+
+def asked(ask: Callable[[str], str | Answer], prompt: str) -> str:
+    """The text of an answer; prompt, answer and usage are noted."""
+    note(prompt=prompt)
+    answer = ask(prompt)
+    if isinstance(answer, Answer):
+        note(**{k: v for k, v in vars(answer).items() if k != "text"})
+        answer = answer.text
+    note(response=answer)
+    return answer
+
+
+def _called(model: Model, row: dict, attempts: int) -> tuple[dict, str | None, list[dict]]:
+    """The model's output for a row, the last error, and an entry a call."""
+    out, error, calls = {}, None, []
+    for n in range(attempts):
+        entry: dict = {"request_id": str(uuid.uuid4()), "logged_at": datetime.now(timezone.utc), "attempt": n, **dict.fromkeys(_NOTED)}
+        calls.append(entry)
+        token, began, over = _call.set(entry), time.monotonic(), False
+        try:
+            out, error, over = model(row | {"attempt": n}), None, True
+        except (ValueError, RuntimeError) as e:
+            error = str(e) or type(e).__name__
+        except Unretried as e:
+            error, over = str(e), True
+        finally:
+            _call.reset(token)
+        response = entry["response"]
+        entry |= {"success": error is None, "error": error, "duration_ms": int(1000 * (time.monotonic() - began)), "response_chars": None if response is None else len(response)}
+        if over:
+            break
+    return out, error, calls
+
+
 def run_model(rows: DataFrame, factory: Callable[[], Model], output: str, attempts: int = 2, concurrency: int = 5, partitions: int | None = None) -> DataFrame:
-    """``rows`` with the columns of ``output`` (a DDL of fields that the model returns) and success, error, attempts, duration_ms.
+    """``rows`` with the columns of ``output`` (a DDL of fields that the model returns) and success, error, attempts, duration_ms and calls (an audit entry each).
 
     The model gets the row as a dict, with ``attempt`` from 0; ValueError and
     RuntimeError are retried, and after the last attempt the row has its error and null
-    outputs. ``concurrency`` bounds how many calls run at a time, as the models' owners ask;
-    ``partitions`` deals the rows into more tasks where there is no such bound.
+    outputs. ``concurrency`` bounds how many calls run at a time in all tasks together, as
+    the models' owners ask: tasks have ``WINDOW`` calls in flight, the next one starting
+    when any ends, and rows come out in their order. Where there is no such bound,
+    ``partitions`` deals the rows into more tasks, each with ``concurrency`` calls in flight.
     """
     check_concurrency(concurrency)
-    fields = rows.sparkSession.createDataFrame([], output).schema
-    head = rows.schema.simpleString()[len("struct<") : -1]
+    spark = shipped(rows.sparkSession)
+    fields = spark.createDataFrame([], output).schema
     names = fields.fieldNames()
-
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = factory()
-        for batch in batches:
-            found = []
-            for row in batch.to_dict("records"):
-                began, out, error, n = time.monotonic(), {}, None, 0
-                for n in range(1, attempts + 1):
-                    try:
-                        out, error = model(row | {"attempt": n - 1}), None
-                        break
-                    except (ValueError, RuntimeError) as e:
-                        error = str(e) or type(e).__name__
-                    except Unretried as e:
-                        error = str(e)
-                        break
-                found.append([out.get(k) if error is None else None for k in names] + [error is None, error, n, int(1000 * (time.monotonic() - began))])
-            extra = pd.DataFrame(found, columns=[*names, "success", "error", "attempts", "duration_ms"], index=batch.index)
-            yield pd.concat([batch, extra], axis=1)
-
-    fields_ddl = fields.simpleString()[len("struct<") : -1]
-    schema = ", ".join(_ddl(head)) + ", " + ", ".join(_ddl(fields_ddl)) + ", " + _AUDIT
-    return rows.repartition(partitions or concurrency).mapInPandas(call, schema)
+    window = concurrency if partitions else min(concurrency, WINDOW)
+    tasks = partitions or concurrency // window
+    added = spark.createDataFrame([], f"{', '.join(_ddl(fields.simpleString()[len('struct<') : -1]))}, {_AUDIT}").schema
+    schema, arrow = type(added)(rows.schema.fields + added.fields), _arrow_schema(added)
+
+    def finished(batch: pa.RecordBatch, futures: list[Future]) -> pa.RecordBatch:
+        found = []
+        for f in futures:
+            out, error, calls = f.result()
+            held = {k: out.get(k) if error is None else None for k in names}
+            found.append(held | {"success": error is None, "error": error, "attempts": len(calls), "duration_ms": sum(c["duration_ms"] for c in calls), "calls": calls})
+        extra = pa.RecordBatch.from_pylist(found, schema=arrow)
+        return pa.RecordBatch.from_arrays([*batch.columns, *extra.columns], names=[*batch.schema.names, *extra.schema.names])
+
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, free, held = factory(), threading.Semaphore(window), deque()
+        with ThreadPoolExecutor(window) as pool:
+            for batch in batches:
+                futures: list[Future] = []
+                held.append((batch, futures))
+                for row in batch.to_pylist(maps_as_pydicts="strict"):
+                    free.acquire()
+                    future = pool.submit(_called, model, row, attempts)
+                    future.add_done_callback(lambda _: free.release())
+                    futures.append(future)
+                while len(held) > 1 and (len(held) > 2 or all(f.done() for f in held[0][1])):
+                    yield finished(*held.popleft())
+            while held:
+                yield finished(*held.popleft())
+
+    return rows.repartition(tasks).mapInArrow(call, schema)
+
+
+def _arrow_schema(schema) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return to_arrow_schema(schema)
 
 
 def _ddl(simple: str) -> list[str]:
@@ -193,17 +281,17 @@ def _line(*parts) -> str:
     return " ".join(x for x in (" ".join(str(p or "").split()) for p in parts) if x)
 
 
-def annotator(ask: Callable[[str], str], asks: Sequence[str] = ANNOTATE_ASKS) -> Callable[[], Model]:
+def annotator(ask: Callable[[str], str | Answer], asks: Sequence[str] = ANNOTATE_ASKS) -> Callable[[], Model]:
     """A factory for ``run_model`` around ``ask``: the prompt of the attempt, then the row; the answer is parsed."""
     domain = f"primary_research_object: {', '.join(rules.RESEARCH_OBJECTS)}. preference_labels: {', '.join(rules.PREFERENCE_LABELS)}. negative_tier: {', '.join(rules.TIERS)}."
 
     def model(row: dict) -> dict:
-        return parse_annotation(ask(_line(asks[min(row["attempt"], len(asks) - 1)], domain, "Title:", row.get("title"), "Abstract:", row.get("abstract"), "Keywords:", row.get("keywords"))))
+        return parse_annotation(asked(ask, _line(asks[min(row["attempt"], len(asks) - 1)], domain, "Title:", row.get("title"), "Abstract:", row.get("abstract"), "Keywords:", row.get("keywords"))))
 
     return lambda: model
 
 
-def translator(ask: Callable[[str], str], asks: Sequence[str] = TRANSLATE_ASKS, field: str = "translation") -> Callable[[], Model]:
+def translator(ask: Callable[[str], str | Answer], asks: Sequence[str] = TRANSLATE_ASKS, field: str = "translation") -> Callable[[], Model]:
     """A factory for ``run_model``: blank sources need no call; only unusable answers are asked for again, so failed calls end the row's attempts."""
 
     def model(row: dict) -> dict:
@@ -211,7 +299,7 @@ def translator(ask: Callable[[str], str], asks: Sequence[str] = TRANSLATE_ASKS,
         if not source.strip():
             return {field: ""}
         try:
-            answer = ask(_line(asks[min(row["attempt"], len(asks) - 1)], source))
+            answer = asked(ask, _line(asks[min(row["attempt"], len(asks) - 1)], source))
         except RuntimeError as e:
             raise Unretried(str(e) or type(e).__name__) from e
         return {field: check_translation(source, answer)}
@@ -252,37 +340,60 @@ def last_message(text: str) -> str:
     return next((x for x in reversed(lines) if x.lstrip().startswith("{")), text)
 
 
-def match_choice(value: str, domain: Sequence[str], aliases: dict[str, str] | None = None) -> str | None:
-    """Exact, then contained either way (so a blank is the first of the domain), then by an alias it contains."""
+def match_choice(value: str, domain: Sequence[str], aliases: Mapping[str, str] | None = None) -> str | None:
+    """Exact, then contained either way (so a blank is the first of the domain), then by the first alias that its lower case contains."""
     v = value.strip()
     if v in domain:
         return v
-    for d in domain:
-        if v.lower() in d.lower() or d.lower() in v.lower():
-            return d
-    return next((d for token, d in (aliases or {}).items() if token in v.lower()), None)
+    found = next((d for d in domain if d in v or v in d), None)
+    return found or next((d for token, d in (aliases or {}).items() if token in v.lower()), None)
+
+
+def _tier(value: str) -> str:
+    found = next((x for x in rules.TIERS if x in value), None)
+    if found is None:
+        raise ValueError(f"no such negative_tier: {value}")
+    return found
+
+
+def _labels(value) -> list[str]:
+    """The one label of a list, or none: values that match no label are passed over, two labels are refused."""
+    if not isinstance(value, list):
+        raise ValueError("preference_labels is no list")
+    found = list(dict.fromkeys(m for x in value if str(x).strip() and (m := match_choice(str(x), rules.PREFERENCE_LABELS))))
+    if len(found) > 1:
+        raise ValueError("only one preference label is allowed")
+    return found
+
+
+def _spans(value) -> dict[str, list[str]]:
+    """Quotes by label, of a map of lists or a list of {label, text}; a key that matches no label is general."""
+    spans: dict[str, list[str]] = {}
+    if isinstance(value, dict):
+        items = [(k, v if isinstance(v, list) else [v]) for k, v in value.items()]
+    else:
+        items = [(x.get("label", "general"), [x["text"]]) for x in value if isinstance(x, dict) and str(x.get("text") or "").strip()] if isinstance(value, list) else []
+    for key, texts in items:
+        key = str(key).strip()
+        name = key if key in rules.EVIDENCE_EXTRA_KEYS else match_choice(key, rules.PREFERENCE_LABELS) or rules.EVIDENCE_EXTRA_KEYS[0]
+        held = spans.setdefault(name, [])
+        held += [x for x in dict.fromkeys(str(x).strip() for x in texts) if x and x not in held]
+    return spans
 
 
 def parse_annotation(text: str) -> dict:
-    """An annotation's fields from a model's answer; ValueError where required ones are missing or unknown."""
+    """An annotation's fields from a model's answer; ValueError where fields are missing or unknown, or several labels are named."""
     payload = json.loads(last_message(text))
-    if not isinstance(payload, dict) or not {"primary_research_object", "preference_labels", "negative_tier"} <= payload.keys():
+    required = {"primary_research_object", "preference_labels", "negative_tier"}
+    if not isinstance(payload, dict) or not required <= payload.keys():
         raise ValueError("answer lacks required fields")
-    kind = match_choice(str(payload["primary_research_object"]), rules.RESEARCH_OBJECTS)
-    tier = match_choice(str(payload["negative_tier"]), rules.TIERS)
-    if kind is None or tier is None:
-        raise ValueError("answer is out of the domain")
+    kind = match_choice(str(payload["primary_research_object"]), rules.RESEARCH_OBJECTS, rules.OBJECT_ALIASES)
+    if kind is None:
+        raise ValueError(f"no such research object: {payload['primary_research_object']}")
+    tier = _tier(str(payload["negative_tier"]))
     raw = payload["preference_labels"]
-    labels = [m for x in (raw if isinstance(raw, list) else [raw]) if str(x).strip() and (m := match_choice(str(x), rules.PREFERENCE_LABELS))]
-    keys = (*rules.PREFERENCE_LABELS, *rules.EVIDENCE_EXTRA_KEYS)
-    spans: dict[str, list[str]] = {}
-    for k, v in (payload.get("evidence_spans") or {}).items():
-        if str(k).strip() and (name := match_choice(str(k), keys)):
-            spans.setdefault(name, []).extend(str(x).strip() for x in (v if isinstance(v, list) else [v]) if str(x).strip())
-    return {
-        "primary_research_object": kind, "preference_labels": [] if tier == "negative" else list(dict.fromkeys(labels))[:1], "negative_tier": tier,
-        "evidence_spans": {k: list(dict.fromkeys(v)) for k, v in spans.items()}, "notes": str(payload.get("notes") or ""),
-    }
+    labels = [] if tier == "negative" and isinstance(raw, list) else _labels(raw)
+    return {"primary_research_object": kind, "preference_labels": labels, "negative_tier": tier, "evidence_spans": _spans(payload.get("evidence_spans")), "notes": str(payload.get("notes") or "")}
 
 
 _CJK = re.compile(r"[一-鿿]")

@@ -5,6 +5,7 @@ Only bounded things come to the driver: counts, chunk verdicts, and report rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -23,8 +24,17 @@ TABLES = {REC: schemas.RECORDS, AI: schemas.ANNOTATIONS, HUMAN: schemas.ANNOTATI
 _OUTPUT = "primary_research_object string, preference_labels array<string>, negative_tier string, evidence_spans map<string,array<string>>, notes string"
 
 
-def load(root: SnapshotRoot) -> dict[str, DataFrame]:
-    return {name: root.read(name, schema) for name, schema in TABLES.items()}
+class Loaded(dict):
+    """The tables of one version, which commits of what is made from them name as their beginning."""
+
+    version = 0
+
+
+def load(root: SnapshotRoot) -> Loaded:
+    version = root.version()
+    t = Loaded({name: root.read(name, schema, version) for name, schema in TABLES.items()})
+    t.version = version
+    return t
 
 
 def stats(t: dict[str, DataFrame]) -> dict:
@@ -64,11 +74,14 @@ def scheduling_candidates(spark, source: str, venues, minimum: int = rules.SCHED
     return out.withColumn("venue_rank", selection.priority_rank(selection.venue_key(F.col("venue")), [f"{v}:{y}" for v, y in venues]))
 
 
-def rebuild(root: SnapshotRoot, source: str, venues=None, translator: Callable | None = None) -> str:
+def rebuild(root: SnapshotRoot, source: str, venues=None, translator: Callable | None = None) -> int:
     """A new benchmark from the conference files; ``translator`` is a model factory that returns abstract_zh."""
+    began = root.version()
     cands = select_candidates(root.spark, source, venues or rules.VENUE_QUOTAS)
     if translator:
-        cands = checkpointed(models.run_model(cands.drop("abstract_zh"), translator, "abstract_zh string")).withColumn("abstract_zh", F.coalesce("abstract_zh", F.lit(""))).drop("success", "error", "attempts", "duration_ms")
+        cands = checkpointed(models.run_model(cands.drop("abstract_zh"), translator, "abstract_zh string")).withColumn("abstract_zh", F.coalesce("abstract_zh", F.lit("")))
+        files.write_audit(cands, f"{root.root}/audit", "rebuild", uuid.uuid4().hex)
+        cands = cands.drop("success", "error", "attempts", "duration_ms", "calls")
     records = checkpointed(scoring.build_records(cands).select(*schemas.RECORDS.fieldNames(), "final_evidence_spans"))
     seed = records.select(
         "paper_id", F.lit("candidate_seed").alias("labeler_id"), "primary_research_object",
@@ -77,22 +90,48 @@ def rebuild(root: SnapshotRoot, source: str, venues=None, translator: Callable |
     )
     none = root.spark.createDataFrame([], schemas.CONFLICTS)
     t = {REC: records.select(*schemas.RECORDS.fieldNames()), AI: seed, HUMAN: seed.withColumn("labeler_id", F.lit("human_reviewer")), MERGED: seed.withColumn("labeler_id", F.lit("merged")), CONFLICTS: none}
-    return root.commit(t, {"stats.json": stats(t), "schema.json": schemas.schema_payload()})
+    return root.commit(t, {"stats.json": stats(t), "schema.json": schemas.schema_payload()}, began)
+
+
+def in_batches(root: SnapshotRoot, name: str, rows: DataFrame, size: int, call: Callable[[DataFrame], DataFrame], kind: str, each: Callable[[DataFrame], None] | None = None) -> str:
+    """``call`` batches of ``rows`` in the order of their ids; returns the run's id.
+
+    The queue is written once, a folder a batch, and each batch's result is kept under
+    ``work/name`` as soon as it is done, its calls are logged in ``audit``, and ``each``
+    gets it.
+    """
+    spark, run, path = root.spark, uuid.uuid4().hex, f"{root.root}/work/{name}"
+    queue, batch = f"{path}/queue-{run}", F.floor((F.col("_n") - 1) / size).cast("int")
+    selection.numbered(rows, ["paper_id"], "_n").withColumn("_batch", batch).drop("_n").write.partitionBy("_batch").parquet(queue)
+    for k in files.partitions(spark, queue, "_batch"):
+        done = f"{path}/done/run={run}/batch={k}"
+        result = call(spark.read.schema(rows.schema).parquet(f"{queue}/_batch={k}"))
+        result.write.parquet(done)
+        held = spark.read.schema(result.schema).parquet(done)
+        files.write_audit(held, f"{root.root}/audit", kind, run, k)
+        if each:
+            each(held)
+    files.delete(spark, queue)
+    return run
 
 
 def run_kept(root: SnapshotRoot, name: str, rows: DataFrame, factory: Callable, output: str, batch: int = 1000, **how) -> DataFrame:
     """``run_model`` by batches of rows in the order of their ids, each kept under ``work/name`` as soon as it is done.
 
-    Rows that an interrupted run has kept are not asked again; failed ones are. Returns
-    all that is kept and this run's errors; ``forget`` drops it.
+    Rows that an interrupted run has kept are not asked again; failed ones are. Its calls
+    are logged, once, also where it broke off between a batch and its log. Returns all that
+    is kept and this run's errors; ``forget`` drops it.
     """
     spark, path = root.spark, f"{root.root}/work/{name}"
     asked = models.run_model(rows, factory, output, **how).schema
-    held = lambda: spark.read.schema(asked).parquet(path) if files.exists(spark, path) else spark.createDataFrame([], asked)
-    todo = checkpointed(selection.numbered(rows.join(held().filter("success").select("paper_id"), "paper_id", "left_anti"), ["paper_id"], "_n"))
-    for k in range(-(-todo.count() // batch)):
-        part = todo.filter((F.col("_n") > k * batch) & (F.col("_n") <= (k + 1) * batch)).drop("_n")
-        models.run_model(part, factory, output, **how).write.mode("append").parquet(path)
+    held = lambda: spark.read.schema(asked).parquet(f"{path}/done") if files.exists(spark, f"{path}/done") else spark.createDataFrame([], asked)
+    for run in files.partitions(spark, f"{path}/done", "run", str):
+        for k in files.partitions(spark, f"{path}/done/run={run}", "batch"):
+            kept, log = f"{path}/done/run={run}/batch={k}", f"{root.root}/audit/run={run}/batch={k}"
+            if files.exists(spark, f"{kept}/_SUCCESS") and not files.exists(spark, f"{log}/_SUCCESS"):
+                files.write_audit(spark.read.schema(asked).parquet(kept), f"{root.root}/audit", name, run, k)
+    todo = rows.join(held().filter("success").select("paper_id"), "paper_id", "left_anti").select(*rows.columns)
+    in_batches(root, name, todo, batch, lambda part: models.run_model(part, factory, output, **how), name)
     best = F.max_by(F.struct(*asked.fieldNames()), F.col("success").cast("int"))
     return checkpointed(held().join(rows.select("paper_id"), "paper_id", "left_semi").groupBy("paper_id").agg(best.alias("x")).select("x.*"))
 
@@ -104,22 +143,21 @@ def forget(root: SnapshotRoot, name: str) -> None:
 def annotate(root: SnapshotRoot, factory: Callable, labeler: str, rebuild_all: bool = False, concurrency: int = 5, batch: int = 1000) -> DataFrame:
     """AI annotations of records that have none (or of all); commits and returns the errors.
 
-    Batches are kept as they come, so a run that failed goes on where it was. Calls are
-    logged in ``audit``.
+    Batches are kept as they come, so a run that failed, or whose commit came after
+    another's, goes on where it was. Calls are logged in ``audit``.
     """
     t = load(root)
     todo = t[REC] if rebuild_all else models.missing_only(t[REC], t[AI])
     asked = todo.select("paper_id", "title", "abstract", F.array_join("keywords", ", ").alias("keywords"))
     done = run_kept(root, f"annotate-{labeler}", asked, factory, _OUTPUT, batch, concurrency=concurrency)
-    files.append_audit(done.select("paper_id", "success", "error", "attempts", "duration_ms"), f"{root.root}/audit", "annotate")
     new = validation.cleaned_annotations(done.filter("success").withColumn("labeler_id", F.lit(labeler)).withColumn("review_status", F.lit("pending")))
     t[AI] = new if rebuild_all else files.upsert(t[AI], new, "paper_id")
-    root.commit({AI: t[AI]}, {"stats.json": stats(t)})
+    root.commit({AI: t[AI]}, {"stats.json": stats(t)}, t.version)
     forget(root, f"annotate-{labeler}")
     return done.filter("NOT success").select("paper_id", "error", "attempts")
 
 
-def refresh_merge(root: SnapshotRoot, arbitrations: DataFrame | None = None) -> str:
+def refresh_merge(root: SnapshotRoot, arbitrations: DataFrame | None = None) -> int:
     """Merge what both annotators have, replaying arbitrations that conflicts hold."""
     t = load(root)
     paired = t[AI].select("paper_id").intersect(t[HUMAN].select("paper_id"))
@@ -128,7 +166,25 @@ def refresh_merge(root: SnapshotRoot, arbitrations: DataFrame | None = None) ->
     arb = held if arbitrations is None else files.upsert(held, arbitrations, "paper_id")
     records, merged, conflicts = merge.merge(t[REC], ai, human, arb)
     t |= {REC: checkpointed(records), MERGED: checkpointed(merged), CONFLICTS: checkpointed(conflicts)}
-    return root.commit({k: t[k] for k in (REC, MERGED, CONFLICTS)}, {"stats.json": stats(t)})
+    return root.commit({k: t[k] for k in (REC, MERGED, CONFLICTS)}, {"stats.json": stats(t)}, t.version)
+
+
+def arbitrate(root: SnapshotRoot, choices: DataFrame) -> dict:
+    """Settle conflicts by ``choices`` (paper_id, choice: codex, human or custom, and custom: an annotation), and merge again.
+
+    A choice of a paper that has no conflict, of an unknown kind, a custom one without an
+    annotation, or two of one paper are refused, and nothing is changed. Returns how many
+    conflicts there are, how many are open, and how the others were settled.
+    """
+    t = load(root)
+    held = t[CONFLICTS].select("paper_id", F.lit(True).alias("_held"))
+    problem = F.when(F.col("_held").isNull(), "no conflict").when(~F.coalesce(F.col("choice").isin(*merge.CHOICES), F.lit(False)), "no such choice").when((F.col("choice") == "custom") & F.col("custom").isNull(), "no annotation")
+    if bad := choices.join(held, "paper_id", "left").withColumn("problem", problem).filter("problem IS NOT NULL").select("paper_id", "problem").head(5):
+        raise merge.MergeError("; ".join(f"{r.paper_id}: {r.problem}" for r in bad))
+    files.require_unique(choices, "paper_id")
+    refresh_merge(root, checkpointed(merge.arbitrate(t[CONFLICTS], choices)))
+    counts = {r.choice or "open": r["count"] for r in load(root)[CONFLICTS].groupBy(merge.choice_of().alias("choice")).count().collect()}
+    return {"conflicts": sum(counts.values()), "open": 0} | counts
 
 
 def backfill(root: SnapshotRoot, factory: Callable, source: str, target: str, limit: int | None = None, batch_tags: list[str] | None = None, apply: bool = True, concurrency: int = 5) -> DataFrame:
@@ -142,11 +198,12 @@ def backfill(root: SnapshotRoot, factory: Callable, source: str, target: str, li
         todo = browse.pending(todo, t[HUMAN], t[MERGED]).filter(tag.isNotNull() if not batch_tags else tag.isin(*[x.removeprefix("augment_batch=") for x in batch_tags]))
     todo = todo.orderBy("paper_id").limit(limit) if limit else todo
     done = checkpointed(models.run_model(todo.select("paper_id", F.col(source).alias("source_text")), factory, "translation string", concurrency=concurrency))
+    files.write_audit(done, f"{root.root}/audit", f"backfill_{source}", uuid.uuid4().hex)
     patches = done.filter("success").select("paper_id", F.col("translation").alias(target))
     if apply:
         new = t[REC].drop(target).join(patches, "paper_id", "left").join(t[REC].select("paper_id", F.col(target).alias("_old")), "paper_id")
         new = new.withColumn(target, F.coalesce(target, "_old")).select(*schemas.RECORDS.fieldNames())
-        root.commit({REC: new}, {"stats.json": stats(t | {REC: new})})
+        root.commit({REC: new}, {"stats.json": stats(t | {REC: new})}, t.version)
     return patches
 
 
@@ -159,35 +216,34 @@ def translate(root: SnapshotRoot, factory: Callable, source: str, target: str, p
     t = load(root)
     old = files.scan_patches(root.spark, patches)
     todo = browse.pending(t[REC].filter(browse.needs_translation(F.col(source), F.col(target))), old)
-    todo = checkpointed(selection.numbered(todo.orderBy("paper_id").limit(limit) if limit else todo, ["paper_id"], "_n"))
-    new = None
-    for k in range(-(-todo.count() // batch)):
-        part = todo.filter((F.col("_n") > k * batch) & (F.col("_n") <= (k + 1) * batch))
-        done = checkpointed(models.run_model(part.select("paper_id", "title", F.col(source).alias("source_text")), factory, "translation string", attempts, concurrency))
-        files.append_audit(done.select("paper_id", "success", "error", "attempts", "duration_ms"), f"{root.root}/audit", f"translate_{source}")
-        now = done.filter("success").select(
+    todo = (todo.orderBy("paper_id").limit(limit) if limit else todo).select("paper_id", "title", F.col(source).alias("source_text"))
+    ids, name = checkpointed(todo.select("paper_id")), f"translate_{source}"
+
+    def add(done: DataFrame) -> None:
+        made = done.filter("success").select(
             "paper_id", "title", *[F.col("translation").alias(c) if c == target else F.lit("").alias(c) for c in ("title_zh", "abstract_zh")],
             F.lit(model).alias("model"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("translated_at"),
         )
-        files.append_sorted(now, patches)
-        new = now if new is None else new.unionByName(now)
-    if new is None:
-        return root.spark.createDataFrame([], schemas.PATCHES)
-    if apply:
+        files.append_sorted(made, patches)
+
+    in_batches(root, name, todo.join(ids, "paper_id", "left_semi"), batch, lambda part: models.run_model(part, factory, "translation string", attempts, concurrency), name, add)
+    forget(root, name)
+    new = checkpointed(files.scan_patches(root.spark, patches).join(ids, "paper_id", "left_semi").select(*schemas.PATCHES.fieldNames()))
+    if apply and new.head(1):
         merged = t[REC].join(new.select("paper_id", F.col(target).alias("_new")), "paper_id", "left")
         t[REC] = checkpointed(merged.withColumn(target, F.coalesce("_new", target)).select(*schemas.RECORDS.fieldNames()))
-        root.commit({REC: t[REC]}, {"stats.json": stats(t)})
+        root.commit({REC: t[REC]}, {"stats.json": stats(t)}, t.version)
     return new
 
 
 def assign_splits(root: SnapshotRoot, seed: int = rules.SPLIT_SEED) -> dict:
     """Splits of merged papers that have none; the table ``splits`` holds all of them, a manifest with id lists is read too if there is one."""
     t = load(root)
-    manifest = files.scan_manifest(root.spark, root.path("split-manifest.json")).unionByName(root.read("splits", schemas.SPLITS))
+    manifest = files.scan_manifest(root.spark, root.path("split-manifest.json", t.version)).unionByName(root.read("splits", schemas.SPLITS, t.version))
     rows = checkpointed(splits.assign(t[REC], t[MERGED], splits.manifest_rows(manifest)))
     counts = {r.split: r.n for r in splits.split_counts(rows).collect()}
     about = {"version": 1, "seed": seed, "ratios": {"dev": 0.7, "dev_validation": 0.15, "test": 0.15}, "counts": counts}
-    root.commit({"splits": rows.select("split", "paper_id")}, {"splits.json": about})
+    root.commit({"splits": rows.select("split", "paper_id")}, {"splits.json": about}, t.version)
     n_new = rows.filter("is_new").count()
     merged_with = t[MERGED].join(t[REC].select("paper_id"), "paper_id", "left_semi").count()
     return {"assigned": n_new, "eligible": merged_with, "already": merged_with - n_new, "skipped": t[MERGED].count() - merged_with, "counts": counts}
@@ -240,7 +296,7 @@ def write_evaluation(root: SnapshotRoot, report: dict, out: str) -> None:
     files.write_text(root.spark, f"{out}/stdout.txt", "\n".join(f"{k}: {report[k]['accuracy']}" for k in ("positive_negative", "labels", "objects") if report.get(k)) + "\n")
 
 
-def rebalance(root: SnapshotRoot, source: str, venues, factory: Callable, labeler: str = "ai", target: float = 0.30, batch: int = 50, seed: int = 20260328, max_new: int | None = None) -> dict:
+def rebalance(root: SnapshotRoot, source: str, venues, factory: Callable, labeler: str = "ai", target: float = 0.30, batch: int = 50, seed: int = 20260328, max_new: int | None = None, concurrency: int = 5) -> dict:
     """Add heuristic negatives by batches until the AI layer's positive ratio is the target or less."""
     t = load(root)
     prints = t[REC].select("paper_id", dedupe.fingerprint(F.col("title"), F.col("abstract")).alias("fingerprint"))
@@ -252,7 +308,7 @@ def rebalance(root: SnapshotRoot, source: str, venues, factory: Callable, labele
     cands = selection.numbered(cands, ["venue", "paper_id", "source_path"], "ordinal")
     pool = checkpointed(dedupe.greedy(checkpointed(cands), "ordinal").filter("reason IS NULL"))
     queue = checkpointed(selection.numbered(pool.withColumn("_h", selection.hash_order(seed, F.col("paper_id"))), ["_h", "paper_id"], "position").drop("_h"))
-    size, added, at = queue.count(), 0, 0
+    size, added, at, run = queue.count(), 0, 0, uuid.uuid4().hex
     while True:
         n, pos = t[AI].agg(F.count("*"), F.count_if(F.col("negative_tier") == "positive")).first()
         if n == 0 or pos / n <= target:
@@ -266,18 +322,19 @@ def rebalance(root: SnapshotRoot, source: str, venues, factory: Callable, labele
             break
         step = min(batch, max_new - added) if max_new is not None else batch
         rows = queue.filter((F.col("position") > at) & (F.col("position") <= at + step)).select(*schemas.RECORDS.fieldNames())
-        done = checkpointed(models.run_model(rows.select("paper_id", "title", "abstract"), factory, _OUTPUT)).filter("success")
+        asked = checkpointed(models.run_model(rows.select("paper_id", "title", "abstract"), factory, _OUTPUT, concurrency=concurrency))
+        files.write_audit(asked, f"{root.root}/audit", "rebalance", run, at)
+        done = asked.filter("success")
         new = validation.cleaned_annotations(done.withColumn("labeler_id", F.lit(labeler)).withColumn("review_status", F.lit("pending")))
         kept = rows.join(done.select("paper_id"), "paper_id", "left_semi").select(*schemas.RECORDS.fieldNames())
-        if kept.join(t[REC].select("paper_id"), "paper_id", "left_semi").head(1):  # the pool was deduped, so none can be
-            raise ValueError("a row to add has an id that exists")
+        dedupe.check_new(kept, t[REC])
         t[REC], t[AI] = checkpointed(t[REC].unionByName(kept)), checkpointed(t[AI].unionByName(new))
         at, added = at + step, added + kept.count()
-        root.commit({REC: t[REC], AI: t[AI]}, {"stats.json": stats(t)})  # records and annotations in one commit
+        t.version = root.commit({REC: t[REC], AI: t[AI]}, {"stats.json": stats(t)}, t.version)  # records and annotations in one commit
     return {"added": added, "stop_reason": reason, "ratio": reports.python_round(pos / n) if n else 0.0}
 
 
-def augment(root: SnapshotRoot, source: str, factory: Callable, batch_tag: str, venues=rules.AUGMENT_VENUES, target: int = 100, minimum: int = rules.SCHEDULING_MINIMUM_SCORE, chunk: int = 50, max_reviewed: int | None = None, labeler: str = "ai") -> dict:
+def augment(root: SnapshotRoot, source: str, factory: Callable, batch_tag: str, venues=rules.AUGMENT_VENUES, target: int = 100, minimum: int = rules.SCHEDULING_MINIMUM_SCORE, chunk: int = 50, max_reviewed: int | None = None, labeler: str = "ai", concurrency: int = 5) -> dict:
     """Verified scheduling positives until the label has its target; one commit at the end."""
     t = load(root)
     label = rules.SCHEDULING_LABEL
@@ -290,11 +347,12 @@ def augment(root: SnapshotRoot, source: str, factory: Callable, batch_tag: str,
     cands = cands.join(dedupe.blocked_ids(*t.values()), "paper_id", "left_anti").join(prints, "fingerprint", "left_anti")
     cands = checkpointed(selection.numbered(cands, ["venue_rank", F.col("score").desc(), "paper_id"], "ordinal"))
     queue = checkpointed(selection.numbered(dedupe.greedy(cands, "ordinal").filter("reason IS NULL"), ["ordinal"], "position"))
-    size, n = queue.count(), 0
+    size, n, run = queue.count(), 0, uuid.uuid4().hex
     while n < gap and reviewed < size and (max_reviewed is None or reviewed < max_reviewed):
         step = min(chunk, (max_reviewed or size) - reviewed)
         rows = queue.filter((F.col("position") > reviewed) & (F.col("position") <= reviewed + step))
-        done = models.run_model(rows.select("paper_id", "title", "abstract", "position"), factory, _OUTPUT)
+        done = checkpointed(models.run_model(rows.select("paper_id", "title", "abstract", "position"), factory, _OUTPUT, concurrency=concurrency))
+        files.write_audit(done, f"{root.root}/audit", "augment", run, reviewed)
         ok = checkpointed(done.filter(F.col("success") & (F.col("negative_tier") == "positive") & (F.col("preference_labels") == F.array(F.lit(label)))))
         take = checkpointed(selection.take_until(ok, F.lit(True), gap - n, ["position"]))
         accepted = take if accepted is None else accepted.unionByName(take)
@@ -303,8 +361,9 @@ def augment(root: SnapshotRoot, source: str, factory: Callable, batch_tag: str,
     if n:
         new = validation.cleaned_annotations(accepted.withColumn("labeler_id", F.lit(labeler)).withColumn("review_status", F.lit("pending")))
         rows = queue.join(accepted.select("paper_id"), "paper_id", "left_semi").withColumn("notes", scoring.batch_note(F.col("notes"), batch_tag, F.col("score")))
+        dedupe.check_new(rows, t[REC])
         t[REC], t[AI] = t[REC].unionByName(rows.select(*schemas.RECORDS.fieldNames())), t[AI].unionByName(new)
-        root.commit({REC: t[REC], AI: t[AI]}, {"stats.json": stats(t)})
+        root.commit({REC: t[REC], AI: t[AI]}, {"stats.json": stats(t)}, t.version)
     if n >= gap:
         reason = "target_positive_count_reached"
     elif not size:
@@ -332,7 +391,7 @@ def import_payload(root: SnapshotRoot, path: str, dry_run: bool = False) -> dict
     if changed and not dry_run:
         t[REC] = files.upsert(t[REC], rec.filter("status != 'unchanged'").drop("status"), "paper_id")
         t[AI] = files.upsert(t[AI], ann.filter("status != 'unchanged'").drop("status"), "paper_id")
-        root.commit({REC: t[REC], AI: t[AI]}, {"stats.json": stats(t)})
+        root.commit({REC: t[REC], AI: t[AI]}, {"stats.json": stats(t)}, t.version)
     return out
 
 
@@ -388,8 +447,11 @@ def validate(root: SnapshotRoot, listed: int = 100, keep: str | None = None) ->
     return {"ok": not n, "n_issues": n, "file_counts": counts, "issues": [r.asDict() for r in found.orderBy("path", "message").limit(listed).collect()]}
 
 
-def release_report(root: SnapshotRoot) -> dict:
-    """The release summary: totals, venues, objects, labels, unresolved rows and repeated ids (the first hundred of them)."""
+def release_report(root: SnapshotRoot, listed: int = 100, keep: str | None = None) -> dict:
+    """The release summary: totals, venues, objects, labels, unresolved rows and repeated ids.
+
+    Says how many ids are repeated and lists the first ``listed``; all of them are written to the table ``keep`` if it is named.
+    """
     t = load(root)
     merged = t[MERGED].select("paper_id", F.col("primary_research_object").alias("final_primary_research_object"), F.col("preference_labels").alias("final_labels"), F.col("negative_tier").alias("final_tier"), F.lit("final").alias("final_status"))
     rows = t[REC].join(merged.dropDuplicates(["paper_id"]), "paper_id", "left")
@@ -397,7 +459,7 @@ def release_report(root: SnapshotRoot) -> dict:
         rows, "paper_id", F.col("venue"), merge.resolved("final_primary_research_object", "primary_research_object"), F.coalesce("final_labels", "candidate_preference_labels"),
         merge.resolved("final_tier", "candidate_negative_tier"), F.col("final_status"), rules.PREFERENCE_LABELS,
     )
-    out: dict = {"total_records": 0, "venues": {}, "objects": {}, "labels": {x: {"positive": 0, "negative": 0} for x in rules.PREFERENCE_LABELS}, "unresolved": 0, "duplicate_ids": []}
+    out: dict = {"total_records": 0, "venues": {}, "objects": {}, "labels": {x: {"positive": 0, "negative": 0} for x in rules.PREFERENCE_LABELS}, "unresolved": 0, "n_duplicate_ids": 0, "duplicate_ids": []}
     for r in found.filter("section != 'duplicate_ids'").collect():
         if r.section in ("positive", "negative"):
             out["labels"][r.key][r.section] = r.n
@@ -405,7 +467,10 @@ def release_report(root: SnapshotRoot) -> dict:
             out[f"{r.section}s"][r.key] = r.n
         else:
             out["total_records" if r.section == "total" else r.section] = r.n
-    out["duplicate_ids"] = [r.key for r in found.filter("section = 'duplicate_ids'").orderBy("key").limit(100).collect()]
+    repeated = checkpointed(found.filter("section = 'duplicate_ids'").select(F.col("key").alias("paper_id"), "n"))
+    if keep:
+        repeated.write.mode("overwrite").parquet(keep)
+    out |= {"n_duplicate_ids": repeated.count(), "duplicate_ids": [r.paper_id for r in repeated.orderBy("paper_id").limit(listed).collect()]}
     return out | {"ok": not out["unresolved"] and not out["duplicate_ids"]}
 
 
@@ -421,11 +486,11 @@ def local_ci(root: SnapshotRoot, tests: str = "tests") -> dict:
     return {"ok": ran.returncode == 0, "steps": {"schema": gate, "unit_tests": {"ok": ran.returncode == 0, "command": command, "returncode": ran.returncode, "stdout": ran.stdout, "stderr": ran.stderr}}}
 
 
-def cleanup_legacy(root: SnapshotRoot) -> str:
+def cleanup_legacy(root: SnapshotRoot) -> int:
     """Rewrite legacy tiers and labels everywhere, then merge again."""
     t = load(root)
     clean = {REC: importer.legacy_clean(t[REC], "candidate_negative_tier", "candidate_preference_labels")}
     for k in (AI, HUMAN):
         clean[k] = importer.legacy_clean(t[k], "negative_tier", "preference_labels")
-    root.commit(clean, {"schema.json": schemas.schema_payload()})
+    root.commit(clean, {"schema.json": schemas.schema_payload()}, t.version)
     return refresh_merge(root)

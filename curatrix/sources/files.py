@@ -31,6 +31,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(at)
 
 
+def partitions(spark: SparkSession, path: str, name: str, kind=int) -> list:
+    """The values of ``name`` among the folders ``name=value`` of a path, in order."""
+    files, at = _fs(spark, path)
+    names = [x.getPath().getName() for x in files.listStatus(at)] if files.exists(at) else []
+    return sorted(kind(x.partition("=")[2]) for x in names if x.startswith(f"{name}="))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, at = _fs(spark, path)
     files.delete(at, True)
@@ -175,9 +182,14 @@ def write_records(records: DataFrame, path: str, keep_final: bool = False) -> No
     write_jsonl(out.orderBy("paper_id"), path)
 
 
-def append_audit(calls: DataFrame, path: str, kind: str) -> None:
-    """Add one line a model call (key, prompt or request, error, attempts, time) to the audit log; writers append files of their own, so none waits for another."""
-    calls.withColumn("event_type", F.lit(kind)).withColumn("logged_at", F.current_timestamp()).write.mode("append").option("ignoreNullFields", "false").json(path)
+def write_audit(calls: DataFrame, path: str, kind: str, run: str, batch: int = 0) -> None:
+    """One line a model call of ``calls`` (paper_id, and ``calls`` as ``models.run_model`` returns them) in the audit log.
+
+    Each batch of a run has a folder of its own, so none waits for another, and a batch
+    that is logged again replaces itself.
+    """
+    lines = calls.select("paper_id", F.explode("calls").alias("c")).select(F.lit(kind).alias("event_type"), "paper_id", "c.*")
+    lines.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/run={run}/batch={batch}")
 
 
 def append_sorted(rows: DataFrame, path: str) -> None:
@@ -198,9 +210,9 @@ class SnapshotRoot:
     """A benchmark's tables as snapshots: the tables of a commit are written to a new folder, then one new version file names them.
 
     Tables and documents that a commit does not give stay where they are and are named
-    again, not copied. A version file must not exist before, so of two writers that began
-    at one version the later one fails (SinkError), and a failed writer leaves the last
-    version whole. Old versions are the backups.
+    again, not copied. A version file must not exist before, so of two writers that say
+    they began at one version the later one fails (SinkError), and a failed writer leaves
+    the last version whole. Old versions are the backups.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -211,13 +223,14 @@ class SnapshotRoot:
         names = [x.getPath().getName() for x in files.listStatus(at)] if files.exists(at) else []
         return sorted(int(x.removesuffix(".json")) for x in names if x.endswith(".json") and not x.startswith("."))
 
+    def version(self) -> int:
+        """The last version; 0 before the first commit."""
+        return max(self.versions(), default=0)
+
     def _held(self, version: int | None = None) -> tuple[int, dict[str, str]]:
         """The last version (0: none), and each name's path below the root."""
-        found = self.versions()
-        if not found:
-            return 0, {}
-        n = found[-1] if version is None else version
-        return n, read_json(self.spark, f"{self.root}/versions/{n:012d}.json")
+        n = self.version() if version is None else version
+        return n, {} if not n else read_json(self.spark, f"{self.root}/versions/{n:012d}.json")
 
     def path(self, table: str, version: int | None = None) -> str:
         return f"{self.root}/{self._held(version)[1].get(table, f'none/{table}')}"
@@ -225,17 +238,24 @@ class SnapshotRoot:
     def read(self, table: str, schema: StructType, version: int | None = None) -> DataFrame:
         return scan_jsonl(self.spark, self.path(table, version), schema)
 
-    def read_document(self, name: str) -> dict:
-        return read_json(self.spark, self.path(name)) if exists(self.spark, self.path(name)) else {}
+    def read_document(self, name: str, version: int | None = None) -> dict:
+        path = self.path(name, version)
+        return read_json(self.spark, path) if exists(self.spark, path) else {}
+
+    def commit(self, tables: dict[str, DataFrame], documents: dict[str, object] | None = None, began: int | None = None) -> int:
+        """Write the given tables and documents and name them, and all others, in a new version, which is returned.
 
-    def commit(self, tables: dict[str, DataFrame], documents: dict[str, object] | None = None, began: int | None = None) -> str:
-        """Write the given tables and documents and name them, and all others, in a new version. ``began`` is the version that the work started from, if not this one."""
-        version, names = self._held()
+        ``began`` is the version whose tables the new ones were made from (None: this one).
+        If another writer has committed since, nothing is committed: SinkError.
+        """
+        version, names = self._held(began)
+        if version != self.version():
+            raise SinkError(f"{self.root} has changed since version {version}")
         folder = f"snapshot-{uuid.uuid4().hex}"
         for name, df in tables.items():
             (write_records if name == "records" else write_sorted)(df, f"{self.root}/{folder}/{name}")
         for name, value in (documents or {}).items():
             write_json(self.spark, f"{self.root}/{folder}/{name}", value)
         names = names | {name: f"{folder}/{name}" for name in (*tables, *(documents or {}))}
-        create_text(self.spark, f"{self.root}/versions/{(version if began is None else began) + 1:012d}.json", json.dumps(names))
-        return folder
+        create_text(self.spark, f"{self.root}/versions/{version + 1:012d}.json", json.dumps(names))
+        return version + 1

@@ -104,7 +104,9 @@ def test_patches_resume(spark, root, tmp_path):
     assert {r.paper_id: r.title_zh for r in w.load(root)["records"].collect()} == {"a": "", "b": "", "c": "译文 c", "d": "译文 d"}
     assert {r.paper_id for r in files.scan_patches(spark, at).collect()} == {"a", "b", "c", "d"}
     assert w.translate(root, _translator(set()), "title", "title_zh", at).count() == 0
-    assert spark.read.json(f"{root.root}/audit").filter("event_type = 'translate_title' AND NOT success").count() == 1
+    log = spark.read.json(f"{root.root}/audit").filter("event_type = 'translate_title'")
+    want = [("a", 0, True), ("b", 0, True), ("c", 0, False), ("c", 0, True), ("c", 1, False), ("c", 2, False), ("d", 0, True)]
+    assert sorted((r.paper_id, r.attempt, r.success) for r in log.collect()) == want
 
 
 def _labeler(marks, broken):
@@ -135,6 +137,131 @@ def test_annotation_goes_on_after_a_failure(spark, root, tmp_path):
     assert w.load(root)["annotations_ai"].count() == 6
     asked = [p.name[0] for p in marks.iterdir()]
     assert all(asked.count(x) == 1 for x in "abcd")  # kept from the first run
+    log = spark.read.json(f"{root.root}/audit")
+    assert sorted(r.paper_id for r in log.collect()) == list("abcdef") and log.select("request_id").distinct().count() == 6  # once a call that was kept
+
+
+def test_the_later_of_two_writers_fails(spark, root):
+    """Whoever began at an older version loses nothing of the other's: its commit fails, and its kept calls serve the next run."""
+    root.commit({"records": records(spark, ["a", "b"])})
+
+    def meanwhile(*args, **kw):
+        out = run_kept(*args, **kw)
+        root.commit({"annotations_human": annotations(spark, ["a"], "human")})
+        return out
+
+    run_kept, w.run_kept = w.run_kept, meanwhile
+    try:
+        with pytest.raises(files.SinkError, match="has changed"):
+            w.annotate(root, _labeler_of("negative"), "ai")
+    finally:
+        w.run_kept = run_kept
+    t = w.load(root)
+    assert t["annotations_ai"].count() == 0 and t["annotations_human"].count() == 1
+    w.annotate(root, _labeler_of(None), "ai")  # would fail if it asked
+    t = w.load(root)
+    assert t["annotations_ai"].count() == 2 and t["annotations_human"].count() == 1
+
+
+def _labeler_of(tier):
+    def factory():
+        def model(row):
+            if tier is None:
+                raise KeyError("asked")
+            return {"primary_research_object": "LLM", "preference_labels": [], "negative_tier": tier, "evidence_spans": {}, "notes": ""}
+
+        return model
+
+    return factory
+
+
+def test_calls_are_in_flight_together_and_in_order(spark):
+    """Five calls at a time from one task, rows in their order, and no more than that."""
+    ids = [f"{i:03d}" for i in range(40)]
+    rows = spark.createDataFrame([(i,) for i in ids], "paper_id string").coalesce(1)
+
+    def factory():
+        import threading
+        import time
+
+        lock, now, most = threading.Lock(), [0], [0]
+
+        def model(row):
+            with lock:
+                now[0] += 1
+                most[0] = max(most[0], now[0])
+            time.sleep(0.02 + 0.002 * (int(row["paper_id"]) % 7))
+            with lock:
+                now[0] -= 1
+            return {"most": most[0]}
+
+        return model
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = models.run_model(rows, factory, "most int").select("paper_id", "most").collect()
+        wide = models.run_model(rows, factory, "most int", concurrency=10).select(F.spark_partition_id().alias("p"), "most").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [r.paper_id for r in got] == ids and max(r.most for r in got) == 5
+    assert len({r.p for r in wide}) == 2 and max(r.most for r in wide) == 5
+
+
+def test_audit_entries(spark):
+    """An entry a call: prompt, answer, usage, error."""
+    rows = spark.createDataFrame([("a", "T", {"k": ["v"]}), ("b", "bad", None)], "paper_id string, title string, m map<string,array<string>>")
+
+    def factory():
+        good = json.dumps({"primary_research_object": "Vision", "preference_labels": [], "negative_tier": "negative"})
+        return models.annotator(lambda prompt: models.Answer("no JSON" if "bad" in prompt else good, provider="p", model="m", prompt_tokens=3, total_tokens=5))()
+
+    got = {r.paper_id: r for r in models.run_model(rows, factory, "primary_research_object string").collect()}
+    assert got["a"].primary_research_object == "计算机视觉" and got["a"].m == {"k": ["v"]} and len(got["a"].calls) == 1
+    c = got["a"].calls[0]
+    assert (c.success, c.error, c.provider, c.model, c.prompt_tokens, c.completion_tokens, c.total_tokens, c.attempt) == (True, None, "p", "m", 3, None, 5, 0) and "T" in c.prompt and c.response_chars == len(c.response)
+    assert [(x.attempt, x.success, x.response) for x in got["b"].calls] == [(0, False, "no JSON"), (1, False, "no JSON")] and got["b"].attempts == 2 and got["b"].calls[0].error
+
+
+def test_arbitration(spark, root):
+    labels = rules.PREFERENCE_LABELS
+    one = lambda who, i, k: (i, who, "LLM", [labels[k]], "positive", {"general": [who]}, "", "pending")
+    ids = ["a", "b", "c", "d"]
+    root.commit({
+        "records": records(spark, ids), "annotations_ai": spark.createDataFrame([one("ai", i, 0) for i in ids], schemas.ANNOTATIONS),
+        "annotations_human": spark.createDataFrame([one("hu", i, 1) for i in ids], schemas.ANNOTATIONS),
+    })
+    w.refresh_merge(root)
+    choose = lambda *rows: spark.createDataFrame(list(rows), schemas.CONFLICTS["codex_annotation"].dataType.simpleString().join(["paper_id string, choice string, custom ", ""]))
+    for bad in ([("z", "codex", None)], [("a", "both", None)], [("a", "custom", None)], [("a", "codex", None), ("a", "human", None)]):
+        with pytest.raises(ValueError):
+            w.arbitrate(root, choose(*bad))
+    assert w.arbitrate(root, choose(("a", "codex", None), ("b", "human", None), ("c", "custom", one("me", "c", 2)))) == {"conflicts": 4, "open": 1, "codex": 1, "human": 1, "custom": 1}
+    got = {r.paper_id: r.preference_labels for r in w.load(root)["merged"].collect()}
+    assert got == {"a": [labels[0]], "b": [labels[1]], "c": [labels[2]]}
+
+
+def test_choices_by_alias_and_refusals():
+    answer = lambda **kw: json.dumps({"primary_research_object": "LLM", "preference_labels": [], "negative_tier": "positive"} | kw)
+    for said, want in (("Vision", "计算机视觉"), ("search engine", "检索 / 推荐 / 搜索"), ("VLM system paper", "多模态 / VLM"), ("reinforcement agents", "强化学习 / 序列决策"), ("a dataset", "评测 / Benchmark / 数据集"), ("LLM 推理", "LLM")):
+        assert models.parse_annotation(answer(primary_research_object=said))["primary_research_object"] == want
+    a, b = rules.PREFERENCE_LABELS[:2]
+    assert models.parse_annotation(answer(preference_labels=[a, f"{a}（主）", "?", " "]))["preference_labels"] == [a]
+    assert models.parse_annotation(answer(preference_labels=[a, b], negative_tier="it is negative"))["preference_labels"] == []
+    for bad in ({"preference_labels": [a, b]}, {"preference_labels": a}, {"primary_research_object": "cooking"}, {"negative_tier": "maybe"}):
+        with pytest.raises(ValueError):
+            models.parse_annotation(answer(**bad))
+    spans = models.parse_annotation(answer(evidence_spans=[{"label": a, "text": " x "}, {"label": "odd", "text": "y"}, {"label": a, "text": "x"}, {"text": ""}, 3]))["evidence_spans"]
+    assert spans == {a: ["x"], "general": ["y"]} and models.parse_annotation(answer(evidence_spans={"negative": ["n", "n "], b: "z"}))["evidence_spans"] == {"negative": ["n"], b: ["z"]}
+
+
+def test_rows_to_add_are_checked(spark):
+    from curatrix.operators import dedupe
+
+    old = records(spark, ["a", "b"])
+    dedupe.check_new(records(spark, ["c", "d"]), old)
+    for bad in (records(spark, ["a"]), records(spark, ["c"]).union(records(spark, ["c"])), records(spark, ["c"], title="Same").union(records(spark, ["d"], title="same ", abstract="abstract c")), records(spark, ["c"], title="title a", abstract="abstract a")):
+        with pytest.raises(ValueError, match="exist"):
+            dedupe.check_new(bad, old)
 
 
 @pytest.fixture()
