@@ -208,10 +208,7 @@ def run_batches(rows: DataFrame, factory: Callable[[], Callable[[list[dict]], li
         part = part.sort_values(key)
         keys, kind, error, found = part[key].tolist(), None, None, {}
         try:
-            answers = factory()(part.drop(columns=[batch]).to_dict("records"))
-            found = {x.get(key): x for x in answers}
-            if len(answers) != len(keys) or set(found) != set(keys):
-                raise ProtocolError("answers do not match the requests")
+            found = answers_by_key(factory()(part.drop(columns=[batch]).to_dict("records")), keys, key)
         except ValueError as e:
             kind, error = "protocol", str(e) or type(e).__name__
         except (RuntimeError, OSError) as e:
@@ -225,6 +222,14 @@ def run_batches(rows: DataFrame, factory: Callable[[], Callable[[list[dict]], li
     return rows.groupBy(batch).applyInPandas(call, f"`{key}` {kinds[key]}, {ddl}, success boolean, error_kind string, error string")
 
 
+def answers_by_key(answers: list[dict], keys: Sequence, key: str = "request_id") -> dict:
+    """The answers by key; ProtocolError if there is not just one for each."""
+    found = {x.get(key): x for x in answers}
+    if len(answers) != len(keys) or set(found) != set(keys):
+        raise ProtocolError("answers do not match the requests")
+    return found
+
+
 def http_predictor(base_url: str, timeout: float = 10.0, path: str = "/v1/evaluation/annotate") -> Callable[[], Callable[[list[dict]], list[dict]]]:
     """A factory for ``run_batches``: posts {"requests": [{request_id, paper}]} and reads {"responses": [{request_id, prediction, model_info}]}."""
 
@@ -239,6 +244,8 @@ def http_predictor(base_url: str, timeout: float = 10.0, path: str = "/v1/evalua
                     text = answer.read().decode()
             except error.URLError as e:
                 raise RequestError(f"{getattr(e, 'code', '')} {e.reason}".strip()) from e
+            except UnicodeDecodeError as e:
+                raise ProtocolError("the answer is not UTF-8") from e
             return [checked_prediction(x) for x in checked_responses(text)]
 
         return predict

@@ -59,6 +59,29 @@ def facet(df: DataFrame, name: str, value: str, domain: Sequence[str], keep: Col
     return totals.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
 
 
+def facets(df: DataFrame, filters: Mapping[str, Column], values: Mapping[str, Column], domains: Mapping[str, Sequence[str]]) -> DataFrame:
+    """facet, value, n of any number of facets in one pass: each facet's rows are those that all filters but its own keep.
+
+    A row has a bitmap of the filters that it fails; it counts for a facet if it fails no
+    other filter than the one of that name. ``values`` are strings or arrays of them (a row
+    counts once for each value); the values of ``domains`` are there with 0, others if they occur.
+    """
+    bits = {name: 1 << i for i, name in enumerate(filters)}
+    failed = F.lit(0).cast("long")
+    for name, keep in filters.items():
+        failed = failed.bitwiseOR(F.when(F.coalesce(keep, F.lit(False)), 0).otherwise(bits[name]).cast("long"))
+    kinds = dict(df.select(*[c.alias(name) for name, c in values.items()]).dtypes)
+    entries = []
+    for name, c in values.items():
+        held = F.array_distinct(c) if kinds[name].startswith("array") else F.array(c.cast("string"))
+        counts = F.col("_failed").bitwiseAND(~bits.get(name, 0)) == 0
+        entry = F.transform(held, named("facet", name, "value"))
+        entries.append(F.when(counts & held.isNotNull(), entry).otherwise(F.array().cast("array<struct<facet:string,value:string>>")))
+    each = df.withColumn("_failed", failed).select(F.explode(F.concat(*entries)).alias("x")).select("x.facet", "x.value", F.lit(1).alias("w")).filter("value IS NOT NULL")
+    known = df.sparkSession.createDataFrame([(name, v, 0) for name, domain in domains.items() for v in domain], "facet string, value string, w int")
+    return each.union(known).groupBy("facet", "value").agg(F.sum("w").alias("n"))
+
+
 def python_round(x: float, digits: int = 4) -> float:
     """Reports round on the driver, half to even on the exact binary value."""
     return round(x, digits)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -561,9 +561,25 @@ def q_browse(x):
 @query(f"""WITH {_BROWSE} SELECT 'status' AS facet, v.s AS value, count(b.doc_id)::BIGINT AS n FROM (VALUES ('pending'), ('completed'), ('negative'), ('conflict')) v(s) LEFT JOIN b ON b.status = v.s AND split = 'dev' GROUP BY v.s
  UNION ALL SELECT 'split', v.s, count(b.doc_id) FROM (VALUES ('dev'), ('dev_validation'), ('test'), ('unassigned')) v(s) LEFT JOIN b ON b.split = v.s AND status = 'completed' GROUP BY v.s""")
 def q_facets(x):
-    rows, filters = _browsed(x), {"status": "completed", "split": "dev"}
-    status = reports.facet(rows, "status", "status", browse.STATUSES, browse.kept_by(filters, "status"))
-    return status.union(reports.facet(rows, "split", "split", (*rules.SPLITS, "unassigned"), browse.kept_by(filters, "split")))
+    return reports.facets(
+        _browsed(x), {"status": F.col("status") == "completed", "split": F.col("split") == "dev"}, {"status": F.col("status"), "split": F.col("split")},
+        {"status": browse.STATUSES, "split": (*rules.SPLITS, "unassigned")},
+    )
+
+
+_FACETS = {"lang": "f_lang", "source": "f_source", "length": "f_length", "words": "f_words"}
+
+
+@query(f"""WITH d AS (SELECT *, CASE WHEN n_chars < 500 THEN 'short' WHEN n_chars < 3000 THEN 'middle' ELSE 'long' END AS length, list_filter(['the', 'der', 'que'], lambda w: contains(lower(text), w)) AS words FROM documents),
+ f AS (SELECT *, lang IN ('en', 'de') AS f_lang, source <> 'src0' AS f_source, length <> 'short' AS f_length, list_contains(words, 'der') AS f_words FROM d)
+ {" UNION ALL ".join(f"SELECT '{k}' AS facet, value, count(*)::BIGINT AS n FROM (SELECT unnest({k if k == 'words' else f'[{k}]'}) AS value FROM f WHERE {' AND '.join(v for n, v in _FACETS.items() if n != k)}) GROUP BY value" for k in _FACETS)}
+ UNION ALL SELECT 'lang', 'xx', 0""")
+def q_facet_bitmap(x):
+    length = F.when(F.col("n_chars") < 500, "short").when(F.col("n_chars") < 3000, "middle").otherwise("long")
+    words = t.matched(F.lower("text"), ("the", "der", "que"))
+    d = x.documents.select("lang", "source", length.alias("length"), words.alias("words"))
+    filters = {"lang": F.col("lang").isin("en", "de"), "source": F.col("source") != "src0", "length": F.col("length") != "short", "words": F.array_contains("words", "der")}
+    return reports.facets(d, filters, {k: F.col(k) for k in filters}, {"lang": ("xx",)})
 
 
 @query("SELECT DISTINCT 'lang' AS facet, lang AS value FROM documents UNION SELECT DISTINCT 'labels', unnest([lang, source]) FROM documents")
@@ -735,10 +751,14 @@ def q_patches(x):
     return files.scan_patches(x.spark, path).select("paper_id", "title_zh")
 
 
-@query("SELECT doc_id AS id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 2 = 0)")
+@query("SELECT doc_id AS id, split_part(text, chr(10), 1) AS title FROM documents WHERE doc_id % 2 <> 0 OR doc_id % 3 = 0")
 def q_unpatched(x):
-    done = x.documents.filter("doc_id % 2 = 0").select(F.col("doc_id").alias("id"))
-    return browse.pending(x.documents.select(F.col("doc_id").alias("id")), done, key="id")
+    """Records without a usable patch: patches are written to files and read back; a blank one, being the last of its id, does not count."""
+    path, d = new_path(x.spark, "patches"), x.documents.filter("doc_id % 2 = 0")
+    for word, rows, when in (("made", d, "2025-01-01T00:00:00"), (" ", d.filter("doc_id % 3 = 0"), "2025-01-02T00:00:00")):
+        files.append_sorted(rows.select(F.col("doc_id").cast("string").alias("paper_id"), F.lit("t").alias("title"), F.lit(word).alias("title_zh"), F.lit("").alias("abstract_zh"), F.lit("m").alias("model"), F.lit(when).alias("translated_at")), path)
+    patched = files.scan_patches(x.spark, path).filter(t.strip(F.col("title_zh")) != "")
+    return browse.pending(x.papers.select("paper_id", F.col("doc_id").alias("id"), "title"), patched).select("id", "title")
 
 
 @query("""WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS line FROM documents)
@@ -747,10 +767,72 @@ SELECT line::BIGINT AS line, path, message FROM d, (SELECT unnest([{'k': 0, 'pat
 def q_dq_lines(x):
     path, k = new_path(x.spark, "lines"), F.col("doc_id") % 7
     bad = F.when(k == 0, "{").when(k == 1, "[1]").when(k == 2, '{"a": "x"}').when(k == 3, '{"a": "x", "b": true}').when(k == 4, '{"a": "x", "b": 1, "c": 2}').when(k == 5, '{"a": "x", "b": 1}').otherwise(" ")
-    x.documents.select("doc_id", bad.alias("value")).repartition(1).sortWithinPartitions("doc_id").select("value").write.text(path)
-    return validation.line_issues(files.scan_lines(x.spark, path), {"a": "string", "b": "integer"}).select("line", "path", "message")
+    # lines are numbered by file: the files are in the order of the ids, and each begins where those before end
+    x.documents.select("doc_id", bad.alias("value")).repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
+    lines = files.scan_lines(x.spark, path)
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = lines.groupBy("file").agg(F.count("*").alias("n")).select("file", before.alias("before"))  # a row a file
+    found = validation.line_issues(lines, {"a": "string", "b": "integer"}).join(F.broadcast(starts), "file")
+    return found.select((F.col("line") + F.col("before")).alias("line"), "path", "message")
 
 
 @query(f"SELECT fp AS value, count(*)::BIGINT AS n, min(doc_id) AS first_id FROM (SELECT doc_id, {_FP} AS fp FROM documents) GROUP BY fp HAVING count(*) > 1")
 def q_fingerprint_duplicates(x):
     return dedupe.duplicates(x.papers, dedupe.fingerprint(F.col("title"), F.col("abstract")), "doc_id")
+
+
+_ATTEMPTS = "CASE WHEN doc_id % 11 = 0 THEN 3 WHEN doc_id % 5 = 0 THEN 2 ELSE 1 END"
+
+
+@query(f"""SELECT doc_id::VARCHAR AS paper_id, k::BIGINT AS attempt, doc_id % 11 <> 0 AND k + 1 = {_ATTEMPTS} AS success, CASE WHEN doc_id % 11 = 0 OR k + 1 < {_ATTEMPTS} THEN 'try again' END AS error,
+ 'Label this. ' || split_part(text, chr(10), 1) AS prompt, CASE WHEN doc_id % 11 <> 0 AND k + 1 = {_ATTEMPTS} THEN upper(lang) END AS response, CASE WHEN doc_id % 11 <> 0 AND k + 1 = {_ATTEMPTS} THEN strlen(lang) END::BIGINT AS response_chars,
+ n_chars::BIGINT AS prompt_tokens FROM documents, unnest(range({_ATTEMPTS})) AS u(k)""")
+def q_audit(x):
+    """The log of a run of calls over all documents, some of which fail once or always: written by batch and read back, an entry a call."""
+    path, run = new_path(x.spark, "audit"), "one"
+    asked = x.documents.select(F.col("doc_id").cast("string").alias("paper_id"), "doc_id", F.substring_index("text", "\n", 1).alias("title"), "lang", "n_chars")
+    done = models.run_model(asked, _stub_model, "label string", attempts=3, partitions=8)
+    kept = new_path(x.spark, "calls")
+    done.write.parquet(kept)
+    files.write_audit(x.spark.read.schema(done.schema).parquet(kept), path, "stub", run)
+    log = x.spark.read.schema("paper_id string, attempt long, success boolean, error string, prompt string, response string, response_chars long, prompt_tokens long").json(path)
+    return log.select("paper_id", "attempt", "success", "error", "prompt", "response", "response_chars", "prompt_tokens")
+
+
+def _stub_model():
+    """Fails once for every fifth id, and always for every eleventh."""
+
+    def model(row: dict) -> dict:
+        models.note(prompt=f"Label this. {row['title']}", prompt_tokens=row["n_chars"])
+        if row["doc_id"] % 11 == 0 or (row["doc_id"] % 5 == 0 and row["attempt"] == 0):
+            raise ValueError("try again")
+        models.note(response=row["lang"].upper())
+        return {"label": row["lang"]}
+
+    return model
+
+
+_SAID = ("Vision", "search engine", "VLM system paper", "reinforcement agents", "LLM", "a dataset of cats", "cooking", "检索", "Audio things", "AI 系统 / 基础设施 (serving)")
+_SAID_SQL = "CASE " + " ".join(f"WHEN doc_id % {len(_SAID)} = {i} THEN '{x}'" for i, x in enumerate(_SAID)) + " END"
+_CHOICE_SQL = (
+    "CASE " + " ".join(f"WHEN said = '{d}' THEN '{d}'" for d in rules.RESEARCH_OBJECTS) + " " + " ".join(f"WHEN contains(said, '{d}') OR contains('{d}', said) THEN '{d}'" for d in rules.RESEARCH_OBJECTS)
+    + " " + " ".join(f"WHEN contains(lower(said), '{k}') THEN '{d}'" for k, d in rules.OBJECT_ALIASES.items()) + " END"
+)
+
+
+@query(f"""WITH a AS (SELECT doc_id, {_SAID_SQL} AS said, doc_id % 3 AS labels, CASE WHEN doc_id % 4 = 0 THEN 'negative' ELSE 'clearly positive' END AS tier FROM documents),
+ c AS (SELECT *, {_CHOICE_SQL} AS object FROM a), ok AS (SELECT *, object IS NOT NULL AND (labels < 2 OR tier = 'negative') AS good FROM c)
+ SELECT doc_id, good AS success, CASE WHEN good THEN object END AS object, CASE WHEN good AND labels = 1 AND tier <> 'negative' THEN '{rules.PREFERENCE_LABELS[1]}' WHEN good THEN '' END AS labels,
+ CASE WHEN good THEN CASE WHEN tier = 'negative' THEN 'negative' ELSE 'positive' END END AS tier, CASE WHEN good THEN 1 ELSE 2 END::BIGINT AS attempts FROM ok""")
+def q_choices(x):
+    """Answers made from documents, parsed: choices by containment and alias, answers with two labels refused and asked for again."""
+    said = F.element_at(F.array(*[F.lit(v) for v in _SAID]), (1 + F.col("doc_id") % len(_SAID)).cast("int"))
+    labels = F.slice(F.array(F.lit(rules.PREFERENCE_LABELS[1]), F.lit(rules.PREFERENCE_LABELS[2])), F.lit(1), (F.col("doc_id") % 3).cast("int"))
+    tier = F.when(F.col("doc_id") % 4 == 0, "negative").otherwise("clearly positive")
+    answer = F.to_json(F.struct(said.alias("primary_research_object"), labels.alias("preference_labels"), tier.alias("negative_tier")))
+    done = models.run_model(x.documents.select("doc_id", answer.alias("answer")), _parsing_model, "primary_research_object string, preference_labels array<string>, negative_tier string", partitions=8)
+    return done.select("doc_id", "success", F.col("primary_research_object").alias("object"), F.array_join("preference_labels", "|").alias("labels"), F.col("negative_tier").alias("tier"), "attempts")
+
+
+def _parsing_model():
+    return lambda row: models.parse_annotation(row["answer"])

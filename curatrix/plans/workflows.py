@@ -15,9 +15,9 @@ from pyspark.sql.types import StructType
 from .. import schemas
 from ..functions import rules
 from ..operators import browse, dedupe, importer, ingest, merge, metrics, models, reports, scoring, selection, splits, validation
-from ..sources import files
+from ..sources import files, predictions
 from ..sources.files import SnapshotRoot
-from ..sources.shared import checkpointed
+from ..sources.shared import checkpointed, new_path
 
 REC, AI, HUMAN, MERGED, CONFLICTS = "records", "annotations_ai", "annotations_human", "merged", "conflicts"
 TABLES = {REC: schemas.RECORDS, AI: schemas.ANNOTATIONS, HUMAN: schemas.ANNOTATIONS, MERGED: schemas.ANNOTATIONS, CONFLICTS: schemas.CONFLICTS}
@@ -268,18 +268,50 @@ def evaluate(root: SnapshotRoot, factory: Callable, limit: int = 0, seed: int =
     return report | {"errors": got.filter("NOT success").count()}
 
 
-def evaluate_by_batches(root: SnapshotRoot, factory: Callable, limit: int = 0, seed: int = 42, batch: int = 50, fail_fast: bool = False) -> dict:
-    """Like ``evaluate``, of a predictor that takes whole batches (``models.http_predictor``): a failed batch is counted and skipped unless ``fail_fast``."""
+def evaluate_over_http(root: SnapshotRoot, base_url: str, limit: int = 0, seed: int = 42, batch: int = 50, timeout: float = 10.0, attempts: int = 1, fail_fast: bool = False, concurrency: int = 1, out: str | None = None) -> dict:
+    """The report of a prediction service on the merged annotations (a sample of ``limit``), written to the folder ``out``.
+
+    Requests go out by ``batch``, ``concurrency`` batches at a time; a batch that fails is
+    counted, all of it, and left out, unless ``fail_fast`` ends the run. ``ok`` says that no
+    request failed and no answer broke the protocol.
+    """
+    if batch < 1:
+        raise ValueError("batch has to be 1 or more")
     t = load(root)
-    truths = t[MERGED].join(t[REC].select("paper_id", "title", "abstract", "abstract_zh", "authors", "venue", "year", "source", "source_path", "keywords"), "paper_id")
-    asked = checkpointed(selection.batched(selection.sample(truths, seed, limit, "paper_id"), "paper_id", batch))
-    paper = ["paper_id", "title", "abstract", "abstract_zh", "authors", "venue", "year", "source", "source_path", "keywords"]
-    got = checkpointed(models.run_batches(asked.select("request_id", "batch", *paper), factory, _OUTPUT, fail_fast=fail_fast))
+    asked, merged_only = _asked(t, limit, seed, batch)
+    if merged_only:
+        raise ValueError(f"annotations without records: {', '.join(merged_only)}")
+    path = new_path(root.spark, "requests")
+    requests = predictions.written_requests(asked.withColumn("request_id", F.concat(F.lit("benchmark:"), "request_id")), path, concurrency)
+    got = checkpointed(predictions.predictions(root.spark, requests, base_url, timeout, attempts, fail_fast).withColumn("request_id", F.substring("request_id", len("benchmark:") + 1, 1 << 30)))
+    report = _report(asked, got)
+    if out:
+        write_evaluation(root, report, out)
+    return {"ok": not report["errors"], "artifacts": {x: f"{out}/{x}" for x in ("report.json", "summary.md", "stdout.txt")} if out else {}, "report": report}
+
+
+def _asked(t: Loaded, limit: int, seed: int, batch: int) -> tuple[DataFrame, list[str]]:
+    """Merged annotations with their papers, numbered and dealt into batches; and a few ids that have no record."""
+    truths = checkpointed(selection.sample(t[MERGED], seed, limit, "paper_id"))
+    lost = [r.paper_id for r in truths.join(t[REC].select("paper_id"), "paper_id", "left_anti").select("paper_id").head(5)]
+    papers = t[REC].select(*predictions.PAPER)
+    return checkpointed(selection.batched(truths.drop("evidence_spans", "notes").join(papers, "paper_id"), "paper_id", batch)), lost
+
+
+def _report(asked: DataFrame, got: DataFrame) -> dict:
     fields = ["request_id", "primary_research_object", "preference_labels", "negative_tier"]
     aligned = models.align(asked.select(*fields), got.filter("success").select(*fields))
-    failed = {f"{r.error_kind}_errors": r["count"] for r in got.filter("NOT success").groupBy("error_kind").count().collect()}
-    report = metrics.evaluation_report(aligned) if len(failed) == 0 or got.filter("success").head(1) else {}
-    return report | {"errors": sum(failed.values())} | failed
+    failed = {f"{kind}_errors": 0 for kind in ("request", "protocol")} | {f"{r.error_kind}_errors": r["count"] for r in got.filter("NOT success").groupBy("error_kind").count().collect()}
+    return metrics.evaluation_report(aligned) | {"errors": sum(failed.values())} | failed
+
+
+def evaluate_by_batches(root: SnapshotRoot, factory: Callable, limit: int = 0, seed: int = 42, batch: int = 50, fail_fast: bool = False) -> dict:
+    """Like ``evaluate``, of a predictor that takes whole batches (``models.http_predictor``): a failed batch is counted and skipped unless ``fail_fast``."""
+    asked, _ = _asked(load(root), limit, seed, batch)
+    report = _report(asked, checkpointed(models.run_batches(asked.select("request_id", "batch", *predictions.PAPER), factory, _OUTPUT, fail_fast=fail_fast)))
+    if report["errors"] and not report["counts"]["total"]:
+        report = {"errors": report["errors"]} | {k: v for k, v in report.items() if k.endswith("_errors")}
+    return {k: v for k, v in report.items() if not k.endswith("_errors") or v}
 
 
 def write_evaluation(root: SnapshotRoot, report: dict, out: str) -> None:
