@@ -117,10 +117,10 @@ class ShardStore:
     def tier(self, n_bytes: int) -> int:
         return int(math.log(max(1, n_bytes), self.fanout))
 
-    def runs(self) -> list[list[Shard]]:
-        """Shards to merge, by tier: tiers below the target that have ``fanout`` shards or more."""
+    def runs(self, held: dict | None = None) -> list[list[Shard]]:
+        """Shards to merge of a manifest (None: the last), by tier: tiers below the target that have ``fanout`` shards or more."""
         tiers: dict[int, list[Shard]] = {}
-        for s in (Shard(*x) for x in self.manifest()["shards"]):
+        for s in (Shard(*x) for x in (held or self.manifest())["shards"]):
             if s.n_bytes < self.target_bytes // 2:
                 tiers.setdefault(self.tier(s.n_bytes), []).append(s)
         return [x for _, x in sorted(tiers.items()) if len(x) >= self.fanout]
@@ -128,6 +128,8 @@ class ShardStore:
     def compact(self) -> int:
         """Merge runs, each by itself, until no tier has enough shards to merge; one commit a round. Returns the last version.
 
+        A round works on one manifest: if another writer commits meanwhile, this one's
+        commit fails (``CommitConflict``) and changes nothing.
         A tier whose run makes more than half as many files as it took is left alone from then on.
         """
         packer = self.spark.newSession()  # its own settings: the caller's stay
@@ -135,8 +137,11 @@ class ShardStore:
         packer.conf.set("spark.sql.files.openCostInBytes", "0")
         packer.conf.set("spark.sql.files.minPartitionNum", "1")
         settled: set[int] = set()
-        while runs := [run for run in self.runs() if self.tier(run[0].n_bytes) not in settled]:
+        while True:
             held, new = self.manifest(), []
+            runs = [run for run in self.runs(held) if self.tier(run[0].n_bytes) not in settled]
+            if not runs:
+                return held["version"]
             for run in runs:
                 folder = uuid.uuid4().hex
                 rows = packer.read.schema(self._schema(held)).parquet(*[f"{self.root}/data/{s.path}" for s in run])
@@ -148,7 +153,6 @@ class ShardStore:
             gone = {s.path for run in runs for s in run}
             stay = [Shard(*s) for s in held["shards"] if s[0] not in gone]
             self._commit(held["version"] + 1, held["schema"], [*stay, *new])
-        return self.manifest()["version"]
 
     def vacuum(self, grace_seconds: float = 24 * 3600) -> int:
         """Delete data files that the last manifest does not name; returns how many. Older versions can then no longer be read.
