@@ -153,6 +153,11 @@ def _bucket(anchor: np.ndarray, n: int) -> np.ndarray:
     return ((anchor >> U(32)) * U(n) >> U(32)).astype(np.int64)
 
 
+def _counts(count: np.ndarray) -> np.ndarray:
+    """Windows of runs (``length`` at most) in as few bytes as hold them."""
+    return count.astype(np.uint8 if count.max(initial=0) < 256 else np.uint32)
+
+
 def _blocks(doc: np.ndarray, check: np.ndarray, start: np.ndarray, count: np.ndarray, n_docs: int, kind: int, head: bytes = b""):
     """Rows (bucket, kind, blob) of entries dealt by document."""
     to = doc % n_docs
@@ -161,7 +166,7 @@ def _blocks(doc: np.ndarray, check: np.ndarray, start: np.ndarray, count: np.nda
     for a, b in zip(places, [*places[1:], len(order)] if len(order) else [], strict=True):
         part = order[a:b]
         part = part[np.lexsort((start[part], doc[part]))]
-        yield int(to[part[0]]), kind, head + dump(np.diff(doc[part], prepend=0), check[part], start[part].astype(np.uint32), count[part].astype(np.uint8))
+        yield int(to[part[0]]), kind, head + dump(np.diff(doc[part], prepend=0), check[part], start[part].astype(np.uint32), _counts(count[part]))
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -206,7 +211,7 @@ def _send(held: list, length: int, n_anchors: int, n_docs: int):
     for a, b in zip(cuts, np.append(cuts[1:], len(to)), strict=True):
         names, index = np.unique(row[a:b], return_inverse=True)
         index = index.astype(np.uint16 if len(names) < 65536 else np.uint32)
-        rows.append((int(to[a]), RUNS, dump(np.diff(anchor[a:b], prepend=U(0)), doc_ids[names], all_checks[names], index, start[a:b].astype(np.uint32), count[a:b].astype(np.uint8))))
+        rows.append((int(to[a]), RUNS, dump(np.diff(anchor[a:b], prepend=U(0)), doc_ids[names], all_checks[names], index, start[a:b].astype(np.uint32), _counts(count[a:b]))))
     return rows
 
 
@@ -309,7 +314,7 @@ def _packed(to: np.ndarray, doc, check, start, count, data: np.ndarray, at: np.n
         part = order[a:b]
         n = count[part] + length - 1
         index = np.arange(int(n.sum())) + np.repeat(at[part] - (np.cumsum(n) - n), n)
-        rows.append((int(to[part[0]]), BYTES_OF_RUNS, dump(np.diff(doc[part], prepend=0), check[part], start[part].astype(np.uint32), count[part].astype(np.uint8), data[index])))
+        rows.append((int(to[part[0]]), BYTES_OF_RUNS, dump(np.diff(doc[part], prepend=0), check[part], start[part].astype(np.uint32), _counts(count[part]), data[index])))
     return rows
 
 

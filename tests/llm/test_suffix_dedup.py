@@ -134,3 +134,12 @@ def test_kept_text_leaves_whole_characters():
     whole = "aéb".encode()
     assert sd.kept_text(whole, np.array([False, True, False, True])) == "aé"
     assert sd.kept_text(whole, np.array([True, True, True, False])) == "b"
+
+
+@pytest.mark.parametrize("length", [255, 256, 300])
+def test_long_strings(spark, length):
+    """Runs of as many windows as a string has bytes, below and above what a byte counts."""
+    r = random.Random(length)
+    shared = "".join(r.choices("abcdefgh ", k=length * 2 + 60))
+    rows = [(1, shared[: 2 * length - 45]), (2, shared[: 2 * length - 45]), (3, "x" + shared), (4, shared[30 : 30 + length]), (5, shared[30 : 29 + length]), (6, "".join(r.choices("xyz", k=700)))]
+    assert got(spark, rows, length=length) == brute(rows, length)
