@@ -55,7 +55,7 @@ HINT = 0.33
 SMOOTH = 0.5
 #: Share of the best path's score that a path needs.
 THRESHOLD = 0.08
-#: Open elements that are told apart; deeper ones count as the deepest.
+#: Elements that a path names; deeper ones are open and weigh like others, but share the path of the last that is named.
 DEPTH = 512
 #: What text outside holders weighs on pages that have them.
 OUTSIDE = 0.25
@@ -129,9 +129,17 @@ def text_blocks(page: str) -> list[tuple[str, str, int, float, int, str]]:
     """The page's blocks in order: tag path, its container's, number of the article around it (0: none), weight, characters outside links, text."""
     out: list[tuple[str, str, int, float, int, str]] = []
     stack: list[tuple[str, str, float, int]] = [("", "", 1.0, 0)]  # tag, path, weight, number of the article or main around it
+    places: dict[str, list[int]] = defaultdict(list)  # of each tag's open elements in the stack
+    scopes = [0]  # places of those that others do not close
     pieces: list[tuple[bool, str]] = []
     holders, at, links = 0, 0, 0
 
+    def close_to(k: int) -> None:
+        while len(stack) > k:
+            places[stack.pop()[0]].pop()
+            if scopes[-1] == len(stack):
+                scopes.pop()
+
     def flush() -> None:
         if pieces:
             text = " ".join(_html.unescape("".join(x for _, x in pieces)).split())
@@ -152,32 +160,28 @@ def text_blocks(page: str) -> list[tuple[str, str, int, float, int, str]]:
         if tag in INLINE and not (tag not in VOID and attrs and role_weight(tag, attrs, True) == 0):
             if tag == "br":
                 pieces.append((False, " "))
-            if not closing or not any(x[0] == tag for x in stack):
+            if not closing or not places[tag]:
                 continue
         flush()
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if tag not in SCOPE and stack[k][0] in SCOPE:
-                    break
+            if places[tag] and (tag in SCOPE or places[tag][-1] > scopes[-1]):
+                close_to(places[tag][-1])
             continue
         if tag in VOID:
             continue
         closes = OWN_KIND.get(tag, ()) + (("p",) if tag in ENDS_P else ())
-        for k in range(len(stack) - 1, 0, -1) if closes else ():
-            if stack[k][0] in closes:
-                del stack[k:]
-            elif stack[k][0] in SCOPE:
-                break
+        while closes and (k := max((places[x][-1] for x in closes if places[x]), default=0)) and k >= scopes[-1]:
+            close_to(k)
         _, path, above, holder = stack[-1]
         weight = min(above, role_weight(tag, attrs, bool(holder)))
         if tag in HOLDERS and weight:
             holders += 1
             holder = holder or holders
-        if len(stack) < DEPTH and not (attrs.rstrip().endswith("/") and tag in ("svg", "path")):
-            stack.append((tag, f"{path}/{tag}", weight, holder))
+        if not (attrs.rstrip().endswith("/") and tag in ("svg", "path")):
+            places[tag].append(len(stack))
+            if tag in SCOPE:
+                scopes.append(len(stack))
+            stack.append((tag, f"{path}/{tag}" if len(stack) < DEPTH else path, weight, holder))
     pieces.append((links > 0, page[at:]))
     flush()
     return out

@@ -331,6 +331,37 @@ def test_sharding(spark, tmp_path):
         store._commit(1, json.loads(df.schema.json()), [])
 
 
+def test_two_compactors_and_an_append(spark, tmp_path):
+    """Whoever commits while another compacts loses nothing, and doubles nothing."""
+    path = str(tmp_path / "s")
+    store, other = (sharding.ShardStore(spark, path, target_bytes=8 << 20, fanout=2) for _ in range(2))
+    df = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    for i in range(4):
+        store.append(df.filter(F.col("doc_id") % 4 == i).coalesce(1))
+    runs = store.runs
+
+    def meanwhile(work):
+        def once(*args):
+            store.runs = runs
+            work()
+            return runs(*args)
+
+        return once
+
+    store.runs = meanwhile(other.compact)  # between the choice of runs and their commit
+    with pytest.raises(sharding.CommitConflict):
+        store.compact()
+    assert store.read().count() == 40
+    store.append(df.filter("doc_id < 3").coalesce(1))
+    store.append(df.filter("doc_id < 4").coalesce(1))
+    store.runs = meanwhile(lambda: other.append(df.filter("doc_id < 5").coalesce(1)))
+    with pytest.raises(sharding.CommitConflict):
+        store.compact()
+    assert store.read().count() == 52
+    store.compact()
+    assert sorted(r.doc_id for r in store.read().collect()) == sorted([*range(40), *range(3), *range(4), *range(5)])
+
+
 def test_tiers_are_rewritten_apart(spark, tmp_path):
     store = sharding.ShardStore(spark, str(tmp_path / "s"), target_bytes=8 << 20, fanout=4)
     r = random.Random(2)
@@ -433,3 +464,15 @@ def test_equal_pieces_are_dealt_apart(spark, monkeypatch):
     assert max(x["count"] for x in packing._shards(packing.written(parts, "pieces"))[0].select("shard", F.explode("items")).groupBy("shard").count().collect()) < 100
     got = packing.pack(parts, 100)
     assert got.count() == 600 and 200 <= got.select("sequence_id").distinct().count() <= 212  # three to a sequence, but for each shard's last
+
+
+def test_html_depth_changes_nothing():
+    """Ten and a hundred thousand elements around the same page give the same text, in linear time."""
+    story = "A sentence of the story, which is long enough to be read as one. " * 4
+    for page in ("<div><nav>{}<p>Menu text, with words and a full stop.</p>{}</nav><div><p>" + story + "</p></div></div>", "<article><p>" + story + "</p>{}<nav><p>Menu, again.</p></nav><p>" + story + "</p>{}</article>"):
+        few, many = (html.main_text(page.format("<div>" * n, "</div>" * n)) for n in (10, 100_000))
+        assert few == many and "Menu" not in few and few.count("A sentence") >= 4
+    began = time.process_time()
+    html.main_text("<x><div>" + "<y>" * 50_000 + "</x>" * 50_000)
+    html.main_text("<li>" + "<y>" * 50_000 + "<p>a" * 50_000)
+    assert time.process_time() - began < 20
