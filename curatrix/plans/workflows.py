@@ -37,26 +37,73 @@ def load(root: SnapshotRoot) -> Loaded:
     return t
 
 
-def stats(t: dict[str, DataFrame]) -> dict:
-    """The stats document; annotation layers are always in it."""
-    by = {"by_primary_research_object": F.col("primary_research_object"), "by_negative_tier": F.col("candidate_negative_tier")}
-    out: dict = {"total_records": 0, **{k: {} for k in by}}
-    for r in reports.distribution(t[REC], by).collect():
-        if r.section == "total":
-            out["total_records"] = r.n
-        else:
-            out[r.section][r.key] = r.n
-    out["by_preference_label"] = {
-        r.label: {"positive": r.positives, "negative": r.negatives}
-        for r in reports.label_counts(t[MERGED], F.col("preference_labels"), F.col("negative_tier"), rules.PREFERENCE_LABELS).collect()
-    }
+Counts = dict[tuple[str, ...], int]
+
+
+def _counts(name: str, df: DataFrame) -> Counts:
+    """What a table, or a part of it, adds to the statistics: a few counts, by where they stand in the document."""
+    tier = "candidate_negative_tier" if name == REC else "negative_tier"
+    n, pos = df.agg(F.count("*"), F.count_if(F.col(tier) == "positive")).first()
+    out: Counts = {("by_layer", name, "total"): n, ("by_layer", name, "positive"): pos}
+    if name == REC:
+        by = {"by_primary_research_object": F.col("primary_research_object"), "by_negative_tier": F.col("candidate_negative_tier")}
+        out |= {("total_records",) if r.section == "total" else (r.section, r.key): r.n for r in reports.distribution(df, by).collect()}
+    if name == MERGED:
+        for r in reports.label_counts(df, F.col("preference_labels"), F.col("negative_tier"), rules.PREFERENCE_LABELS).collect():
+            out |= {("by_preference_label", r.label, "positive"): r.positives, ("by_preference_label", r.label, "negative"): r.negatives}
+    return out
+
+
+def _document(counts: Counts) -> dict:
+    """The stats document; annotation layers are always in it, values without rows are not."""
+    out: dict = {"total_records": counts.get(("total_records",), 0), "by_primary_research_object": {}, "by_negative_tier": {}}
+    for place, n in sorted(counts.items()):
+        if place[0] in ("by_primary_research_object", "by_negative_tier") and n:
+            out[place[0]][place[1]] = n
+    out["by_preference_label"] = {x: {k: counts.get(("by_preference_label", x, k), 0) for k in ("positive", "negative")} for x in rules.PREFERENCE_LABELS}
     out["by_layer"] = {}
-    for name, tier in ((REC, "candidate_negative_tier"), (AI, "negative_tier"), (HUMAN, "negative_tier"), (MERGED, "negative_tier")):
-        n, pos = t[name].agg(F.count("*"), F.count_if(F.col(tier) == "positive")).first()
+    for name in (REC, AI, HUMAN, MERGED):
+        n, pos = (counts.get(("by_layer", name, k), 0) for k in ("total", "positive"))
         out["by_layer"][name] = {"total": n, "positive": pos, "negative": n - pos, "positive_ratio": reports.python_round(pos / n) if n else 0.0}
     return out
 
 
+def _counts_of(document: dict) -> Counts:
+    """The counts that a stats document was made from."""
+    out: Counts = {("total_records",): document["total_records"]}
+    for part in ("by_primary_research_object", "by_negative_tier"):
+        out |= {(part, k): n for k, n in document[part].items()}
+    out |= {("by_preference_label", x, k): n for x, held in document["by_preference_label"].items() for k, n in held.items()}
+    return out | {("by_layer", name, k): held[k] for name, held in document["by_layer"].items() for k in ("total", "positive")}
+
+
+def stats(t: dict[str, DataFrame]) -> dict:
+    """The stats document, counted over all tables."""
+    return _document({k: n for name in (REC, AI, HUMAN, MERGED) for k, n in _counts(name, t[name]).items()})
+
+
+def stats_after(root: SnapshotRoot, t: Loaded, changes: dict[str, DataFrame]) -> dict:
+    """The stats document after upserts of ``changes``: the last one, with the new rows' counts added and those of the rows that they replace taken away.
+
+    Without a document that has all layers everything is counted.
+    """
+    held = root.read_document("stats.json", t.version)
+    if not {"total_records", "by_layer", "by_preference_label", "by_primary_research_object", "by_negative_tier"} <= held.keys() or set(held["by_layer"]) != {REC, AI, HUMAN, MERGED}:
+        return stats({k: files.upsert(df, changes[k], "paper_id") if k in changes else df for k, df in t.items()})
+    counts = _counts_of(held)
+    for name, rows in changes.items():
+        for sign, part in ((1, rows), (-1, root.replaced(name, rows, "paper_id", t.version))):
+            for place, n in _counts(name, part).items():
+                counts[place] = counts.get(place, 0) + sign * n
+    return _document(counts)
+
+
+def commit_rows(root: SnapshotRoot, t: Loaded, changes: dict[str, DataFrame]) -> int:
+    """Commit new and changed rows of tables: their buckets are written, and the statistics follow without a recount."""
+    changes = {name: checkpointed(rows) for name, rows in changes.items()}
+    return root.commit({}, {"stats.json": stats_after(root, t, changes)}, t.version, changes)
+
+
 def select_candidates(spark, source: str, venues: dict[tuple[str, int], int], minimum: int = rules.MINIMUM_SCORE) -> DataFrame:
     """Accepted, scored and classified papers of the venues, within their quotas."""
     papers = ingest.accepted_papers(files.scan_conference(spark, source, list(venues)))
@@ -151,8 +198,11 @@ def annotate(root: SnapshotRoot, factory: Callable, labeler: str, rebuild_all: b
     asked = todo.select("paper_id", "title", "abstract", F.array_join("keywords", ", ").alias("keywords"))
     done = run_kept(root, f"annotate-{labeler}", asked, factory, _OUTPUT, batch, concurrency=concurrency)
     new = validation.cleaned_annotations(done.filter("success").withColumn("labeler_id", F.lit(labeler)).withColumn("review_status", F.lit("pending")))
-    t[AI] = new if rebuild_all else files.upsert(t[AI], new, "paper_id")
-    root.commit({AI: t[AI]}, {"stats.json": stats(t)}, t.version)
+    if rebuild_all:
+        t[AI] = new
+        root.commit({AI: t[AI]}, {"stats.json": stats(t)}, t.version)
+    else:
+        commit_rows(root, t, {AI: new})
     forget(root, f"annotate-{labeler}")
     return done.filter("NOT success").select("paper_id", "error", "attempts")
 
@@ -421,9 +471,8 @@ def import_payload(root: SnapshotRoot, path: str, dry_run: bool = False) -> dict
     out = {"source_batch": batch, "records": count(rec), "annotations_ai": count(ann), "dry_run": dry_run}
     changed = any(k != "unchanged" for part in (out["records"], out["annotations_ai"]) for k in part)
     if changed and not dry_run:
-        t[REC] = files.upsert(t[REC], rec.filter("status != 'unchanged'").drop("status"), "paper_id")
-        t[AI] = files.upsert(t[AI], ann.filter("status != 'unchanged'").drop("status"), "paper_id")
-        root.commit({REC: t[REC], AI: t[AI]}, {"stats.json": stats(t)}, t.version)
+        changes = {REC: (rec, schemas.RECORDS), AI: (ann, schemas.ANNOTATIONS)}
+        commit_rows(root, t, {name: df.filter("status != 'unchanged'").select(*schema.fieldNames()) for name, (df, schema) in changes.items() if out[name].keys() - {"unchanged"}})
     return out
 
 
@@ -432,7 +481,7 @@ _WIRE = {REC: schemas.RECORDS, AI: schemas.ANNOTATIONS, HUMAN: schemas.ANNOTATIO
 
 def table_issues(root: SnapshotRoot, name: str) -> DataFrame:
     """path, message of everything wrong with one table: its raw lines first, then the rows that parse."""
-    schema, lines = _WIRE[name], checkpointed(files.scan_lines(root.spark, root.path(name)))
+    schema, lines = _WIRE[name], checkpointed(files.scan_lines(root.spark, root.paths(name)))
     rows = validation.parsed_lines(lines, schema)
     wire = {f.name: "object" if isinstance(f.dataType, StructType) else schemas.wire_type(f) for f in schema}
     if name == CONFLICTS:
@@ -458,12 +507,12 @@ def validate(root: SnapshotRoot, listed: int = 100, keep: str | None = None) ->
     """All data-quality issues: {ok, n_issues, file_counts, issues}. Lists the first ``listed`` by path; all of them are written to the table ``keep`` if it is named."""
     found, counts = None, {}
     for name in TABLES:
-        if not files.exists(root.spark, root.path(name)):
+        if not any(files.exists(root.spark, p) for p in root.paths(name)):
             one = root.spark.createDataFrame([(name, "the file is missing")], "path string, message string")
             counts[name] = 0
         else:
             one = table_issues(root, name)
-            counts[name] = files.scan_lines(root.spark, root.path(name)).filter(F.trim("value") != "").count()
+            counts[name] = files.scan_lines(root.spark, root.paths(name)).filter(F.trim("value") != "").count()
         found = one if found is None else found.union(one)
     more, held = [], root.read_document("schema.json")
     if not held or held != schemas.schema_payload(held.get("name", ""), description=held.get("description", "")):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -116,14 +116,15 @@ def scan_raw_objects(spark: SparkSession, path: str) -> DataFrame:
     return lines.withColumn("parsed", F.try_parse_json("value"))
 
 
-def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """value, file, line of every line of text files, blank ones too; a missing path is an empty table.
+def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """value, file, line of every line of text files, blank ones too; a missing path, or none, is an empty table.
 
     Files may be read in pieces: lines are counted a piece, and only the counts are summed.
     """
-    if not exists(spark, path):
+    found = [p for p in ([path] if isinstance(path, str) else path) if exists(spark, p)]
+    if not found:
         return spark.createDataFrame([], "value string, file string, line long")
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("piece"), F.monotonically_increasing_id().alias("id"))
+    lines = spark.read.text(found).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("piece"), F.monotonically_increasing_id().alias("id"))
     pieces = lines.groupBy("file", "piece").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     pieces = pieces.select("file", "piece", "first", before.alias("before"))
@@ -206,13 +207,23 @@ def upsert(base: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return base.join(new.select(key), key, "left_anti").unionByName(new)
 
 
+#: Buckets of a table whose rows are upserted.
+BUCKETS = 64
+
+
+def bucket_of(key: str, n: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+
 class SnapshotRoot:
     """A benchmark's tables as snapshots: the tables of a commit are written to a new folder, then one new version file names them.
 
     Tables and documents that a commit does not give stay where they are and are named
-    again, not copied. A version file must not exist before, so of two writers that say
-    they began at one version the later one fails (SinkError), and a failed writer leaves
-    the last version whole. Old versions are the backups.
+    again, not copied. A table is one folder, or, once rows were upserted into it, a folder
+    for each of ``BUCKETS`` hashes of its key: an upsert writes only the buckets that it
+    touches, and names the others again. A version file must not exist before, so of two
+    writers that say they began at one version the later one fails (SinkError), and a
+    failed writer leaves the last version whole. Old versions are the backups.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -227,26 +238,53 @@ class SnapshotRoot:
         """The last version; 0 before the first commit."""
         return max(self.versions(), default=0)
 
-    def _held(self, version: int | None = None) -> tuple[int, dict[str, str]]:
-        """The last version (0: none), and each name's path below the root."""
+    def _held(self, version: int | None = None) -> tuple[int, dict[str, str | list[str | None]]]:
+        """The last version (0: none), and each name's path below the root, or its buckets' paths."""
         n = self.version() if version is None else version
         return n, {} if not n else read_json(self.spark, f"{self.root}/versions/{n:012d}.json")
 
-    def path(self, table: str, version: int | None = None) -> str:
-        return f"{self.root}/{self._held(version)[1].get(table, f'none/{table}')}"
+    def paths(self, table: str, version: int | None = None) -> list[str]:
+        """Where a table is; nowhere if there is none, or no row in it."""
+        at = self._held(version)[1].get(table, [])
+        return [f"{self.root}/{p}" for p in ([at] if isinstance(at, str) else at) if p]
+
+    def path(self, name: str, version: int | None = None) -> str:
+        """Where a document is, or a table that is one folder."""
+        at = self._held(version)[1].get(name, f"none/{name}")
+        if not isinstance(at, str):
+            raise SourceError(f"{name} is in buckets: see paths")
+        return f"{self.root}/{at}"
+
+    def _json(self, paths: list[str], schema: StructType) -> DataFrame:
+        found = [p for p in paths if exists(self.spark, p)]
+        return self.spark.read.schema(schema).option("mode", "FAILFAST").json(found) if found else self.spark.createDataFrame([], schema)
 
     def read(self, table: str, schema: StructType, version: int | None = None) -> DataFrame:
-        return scan_jsonl(self.spark, self.path(table, version), schema)
+        return self._json(self.paths(table, version), schema)
 
     def read_document(self, name: str, version: int | None = None) -> dict:
         path = self.path(name, version)
         return read_json(self.spark, path) if exists(self.spark, path) else {}
 
-    def commit(self, tables: dict[str, DataFrame], documents: dict[str, object] | None = None, began: int | None = None) -> int:
+    def _touched(self, table: str, rows: DataFrame, key: str, version: int) -> tuple[list[int], list[str]]:
+        """The buckets that rows fall in (all, if the table is not in buckets yet), and where their rows are now."""
+        at = self._held(version)[1].get(table, [])
+        if isinstance(at, str):
+            return list(range(BUCKETS)), [f"{self.root}/{at}"]
+        hit = sorted(r.b for r in rows.select(bucket_of(key).alias("b")).distinct().collect())  # BUCKETS rows at most
+        return hit, [f"{self.root}/{at[b]}" for b in hit if at and at[b]]
+
+    def replaced(self, table: str, rows: DataFrame, key: str, version: int) -> DataFrame:
+        """The rows of a version's table whose place an upsert of ``rows`` takes; only the buckets that it touches are read."""
+        return self._json(self._touched(table, rows, key, version)[1], rows.schema).join(rows.select(key), key, "left_semi").select(*rows.columns)
+
+    def commit(self, tables: dict[str, DataFrame], documents: dict[str, object] | None = None, began: int | None = None, upserts: dict[str, DataFrame] | None = None, key: str = "paper_id") -> int:
         """Write the given tables and documents and name them, and all others, in a new version, which is returned.
 
-        ``began`` is the version whose tables the new ones were made from (None: this one).
-        If another writer has committed since, nothing is committed: SinkError.
+        ``upserts`` are rows that take the place of those with their keys in their tables,
+        whose schemas they have. ``began`` is the version whose tables the new ones were made
+        from (None: this one). If another writer has committed since, nothing is committed:
+        SinkError.
         """
         version, names = self._held(began)
         if version != self.version():
@@ -257,5 +295,19 @@ class SnapshotRoot:
         for name, value in (documents or {}).items():
             write_json(self.spark, f"{self.root}/{folder}/{name}", value)
         names = names | {name: f"{folder}/{name}" for name in (*tables, *(documents or {}))}
+        for name, rows in (upserts or {}).items():
+            names[name] = self._upserted(f"{folder}/{name}", name, rows, key, version)
         create_text(self.spark, f"{self.root}/versions/{version + 1:012d}.json", json.dumps(names))
         return version + 1
+
+    def _upserted(self, folder: str, table: str, rows: DataFrame, key: str, version: int) -> list[str | None]:
+        require_unique(rows, key)
+        hit, old = self._touched(table, rows, key, version)
+        held = self._held(version)[1].get(table, [])
+        after = list(held) if held and not isinstance(held, str) else [None] * BUCKETS
+        whole = upsert(self._json(old, rows.schema), rows, key).withColumn("_bucket", bucket_of(key))
+        whole.repartition("_bucket").sortWithinPartitions("_bucket", key).write.option("ignoreNullFields", "false").partitionBy("_bucket").json(f"{self.root}/{folder}")
+        made = set(partitions(self.spark, f"{self.root}/{folder}", "_bucket"))
+        for b in hit:
+            after[b] = f"{folder}/_bucket={b}" if b in made else None
+        return after
