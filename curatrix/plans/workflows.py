@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..functions import rules
-from ..operators import browse, dedupe, importer, ingest, merge, metrics, models, reports, scoring, selection, splits, validation
+from ..operators import blocked, browse, dedupe, importer, ingest, merge, metrics, models, reports, scoring, selection, splits, validation
 from ..sources import files, predictions
 from ..sources.files import SnapshotRoot
 from ..sources.shared import checkpointed, new_path
@@ -378,16 +378,46 @@ def write_evaluation(root: SnapshotRoot, report: dict, out: str) -> None:
     files.write_text(root.spark, f"{out}/stdout.txt", "\n".join(f"{k}: {report[k]['accuracy']}" for k in ("positive_negative", "labels", "objects") if report.get(k)) + "\n")
 
 
+def blocked_index(root: SnapshotRoot, t: Loaded) -> blocked.BlockedIndex:
+    """The index of the ids of all tables and the fingerprints of the records: the kept one if it is of this version, and nobody broke off adding to it, else a new one."""
+    held = root.read_document("blocked.json", t.version)
+    if held.get("version") == t.version and files.exists(root.spark, f"{root.root}/{held['path']}") and not files.exists(root.spark, f"{root.root}/{held['path']}.open"):
+        return blocked.BlockedIndex(root.spark, f"{root.root}/{held['path']}")
+    index = blocked.BlockedIndex(root.spark, f"{root.root}/blocked-{uuid.uuid4().hex}")
+    printed = t[REC].select("paper_id", dedupe.fingerprint(F.col("title"), F.col("abstract")).alias("fingerprint"))
+    others = dedupe.blocked_ids(*[df for name, df in t.items() if name != REC]).withColumn("fingerprint", F.lit(None).cast("string"))
+    index.add(printed.unionByName(others))
+    return index
+
+
+def add_rows(root: SnapshotRoot, t: Loaded, index: blocked.BlockedIndex, rows: DataFrame, annotations: DataFrame) -> None:
+    """Commit a batch of new records and their annotations, and the index with them.
+
+    ValueError where an id or a text is blocked, or twice in the batch. While keys are
+    added and not committed yet the index is marked open: who finds it so makes a new one.
+    """
+    printed = rows.select("paper_id", dedupe.fingerprint(F.col("title"), F.col("abstract")).alias("fingerprint"))
+    if bad := index.blocked(printed):
+        raise ValueError(f"ids or texts of rows to add exist: {', '.join(bad[:5])}")
+    mark = f"{index.path}.open"
+    files.write_text(root.spark, mark, "")
+    index.add(printed)
+    document = {"path": index.path.removeprefix(f"{root.root}/"), "version": t.version + 1}
+    changes = {REC: checkpointed(rows.select(*schemas.RECORDS.fieldNames())), AI: checkpointed(annotations.select(*schemas.ANNOTATIONS.fieldNames()))}
+    t.version = root.commit({}, {"stats.json": stats_after(root, t, changes), "blocked.json": document}, t.version, changes)  # records and annotations in one commit
+    files.delete(root.spark, mark)
+    t[REC], t[AI] = root.read(REC, schemas.RECORDS, t.version), root.read(AI, schemas.ANNOTATIONS, t.version)
+
+
 def rebalance(root: SnapshotRoot, source: str, venues, factory: Callable, labeler: str = "ai", target: float = 0.30, batch: int = 50, seed: int = 20260328, max_new: int | None = None, concurrency: int = 5) -> dict:
     """Add heuristic negatives by batches until the AI layer's positive ratio is the target or less."""
     t = load(root)
-    prints = t[REC].select("paper_id", dedupe.fingerprint(F.col("title"), F.col("abstract")).alias("fingerprint"))
-    ids = dedupe.blocked_ids(*t.values())
+    index = blocked_index(root, t)
     papers = scoring.classify(ingest.accepted_papers(files.scan_conference(root.spark, source, venues)))
     cands = scoring.candidates(papers, F.lit("")).filter("candidate_negative_tier = 'negative'").drop("score")
     cands = checkpointed(cands.withColumn("fingerprint", dedupe.fingerprint(F.col("title"), F.col("abstract"))))
-    cands = cands.join(ids, "paper_id", "left_anti").join(prints.select("fingerprint"), "fingerprint", "left_anti")
-    cands = selection.numbered(cands, ["venue", "paper_id", "source_path"], "ordinal")
+    cands = checkpointed(selection.numbered(cands, ["venue", "paper_id", "source_path"], "ordinal"))
+    cands = index.label(cands, "ordinal").filter("reason IS NULL").drop("reason")
     pool = checkpointed(dedupe.greedy(checkpointed(cands), "ordinal").filter("reason IS NULL"))
     queue = checkpointed(selection.numbered(pool.withColumn("_h", selection.hash_order(seed, F.col("paper_id"))), ["_h", "paper_id"], "position").drop("_h"))
     size, added, at, run = queue.count(), 0, 0, uuid.uuid4().hex
@@ -409,10 +439,8 @@ def rebalance(root: SnapshotRoot, source: str, venues, factory: Callable, labele
         done = asked.filter("success")
         new = validation.cleaned_annotations(done.withColumn("labeler_id", F.lit(labeler)).withColumn("review_status", F.lit("pending")))
         kept = rows.join(done.select("paper_id"), "paper_id", "left_semi").select(*schemas.RECORDS.fieldNames())
-        dedupe.check_new(kept, t[REC])
-        t[REC], t[AI] = checkpointed(t[REC].unionByName(kept)), checkpointed(t[AI].unionByName(new))
+        add_rows(root, t, index, kept, new)
         at, added = at + step, added + kept.count()
-        t.version = root.commit({REC: t[REC], AI: t[AI]}, {"stats.json": stats(t)}, t.version)  # records and annotations in one commit
     return {"added": added, "stop_reason": reason, "ratio": reports.python_round(pos / n) if n else 0.0}
 
 
@@ -424,10 +452,10 @@ def augment(root: SnapshotRoot, source: str, factory: Callable, batch_tag: str,
     gap, reviewed, accepted = max(0, target - current), 0, None
     if not gap:
         return {"added": 0, "stop_reason": "target_already_satisfied"}
-    prints = t[REC].select(dedupe.fingerprint(F.col("title"), F.col("abstract")).alias("fingerprint"))
+    index = blocked_index(root, t)
     cands = checkpointed(scheduling_candidates(root.spark, source, venues, minimum).withColumn("fingerprint", dedupe.fingerprint(F.col("title"), F.col("abstract"))))
-    cands = cands.join(dedupe.blocked_ids(*t.values()), "paper_id", "left_anti").join(prints, "fingerprint", "left_anti")
     cands = checkpointed(selection.numbered(cands, ["venue_rank", F.col("score").desc(), "paper_id"], "ordinal"))
+    cands = index.label(cands, "ordinal").filter("reason IS NULL").drop("reason")
     queue = checkpointed(selection.numbered(dedupe.greedy(cands, "ordinal").filter("reason IS NULL"), ["ordinal"], "position"))
     size, n, run = queue.count(), 0, uuid.uuid4().hex
     while n < gap and reviewed < size and (max_reviewed is None or reviewed < max_reviewed):
@@ -443,9 +471,7 @@ def augment(root: SnapshotRoot, source: str, factory: Callable, batch_tag: str,
     if n:
         new = validation.cleaned_annotations(accepted.withColumn("labeler_id", F.lit(labeler)).withColumn("review_status", F.lit("pending")))
         rows = queue.join(accepted.select("paper_id"), "paper_id", "left_semi").withColumn("notes", scoring.batch_note(F.col("notes"), batch_tag, F.col("score")))
-        dedupe.check_new(rows, t[REC])
-        t[REC], t[AI] = t[REC].unionByName(rows.select(*schemas.RECORDS.fieldNames())), t[AI].unionByName(new)
-        root.commit({REC: t[REC], AI: t[AI]}, {"stats.json": stats(t)}, t.version)
+        add_rows(root, t, index, rows, new)
     if n >= gap:
         reason = "target_positive_count_reached"
     elif not size:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from curatrix import schemas
 from curatrix.functions import rules, text as t
-from curatrix.operators import dedupe, graph, ingest, merge, metrics, models, scoring, selection, splits, validation
+from curatrix.operators import blocked, dedupe, graph, ingest, merge, metrics, models, scoring, selection, splits, validation
 from curatrix.plans import cli
 
 
@@ -279,3 +279,23 @@ def check_components(edges, got):
     assert set(got) == set(parent)
     groups = lambda f: sorted(sorted(x for x in parent if f(x) == k) for k in {f(x) for x in parent})
     assert groups(got.get) == groups(root)
+
+
+def test_blocked_index(spark, tmp_path):
+    """Checked in one join without a shuffle of the index; batches by their keys; additions are appended."""
+    rows = lambda a, b: spark.range(a, b).select(F.col("id").alias("o"), F.when(F.col("id") % 50 != 0, F.col("id").cast("string")).alias("paper_id"), F.concat(F.lit("f"), F.col("id") + 1000).alias("fingerprint"))
+    index = blocked.BlockedIndex(spark, str(tmp_path / "index"), 4)
+    assert index.label(rows(0, 3), "o").filter("reason IS NOT NULL").count() == 0 and index.blocked(rows(0, 3)) == []
+    index.add(rows(0, 100))
+    index.add(rows(90, 110))
+    assert index.table().count() == 2 * 110 - 3
+    more = rows(95, 115).union(spark.createDataFrame([(500, "new", "f1001"), (501, None, None)], "o long, paper_id string, fingerprint string"))
+    got = index.label(more, "o")
+    assert {r.o: r.reason for r in got.collect()} == {i: "blocked_fingerprint" if i == 100 else "blocked_id" if i < 110 else None for i in range(95, 115)} | {500: "blocked_fingerprint", 501: None}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("FileScan parquet spark_catalog") - 400 : plan.index("FileScan parquet spark_catalog")]
+    assert "Bucketed: true" in plan and "Exchange" not in scan
+    assert index.blocked(more.filter("o >= 109")) == ["f:f1001", "f:f1109", "i:109"]
+    assert index.blocked(spark.createDataFrame([("x", "y"), ("x", "z")], "paper_id string, fingerprint string")) == ["i:x"]
+    spark.sql(f"DROP TABLE {index.name}")  # another session finds the files
+    assert blocked.BlockedIndex(spark, index.path, 4).table().count() == 217

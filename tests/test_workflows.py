@@ -4,6 +4,8 @@ import json
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from curatrix import schemas
 from curatrix.functions import rules
 from curatrix.operators import importer
@@ -95,8 +97,19 @@ def test_rebalance_and_augment(spark, root, source):
     got = w.augment(root, source, factory, "b1", venues=(("icml", 2025), ("iclr", 2025)), target=1, minimum=6)
     assert got["stop_reason"] == "target_positive_count_reached" and got["added"] == 1
     assert "augment_batch=b1" in w.load(root)["records"].filter("paper_id != 'old'").first().notes
+    kept = root.read_document("blocked.json")
+    assert kept["version"] == root.version()  # the index follows the commit
     got = w.rebalance(root, source, [("iclr", 2025)], factory, target=0.5, batch=1)
-    assert got["stop_reason"] in ("target_ratio_reached", "candidate_pool_exhausted")
+    assert got["stop_reason"] in ("target_ratio_reached", "candidate_pool_exhausted") and got["added"]
+    t = w.load(root)
+    assert root.read_document("stats.json") == w.stats(t) and root.read_document("blocked.json") == {"path": kept["path"], "version": t.version}
+    index = w.blocked_index(root, t)
+    assert {r.key[2:] for r in index.table().filter("key LIKE 'i:%'").collect()} == {r.paper_id for r in t["records"].collect()}
+    rows = t["records"].limit(1)
+    with pytest.raises(ValueError, match="exist"):
+        w.add_rows(root, t, index, rows.withColumn("paper_id", F.lit("other")), t["annotations_ai"].limit(0))  # the same text
+    root.commit({"conflicts": spark.createDataFrame([], schemas.CONFLICTS)})
+    assert w.blocked_index(root, w.load(root)).path != index.path  # of an older version
 
 
 def payload(tmp_path, records, annotations):
