@@ -207,15 +207,20 @@ def annotate(root: SnapshotRoot, factory: Callable, labeler: str, rebuild_all: b
     return done.filter("NOT success").select("paper_id", "error", "attempts")
 
 
-def refresh_merge(root: SnapshotRoot, arbitrations: DataFrame | None = None) -> int:
-    """Merge what both annotators have, replaying arbitrations that conflicts hold."""
-    t = load(root)
+def merged_tables(t: dict[str, DataFrame], arbitrations: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Records, merged annotations and conflicts of what both annotators have, replaying arbitrations that conflicts hold."""
     paired = t[AI].select("paper_id").intersect(t[HUMAN].select("paper_id"))
     ai, human = (t[k].join(paired, "paper_id", "left_semi") for k in (AI, HUMAN))
     held = t[CONFLICTS].filter("resolved_annotation IS NOT NULL").select("resolved_annotation.*")
     arb = held if arbitrations is None else files.upsert(held, arbitrations, "paper_id")
     records, merged, conflicts = merge.merge(t[REC], ai, human, arb)
-    t |= {REC: checkpointed(records), MERGED: checkpointed(merged), CONFLICTS: checkpointed(conflicts)}
+    return {REC: checkpointed(records), MERGED: checkpointed(merged), CONFLICTS: checkpointed(conflicts)}
+
+
+def refresh_merge(root: SnapshotRoot, arbitrations: DataFrame | None = None) -> int:
+    """Merge what both annotators have, and commit it."""
+    t = load(root)
+    t |= merged_tables(t, arbitrations)
     return root.commit({k: t[k] for k in (REC, MERGED, CONFLICTS)}, {"stats.json": stats(t)}, t.version)
 
 
@@ -593,11 +598,29 @@ def local_ci(root: SnapshotRoot, tests: str = "tests") -> dict:
     return {"ok": ran.returncode == 0, "steps": {"schema": gate, "unit_tests": {"ok": ran.returncode == 0, "command": command, "returncode": ran.returncode, "stdout": ran.stdout, "stderr": ran.stderr}}}
 
 
-def cleanup_legacy(root: SnapshotRoot) -> int:
-    """Rewrite legacy tiers and labels everywhere, then merge again."""
-    t = load(root)
-    clean = {REC: importer.legacy_clean(t[REC], "candidate_negative_tier", "candidate_preference_labels")}
-    for k in (AI, HUMAN):
-        clean[k] = importer.legacy_clean(t[k], "negative_tier", "preference_labels")
-    root.commit(clean, {"schema.json": schemas.schema_payload()}, t.version)
-    return refresh_merge(root)
+_TIERS = {x: "negative" for x in rules.LEGACY_NEGATIVE_TIERS} | {x: x for x in rules.TIERS}
+
+
+def cleanup_legacy(root: SnapshotRoot) -> dict:
+    """Rewrite legacy keys, tiers and labels everywhere, merge again, and commit it all at once; returns the version and counts.
+
+    Rows are cleaned as objects of any fields, so what the schema does not know is kept.
+    A table that is missing, a line that is no object, or a tier that nobody knows is
+    refused, and nothing is changed. The version before is the backup.
+    """
+    t, cleaned = load(root), {}
+    if missing := [name for name in TABLES if not root.named(name, t.version)]:
+        raise files.SourceError(f"missing: {', '.join(missing)}")
+    for name, tier, labels in ((REC, "candidate_negative_tier", "candidate_preference_labels"), (AI, "negative_tier", "preference_labels"), (HUMAN, "negative_tier", "preference_labels")):
+        lines = checkpointed(importer.clean_objects(files.scan_lines(root.spark, root.paths(name, t.version)), {tier: _TIERS}, emptied={tier: labels}))
+        if bad := lines.filter("problem IS NOT NULL").orderBy("file", "line").head(5):
+            raise importer.ImportRejected("; ".join(f"{name}:{r.file.rpartition('/')[2]}:{r.line}: {r.problem}" for r in bad))
+        rows = lines.select("cleaned", F.from_json("cleaned", TABLES[name], {"mode": "FAILFAST"}).alias("x"))
+        cleaned[name] = rows.select("x.paper_id", F.col("cleaned").alias("value"))
+        t[name] = rows.select("x.*")
+    for side in ("codex_annotation", "human_annotation", "resolved_annotation"):
+        t[CONFLICTS] = t[CONFLICTS].withColumn(side, importer.cleaned_annotation(F.col(side)))
+    t |= merged_tables(t)
+    tables = {REC: importer.with_other_fields(t[REC], cleaned[REC], TABLES[REC].fieldNames()), AI: cleaned[AI], HUMAN: cleaned[HUMAN], MERGED: t[MERGED], CONFLICTS: t[CONFLICTS]}
+    version = root.commit(tables, {"schema.json": schemas.schema_payload(), "stats.json": stats(t)}, t.version)
+    return {"version": version} | {name: t[name].count() for name in TABLES}

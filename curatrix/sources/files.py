@@ -202,6 +202,13 @@ def write_sorted(rows: DataFrame, path: str) -> None:
     write_jsonl(rows.orderBy("paper_id"), path)
 
 
+def write_raw(objects: DataFrame, path: str) -> None:
+    """JSON objects (an id, and ``value``) as lines, sorted by id, unique ids only."""
+    key = objects.columns[0]
+    require_unique(objects, key)
+    objects.orderBy(key).select("value").write.mode("overwrite").text(path)
+
+
 def upsert(base: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Base rows, but new rows take their ids' place."""
     return base.join(new.select(key), key, "left_anti").unionByName(new)
@@ -248,6 +255,10 @@ class SnapshotRoot:
         at = self._held(version)[1].get(table, [])
         return [f"{self.root}/{p}" for p in ([at] if isinstance(at, str) else at) if p]
 
+    def named(self, table: str, version: int | None = None) -> bool:
+        """Whether a version has the table, be it empty."""
+        return table in self._held(version)[1]
+
     def path(self, name: str, version: int | None = None) -> str:
         """Where a document is, or a table that is one folder."""
         at = self._held(version)[1].get(name, f"none/{name}")
@@ -281,6 +292,7 @@ class SnapshotRoot:
     def commit(self, tables: dict[str, DataFrame], documents: dict[str, object] | None = None, began: int | None = None, upserts: dict[str, DataFrame] | None = None, key: str = "paper_id") -> int:
         """Write the given tables and documents and name them, and all others, in a new version, which is returned.
 
+        A table may be given as (key, value), where the value is a whole JSON object.
         ``upserts`` are rows that take the place of those with their keys in their tables,
         whose schemas they have. ``began`` is the version whose tables the new ones were made
         from (None: this one). If another writer has committed since, nothing is committed:
@@ -291,7 +303,8 @@ class SnapshotRoot:
             raise SinkError(f"{self.root} has changed since version {version}")
         folder = f"snapshot-{uuid.uuid4().hex}"
         for name, df in tables.items():
-            (write_records if name == "records" else write_sorted)(df, f"{self.root}/{folder}/{name}")
+            write = write_raw if df.columns == [key, "value"] else write_records if name == "records" else write_sorted
+            write(df, f"{self.root}/{folder}/{name}")
         for name, value in (documents or {}).items():
             write_json(self.spark, f"{self.root}/{folder}/{name}", value)
         names = names | {name: f"{folder}/{name}" for name in (*tables, *(documents or {}))}

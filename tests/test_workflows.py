@@ -142,7 +142,25 @@ def test_legacy_cleanup(spark, root):
     rec = spark.createDataFrame([(p, p, "", "a", "", [], "v", 2025, "s", "p", "LLM", ["模型压缩"], tier, [], "") for p, tier in (("p1", "hard"), ("p2", "positive"))], schemas.RECORDS)
     ann = lambda who: spark.createDataFrame([("p1", who, "LLM", ["模型压缩"], "in_domain", {}, "", "pending"), ("p2", who, "LLM", ["模型压缩"], "positive", {}, "", "pending")], schemas.ANNOTATIONS)
     root.commit({"records": rec, "annotations_ai": ann("ai"), "annotations_human": ann("human")})
-    w.cleanup_legacy(root)
+    with pytest.raises(files.SourceError, match="merged, conflicts"):
+        w.cleanup_legacy(root)
+    old = json.loads(rec.filter("paper_id = 'p1'").toJSON().first()) | {"target_preference_labels": ["x"], "own": {"deep": [1, None, 2.5]}, "score": 7}
+    with open(f"{root.path('annotations_human')}/more.json", "w", encoding="utf-8") as f:
+        f.write(json.dumps(an_annotation("p3") | {"negative_tier": "easy", "preference_labels": ["模型压缩"], "seen_by": "me"}) + "\n")
+    with open(f"{root.path('records')}/more.json", "w", encoding="utf-8") as f:
+        f.write(json.dumps(old | {"paper_id": "p3"}, ensure_ascii=False) + "\n" + json.dumps(old | {"paper_id": "p4", "candidate_negative_tier": "odd"}) + "\n")
+    root.commit({"merged": ann("m").limit(0), "conflicts": spark.createDataFrame([], schemas.CONFLICTS)})
+    with pytest.raises(importer.ImportRejected, match="records:more.json:2: candidate_negative_tier: odd"):
+        w.cleanup_legacy(root)
+    with open(f"{root.path('records')}/more.json", "w", encoding="utf-8") as f:
+        f.write(json.dumps(old | {"paper_id": "p3"}, ensure_ascii=False) + "\n")
+    counts = w.cleanup_legacy(root)
+    assert (counts["records"], counts["annotations_human"], counts["merged"]) == (3, 3, 2)
+    raw = {r["paper_id"]: r for r in map(json.loads, (x.value for x in spark.read.text(root.path("records")).collect()))}
+    assert raw["p3"]["own"] == {"deep": [1, None, 2.5]} and raw["p3"]["score"] == 7 and "target_preference_labels" not in raw["p3"] and raw["p3"]["candidate_negative_tier"] == "negative" and raw["p3"]["candidate_preference_labels"] == []
+    human = {r["paper_id"]: r for r in map(json.loads, (x.value for x in spark.read.text(root.path("annotations_human")).collect()))}
+    assert human["p3"]["seen_by"] == "me" and human["p3"]["negative_tier"] == "negative"
+    assert root.read_document("stats.json") == w.stats(w.load(root))
     got = {r.paper_id: (r.negative_tier, r.preference_labels) for r in w.load(root)["merged"].collect()}
     assert got == {"p1": ("negative", []), "p2": ("positive", ["模型压缩"])}
 
@@ -158,6 +176,47 @@ def test_sinks(spark, tmp_path):
     assert {tuple(r) for r in files.scan_manifest(spark, str(tmp_path / "m.json")).collect()} == {("dev", "a"), ("test", "b")}
 
 
+def _counting(marks):
+    def factory():
+        import os
+
+        def model(row):
+            open(os.path.join(marks, f"{row['paper_id']}.{os.urandom(4).hex()}"), "w").close()
+            return {"label": (row["title"] or "none").upper()}
+
+        return model
+
+    return factory
+
+
+def test_keyed_stream(spark, tmp_path):
+    """New and changed rows once each, over restarts and a replayed batch; the sink is not read."""
+    src, out, marks = tmp_path / "in", str(tmp_path / "out"), tmp_path / "marks"
+    src.mkdir()
+    marks.mkdir()
+    schema = "paper_id string, title string, updated_at long"
+
+    def run(name, rows, checkpoint=str(tmp_path / "ck")):
+        if rows:
+            (src / f"{name}.json").write_text("".join(json.dumps(dict(zip(("paper_id", "title", "updated_at"), r, strict=True))) + "\n" for r in rows))
+        stream = spark.readStream.schema(schema).json(str(src))
+        q = incremental.annotate_changes(stream, _counting(str(marks)), "label string").drop("calls").writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination(180)
+        assert q.exception() is None
+        return sorted((r.paper_id, r.label) for r in spark.read.parquet(out).collect())
+
+    assert run("1", [("a", "x", 1), ("b", "y", 1), ("a", "z", 2), (None, "n", 1)]) == [("a", "Z"), ("b", "Y")]
+    assert run("2", [("a", "z", 3), ("b", "w", 3), ("c", None, 3)]) == [("a", "Z"), ("b", "W"), ("b", "Y"), ("c", "NONE")]
+    assert len(run("2", [])) == 4
+    for name in ("1", ".1.crc"):
+        (tmp_path / "ck" / "commits" / name).unlink()  # the last batch is replayed, as after a crash before its commit
+    assert len(run("3", [])) == 4
+    got = {r.paper_id: r.label for r in incremental.latest(spark.read.parquet(out)).collect()}
+    assert got == {"a": "Z", "b": "W", "c": "NONE"}
+    asked = [p.name[0] for p in marks.iterdir()]
+    assert asked.count("a") == 1  # content that came again was not asked for
+
+
 def test_streams(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     spark.createDataFrame([("a", "serving"), ("b", "other")], "paper_id string, abstract string").write.parquet(src)
