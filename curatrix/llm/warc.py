@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,7 +41,7 @@ def base32_sha1(text: Column) -> Column:
 
 
 def resolve(pages: DataFrame, min_bytes: int = 0, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to.
+    """page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to, refers_to_url.
 
     A null html is an empty payload; empty payloads are equal, too, and revisit their
     first unless ``min_bytes`` says otherwise. Rows that tie for the smallest page_id of
@@ -54,43 +55,53 @@ def resolve(pages: DataFrame, min_bytes: int = 0, page_id: str = "page_id", url:
         F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("payload"),
     )
     rows = rows.select("*", F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
-    first = rows.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(F.min("page_id").alias("first"))
+    first = rows.filter((F.col("payload_bytes") >= min_bytes) & F.col("page_id").isNotNull()).groupBy("payload_digest").agg(F.min(F.struct("page_id", "url")).alias("f")).select("payload_digest", F.col("f.page_id").alias("first"), F.col("f.url").alias("first_url"))
     joined = rows.join(first, "payload_digest", "left")
     revisits = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
         F.when(revisits, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisits, F.col("first")).alias("refers_to"),
+        F.when(revisits, F.col("first")).alias("refers_to"), F.when(revisits, F.col("first_url")).alias("refers_to_url"),
     )
 
 
-def records(resolved: DataFrame, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """One column, the record's text without the separator. Blanks and control characters in urls become %20."""
+def now() -> str:
+    return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def records(resolved: DataFrame, date: str | None = None) -> DataFrame:
+    """One column, the record's text without the separator. Blanks and control characters in urls become %20.
+
+    ``date`` (None: now) is that of all records, responses and revisits, as they are made at
+    once; a record's id names its page and its payload.
+    """
+    date = date or now()
     eol = F.lit("\r\n")
     head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit("\r\n\r\n"))
     body = F.when(F.col("record_type") == "response", F.concat(head, F.col("payload"))).otherwise(head)
-    clean = F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")
+    clean = lambda c: F.regexp_replace(c, r"[\x00-\x20\x7F]", "%20")
     line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value, eol), F.lit(""))
-    ident = lambda c: F.concat(F.lit(f"<{ID}"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
+    ident = lambda c: F.concat(F.lit(f"<{ID}"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(":"), F.col("payload_digest"), F.lit(">"))
+    revisit = F.col("record_type") == "revisit"
     whole = resolved.withColumn("block", body)
     return whole.select(
         F.concat(
             F.lit(f"{VERSION}\r\n"), line("WARC-Type", F.col("record_type")), line("WARC-Record-ID", ident("page_id")),
-            line("WARC-Date", F.lit(date)), line("WARC-Target-URI", clean),
+            line("WARC-Date", F.lit(date)), line("WARC-Target-URI", clean("url")),
             line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
-            line("WARC-Profile", F.when(F.col("record_type") == "revisit", F.lit(PROFILE))),
-            line("WARC-Refers-To", F.when(F.col("record_type") == "revisit", ident("refers_to"))),
+            line("WARC-Profile", F.when(revisit, F.lit(PROFILE))), line("WARC-Refers-To", F.when(revisit, ident("refers_to"))),
+            line("WARC-Refers-To-Target-URI", F.when(revisit, clean("refers_to_url"))), line("WARC-Refers-To-Date", F.when(revisit, F.lit(date))),
             F.lit("Content-Type: application/http;msgtype=response\r\nContent-Length: "), F.octet_length("block").cast("string"), F.lit("\r\n\r\n"),
             F.col("block"),
         ).alias("value")
     )
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", archive_bytes: int = ARCHIVE_BYTES) -> None:
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str | None = None, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write deduplicated ``.gz`` archives into the folder ``path``; so many records go to one as have ``archive_bytes`` of html in the mean.
 
-    An archive is one gzip stream. Record ids are made of page ids, so rows that repeat a
-    page_id repeat its record id.
+    An archive is one gzip stream. Record ids are made of page ids and payload digests, so
+    equal rows repeat their record id.
     """
     n, size = pages.agg(F.count("*"), F.sum(F.octet_length("html"))).first()
     most = max(1, int(archive_bytes * n / size)) if size else 0
@@ -114,7 +125,7 @@ def rejoined(chunks):
 
     ``chunks`` are (file, bytes) pairs in the files' order.
     """
-    file, held, need = None, [], None
+    file, held, need, size = None, [], None, 0
     for name, chunk in chunks:
         if name != file:
             if held:
@@ -124,14 +135,15 @@ def rejoined(chunks):
             if not chunk.startswith(MAGIC):
                 raise ValueError(f"not a WARC record: {chunk[:40]!r}")
             chunk, first = chunk[len(MAGIC) :], False
+        size += len(chunk) + len(JOINT) * bool(held)
         held.append(chunk)
-        if need is None or sum(map(len, held)) + len(JOINT) * (len(held) - 1) >= need:
+        if need is None or size >= need:
             whole = JOINT.join(held)
             found = parse_record(whole)
             need = found and found[1]
             if found and len(whole) >= need:
                 yield found[0], whole[whole.index(b"\r\n\r\n") + 4 : need]
-                held, need = [], None
+                held, need, size = [], None, 0
     if held:
         raise ValueError("an archive ends within a record")
 
@@ -145,7 +157,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     """
 
     def number(urn: str | None) -> int | None:
-        digits = (urn or "").strip("<>").removeprefix(ID)
+        digits = (urn or "").strip("<>").removeprefix(ID).partition(":")[0]
         return int(digits) if digits else None
 
     def read(batches):

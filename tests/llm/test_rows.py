@@ -476,3 +476,21 @@ def test_html_depth_changes_nothing():
     html.main_text("<x><div>" + "<y>" * 50_000 + "</x>" * 50_000)
     html.main_text("<li>" + "<y>" * 50_000 + "<p>a" * 50_000)
     assert time.process_time() - began < 20
+
+
+def test_warc_headers_are_fresh(spark, tmp_path):
+    """Every record has a date, an id of its own, and revisits say what they refer to; a payload full of separators is read in linear time."""
+    df = spark.createDataFrame([(2, "http://b/", "same"), (1, "http://a/ x", "same"), (3, "http://c/", "other"), (3, "http://c/2", "more")], "page_id long, url string, html string")
+    texts = {r.value for r in warc.records(warc.resolve(df)).collect()}
+    heads = [dict(x.split(": ", 1) for x in t.split("\r\n\r\n")[0].split("\r\n")[1:]) for t in texts]
+    assert len({h["WARC-Record-ID"] for h in heads}) == 4
+    age = time.time() - __import__("calendar").timegm(time.strptime(heads[0]["WARC-Date"], "%Y-%m-%dT%H:%M:%SZ"))
+    assert 0 <= age + 1 < 600 and len({h["WARC-Date"] for h in heads}) == 1
+    [revisit] = [h for h in heads if h["WARC-Type"] == "revisit"]
+    [response] = [h for h in heads if h["WARC-Target-URI"] == "http://a/%20x"]
+    assert (revisit["WARC-Refers-To"], revisit["WARC-Refers-To-Target-URI"], revisit["WARC-Refers-To-Date"]) == (response["WARC-Record-ID"], "http://a/%20x", response["WARC-Date"])
+    nasty = spark.createDataFrame([(1, "u", "x\r\n\r\nWARC/1.0" * 100_000), (2, "v", "y")], "page_id long, url string, html string")
+    warc.write_archives(nasty, str(tmp_path / "n"))
+    began = time.time()
+    got = {r.page_id: r.payload for r in warc.read_archives(spark, str(tmp_path / "n")).collect()}
+    assert got == {1: "x\r\n\r\nWARC/1.0" * 100_000, 2: "y"} and time.time() - began < 60
