@@ -13,8 +13,6 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources import files
-
 #: Buckets of an index, and keys that one batch check may name.
 BUCKETS, BATCH = 64, 10_000
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,9 +48,15 @@ def routed(records: DataFrame, ai: DataFrame, human: DataFrame, arbitrations: Da
     return out.withColumn("route", route)
 
 
-def merge(records: DataFrame, ai: DataFrame, human: DataFrame, arbitrations: DataFrame | None = None, strict: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(records with final columns, merged annotations, conflicts). ``strict`` raises ``MergeError`` on any problem."""
-    rows = routed(records, ai, human, arbitrations)
+def merge(
+    records: DataFrame, ai: DataFrame, human: DataFrame, arbitrations: DataFrame | None = None, strict: bool = True, written: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records with final columns, merged annotations, conflicts). ``strict`` raises ``MergeError`` on any problem.
+
+    Annotations meet only what decides of their records; records, with their texts, are
+    joined once, at the end. ``written`` may keep the routes, from which all three are made.
+    """
+    rows = written(routed(records.select("paper_id", "candidate_negative_tier"), ai, human, arbitrations).drop("record"))
     if strict and (bad := rows.filter("problem IS NOT NULL").select("paper_id", "problem").head(5)):
         raise MergeError("; ".join(f"{r.paper_id}: {r.problem}" for r in bad))
     good = rows.filter("problem IS NULL")
@@ -57,23 +65,23 @@ def merge(records: DataFrame, ai: DataFrame, human: DataFrame, arbitrations: Dat
     merged_human = human_.withField("labeler_id", F.lit("merged")).withField("review_status", F.lit("final"))
     chosen = F.when(F.col("route") == "conflict_resolved", arb).otherwise(human_)
     overlay = good.select(
-        "record", chosen.alias("c"), F.when(F.col("route") == "conflict_open", "conflict").otherwise("final").alias("status"),
-        F.when(F.col("route") == "conflict_resolved", F.array_distinct(F.concat(both, F.array(arb["labeler_id"])))).otherwise(both).alias("labelers"),
+        F.col("paper_id").alias("_id"), chosen.alias("c"), F.when(F.col("route") == "conflict_open", "conflict").otherwise("final").alias("_status"),
+        F.when(F.col("route") == "conflict_resolved", F.array_distinct(F.concat(both, F.array(arb["labeler_id"])))).otherwise(both).alias("_labelers"),
     )
     plain = [c for c in records.columns if not c.startswith("final_")]
-    final = overlay.select(
-        *[F.coalesce(t.blank_to_null(F.col("c")["notes"]), F.col("record")["notes"]).alias(c) if c == "notes" else F.col("record")[c].alias(c) for c in plain],
-        F.col("c")["primary_research_object"].alias("final_primary_research_object"),
-        F.when(F.col("c")["negative_tier"] == "negative", F.array().cast("array<string>")).otherwise(F.col("c")["preference_labels"]).alias("final_preference_labels"),
-        F.col("c")["negative_tier"].alias("final_negative_tier"), F.col("labelers").alias("final_labeler_ids"), F.col("status").alias("final_review_status"),
-        F.col("c")["evidence_spans"].alias("final_evidence_spans"),
+    c = F.col("c")
+    final = records.select(*plain).join(overlay, F.col("paper_id") == F.col("_id"), "left").select(
+        *[F.coalesce(t.blank_to_null(c["notes"]), F.col("notes")).alias("notes") if x == "notes" else F.col(x) for x in plain],
+        c["primary_research_object"].alias("final_primary_research_object"),
+        F.when(c["negative_tier"] == "negative", F.array().cast("array<string>")).otherwise(c["preference_labels"]).alias("final_preference_labels"),
+        c["negative_tier"].alias("final_negative_tier"), F.col("_labelers").alias("final_labeler_ids"), F.col("_status").alias("final_review_status"),
+        c["evidence_spans"].alias("final_evidence_spans"),
     )
-    untouched = records.join(good.select("paper_id"), "paper_id", "left_anti").select(*plain)
     merged = good.filter(F.col("route") != "conflict_open").select(F.when(F.col("route") == "conflict_resolved", arb).otherwise(merged_human).alias("m")).select("m.*")
     conflicts = good.filter(F.col("route").startswith("conflict")).select(
         "paper_id", F.col("fields").alias("conflicting_fields"), ai_.alias("codex_annotation"), human_.alias("human_annotation"), arb.alias("resolved_annotation")
     )
-    return final.unionByName(untouched, allowMissingColumns=True), merged, conflicts
+    return final, merged, conflicts
 
 
 def resolved(final: str, candidate: str) -> Column:
@@ -109,9 +117,3 @@ def arbitrate(conflicts: DataFrame, choices: DataFrame) -> DataFrame:
         F.when(F.col("choice") == "codex", F.col("codex_annotation")).when(F.col("choice") == "human", F.col("human_annotation")).otherwise(F.col("custom")).alias("w")
     )
     return won.select(F.col("w").withField("labeler_id", F.lit("arbiter")).withField("review_status", F.lit("final")).alias("w")).select("w.*")
-
-
-def copy_ai_negatives(records: DataFrame, ai: DataFrame, human: DataFrame, labeler: str = "human") -> DataFrame:
-    """AI rows of negative candidates without a human row, as the human's."""
-    negative = records.filter(F.col("candidate_negative_tier") == "negative").select("paper_id")
-    return ai.join(negative, "paper_id", "left_semi").join(human.select("paper_id"), "paper_id", "left_anti").withColumn("labeler_id", F.lit(labeler))

@@ -276,7 +276,16 @@ def checked_prediction(x) -> dict:
 
 
 #: What is asked on each attempt, the later ones more firmly.
-ANNOTATE_ASKS = ("Label this paper. Answer with one JSON object only.", "Label this paper. You must decide: choose the nearest value for each field. Answer with one JSON object only.")
+ANNOTATE_ASKS = ("Label this paper. Answer with one JSON object only.", "Label this paper. You must decide: choose the nearest value for each field, and neither ask back nor leave the object empty. Answer with one JSON object only.")
+#: How to label, in this library's words.
+GUIDE = (
+    "Fields: primary_research_object, preference_labels, negative_tier, evidence_spans, notes.",
+    "First name the kind of model or system that the work improves, not the means by which it does so.",
+    "Then decide whether one of the preference labels is the method that the authors propose and test; gains that merely come along do not count.",
+    "A paper that does so is positive and has exactly that one label; any other is negative and has none.",
+    "Evidence is quoted from title or abstract under the label that it supports; what suggests a negative is quoted under negative.",
+    "The suggested values are weak hints: without evidence in the text they do not hold.",
+)
 TRANSLATE_ASKS = (
     "Translate the abstract into Chinese. Answer with the translation only.",
     "Translate the whole abstract into Chinese, sentence by sentence. Leave nothing out. Answer with the translation only.",
@@ -288,12 +297,20 @@ def _line(*parts) -> str:
     return " ".join(x for x in (" ".join(str(p or "").split()) for p in parts) if x)
 
 
+def annotation_prompt(row: Mapping, attempt: int = 0, asks: Sequence[str] = ANNOTATE_ASKS) -> str:
+    """One line: what is asked, the guide, the domains, the record, and what was suggested for it."""
+    domain = f"primary_research_object: {', '.join(rules.RESEARCH_OBJECTS)}. preference_labels: {', '.join(rules.PREFERENCE_LABELS)}. negative_tier: {', '.join(rules.TIERS)}."
+    listed = lambda x: ", ".join(map(str, x)) if isinstance(x, (list, tuple)) else x
+    named = (("Title", "title"), ("Abstract", "abstract"), ("Keywords", "keywords"), ("Venue", "venue"), ("Suggested object", "suggested_object"), ("Suggested labels", "suggested_labels"), ("Suggested tier", "suggested_tier"))
+    fields = [f"{name}: {listed(row[key])}" for name, key in named if row.get(key)]
+    return _line(asks[min(attempt, len(asks) - 1)], *GUIDE, domain, *fields)
+
+
 def annotator(ask: Callable[[str], str | Answer], asks: Sequence[str] = ANNOTATE_ASKS) -> Callable[[], Model]:
     """A factory for ``run_model`` around ``ask``: the prompt of the attempt, then the row; the answer is parsed."""
-    domain = f"primary_research_object: {', '.join(rules.RESEARCH_OBJECTS)}. preference_labels: {', '.join(rules.PREFERENCE_LABELS)}. negative_tier: {', '.join(rules.TIERS)}."
 
     def model(row: dict) -> dict:
-        return parse_annotation(asked(ask, _line(asks[min(row["attempt"], len(asks) - 1)], domain, "Title:", row.get("title"), "Abstract:", row.get("abstract"), "Keywords:", row.get("keywords"))))
+        return parse_annotation(asked(ask, annotation_prompt(row, row["attempt"], asks)))
 
     return lambda: model
 
@@ -322,12 +339,6 @@ def missing_only(rows: DataFrame, done: DataFrame, key: str = "paper_id") -> Dat
     return rows.join(done.select(key), key, "left_anti")
 
 
-def prompt(*parts: Column) -> Column:
-    """One line of text: parts joined by blanks, lines flattened, blanks skipped."""
-    flat = [F.btrim(F.regexp_replace(p, r"(?U)[\s\x1c-\x1f]+", " ")) for p in parts]
-    return F.concat_ws(" ", *[F.when(p != "", p) for p in flat])
-
-
 # parsing of answers
 
 

@@ -18,15 +18,16 @@ def quota_topk(df: DataFrame, group: Sequence[str], quota: int | Column, order:
     """Per group at most ``quota`` rows: positives up to their share, negatives up to the rest, then positives and then negatives fill up.
 
     Adds ``selected_rank`` (1 is the best of the kept, positives of their share first, then negatives, then the fill).
-    ``most`` is the largest quota (known of an int): no row of a higher rank within its tier can be kept, so that many
+    ``most`` is the largest quota (it is known of an int, and needed of a column): no row of a higher rank within its tier can be kept, so that many
     of each task at most are shuffled, and a group's windows stay small however many rows it has. Rows without a tier are negatives' side.
     """
     q, most = (F.lit(quota), quota) if isinstance(quota, int) else (quota, most)
+    if most is None:
+        raise ValueError("a quota by column needs most, the largest of them")
     positive = F.coalesce(F.col(tier) == "positive", F.lit(False))
     counts = df.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)]).agg(F.count_if(positive).alias("_np"), F.count_if(~positive).alias("_nn"))
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*group, positive).orderBy(*order)))
-    if most is not None:
-        ranked = ranked.filter(F.col("_rn") <= F.lit(most))
+    ranked = ranked.filter(F.col("_rn") <= F.lit(most))
     same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)]
     ranked = ranked.join(counts, same, "inner").drop(*[f"_g{i}" for i in range(len(group))])
     pos = F.least(F.col("_np"), F.greatest(F.lit(1), F.floor(q * share)))

@@ -144,12 +144,6 @@ def too_short(source: Column, target: Column) -> Column:
     return (b > 0) & (a >= rules.LONG_SOURCE) & (b < rules.SHORT_TRANSLATION) & (b / a < rules.SHORT_RATIO)
 
 
-def complete_translation(source: Column, target: Column) -> Column:
-    """The producer's rule: a long source needs a long target, and a share of its length."""
-    a, b = F.length(t.strip(source)), F.length(t.strip(target))
-    return (b > 0) & ((a < rules.LONG_SOURCE) | ((b >= rules.SHORT_TRANSLATION) & (b / a >= rules.SHORT_RATIO)))
-
-
 def record_issues(records: DataFrame) -> DataFrame:
     """The invariants of records."""
     c = F.col

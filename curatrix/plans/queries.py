@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from .. import schemas
 from ..functions import rules, text as t
-from ..operators import browse, dedupe, importer, ingest, merge, metrics, models, reports, scoring, selection, splits, validation
+from ..operators import blocked, browse, dedupe, importer, ingest, merge, metrics, models, reports, scoring, selection, splits, validation
 from ..sources import files
 from ..sources.shared import new_path
+from . import workflows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -836,3 +838,66 @@ def q_choices(x):
 
 def _parsing_model():
     return lambda row: models.parse_annotation(row["answer"])
+
+
+@query("""WITH RECURSIVE r AS (SELECT row_number() OVER (ORDER BY doc_id) AS n, doc_id, (doc_id // 3)::VARCHAR AS i, (n_chars % 300)::VARCHAR AS f FROM documents),
+ w AS (SELECT 0::BIGINT AS n, []::VARCHAR[] AS ids, []::VARCHAR[] AS prints, NULL::VARCHAR AS reason
+   UNION ALL SELECT n, CASE WHEN reason IS NULL THEN list_append(ids, i) ELSE ids END, CASE WHEN reason IS NULL THEN list_append(prints, f) ELSE prints END, reason
+   FROM (SELECT r.n, i, f, ids, prints, CASE WHEN list_contains(ids, i) THEN 'duplicate_id' WHEN list_contains(prints, f) THEN 'duplicate_fingerprint' END AS reason FROM w JOIN r ON r.n = w.n + 1))
+SELECT doc_id, reason FROM w JOIN r USING (n)""")
+def q_dedupe_repeated_ids(x):
+    """A walk in order over rows that share ids in threes and fingerprints widely: what is kept bars, what is dropped does not."""
+    rows = x.documents.select("doc_id", F.floor(F.col("doc_id") / 3).cast("string").alias("paper_id"), (F.col("n_chars") % 300).cast("string").alias("fingerprint"))
+    return dedupe.greedy(rows, "doc_id").select("doc_id", "reason")
+
+
+@query(f"WITH {_DECON} SELECT doc_id, reason FROM c")
+def q_blocked_index(x):
+    """The same as q_decontaminate, by an index on disk that was added to twice."""
+    p = x.papers.withColumn("fingerprint", dedupe.fingerprint(F.col("title"), F.col("abstract"))).select("doc_id", "paper_id", "source", "fingerprint")
+    index = blocked.BlockedIndex(x.spark, new_path(x.spark, "blocked"), 8)
+    index.add(p.filter(f"{_OLD} AND doc_id % 2 = 0"))
+    index.add(p.filter(_OLD))
+    return index.label(p.filter(f"NOT {_OLD}"), "doc_id").select("doc_id", "reason")
+
+
+def _record(rows: DataFrame, tier: Column) -> DataFrame:
+    none, text = F.array().cast("array<string>"), lambda c: F.col(c).cast("string")
+    given = {"paper_id": text("doc_id"), "title": F.col("source"), "venue": F.col("lang"), "year": F.lit(2026), "primary_research_object": F.col("lang"), "candidate_negative_tier": tier}
+    return rows.select(*[given.get(f.name, none if f.dataType.typeName() == "array" else F.lit("")).cast(f.dataType).alias(f.name) for f in schemas.RECORDS])
+
+
+_AFTER = """WITH r AS (SELECT doc_id, lang, CASE WHEN doc_id % 3 = 0 THEN 'negative' WHEN doc_id % 5 = 0 THEN 'negative' ELSE 'positive' END AS tier FROM documents),
+ a AS (SELECT * FROM r UNION ALL SELECT -1 - doc_id, 'xx', 'positive' FROM documents WHERE doc_id % 7 = 0)"""
+
+
+@query(f"""{_AFTER} SELECT 'total' AS section, '' AS key, count(*)::BIGINT AS n FROM a UNION ALL SELECT 'object', lang, count(*) FROM a GROUP BY lang UNION ALL SELECT 'tier', tier, count(*) FROM a GROUP BY tier
+ UNION ALL SELECT 'records', 'positive', count(*) FILTER (tier = 'positive') FROM a""")
+def q_upsert_statistics(x):
+    """Statistics of a benchmark after upserts, which follow from the new and the replaced rows' counts; all documents are its records, a third of them are replaced and some added."""
+    root, d = files.SnapshotRoot(x.spark, new_path(x.spark, "root")), x.documents.select("doc_id", "lang", "source")
+    first = {workflows.REC: _record(d, F.when(F.col("doc_id") % 5 == 0, "negative").otherwise("positive"))}
+    none = {name: x.spark.createDataFrame([], schema) for name, schema in workflows.TABLES.items() if name != workflows.REC}
+    root.commit(first | none, {"stats.json": workflows.stats(first | none)})
+    changed = _record(d.filter("doc_id % 3 = 0"), F.lit("negative")).unionByName(_record(d.filter("doc_id % 7 = 0").withColumns({"doc_id": -1 - F.col("doc_id"), "lang": F.lit("xx")}), F.lit("positive")))
+    workflows.commit_rows(root, workflows.load(root), {workflows.REC: changed})
+    got = root.read_document("stats.json")
+    rows = [("total", "", got["total_records"]), *(("object", k, n) for k, n in got["by_primary_research_object"].items()), *(("tier", k, n) for k, n in got["by_negative_tier"].items()), ("records", "positive", got["by_layer"]["records"]["positive"])]
+    return x.spark.createDataFrame(rows, "section string, key string, n long")
+
+
+@query("""WITH d AS (SELECT doc_id, lang, doc_id % 6 AS k FROM documents) SELECT doc_id, CASE k WHEN 0 THEN 'not an object' WHEN 1 THEN 'not JSON' WHEN 2 THEN 'negative_tier: odd' END AS problem,
+ CASE WHEN k >= 2 THEN '{"own":{"n":[' || doc_id || ',null]},"paper_id":"' || doc_id || '","preference_labels":' || CASE WHEN k IN (3, 5) THEN '[]' ELSE '["' || lang || '"]' END || ',"negative_tier":"' || CASE k WHEN 2 THEN 'odd' WHEN 4 THEN 'positive' ELSE 'negative' END || '"}' END AS cleaned
+ FROM d""")
+def q_clean_objects(x):
+    """Legacy rows of open schema: keys go, tiers are mapped, labels of negatives are emptied, and fields that nobody knows stay."""
+    k, n = F.col("doc_id") % 6, F.col("doc_id").cast("string")
+    tier = F.when(k == 2, "odd").when(k == 3, " hard ").when(k == 4, "positive").otherwise("easy")
+    row = F.concat(F.lit('{"paper_id":"'), n, F.lit('","own":{"n":['), n, F.lit(',null]},"target_preference_labels":["x"],"preference_labels":["'), F.col("lang"), F.lit('"],"negative_tier":"'), tier, F.lit('"}'))
+    lines = x.documents.select(F.when(k == 0, "[1]").when(k == 1, "{").otherwise(row).alias("value"), F.lit("f").alias("file"), F.col("doc_id").alias("line"))
+    tiers = {v: "negative" for v in rules.LEGACY_NEGATIVE_TIERS} | {v: v for v in rules.TIERS}
+    out = importer.clean_objects(lines, {"negative_tier": tiers}, emptied={"negative_tier": "preference_labels"})
+    parts = [F.concat(F.lit(f'"{c}":'), F.get_json_object("cleaned", f"$.{c}")) for c in ("own",)] + [F.concat(F.lit('"paper_id":"'), F.get_json_object("cleaned", "$.paper_id"), F.lit('"')), F.concat(F.lit('"preference_labels":'), F.get_json_object("cleaned", "$.preference_labels")), F.concat(F.lit('"negative_tier":"'), F.get_json_object("cleaned", "$.negative_tier"), F.lit('"'))]
+    legacy = F.coalesce(F.size(F.json_object_keys("cleaned")) != 4, F.lit(False))
+    ordered = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    return out.select(F.col("line").alias("doc_id"), "problem", F.when(legacy, "a legacy key is left").when(F.col("cleaned").isNotNull(), ordered).alias("cleaned"))

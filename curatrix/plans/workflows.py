@@ -195,7 +195,10 @@ def annotate(root: SnapshotRoot, factory: Callable, labeler: str, rebuild_all: b
     """
     t = load(root)
     todo = t[REC] if rebuild_all else models.missing_only(t[REC], t[AI])
-    asked = todo.select("paper_id", "title", "abstract", F.array_join("keywords", ", ").alias("keywords"))
+    asked = todo.select(
+        "paper_id", "title", "abstract", "venue", F.array_join("keywords", ", ").alias("keywords"), F.col("primary_research_object").alias("suggested_object"),
+        F.array_join("candidate_preference_labels", ", ").alias("suggested_labels"), F.col("candidate_negative_tier").alias("suggested_tier"),
+    )
     done = run_kept(root, f"annotate-{labeler}", asked, factory, _OUTPUT, batch, concurrency=concurrency)
     new = validation.cleaned_annotations(done.filter("success").withColumn("labeler_id", F.lit(labeler)).withColumn("review_status", F.lit("pending")))
     if rebuild_all:
@@ -213,7 +216,7 @@ def merged_tables(t: dict[str, DataFrame], arbitrations: DataFrame | None = None
     ai, human = (t[k].join(paired, "paper_id", "left_semi") for k in (AI, HUMAN))
     held = t[CONFLICTS].filter("resolved_annotation IS NOT NULL").select("resolved_annotation.*")
     arb = held if arbitrations is None else files.upsert(held, arbitrations, "paper_id")
-    records, merged, conflicts = merge.merge(t[REC], ai, human, arb)
+    records, merged, conflicts = merge.merge(t[REC], ai, human, arb, written=checkpointed)
     return {REC: checkpointed(records), MERGED: checkpointed(merged), CONFLICTS: checkpointed(conflicts)}
 
 

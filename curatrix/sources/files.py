@@ -92,7 +92,11 @@ def write_json(spark: SparkSession, path: str, value) -> None:
 
 
 def scan_conference(spark: SparkSession, root: str, venues: list[tuple[str, int]]) -> DataFrame:
-    """Raw rows of ``<root>/<venue>/<venue><year>.json`` (each a JSON array) with venue, year and source_path; only named files are opened."""
+    """Raw rows of ``<root>/<venue>/<venue><year>.json`` (each a JSON array) with venue, year and source_path; only named files are opened.
+
+    A JSON array can't be split: each file is one task, which parses it as a whole. Large
+    corpora belong in JSON lines, or in many files.
+    """
     paths = {f"{root.rstrip('/')}/{v}/{v}{y}.json": (v.upper(), y) for v, y in venues}
     missing = [p for p in paths if not exists(spark, p)]
     if missing:
@@ -110,12 +114,6 @@ def scan_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def scan_raw_objects(spark: SparkSession, path: str) -> DataFrame:
-    """value, parsed (variant; null if the line is no JSON)."""
-    lines = spark.read.text(path).filter(t.strip(F.col("value")) != "")
-    return lines.withColumn("parsed", F.try_parse_json("value"))
-
-
 def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """value, file, line of every line of text files, blank ones too; a missing path, or none, is an empty table.
 
