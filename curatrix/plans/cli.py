@@ -13,7 +13,7 @@ import importlib
 import json
 import sys
 
-COMMANDS = ("rebuild", "annotate", "merge", "arbitrate", "backfill", "split", "evaluate", "rebalance", "augment", "import", "validate", "cleanup", "translate", "release", "ci", "select-backend")
+COMMANDS = ("rebuild", "annotate", "merge", "arbitrate", "backfill", "split", "evaluate", "rebalance", "augment", "import", "validate", "cleanup", "dashboard", "translate", "release", "ci", "select-backend")
 #: Errors that are printed; the table named by ``--keep`` has all of them.
 LISTED = 100
 
@@ -67,7 +67,7 @@ def parser() -> argparse.ArgumentParser:
 
 def model_of(a: argparse.Namespace, spark):
     """The model factory that the arguments, the environment, the selection or the default name."""
-    from ..operators import models
+    from ..operators import clients, models  # noqa: F401 (clients are registered)
     from . import config
 
     for name in a.plugin:
@@ -78,6 +78,8 @@ def model_of(a: argparse.Namespace, spark):
     chosen = config.read_selection(spark, a.selection) if a.selection else {}
     held = config.read_settings(spark, a.settings) if a.settings else {}
     name = config.resolve("backend", a.backend, held={"backend": chosen.get("selected_backend")})
+    own = held.get(name)  # the back end's section comes before the file's own lines
+    held |= own if isinstance(own, dict) else {}
     settings = {k: config.resolve(k, held=held) for k in ("api_key", "base_url", "model")}
     return models.backend(name, **{k: v for k, v in settings.items() if v is not None})
 
@@ -143,6 +145,7 @@ def main(argv: list[str] | None = None) -> int:
         "validate": lambda: w.validate(root, LISTED, a.keep),
         "cleanup": lambda: w.cleanup_legacy(root),
         "translate": lambda: {"patches": w.translate(root, model_of(a, spark), a.from_column, a.to_column, a.input, a.labeler, not a.dry_run, a.limit or None, a.checkpoint_interval, concurrency, a.attempts or 3).count()},
+        "dashboard": lambda: w.dashboard(root),
         "release": lambda: w.release_report(root, LISTED, a.keep),
         "ci": lambda: w.local_ci(root),
         "select-backend": select,

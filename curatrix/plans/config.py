@@ -22,19 +22,28 @@ def resolve(name: str, argument=None, env: Mapping[str, str] | None = None, held
 
 
 def read_settings(spark: SparkSession, path: str) -> dict:
-    """A private settings file of ``key: value`` lines (the flat part of YAML: comments, quotes and blank lines); empty if there is none."""
+    """A private settings file: ``key: value`` lines, and sections of such lines indented below ``key:`` (that part of YAML, with comments, quotes and blank lines); empty if there is none."""
     if not files.exists(spark, path):
         return {}
-    found = {}
+    found: dict = {}
+    section = None
     for number, line in enumerate(files.read_text(spark, path).splitlines(), 1):
         bare = line.strip()
         if not bare or bare.startswith("#") or bare == "---":
             continue
         key, sep, value = bare.partition(":")
-        if not sep or line[:1].isspace():
+        inside = line[:1].isspace()
+        if not sep or (inside and section is None):
             raise files.SourceError(f"{path}:{number} is not key: value")
         value = value.strip()
-        found[key.strip()] = value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] and len(value) > 1 else value.partition(" #")[0].strip()
+        value = value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] and len(value) > 1 else "" if value.startswith("#") else value.partition(" #")[0].strip()
+        if inside:
+            found[section][key.strip()] = value
+        elif value:
+            found[key.strip()], section = value, None
+        else:
+            section = key.strip()
+            found[section] = {}
     return found
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from .. import schemas
-from ..functions import rules, text as t
+from ..functions import forms, rules, text as t
 from ..operators import blocked, browse, dedupe, importer, ingest, merge, metrics, models, reports, scoring, selection, splits, validation
 from ..sources import files
 from ..sources.shared import new_path
@@ -901,3 +901,15 @@ def q_clean_objects(x):
     legacy = F.coalesce(F.size(F.json_object_keys("cleaned")) != 4, F.lit(False))
     ordered = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
     return out.select(F.col("line").alias("doc_id"), "problem", F.when(legacy, "a legacy key is left").when(F.col("cleaned").isNotNull(), ordered).alias("cleaned"))
+
+
+_TITLE = "split_part(text, chr(10), 1)"
+
+
+@query(f"""SELECT doc_id, 'status=' || replace(url_encode(lang), '%20', '+') || '&q=' || replace(url_encode({_TITLE}), '%20', '+') || '&label=a%26b&label=%C3%A9+x' AS form, lang AS status, {_TITLE} AS q, 'a&b|é x' AS labels, 3::BIGINT AS names FROM documents""")
+def q_forms(x):
+    """Filters of a page as a URL's query, and read back: repeated names keep all their values, blank ones go."""
+    d = x.documents.select("doc_id", "lang", F.substring_index("text", "\n", 1).alias("title"))
+    form = F.concat_ws("&", forms.encode_form({"status": F.col("lang"), "q": F.col("title")}), F.lit("label=a%26b&label=%C3%A9+x"))
+    read = d.withColumn("form", form).withColumn("m", forms.parse_form(F.concat(F.col("form"), F.lit("&split=&odd"))))
+    return read.select("doc_id", "form", F.get(F.col("m")["status"], 0).alias("status"), F.get(F.col("m")["q"], 0).alias("q"), F.array_join(F.col("m")["label"], "|").alias("labels"), F.size("m").alias("names"))

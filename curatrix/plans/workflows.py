@@ -307,6 +307,17 @@ def assign_splits(root: SnapshotRoot, seed: int = rules.SPLIT_SEED) -> dict:
     return {"assigned": n_new, "eligible": merged_with, "already": merged_with - n_new, "skipped": t[MERGED].count() - merged_with, "counts": counts}
 
 
+def dashboard(root: SnapshotRoot) -> dict:
+    """Totals of a benchmark: its statistics (the kept document, or a recount where there is none), rows of each layer, conflicts, splits, and papers that wait for one."""
+    t = load(root)
+    held = root.read_document("stats.json", t.version)
+    rows = splits.manifest_rows(files.scan_manifest(root.spark, root.path("split-manifest.json", t.version)).unionByName(root.read("splits", schemas.SPLITS, t.version)))
+    counts = dict.fromkeys(rules.SPLITS, 0) | {r.split: r.n for r in splits.split_counts(rows).collect()}
+    waiting = t[MERGED].select("paper_id").join(t[REC].select("paper_id"), "paper_id", "left_semi").join(rows.select("paper_id"), "paper_id", "left_anti").distinct().count()
+    names = {REC: "total_candidates", AI: "total_ai_annotations", HUMAN: "total_human_annotations", MERGED: "total_merged_annotations", CONFLICTS: "total_conflicts"}
+    return {"summary": held or stats(t)} | {name: t[k].count() for k, name in names.items()} | {"split_counts": counts, "pending_split_assignment_count": waiting}
+
+
 def export_manifest(root: SnapshotRoot, path: str) -> None:
     """The splits as one JSON document of id lists, for tools that want it so: it passes the driver, so it is for small benchmarks."""
     rows = root.read("splits", schemas.SPLITS)
