@@ -11,9 +11,12 @@ import time
 HERE = os.path.dirname(os.path.abspath(__file__))
 HEADLINE = (
     "q_score_terms q_group_scores q_quota_topk q_fingerprint q_decontaminate q_dedupe_greedy q_merge q_conflicts q_split_hash q_distribution q_eval_binary q_eval_report q_browse q_import_diff q_dq_types "
-    "op1_minhash_near_dedup op2_sharding op3_quality_rules op4_best_fit_packing op5_chat_formatting op6_warc op7_html_extraction op8_token_counts op9_suffix_array_dedup op10_benchmark_decontamination pipeline"
+    "op1_minhash_near_dedup op2_sharding op3_quality_rules op4_best_fit_packing op5_chat_formatting op6_warc op7_html_extraction op8_token_counts op9_suffix_array_dedup op10_benchmark_decontamination op11_conversation_repair op12_importance_resampling op13_embedding_near_dedup pipeline"
 ).split()
 
+#: Seconds of a first run up to which a query runs twice; the shorter time counts.
+TWICE = 15
+
 
 def main() -> None:
     sys.path.insert(0, HERE)
@@ -31,9 +34,12 @@ def main() -> None:
     spark.read.parquet(f"{sf_dir}/documents.parquet").count()  # the first job also starts the executors' pools
     for name in HEADLINE:
         if name in queries:
-            began = time.time()
-            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            found[name] = round(time.time() - began, 3)
+            times: list[float] = []
+            while len(times) < 2 and sum(times) < TWICE:  # the first run of a short query mostly compiles its plan
+                began = time.time()
+                queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                times.append(time.time() - began)
+            found[name] = round(min(times), 3)
     print(json.dumps({"metric": "headline queries", "value": round(sum(found.values()), 3), "unit": "sec", "queries": found, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
     spark.stop()
 

@@ -34,6 +34,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--input", help="an import payload, choices of an arbiter (JSON lines), or a folder of patches")
     p.add_argument("--keep", help="a table for all errors, issues or repeated ids")
     p.add_argument("--dry-run", action="store_true")
+    p.add_argument("--tests", default="tests", help="the folder of tests that ci runs")
     p.add_argument("--limit", type=int, default=0)
     p.add_argument("--venue", type=venue, action="append")
     p.add_argument("--target", type=float)
@@ -147,7 +148,7 @@ def main(argv: list[str] | None = None) -> int:
         "translate": lambda: {"patches": w.translate(root, model_of(a, spark), a.from_column, a.to_column, a.input, a.labeler, not a.dry_run, a.limit or None, a.checkpoint_interval, concurrency, a.attempts or 3).count()},
         "dashboard": lambda: w.dashboard(root),
         "release": lambda: w.release_report(root, LISTED, a.keep),
-        "ci": lambda: w.local_ci(root),
+        "ci": lambda: w.local_ci(root, a.tests),
         "select-backend": select,
     }
     try:

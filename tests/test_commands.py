@@ -201,3 +201,22 @@ def test_facets_in_one_aggregate(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate [") == 1 and "Join" not in plan
     assert schemas.RECORDS.fieldNames()
+
+
+def test_local_ci(spark, root, tmp_path, capsys):
+    """Tests run in a process of their own, and only behind the schema gate; their return code is the command's."""
+    tests = tmp_path / "own_tests"
+    tests.mkdir()
+    (tests / "test_it.py").write_text("def test_it():\n    assert 1 == 1\n")
+    got = w.local_ci(root, str(tests))
+    assert not got["ok"] and got["steps"]["unit_tests"]["returncode"] is None and "skipped" in got["steps"]["unit_tests"]["stderr"]
+    none = annotations(spark, [])
+    root.commit(
+        {"records": records(spark, ["a"], title_zh="译", abstract_zh="译"), "annotations_ai": none, "annotations_human": none, "merged": none, "conflicts": spark.createDataFrame([], schemas.CONFLICTS)},
+        {"schema.json": schemas.schema_payload(), "stats.json": {"n": 1}},
+    )
+    code, got = run(capsys, "ci", "--root", root.root, "--tests", str(tests))
+    assert code == 0 and got["ok"] and "1 passed" in got["steps"]["unit_tests"]["stdout"]
+    (tests / "test_it.py").write_text("def test_it():\n    assert 1 == 2\n")
+    code, got = run(capsys, "ci", "--root", root.root, "--tests", str(tests))
+    assert code == 1 and got["steps"]["unit_tests"]["returncode"] == 1
