@@ -42,13 +42,13 @@ from .graph import components
 
 #: Vectors that pivots are chosen from, and cores and background cells at most.
 SAMPLE, CORES, BACKGROUND = 2_000, 256, 256
-#: Classes in a block at least and at most; between them a table is so many blocks that its units are many times a cluster's cores.
-BLOCKS, PARTS = (1_024, 16_384), 16
+#: Classes in a block at least, and bytes of its unit vectors at most; between them a table is ``PARTS`` blocks, as each class is sent to half of them.
+LEAST, MOST_BYTES, PARTS = 1_024, 32 << 20, 8
 #: Sampled vectors that make a core.
 DENSE = 3
 SLACK = 1e-6
 #: Rows of a block compared at once, and rows dealt at once.
-STEP, DEAL = 256, 2_000
+STEP, DEAL = 128, 2_000
 
 
 def _matrices(column: pa.Array):
@@ -286,7 +286,7 @@ def _joined(kind: str, cosine: float):
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", cosine: float = 0.95, block: int | None = None, sample: int = SAMPLE) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors``: links are pairs of cosine ``cosine`` (over 0, at most 1) or more.
 
-    ``block`` bounds the classes a task compares (None: by their number, see ``BLOCKS``), ``sample`` the vectors that pivots are chosen from.
+    ``block`` bounds the classes a task compares (None: by their number and length, see ``PARTS``), ``sample`` the vectors that pivots are chosen from.
     """
     if not 0 < cosine <= 1:
         raise ValueError("cosine has to be over 0 and at most 1")
@@ -297,8 +297,10 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
     some = packed.filter("v IS NOT NULL AND vec_id IS NOT NULL")
     classes = written(some.groupBy("key", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")).withColumn("cls", F.monotonically_increasing_id()), "classes")
     total = classes.count()
-    block = block or min(max(total // PARTS, BLOCKS[0]), BLOCKS[1])
-    pivots = _pivots(classes, total, kind, block, sample, math.acos(cosine))
+    drawn = [bytes(r.v) for r in classes.select("v").orderBy(F.xxhash64("v"), "v").limit(sample).collect()]
+    longest = max(map(len, drawn), default=1) // np.dtype(kind).itemsize
+    block = block or min(max(total // PARTS, LEAST), max(MOST_BYTES // (8 * longest), LEAST))
+    pivots = _pivots(drawn, total, kind, block, math.acos(cosine))
     # written, as a class on a border has to have the same home in all that follows
     homes = written(classes.select("cls", "n", "v").mapInArrow(tidy_stream(_homes(pivots, kind)), "cls long, n long, v binary, length int, cell int, angle double"), "homes")
     cells: dict[int, Cells] = {}
@@ -325,14 +327,13 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("least", "vec_id").alias("component_id"), F.coalesce(F.col("vec_id") == F.coalesce("least", "vec_id"), F.lit(True)).alias("kept"))
 
 
-def _pivots(classes: DataFrame, total: int, kind: str, block: int, sample: int, reach: float) -> dict[int, Pivots]:
-    """Pivots for each length of vectors in a sample of ``sample`` classes, the least by a hash."""
+def _pivots(drawn: list[bytes], total: int, kind: str, block: int, reach: float) -> dict[int, Pivots]:
+    """Pivots for each length of the vectors drawn of ``total`` classes."""
     by: dict[int, list[bytes]] = {}
-    for r in classes.select("v").orderBy(F.xxhash64("v"), "v").limit(sample).collect():
-        by.setdefault(len(r.v) // np.dtype(kind).itemsize, []).append(bytes(r.v))
-    drawn = sum(map(len, by.values()))
+    for v in drawn:
+        by.setdefault(len(v) // np.dtype(kind).itemsize, []).append(v)
     out = {}
     for n, held in by.items():
-        wanted = min(BACKGROUND, max(1, math.ceil(total * len(held) / drawn / block)))
+        wanted = min(BACKGROUND, max(1, math.ceil(total * len(held) / len(drawn) / block)))
         out[n] = Pivots(units(np.frombuffer(b"".join(held), kind).reshape(len(held), -1)), wanted, reach)
     return out
