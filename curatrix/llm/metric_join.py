@@ -298,7 +298,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
     classes = written(some.groupBy("key", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")).withColumn("cls", F.monotonically_increasing_id()), "classes")
     total = classes.count()
     drawn = [bytes(r.v) for r in classes.select("v").orderBy(F.xxhash64("v"), "v").limit(sample).collect()]
-    longest = max(map(len, drawn), default=1) // np.dtype(kind).itemsize
+    longest = max(1, max(map(len, drawn), default=0) // np.dtype(kind).itemsize)
     block = block or min(max(total // PARTS, LEAST), max(MOST_BYTES // (8 * longest), LEAST))
     pivots = _pivots(drawn, total, kind, block, math.acos(cosine))
     # written, as a class on a border has to have the same home in all that follows
