@@ -191,7 +191,7 @@ def test_answers():
     ok = {"primary_research_object": "llm", "preference_labels": ["模型压缩", "??"], "negative_tier": "positive", "evidence_spans": {"general": ["a", "a"], "zzz": ["b"]}}
     stream = "\n".join(['{"item": {"type": "reasoning", "text": "x"}}', json.dumps({"item": {"type": "agent_message", "text": json.dumps(ok, ensure_ascii=False)}}, ensure_ascii=False)])
     got = models.parse_annotation(stream)
-    assert (got["primary_research_object"], got["preference_labels"], got["evidence_spans"]) == ("LLM", ["模型压缩"], {"general": ["a"]})
+    assert (got["primary_research_object"], got["preference_labels"], got["evidence_spans"]) == ("LLM", ["模型压缩"], {"general": ["a", "b"]})
     assert models.match_choice("", rules.TIERS) == "positive"
     with pytest.raises(ValueError):
         models.parse_annotation('{"a": 1}')
