@@ -52,7 +52,7 @@ def test_statistics_follow_upserts(spark, tmp_path):
     def annotation_rows(some):
         return spark.createDataFrame([(i, "x", "LLM", r.sample(rules.PREFERENCE_LABELS, r.randrange(3)), t, {}, "", "final") for i, t in zip(some, tiers(len(some)), strict=True)], schemas.ANNOTATIONS)
 
-    for n in range(8):
+    for n in range(6):
         t = w.load(root)
         changes = {name: (record_rows if name == w.REC else annotation_rows)(r.sample(ids, r.randrange(1, 9))) for name in r.sample([w.REC, w.AI, w.HUMAN, w.MERGED], 2)}
         w.commit_rows(root, t, changes)
